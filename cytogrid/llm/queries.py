@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytogrid.llm import host_rules, line_dedup, mixing, packing, simhash
+from cytogrid.llm import host_rules, language_id, line_dedup, mixing, packing, quality_cnn, secret_scan, simhash, topk, url_templates
 from cytogrid.llm.common import table
 
 
@@ -26,6 +26,29 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed_lines"), F.md5("text").alias("text_md5"))
 
 
+def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learned = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) != 1
+    out = quality_cnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learned)
+    return out.select("doc_id", F.coalesce(~learned, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.spans(table(spark, sf_dir, "documents"))
+    counts = [secret_scan.count_kind(F.col("base"), i).alias(f"n_{kind}") for i, (kind, *_) in enumerate(secret_scan.BASE)]
+    both = F.sort_array(F.concat("base", "added"))
+    return out.select("doc_id", *counts, F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"), secret_scan.written(both).alias("spans"))
+
+
+def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "template")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learned = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2
+    out = language_id.identify(table(spark, sf_dir, "documents"), learned)
+    return out.select("doc_id", F.coalesce(~learned, F.lit(False)).alias("held_out"), "lang_pred", "score", "n_spans")
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -36,11 +59,14 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_line_dedup, op7_source_mixing, op8_host_rules, op10_simhash_components)
-}
+_ALL = (op1_best_fit_packing, op2_line_dedup, op3_quality_cnn, op4_secret_scan, op5_url_templates, op6_language_id, op7_source_mixing, op8_host_rules, op9_exact_top_k, op10_simhash_components)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 SQL: dict[str, str] = {}
