@@ -7,7 +7,7 @@ boundary that its interval crosses. In size order, the words taken are within ab
 seeded, so reruns agree; of a few seeded draws the one that comes nearest to the target is used.
 
 Scale: a source may hold most rows, so ranks are never made by one window over it. Rows are counted by (source, size, split),
-the counts are prefix-summed in two bounded steps, and a row's rank is that offset plus its rank among the few rows of its cell.
+the counts are prefix-summed in bounded steps (classes of sizes, sizes, splits), and a row's rank is that offset plus its rank among the few rows of its cell.
 The table of sources is small by nature (a mix names its sources).
 
 Defined cases: null text has size 0; null source is a source of its own, last in order; sources without words get target 0;
@@ -68,7 +68,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     targets = targets.withColumn("skey", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
     targets = materialize(targets)
     earlier = lambda *key: Window.partitionBy(*key[:-1]).orderBy(key[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    by_size = cells.groupBy("skey", "size").agg(F.sum("n").alias("n")).withColumn("above", F.coalesce(F.sum("n").over(earlier("skey", "size")), F.lit(0))).select("skey", "size", "above")
+    # sizes are prefix-summed within classes of like sizes, and the few classes within the source
+    sizes = cells.groupBy("skey", "size").agg(F.sum("n").alias("n")).withColumn("cls", F.floor(F.log2(F.col("size") + 1) * 8).cast("int"))
+    classes = sizes.groupBy("skey", "cls").agg(F.sum("n").alias("n")).withColumn("over", F.coalesce(F.sum("n").over(earlier("skey", "cls")), F.lit(0))).select("skey", "cls", "over")
+    sizes = sizes.withColumn("above", F.coalesce(F.sum("n").over(earlier("skey", "cls", "size")), F.lit(0)))
+    by_size = sizes.join(classes, ["skey", "cls"]).select("skey", "size", (F.col("above") + F.col("over")).alias("above"))
     within = cells.withColumn("beside", F.coalesce(F.sum("n").over(earlier("skey", "size", "split")), F.lit(0))).select("skey", "size", "split", "beside")
     first = within.join(by_size, ["skey", "size"]).select("skey", "size", "split", (F.col("above") + F.col("beside")).alias("first"))
     ranked = sized.withColumn("place", F.row_number().over(Window.partitionBy("skey", "size", "split").orderBy("id"))).join(first, ["skey", "size", "split"])
