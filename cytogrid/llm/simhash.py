@@ -85,7 +85,7 @@ def _table(rows: list[list[int]]) -> Column:
     return F.array(*[F.array(*[F.lit(x).cast("long") for x in r]) for r in rows])
 
 
-def fingerprint_of(text: bytes | None, shingle: int) -> int:
+def fingerprint_of(text: bytes | None, shingle: int, seed: int = SEED) -> int:
     """Unsigned 64-bit fingerprint of a text's UTF-8 bytes."""
     import xxhash
 
@@ -99,26 +99,28 @@ def fingerprint_of(text: bytes | None, shingle: int) -> int:
     counts, stop = np.zeros(64, np.int64), ends[min(shingle, len(words)) - 1 :].tolist()
     starts = starts[:n].tolist()
     for at in range(0, n, 1 << 16):
-        hashes = np.array([h(joined[a:b], SEED) for a, b in zip(starts[at : at + (1 << 16)], stop[at : at + (1 << 16)], strict=True)], np.uint64)
+        hashes = np.array([h(joined[a:b], seed) for a, b in zip(starts[at : at + (1 << 16)], stop[at : at + (1 << 16)], strict=True)], np.uint64)
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row its id and ``fp``, the fingerprint as a signed long."""
-    out = docs.select(id_col).schema.add("fp", "long")
+def fingerprints(docs: DataFrame, kinds: tuple[tuple[int, int], ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row its id and, for each (shingle words, seed) of ``kinds``, a fingerprint as a signed long: fp, check1, check2, ..."""
+    out, names = docs.select(id_col).schema, ["fp", *(f"check{i}" for i in range(1, len(kinds)))]
+    for name in names:
+        out = out.add(name, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint_of(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=[id_col, "fp"])
+            fps = np.array([[fingerprint_of(t.as_py(), *kind) for kind in kinds] for t in batch.column(1)], np.uint64).reshape(-1, len(kinds)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(c)) for c in fps.T)], names=[id_col, *names])
 
     return docs.select(id_col, F.col(text_col).cast("string").cast("binary").alias(text_col)).mapInArrow(run, out)
 
 
-def _forest(fp: np.ndarray, group: np.ndarray, home: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links among rows (sorted by group) of which one is at home; fp: uint64."""
-    nodes, node = np.unique(fp, return_inverse=True)
+def _forest(ids: np.ndarray, fp: np.ndarray, checks: list[np.ndarray], group: np.ndarray, home: np.ndarray, bits: int, check_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest, over ids, of the links among rows (sorted by group) of which one is at home; fingerprints are uint64."""
+    nodes, node = np.unique(ids, return_inverse=True)
     label = np.arange(len(nodes))
     left, right = [], []
     size = np.bincount(group)
@@ -130,7 +132,10 @@ def _forest(fp: np.ndarray, group: np.ndarray, home: np.ndarray, bits: int) -> t
         if not len(at):
             break
         b = at + k
-        near = (np.bitwise_count(fp[at] ^ fp[b]) <= bits) & (home[at] | home[b])
+        near = np.nonzero((np.bitwise_count(fp[at] ^ fp[b]) <= bits) & (home[at] | home[b]))[0]
+        if checks and len(near):
+            apart = sum(np.bitwise_count(c[at[near]] ^ c[b[near]]).astype(np.int32) for c in checks)
+            near = near[apart <= check_bits]
         u, v = node[at[near]], node[b[near]]
         while len(u):
             hi, lo = np.maximum(label[u], label[v]), np.minimum(label[u], label[v])
@@ -146,12 +151,16 @@ def _forest(fp: np.ndarray, group: np.ndarray, home: np.ndarray, bits: int) -> t
             while not np.array_equal(label, label[label]):
                 label = label[label]
         k += 1
-    none = np.zeros(0, np.uint64)
+    none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def links(distinct: DataFrame, bits: int = BITS, blocks: tuple[Block, ...] = BLOCKS_4, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
-    """Edges (u, v) that join the same fingerprints as all links at ``bits`` or fewer differing bits do; ``distinct``: column fp."""
+def links(distinct: DataFrame, bits: int = BITS, checks: tuple[str, ...] = (), check_bits: int = 0, blocks: tuple[Block, ...] = BLOCKS_4, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
+    """Edges (u, v) between nodes that join the same nodes as all links do.
+
+    ``distinct`` has node (long), fp and the ``checks`` columns. A link has ``bits`` or fewer differing bits between fp, and
+    ``check_bits`` or fewer between all check columns together.
+    """
     if sum(b.tolerance + 1 for b in blocks) <= bits:
         raise ValueError("the blocks' tolerances do not cover the threshold")
     fp = F.col("fp")
@@ -166,23 +175,25 @@ def links(distinct: DataFrame, bits: int = BITS, blocks: tuple[Block, ...] = BLO
                 (lambda i, value, home: lambda e: F.struct(F.lit(i).alias("block"), value.bitwiseXOR(e).alias("anchor"), (e == home).alias("home")))(i, value, home),
             )
         )
-    placed = distinct.select("fp", F.explode(F.concat(*rows)).alias("p")).select("fp", "p.block", "p.anchor", "p.home")
+    carried = ["node", "fp", *checks]
+    placed = distinct.select(*carried, F.explode(F.concat(*rows)).alias("p")).select(*carried, "p.block", "p.anchor", "p.home")
     hot = placed.groupBy("block", "anchor").count().where(F.col("count") > anchor_rows).select("block", "anchor", F.ceil(F.col("count") / anchor_rows).alias("chunks"))
-    mine = F.pmod(F.xxhash64("fp"), F.col("chunks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("chunks"))
     pairs = F.when(F.col("chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
         F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda j: F.least(mine, j) * F.col("chunks") + F.greatest(mine, j))
     )
-    dealt = placed.join(hot, ["block", "anchor"], "left").select("fp", "home", "block", "anchor", F.explode(pairs).alias("part"))
+    dealt = placed.join(hot, ["block", "anchor"], "left").select(*carried, "home", "block", "anchor", F.explode(pairs).alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
 
         def found(t: pa.Table) -> pa.RecordBatch:
-            fp, home = t.column("fp").to_numpy().view(np.uint64), t.column("home").to_numpy(zero_copy_only=False)
+            bits_of = lambda c: t.column(c).to_numpy().view(np.uint64)
+            home = t.column("home").to_numpy(zero_copy_only=False)
             key = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("block", "anchor", "part")])
             group = np.concatenate(([0], np.cumsum((key[:, 1:] != key[:, :-1]).any(0)))) if t.num_rows else np.zeros(0, np.int64)
-            u, v = _forest(fp, group, home, bits)
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
+            u, v = _forest(t.column("node").to_numpy(), bits_of("fp"), [bits_of(c) for c in checks], group, home, bits, check_bits)
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
         # several anchors at a time; the last anchor of a batch waits for the rest of its rows
         for batch in batches:
@@ -206,10 +217,30 @@ def links(distinct: DataFrame, bits: int = BITS, blocks: tuple[Block, ...] = BLO
 
 def near_duplicates(docs: DataFrame, shingle: int, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its id, fingerprint (16 lower-case hex digits) and component_id, the least id that it reaches by links."""
-    fps = materialize(fingerprints(docs, shingle, id_col, text_col))
+    fps = materialize(fingerprints(docs, ((shingle, SEED),), id_col, text_col))
     distinct = materialize(fps.groupBy("fp").agg(F.min(id_col).alias("least")))
-    roots = components(links(distinct.select("fp"), bits))
+    roots = components(links(distinct.select(F.col("fp").alias("node"), "fp"), bits))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = rooted.join(named, "root").select("fp", "component_id")
     return fps.join(by_fp, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+#: For removing near copies: words alone give the fingerprint that meets at anchors, since a changed word changes one of its features and
+#: not five; a link must also agree on two fingerprints of five-word shingles, in which texts of a similarity of 0.8 differ in about 24 bits.
+COPY_SHINGLE, COPY_CHECK_BITS = 5, 24
+
+
+def distinct_documents(docs: DataFrame, bits: int = BITS, shingle: int = COPY_SHINGLE, check_bits: int = COPY_CHECK_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, without those that nearly copy another: of each component the least id stays.
+
+    Ids must be whole numbers; rows that repeat an id are one document, and rows without an id all stay.
+    """
+    known = docs.where(F.col(id_col).isNotNull())
+    fps = materialize(fingerprints(known, ((1, SEED), (shingle, SEED), (shingle, SEED + 1)), id_col, text_col))
+    distinct = materialize(fps.groupBy("fp", "check1", "check2").agg(F.min(id_col).cast("long").alias("node")))
+    edges = links(distinct, bits, ("check1", "check2"), check_bits)
+    above = components(edges).where("node <> root").select("node")
+    kept = distinct.select("node").distinct().join(above, "node", "left_anti").select(F.col("node").alias("__id"))
+    stays = docs[id_col].cast("long") == F.col("__id")
+    return docs.where(F.col(id_col).isNotNull()).join(kept, stays, "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
