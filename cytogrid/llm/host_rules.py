@@ -101,7 +101,8 @@ def judge(docs: DataFrame, *keep: str, text_col: str = "text", host_col: str = "
     hosted = docs.withColumn("__host", F.coalesce(F.concat(F.lit("s"), F.col(host_col).cast("string")), F.lit("n")))
     measured = measures(hosted, *keep, "__host", text_col=text_col)
     measured = materialize(measured.withColumn("base_failed", base_failed()).withColumn("__failed", host_failed()))
-    judged = measured.join(host_verdicts(measured, "__host", limit), "__host")
+    # a table of its own, so that both sides of the join are plain shuffles, of which a hot host's can be split
+    judged = measured.join(materialize(host_verdicts(measured, "__host", limit)), "__host")
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("host_ok")).drop("__host", "__failed", "host_ok")
 
 
