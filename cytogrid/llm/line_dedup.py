@@ -69,10 +69,10 @@ def line_chunks(text: Column, rolling: int = ROLLING_LINES, per_chunk: int = LIN
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per (id, text hash), the list ``r`` of its chunks whose key repeats: struct(start, stop, h1, h2, len, first)."""
     key = ["h1", "h2", "len"]
-    c = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.explode(line_chunks(F.col(text_col))).alias("c")).select("id", "th", "c.start", "c.stop", "c.h1", "c.h2", "c.len")
+    c = materialize(docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.explode(line_chunks(F.col(text_col))).alias("c")).select("id", "th", "c.start", "c.stop", "c.h1", "c.h2", "c.len"))
     place = F.struct("id", "start", "th")
     # rows repeated whole are one document
-    groups = c.groupBy(*key).agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select(*key, "least")
+    groups = materialize(c.groupBy(*key).agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select(*key, "least"))
     met = c.join(groups, key)
     one = F.struct("start", "stop", *key, (place == F.col("least")).alias("first"))
     return met.groupBy("id", "th").agg(F.array_sort(F.collect_set(one)).alias("r"))
