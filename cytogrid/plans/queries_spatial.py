@@ -1 +1,109 @@
-"""Queries."""
+"""Queries of the spatial operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cytogrid.operators import spatial
+from cytogrid.plans import views as V
+from cytogrid.plans.queries_core import rounded
+from cytogrid.plans.registry import query
+
+K = 6
+_KNN = f"""pr AS (SELECT a.sample, a.cell_id AS src, b.cell_id AS dst, sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) AS d, b.x - a.x AS dx, b.y - a.y AS dy FROM spots a JOIN spots b ON a.sample = b.sample AND a.cell_id <> b.cell_id),
+knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample, src ORDER BY d, dst) AS rank FROM pr) q WHERE rank <= {K}),
+und AS (SELECT DISTINCT sample, least(src, dst) AS u, greatest(src, dst) AS v FROM knn)"""
+
+
+@query("""WITH s AS (SELECT sample, min(x) AS x0, max(x) - min(x) AS w, row_number() OVER (ORDER BY sample) - 1 AS no FROM spots GROUP BY 1)
+SELECT cell_id, round(x - x0 + no * 1.5 * (SELECT max(w) FROM s), 6) AS x_staggered, y FROM spots JOIN s USING (sample)""")
+def stagger_coords(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(spatial.stagger(V.spots(spark, d)), "x_staggered").select("cell_id", "x_staggered", "y")
+
+
+RINGS = [(0, "tumour", [(-150.0, -150.0), (50.0, -150.0), (50.0, 50.0), (-150.0, 50.0)]), (1, "stroma", [(0.0, 0.0), (300.0, 0.0), (150.0, 300.0)]), (2, "Bubble", [(-50.0, -50.0), (120.0, -20.0), (40.0, 160.0)])]
+
+
+def polygons(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(RINGS, "ord int, region string, ring array<struct<x:double,y:double>>")
+
+
+_EDGES = "edges(ord, region, x1, y1, x2, y2) AS (VALUES " + ", ".join(f"({o}, '{r}', {a[0]}::DOUBLE, {a[1]}::DOUBLE, {b[0]}::DOUBLE, {b[1]}::DOUBLE)" for o, r, ring in RINGS for a, b in zip(ring, ring[1:] + ring[:1], strict=True)) + ")"
+
+
+@query(f"""WITH {_EDGES}, hit AS (SELECT cell_id, ord, region FROM spots CROSS JOIN edges GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE (y1 > y) <> (y2 > y) AND x < x1 + (y - y1) * (x2 - x1) / nullif(y2 - y1, 0)) % 2 = 1)
+SELECT cell_id, coalesce(arg_min(h.region, h.ord), 'Unlabeled') AS first_region, coalesce(arg_max(h.region, h.ord), 'Unlabeled') AS last_region FROM spots LEFT JOIN hit h USING (cell_id) GROUP BY 1""")
+def region_point_in_polygon(spark: SparkSession, d: str) -> DataFrame:
+    first = spatial.regions_of(V.spots(spark, d).select("cell_id", "x", "y"), polygons(spark)).withColumnRenamed("region", "first_region")
+    return spatial.regions_of(first, polygons(spark), last=True).select("cell_id", "first_region", F.col("region").alias("last_region"))
+
+
+@query("SELECT cell_id, round(0.5 * x - 0.25 * y + 3, 6) AS x, round(0.25 * x + 0.5 * y - 7, 6) AS y FROM spots")
+def affine_coords(spark: SparkSession, d: str) -> DataFrame:
+    x, y = spatial.affine(F.col("x"), F.col("y"), [[0.5, -0.25, 3.0], [0.25, 0.5, -7.0], [0, 0, 1]])
+    return rounded(V.spots(spark, d).select("cell_id", x.alias("x"), y.alias("y")), "x", "y")
+
+
+def knn(spark: SparkSession, d: str) -> DataFrame:
+    return spatial.knn(V.spots(spark, d), K)
+
+
+@query(f"WITH {_KNN} SELECT sample, src, dst, rank, round(d, 5) AS d FROM knn")
+def spatial_knn_edges(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(knn(spark, d), "d", to=5).drop("dx", "dy")
+
+
+@query(f"""WITH {_KNN}, deg AS (SELECT sample, x, count(*) AS d FROM (SELECT sample, u AS x FROM und UNION ALL SELECT sample, v FROM und) q GROUP BY 1, 2), p AS (SELECT sample, CAST(sum(d * (d - 1)) AS DOUBLE) AS p FROM deg GROUP BY 1), m AS (SELECT sample, CAST(count(*) AS DOUBLE) AS m FROM und GROUP BY 1),
+sz AS (SELECT sample, label, CAST(count(*) AS DOUBLE) AS n FROM spots GROUP BY 1, 2), tt AS (SELECT sample, sum(n) AS nn FROM sz GROUP BY 1),
+seen AS (SELECT und.sample, least(a.label, b.label) AS i, greatest(a.label, b.label) AS j, count(*) AS observed FROM und JOIN spots a ON a.cell_id = u JOIN spots b ON b.cell_id = v GROUP BY 1, 2, 3),
+ful AS (SELECT a.sample, a.label AS i, b.label AS j, a.n AS ni, b.n AS nj, nn, p, m, m * (m - 1) - p AS q, coalesce(observed, 0) AS observed FROM sz a JOIN sz b ON a.sample = b.sample AND a.label <= b.label JOIN p ON p.sample = a.sample JOIN m ON m.sample = a.sample JOIN tt ON tt.sample = a.sample LEFT JOIN seen s ON s.sample = a.sample AND s.i = a.label AND s.j = b.label),
+e AS (SELECT *, CASE WHEN i = j THEN m * ni * (ni - 1) / (nn * (nn - 1)) ELSE 2 * m * ni * nj / (nn * (nn - 1)) END AS ex FROM ful),
+s2 AS (SELECT *, CASE WHEN i = j THEN ex + p * ni * (ni - 1) * (ni - 2) / (nn * (nn - 1) * (nn - 2)) + q * ni * (ni - 1) * (ni - 2) * (ni - 3) / (nn * (nn - 1) * (nn - 2) * (nn - 3))
+ ELSE ex + p * ni * nj * (ni + nj - 2) / (nn * (nn - 1) * (nn - 2)) + 4 * q * ni * (ni - 1) * nj * (nj - 1) / (nn * (nn - 1) * (nn - 2) * (nn - 3)) END AS sq FROM e)
+SELECT sample, i, j, observed, round(ex, 6) AS expected, round(sqrt(greatest(sq - ex * ex, 0)), 5) AS sd, round((observed - ex) / nullif(sqrt(greatest(sq - ex * ex, 0)), 0), 4) AS z FROM s2""")
+def nhood_enrichment(spark: SparkSession, d: str) -> DataFrame:
+    out = spatial.enrichment(spatial.undirected(knn(spark, d)), V.spots(spark, d), "label")
+    return rounded(rounded(rounded(out, "expected"), "sd", to=5), "z", to=4)
+
+
+_CO = f"""{_KNN}, co AS (SELECT pr.sample, CAST(floor(d / 20) AS BIGINT) AS bin, a.label AS i, b.label AS j, count(*) AS n FROM pr JOIN spots a ON a.cell_id = src JOIN spots b ON b.cell_id = dst WHERE d <= 100 AND floor(d / 20) < 5 GROUP BY 1, 2, 3, 4),
+ratio AS (SELECT sample, bin, i, j, (n / CAST(sum(n) OVER (PARTITION BY sample, bin, i) AS DOUBLE)) / (sum(n) OVER (PARTITION BY sample, bin, j) / CAST(sum(n) OVER (PARTITION BY sample, bin) AS DOUBLE)) AS ratio FROM co)"""
+
+
+@query(f"WITH {_CO} SELECT sample, bin, i, j, round(ratio, 6) AS ratio FROM ratio")
+def cooccurrence_ratio(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(spatial.co_occurrence(V.spots(spark, d), "label", 20.0, 5), "ratio")
+
+
+@query(f"WITH {_CO}, mo AS (SELECT sample, i, j, avg(ratio) AS r FROM ratio GROUP BY 1, 2, 3) SELECT sample, i, j, round(r, 6) AS mean_ratio, round(min(r) OVER (), 6) AS scale_min, round(max(r) OVER (), 6) AS scale_max FROM mo")
+def cooccurrence_mean(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(spatial.mean_over_distance(spatial.co_occurrence(V.spots(spark, d), "label", 20.0, 5)), "mean_ratio", "scale_min", "scale_max")
+
+
+@query(f"""WITH {_KNN}, n AS (SELECT k.sample, src, s.label AS l, count(*) AS n FROM knn k JOIN spots s ON s.cell_id = dst GROUP BY 1, 2, 3), t AS (SELECT *, sum(n) OVER w AS al, row_number() OVER (PARTITION BY sample, src ORDER BY n DESC, l) AS r FROM n WINDOW w AS (PARTITION BY sample, src))
+SELECT s.sample, s.cell_id, s.label AS label_raw, coalesce(t.l, s.label) AS label FROM spots s LEFT JOIN t ON t.src = s.cell_id AND t.r = 1 AND t.n > 0.3 * t.al""")
+def niche_refine_step(spark: SparkSession, d: str) -> DataFrame:
+    return spatial.refine_step(V.spots(spark, d), knn(spark, d), "label", 0.3)
+
+
+@query()
+def niche_refine(spark: SparkSession, d: str) -> DataFrame:
+    """Rounds until settled."""
+    return spatial.refine(V.spots(spark, d), knn(spark, d), "label")
+
+
+_FEAT = f"""{_KNN}, sg AS (SELECT sample, quantile_cont(d, 0.5) AS sigma FROM knn GROUP BY 1), w0 AS (SELECT knn.*, exp(-pow(d / sigma, 2)) AS w FROM knn JOIN sg USING (sample)), w1 AS (SELECT *, w / sum(w) OVER (PARTITION BY sample, src) AS ww, atan2(dy, dx) AS a FROM w0),
+vals AS (SELECT sample, cell_id, 'g' || CAST(g.i AS VARCHAR) AS gene, round(CAST(abs(e.embedding[g.i]) AS DOUBLE), 6) AS value FROM spots JOIN embeddings e USING (vec_id), (VALUES (3), (4)) AS g(i) WHERE abs(e.embedding[g.i]) > 0.1),
+fd AS (SELECT w1.sample, src AS cell_id, gene, sum(ww * value) AS mean, sum(ww * value * cos(a)) AS re, sum(ww * value * sin(a)) AS im FROM w1 JOIN vals v ON v.cell_id = dst GROUP BY 1, 2, 3)"""
+
+
+def panel(spark: SparkSession, d: str) -> DataFrame:
+    s = V.spots(spark, d)
+    g = s.select("sample", "cell_id", F.explode(F.array(*[F.struct(F.lit(f"g{i}").alias("gene"), F.round(F.abs(F.get("pcs", F.lit(i - 1))), 6).alias("value"), (F.abs(F.get("pcs", F.lit(i - 1))) > 0.1).alias("on")) for i in (3, 4)])).alias("v"))
+    return g.where("v.on").select("sample", "cell_id", "v.gene", "v.value")
+
+
+@query(f"""WITH {_FEAT} SELECT sample, cell_id, gene, round(sqrt(0.2) * coalesce(value, 0), 5) AS own, round(sqrt(0.8 * 2 / 3) * coalesce(mean, 0), 5) AS neighbour_mean, round(sqrt(0.8 / 3) * coalesce(sqrt(re * re + im * im), 0), 5) AS gradient FROM vals FULL JOIN fd USING (sample, cell_id, gene)""")
+def neighbour_mean_expr(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(spatial.neighbour_features(panel(spark, d), knn(spark, d)), "own", "neighbour_mean", "gradient", to=5)
