@@ -124,3 +124,13 @@ def nb_tests(bulks: DataFrame, factors: DataFrame, bulk: str, level: str, levels
         return pd.DataFrame(out, columns=["gene", "contrast", "log2fc", "stat", "lr"])
 
     return x.join(shrunk, "gene").groupBy("gene").applyInPandas(run, "gene string, contrast string, log2fc double, stat double, lr double")
+
+
+def patterns(z: DataFrame, level: str, least: int = 10) -> DataFrame:
+    """(gene, pattern, group): genes grouped by the order of their levels' mean z-scores, groups of ``least`` genes or more, numbered from 1."""
+    m = z.groupBy("gene", level).agg(F.round(F.avg("z"), 6).alias("m"))
+    p = m.groupBy("gene").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("m")).alias("m"), F.col(level).alias("l")))), lambda s: s["l"]), ">").alias("pattern"))
+    enough = p.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    # a row per pattern
+    number = enough.select("pattern", F.dense_rank().over(Window.orderBy(F.desc("n"), "pattern")).alias("group"))
+    return p.join(F.broadcast(number), "pattern").select("gene", "pattern", "group")
