@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the cluster's shared checkpoint folder (spark.checkpoint.dir; a temporary one only if that is unset)."""
+    """``df`` computed once: written as Parquet into the cluster's shared checkpoint folder and read again.
+
+    The folder is the session's spark.checkpoint.dir; a temporary one is used only where that is unset (tests). A plan read from files
+    starts afresh: a checkpoint() would carry the old plan's constraints along, which loops with many renamed columns multiply.
+    """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cytogrid-"))
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cytogrid-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    path = f"{folder.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -82,12 +82,14 @@ def pseudobulk_pca(spark: SparkSession, d: str) -> DataFrame:
     return p.select(F.col("cell_id").alias("bulk"), F.get("pcs", F.lit(0)).alias("pc1"), F.get("pcs", F.lit(1)).alias("pc2"), F.lit(float(100 * ratio[0])).alias("pct1"), F.lit(float(100 * ratio[1])).alias("pct2"))
 
 
+@query()
 def leiden_labels(spark: SparkSession, d: str) -> DataFrame:
     """Clusters of the neighbour graph; tests hold their modularity and connectedness."""
     k = embed.knn(rows(spark, d), rows(spark, d), K)
-    return graph.communities(graph.fuzzy_union(k))
+    return graph.communities(graph.fuzzy_union(k), rounds=6, levels=2)
 
 
+@query()
 def layout_xy(spark: SparkSession, d: str) -> DataFrame:
     return graph.layout(graph.fuzzy_union(embed.knn(rows(spark, d), rows(spark, d), K)), rounds=4)
 
