@@ -79,7 +79,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     ranked = materialize(ranked.join(F.broadcast(targets.select("skey", "source_size", "target", "rate")) if targets.count() <= 10_000 else targets.select("skey", "source_size", "target", "rate"), "skey").select("id", "source", "skey", "size", "source_size", "target", "rate", (F.col("first") + F.col("place")).alias("rank")))
     sums = ranked.groupBy("skey").agg(F.first("target").alias("target"), F.array(*[F.sum(F.col("size") * _copies(offset_draw(F.col("source"), F.lit(k)))) for k in range(draws)]).alias("sums"))
     misses = F.transform("sums", lambda s: F.abs(s - F.col("target")))
-    best = sums.select("skey", (F.array_position(misses, F.array_min(misses)) - 1).alias("draw"))
+    # a table of its own, so that both sides of the join are plain shuffles, of which a hot source's can be split
+    best = materialize(sums.select("skey", (F.array_position(misses, F.array_min(misses)) - 1).alias("draw")))
     out = ranked.join(best, "skey").withColumn("copies", _copies(offset_draw(F.col("source"), F.col("draw"))).cast("long"))
     return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "copies")
 
