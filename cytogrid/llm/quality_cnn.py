@@ -153,7 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = F.when(F.col("y") == 0, min(1.0, half / n[0])).otherwise(min(1.0, half / n[1]))
     drawn = known.where(F.pmod(F.xxhash64(F.lit("train"), id_col), F.lit(1 << 20)) < share * (1 << 20))
     # at most about most_docs rows of two numbers
-    sample = docs.join(F.broadcast(drawn.limit(2 * most_docs)), id_col).select("y", F.col(text_col).cast("string").cast("binary").alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    sample = texts.join(F.broadcast(drawn.select(F.col(id_col).alias("id"), "y").limit(2 * most_docs)), "id").select("y", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
