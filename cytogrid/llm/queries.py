@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytogrid.llm import host_rules, language_id, line_dedup, mixing, packing, quality_cnn, secret_scan, simhash, topk, url_templates
+from cytogrid.llm import host_rules, language_id, line_dedup, mixing, oracles, packing, quality_cnn, secret_scan, simhash, topk, url_templates
 from cytogrid.llm.common import table
 
 
@@ -69,4 +69,4 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (op1_best_fit_packing, op2_line_dedup, op3_quality_cnn, op4_secret_scan, op5_url_templates, op6_language_id, op7_source_mixing, op8_host_rules, op9_exact_top_k, op10_simhash_components)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(oracles.SQL)
