@@ -25,6 +25,7 @@ from cytogrid.llm.common import SPACE, WORD, materialize
 ROLLING_LINES = 2
 LINES_PER_CHUNK = 3
 LONG_LINE_WORDS = 50
+SALTS = 32
 _CODE, _BASE = 1 << 20, 31
 
 
@@ -90,7 +91,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = d.join(named, same(d)).select(text_col, F.explode("__r").alias("__c")).select("__c.h1", "__c.h2", "__c.len", body.alias("body"))
     differing = texts.groupBy(*key).agg(F.min("body").alias("a"), F.max("body").alias("b")).where("a <> b").select(*key)
     # texts that share a key but differ, by all odds none, are spared
-    spared = known.select("id", "th", F.explode("r").alias("c")).select("id", "th", "c.start", "c.h1", "c.h2", "c.len").join(differing, key, "left_semi")
+    # a chunk in very many documents is one key: it is met in SALTS parts
+    salted = differing.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spared = known.select("id", "th", F.explode("r").alias("c")).select("id", "th", "c.start", "c.h1", "c.h2", "c.len", F.pmod(F.xxhash64("id", "th"), F.lit(SALTS)).cast("int").alias("salt"))
+    spared = spared.join(salted, [*key, "salt"], "left_semi")
     spared = spared.groupBy("id", "th").agg(F.collect_set("start").alias("__spared")).withColumnsRenamed({"id": "__id", "th": "__th"})
     d = d.join(named, same(d), "left").drop("__id", "__th")
     d = d.join(spared, same(d), "left").drop("__id", "__th")
