@@ -95,7 +95,9 @@ def nb_tests(bulks: DataFrame, factors: DataFrame, bulk: str, level: str, levels
     """
     x = bulks.join(F.broadcast(factors), bulk).where(F.col(level).isin(levels))
     n = F.col("count") / F.col("size_factor")
-    moments = x.groupBy("gene").agg(F.avg(n).alias("m"), F.var_samp(n).alias("v"), F.avg(1 / F.col("size_factor")).alias("inv"))
+    # spread within levels only, so that a difference between them is not taken for dispersion
+    inner = x.groupBy("gene", level).agg(F.avg(n).alias("m"), F.var_samp(n).alias("v"), F.avg(1 / F.col("size_factor")).alias("inv"))
+    moments = inner.groupBy("gene").agg(F.avg("m").alias("m"), F.avg("v").alias("v"), F.avg("inv").alias("inv"))
     raw = F.greatest((F.col("v") - F.col("m") * F.col("inv")) / (F.col("m") * F.col("m")), F.lit(1e-8))
     moments = moments.where("m > 0").select("gene", "m", raw.alias("alpha"))
     trend = moments.agg(F.regr_slope("alpha", 1 / F.col("m")).alias("a1"), F.regr_intercept("alpha", 1 / F.col("m")).alias("a0"))

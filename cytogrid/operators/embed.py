@@ -190,7 +190,7 @@ def sketch(rows: DataFrame, n: int, size: float, dims: int = 3) -> DataFrame:
     return r.join(part, "id", "left").withColumn("kept", F.col("whole") | F.coalesce("some", F.lit(False))).drop("turn", "whole", "room", "some")
 
 
-def harmonise(rows: DataFrame, clusters: int, theta: float = 2.0, sigma: float = 0.1, ridge: float = 1.0, rounds: int = 4, seed: int = 0) -> DataFrame:
+def harmonise(rows: DataFrame, clusters: int, theta: float = 2.0, sigma: float = 0.1, ridge: float = 1.0, rounds: int = 6, seed: int = 0) -> DataFrame:
     """Batch-corrected vectors (id, batch, v): soft clusters with a penalty for uneven batches, and per cluster a ridge regression on the batch.
 
     A round is one pass: tasks send the sums by (cluster, batch), whose size is that of the model, and the corrected vectors are written.
@@ -202,7 +202,7 @@ def harmonise(rows: DataFrame, clusters: int, theta: float = 2.0, sigma: float =
     unit = lambda a: a / np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
     y = unit(np.array(start, float))
     k, b, width = len(y), len(batches), y.shape[1]
-    observed = np.ones((k, b)) / b
+    observed = np.ones((k, b)) / (k * b)
     now = rows.select("id", "batch", "v", F.col("v").alias("v0"))
     number = {x: i for i, x in enumerate(batches)}
 
@@ -246,7 +246,9 @@ def harmonise(rows: DataFrame, clusters: int, theta: float = 2.0, sigma: float =
                     yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), lists(out), x.column(3)], names=["id", "batch", "v", "v0"])
 
         now = settle(now.select("id", "batch", "v", "v0").mapInArrow(corrected, now.schema))
-        observed, y = total[:, :, 0], unit(total[:, :, 1 + width :].sum(1))
+        # all rows move at once, so the batch counts are averaged over rounds, or the penalty would swing them to and fro
+        share = total[:, :, 0] / max(total[:, :, 0].sum(), 1e-12)
+        observed, y = (observed + share) / 2, unit(total[:, :, 1 + width :].sum(1))
     return now.select("id", "batch", "v")
 
 

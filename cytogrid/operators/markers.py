@@ -11,9 +11,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_two_sided(z: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """P(|N| > |z|); SQL has no erfc."""
     import math

@@ -70,7 +70,7 @@ def wide_counts(wide: DataFrame, meta: DataFrame, sample: str, id_col: str, drop
 
 def polygons(spark: SparkSession, path: str) -> DataFrame:
     """GeoJSON features as (ord, region, ring): outer rings in file order, named by their classification or "Unlabeled"."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     kind = "struct<features:array<struct<geometry:struct<type:string,coordinates:array<array<array<double>>>>,properties:struct<name:string,classification:string>>>>"
     f = text.select(F.from_json("value", kind).alias("j")).select(F.posexplode("j.features").alias("ord", "f"))
     name = F.coalesce(F.get_json_object("f.properties.classification", "$.name"), F.lit("Unlabeled"))

@@ -1,0 +1,225 @@
+"""Operators on literal tables with answers worked out by hand or by numpy."""
+
+from __future__ import annotations
+
+import json
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cytogrid.functions import text
+from cytogrid.operators import annotate, contract, de, embed, graph, markers, normalize, pseudobulk, qc, signatures, spatial
+from cytogrid.plans import workflow
+from cytogrid.sources import readers
+
+COUNTS = [("s", "a", "g1", 4), ("s", "a", "MT-1", 1), ("s", "b", "g1", 2), ("s", "b", "g2", 2), ("s", "c", "MT-1", 5), ("s", "c", "MT-2", 5), ("s", "d", "g2", 9), ("s", "e", "g1", 1), ("s", "f", "g3", 3), ("s", "f", "g1", 3)]
+
+
+@pytest.fixture(scope="module")
+def counts(spark):
+    return spark.createDataFrame(COUNTS, "sample string, cell_id string, gene string, count long").cache()
+
+
+def test_contract_gate(spark, counts):
+    cells = spark.createDataFrame([("s", c, 1.0, 2.0, "r") for c in "abcdef"], "sample string, cell_id string, x double, y double, region_annotation string")
+    assert contract.hard_checks(counts, cells).select(contract.passed()).first()[0]
+    bad = cells.unionByName(cells.limit(1)).unionByName(spark.createDataFrame([("s", "z", float("nan"), 1.0, None)], cells.schema))
+    row = contract.hard_checks(counts, bad).first()
+    assert row["n_duplicate_ids"] == 1 and row["n_bad_coordinates"] == 1
+    with pytest.raises(ValueError, match="checks"):
+        contract.require(contract.hard_checks(counts, bad), contract.passed(), "the checks failed")
+    labels = spark.createDataFrame([(x,) for x in ("T", " ", "NaN", "Unannotated", None)], "l string")
+    assert labels.where(contract.is_label(F.col("l"))).count() == 1
+
+
+def test_filter_chain_order(spark, counts):
+    t = spark.createDataFrame([("s", 2.0, None, 2.0, 1.0, 60.0)], "sample string, min_counts double, max_counts double, min_cells double, min_genes double, max_pct_mt double")
+    out = {(r["cell_id"], r["gene"]) for r in qc.filter_chain(counts, t, ("MT-",)).collect()}
+    # e goes by its total, then MT-2 and g3 by their cells, then c by its percent mito
+    assert out == {("a", "g1"), ("a", "MT-1"), ("b", "g1"), ("b", "g2"), ("d", "g2"), ("f", "g1")}
+
+
+def test_normalise(counts):
+    got = {(r["cell_id"], r["gene"]): r["value"] for r in normalize.log_normalise(counts).collect()}
+    totals = {"a": 5, "b": 4, "c": 10, "d": 9, "e": 1, "f": 6}
+    target = float(np.median(list(totals.values())))
+    for _, c, g, n in COUNTS:
+        assert got[c, g] == pytest.approx(np.log1p(n * target / totals[c]))
+
+
+def test_total_join(spark):
+    cells, lab = spark.createDataFrame([("1",), ("2",)], "id string"), spark.createDataFrame([("1", "x")], "id string, l string")
+    with pytest.raises(ValueError, match="1 of 2"):
+        annotate.total_join(cells, lab, ["id"], "l")
+    assert annotate.with_default(cells, lab, ["id"], "l", "none").where("l = 'none'").count() == 1
+
+
+def test_rank_sum_against_full_ranks(spark):
+    rng = np.random.default_rng(0)
+    x = rng.poisson(0.7, (40, 5)).astype(float)
+    group = rng.integers(0, 3, 40)
+    vals = spark.createDataFrame([("s", f"c{i}", f"g{j}", float(x[i, j])) for i in range(40) for j in range(5) if x[i, j]], "sample string, cell_id string, gene string, value double")
+    cells = spark.createDataFrame([("s", f"c{i}", f"t{group[i]}") for i in range(40)], "sample string, cell_id string, t string")
+    got = {(r["t"], r["gene"]): r["rank_sum"] for r in markers.rank_sum(vals, cells, "t").collect()}
+    for j in range(5):
+        order = np.argsort(x[:, j], kind="stable")
+        rank = np.empty(40)
+        rank[order] = np.arange(1, 41)
+        for v in np.unique(x[:, j]):
+            rank[x[:, j] == v] = rank[x[:, j] == v].mean()
+        for t in range(3):
+            assert got[f"t{t}", f"g{j}"] == pytest.approx(rank[group == t].sum())
+
+
+def test_adjust(spark):
+    p = [0.01, 0.02, 0.03, 0.5, None]
+    got = [r["padj"] for r in markers.adjust(spark.createDataFrame([("a", i, v) for i, v in enumerate(p)], "b string, i int, p double"), "p", ["b"]).orderBy("i").collect()]
+    assert got[:4] == pytest.approx([0.04, 0.04, 0.04, 0.5]) and got[4] is None
+
+
+def test_pseudobulk_keeps_counts(spark, counts):
+    cells = spark.createDataFrame([("s", c, "r1" if c < "d" else "r2") for c in "abcdef"], "sample string, cell_id string, region_annotation string")
+    out = pseudobulk.aggregate(counts, cells, ["sample", "region_annotation"], 1, 1)
+    assert out.agg(F.sum("count")).first()[0] == sum(r[3] for r in COUNTS)
+    assert pseudobulk.aggregate(counts, cells, ["sample", "region_annotation"], 4, 1).count() == 0
+
+
+def test_nb_finds_the_shift(spark):
+    rng = np.random.default_rng(1)
+    rows = [(f"b{k}", "A" if k < 4 else "B", f"g{j}", int(rng.poisson(200 * (4 if j == 0 and k < 4 else 1)))) for k in range(8) for j in range(12)]
+    b = spark.createDataFrame(rows, "bulk string, lv string, gene string, count long")
+    got = {r["gene"]: r for r in de.nb_tests(b, pseudobulk.size_factors(b, "bulk"), "bulk", "lv", ["A", "B"]).collect()}
+    assert got["g0"]["log2fc"] == pytest.approx(2, abs=0.3) and got["g0"]["stat"] > 5 and got["g0"]["lr"] > 20
+    assert all(abs(got[f"g{j}"]["log2fc"]) < 0.4 for j in range(1, 12))
+
+
+def test_signatures(spark):
+    v = spark.createDataFrame([("s", "c", f"g{i:02d}", float(30 - i)) for i in range(20)], "sample string, cell_id string, gene string, value double")
+    net = spark.createDataFrame([("top", "g00"), ("top", "g01"), ("low", "g19")], "source string, target string")
+    got = {r["source"]: r["score"] for r in signatures.aucell(v, net, 100).collect()}
+    assert got == {"top": pytest.approx(1.0)}
+    assert signatures.entries(spark.createDataFrame([("a", None), (" ", "b ")], "x string, y string")).orderBy("gene").collect() == [("x", "a"), ("y", "b")]
+
+
+def test_spatial_knn_brute_force(spark):
+    rng = np.random.default_rng(2)
+    p = np.concatenate([rng.normal(0, 1, (60, 2)), rng.normal(50, 5, (6, 2))])
+    d = spark.createDataFrame([("s", f"p{i:02d}", float(a), float(b)) for i, (a, b) in enumerate(p)], "sample string, cell_id string, x double, y double")
+    got = {(r["src"], r["dst"]) for r in spatial.knn(d, 4).collect()}
+    dist = np.linalg.norm(p[:, None] - p[None], axis=2)
+    np.fill_diagonal(dist, np.inf)
+    assert got == {(f"p{i:02d}", f"p{j:02d}") for i in range(len(p)) for j in np.argsort(dist[i])[:4]}
+
+
+def test_points_on_edges_are_outside(spark):
+    ring = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)]
+    polys = spark.createDataFrame([(0, "one", ring), (1, "two", [(x + 1, y + 1) for x, y in ring])], "ord int, region string, ring array<struct<x:double,y:double>>")
+    pts = spark.createDataFrame([("in", 0.5, 0.5), ("both", 1.5, 1.5), ("edge", 2.0, 0.5), ("out", 9.0, 9.0)], "cell_id string, x double, y double")
+    first = {r["cell_id"]: r["region"] for r in spatial.regions_of(pts, polys).collect()}
+    assert first == {"in": "one", "both": "one", "edge": "Unlabeled", "out": "Unlabeled"}
+    assert {r["cell_id"]: r["region"] for r in spatial.regions_of(pts, polys, last=True).collect()}["both"] == "two"
+
+
+def test_enrichment_moments(spark):
+    rng = np.random.default_rng(3)
+    edges = sorted({tuple(sorted(rng.choice(20, 2, replace=False).tolist())) for _ in range(40)})
+    lab = rng.integers(0, 2, 20)
+    e = spark.createDataFrame([("s", f"n{a}", f"n{b}") for a, b in edges], "sample string, u string, v string")
+    cells = spark.createDataFrame([("s", f"n{i}", f"L{x}") for i, x in enumerate(lab)], "sample string, cell_id string, l string")
+    got = {(r["i"], r["j"]): r for r in spatial.enrichment(e, cells, "l").collect()}
+    a, b = np.array(edges).T
+    draws = np.array([(lambda x: [((x[a] == 0) & (x[b] == 0)).sum(), (x[a] != x[b]).sum()])(rng.permutation(lab)) for _ in range(20000)])
+    for k, pair in enumerate([("L0", "L0"), ("L0", "L1")]):
+        assert got[pair]["expected"] == pytest.approx(draws[:, k].mean(), rel=0.03) and got[pair]["sd"] == pytest.approx(draws[:, k].std(), rel=0.05)
+
+
+def vectors(spark, x, labels=None):
+    return spark.createDataFrame([(f"v{i:03d}", [float(a) for a in r], f"L{0 if labels is None else labels[i]}") for i, r in enumerate(x)], "id string, v array<double>, label string")
+
+
+def test_pca_against_numpy(spark):
+    x = np.random.default_rng(4).normal(0, [5, 3, 1, 0.5], (80, 4))
+    mean, comp, ratio = embed.pca(vectors(spark, x), 3)
+    u, s, vt = np.linalg.svd(x - x.mean(0), full_matrices=False)
+    assert mean == pytest.approx(x.mean(0)) and ratio == pytest.approx((s**2 / (s**2).sum())[:3])
+    assert np.abs((comp * vt[:3]).sum(1)) == pytest.approx(np.ones(3))
+    p = embed.project(vectors(spark, x), mean, comp, "id").count()
+    assert p == 80
+
+
+def test_silhouette_against_numpy(spark):
+    rng = np.random.default_rng(5)
+    lab = rng.integers(0, 3, 50)
+    x = rng.normal(0, 1, (50, 3)) + lab[:, None]
+    got = {r["id"]: r["silhouette"] for r in embed.silhouettes(vectors(spark, x, lab)).collect()}
+    d = np.linalg.norm(x[:, None] - x[None], axis=2)
+    for i in range(50):
+        a = d[i][lab == lab[i]].sum() / ((lab == lab[i]).sum() - 1)
+        b = min(d[i][lab == o].mean() for o in set(lab.tolist()) - {lab[i]})
+        assert got[f"v{i:03d}"] == pytest.approx((b - a) / max(a, b), abs=1e-6)
+
+
+def test_harmony_brings_batches_together(spark):
+    rng = np.random.default_rng(6)
+    kind, batch = rng.integers(0, 3, 240), rng.integers(0, 2, 240)
+    x = np.eye(5)[kind] * 6 + rng.normal(0, 0.3, (240, 5)) + batch[:, None] * np.array([0, 0, 0, 2.0, 1.0])
+    rows = vectors(spark, x).select("id", "v", F.concat(F.lit("b"), F.element_at(F.array(*[F.lit(int(b)) for b in batch]), F.substring("id", 2, 3).cast("int") + 1).cast("string")).alias("batch"))
+    y = np.array([r["v"] for r in embed.harmonise(rows, 6).orderBy("id").collect()])
+    gap = lambda z: np.mean([np.linalg.norm(z[(kind == k) & (batch == 0)].mean(0) - z[(kind == k) & (batch == 1)].mean(0)) for k in range(3)])
+    assert gap(y) < 0.7 * gap(x)
+
+
+def test_communities(spark):
+    edges = [(f"{c}{i}", f"{c}{j}", 1.0) for c in "abc" for i in range(6) for j in range(i)] + [("a0", "b0", 1.0), ("b1", "c1", 1.0)]
+    e = spark.createDataFrame([(min(u, v), max(u, v), w) for u, v, w in edges], "u string, v string, w double")
+    got = {r["node"]: r["cluster"] for r in graph.communities(e, rounds=6, levels=2).collect()}
+    q = graph.modularity(e, graph.communities(e, rounds=6, levels=2).select("node", F.col("cluster").alias("c"))).first()[0]
+    assert q > 0.5 and len({got[f"a{i}"] for i in range(6)}) == 1
+    assert graph.layout(e, rounds=2).count() == 18
+
+
+def test_text_functions(spark):
+    one = spark.range(1)
+    row = one.select(text.cell_key(F.lit("cellid_000000123-1")).alias("a"), text.cell_key(F.lit("x7")).alias("b"), text.cell_key_loose(F.lit("CELLID_000")).alias("c"), text.ladder(F.lit(0.8), F.lit(1.2), F.lit(0.2)).alias("d"), text.shown(F.lit(None).cast("double")).alias("e"), text.nearest_scale(F.lit(3.1), 0.3).alias("f"), text.sample_of_file(F.lit("/x/adata_s1_annotated.h5ad")).alias("g"), text.resolution_of(F.lit("s1_0.5"), F.lit("s1")).alias("h")).first()
+    assert tuple(row) == ("123", "x7", "0", [0.8, 1.0, 1.2], "NA", pytest.approx(1 / 0.3), "s1", "0.5")
+
+
+def test_readers(spark, tmp_path):
+    (tmp_path / "s.tsv").write_text("# note\nsample\tpatient\ns1\t007\ns2\t\n")
+    assert [tuple(r) for r in readers.sheet(spark, str(tmp_path / "s.tsv")).collect()] == [("s1", "007"), ("s2", "")]
+    (tmp_path / "n.tsv").write_text("barcode\tk\tspatial_niche\n7\ta\tb\n")
+    assert readers.niche_labels(spark, str(tmp_path / "n.tsv")).first() == ("7", "b")
+    (tmp_path / "l.tsv").write_text("T\tB\ng1\tg2\ng3\t\n")
+    assert readers.gene_lists(spark, str(tmp_path / "l.tsv")).count() == 3
+    ring = [[0, 0], [1, 0], [1, 1], [0, 0]]
+    feature = lambda p: {"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [ring]}, "properties": p}
+    (tmp_path / "p.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [feature({"classification": {"name": "DCIS"}}), feature({"name": "x"})]}, indent=1))
+    assert [(r["ord"], r["region"], len(r["ring"])) for r in readers.polygons(spark, str(tmp_path / "p.geojson")).orderBy("ord").collect()] == [(0, "DCIS", 4), (1, "Unlabeled", 4)]
+    m = readers.affine_matrix(["2,0,1", "0 4 2", "0 0 1"])
+    assert readers.inverse(m)[0][0] == 0.5
+    with pytest.raises(ValueError, match="9"):
+        readers.affine_matrix(["1 2 3"])
+    with pytest.raises(ValueError, match="no column"):
+        readers.column(spark.range(1), "barcode")
+    assert readers.first_that_has(spark, None, str(tmp_path / "none*"), str(tmp_path / "*.tsv")).endswith("*.tsv")
+    assert not readers.has_content(spark.createDataFrame([("c", " ")], "k string, v string"), "k")
+    ok = spark.createDataFrame([(1,)], "n int")
+    assert readers.write_report(ok, F.col("n") == 1, str(tmp_path / "r")) and not readers.write_report(ok, F.col("n") == 2, str(tmp_path / "q"))
+    assert not (tmp_path / "q").exists()
+
+
+def test_workflow(spark, counts, tmp_path):
+    with pytest.raises(ValueError, match="unknown keys"):
+        workflow.Config.of({"contract": "x", "out": "y", "colour": 1})
+    with pytest.raises(ValueError, match="go together"):
+        workflow.Config.of({"contract": "x", "out": "y", "external_labels": "z"})
+    cells = spark.createDataFrame([("s", c, float(i), float(i % 2), "r1" if i < 3 else "r2", "t1" if i % 2 else "t2") for i, c in enumerate("abcdef")], "sample string, cell_id string, x double, y double, region_annotation string, cell_type string")
+    counts.write.parquet(str(tmp_path / "in/counts"))
+    cells.write.parquet(str(tmp_path / "in/cells"))
+    counts.select("gene").distinct().write.parquet(str(tmp_path / "in/genes"))
+    c = workflow.Config.of({"contract": str(tmp_path / "in"), "out": str(tmp_path / "out"), "min_counts": 1.0, "min_genes": 1.0, "min_cells": 1.0, "neighbours": 2, "pseudobulk_min_cells": 1, "pseudobulk_min_counts": 1})
+    status = workflow.run(spark, c, "run_preprocessing")
+    assert set(status.values()) == {"done"} and list(status)[0] == "validation"
+    assert spark.read.parquet(str(tmp_path / "out/filtered")).count() == len(COUNTS)
+    assert workflow.needed("run_exploration") == ["validation", "filtered", "normalised", "dotplot"]
