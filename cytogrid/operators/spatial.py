@@ -207,3 +207,82 @@ def neighbour_features(values: DataFrame, edges: DataFrame, lam: float = 0.8) ->
     out = values.select("sample", "cell_id", "gene", "value").join(field, ["sample", "cell_id", "gene"], "full").na.fill(0.0)
     part = lambda c, s: (F.lit(s**0.5) * c)
     return out.select("sample", "cell_id", "gene", part(F.col("value"), 1 - lam).alias("own"), part(F.col("mean"), lam * 2 / 3).alias("neighbour_mean"), part(F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")), lam / 3).alias("gradient"))
+
+
+def voronoi_neighbours(box: tuple[float, float, float, float], dx: list[float], dy: list[float]) -> tuple[list[int], float]:
+    """Which of the points at (dx, dy) share an edge of the Voronoi cell of (0, 0) within a box, and the cell's radius.
+
+    The cell is the box cut by the bisector of each point in turn; each side remembers the point that made it (-1: the box).
+    """
+    lx, ly, hx, hy = box
+    cell = [(lx, ly, -1), (hx, ly, -1), (hx, hy, -1), (lx, hy, -1)]
+    for n, (a, b) in enumerate(zip(dx, dy, strict=True)):
+        half = (a * a + b * b) / 2
+        if half == 0:
+            continue
+        side = [a * x + b * y - half for x, y, _ in cell]
+        if max(side) <= 0:
+            continue
+        cut = []
+        for i, (x, y, m) in enumerate(cell):
+            j = (i + 1) % len(cell)
+            u, v, s, t = cell[j][0], cell[j][1], side[i], side[j]
+            if s <= 0:
+                cut.append((x, y, m))
+            if (s <= 0) != (t <= 0):
+                f = s / (s - t)
+                # leaving the kept side, the new side begins; coming back, the old one goes on
+                cut.append((x + f * (u - x), y + f * (v - y), n if s <= 0 else m))
+        cell = cut
+        if not cell:
+            return [], 0.0
+    return sorted({m for _, _, m in cell if m >= 0}), max((x * x + y * y) ** 0.5 for x, y, _ in cell)
+
+
+def delaunay(points: DataFrame, k: int = 16, margin: float = 1.0) -> DataFrame:
+    """Delaunay edges (sample, u, v) within each sample's bounding box, widened by ``margin`` mean spacings.
+
+    Two points are joined if their Voronoi cells share a side within the box. A cell that its k nearest neighbours settle (none farther
+    could cut it) is done; the others are cut again with twice as many. Long edges along the hull whose side lies outside the box are left out.
+    """
+    import pyarrow as pa
+
+    points = points.select("sample", "cell_id", "x", "y")
+    n = F.count("*")
+    step = margin * F.sqrt((F.max("x") - F.min("x")) * (F.max("y") - F.min("y")) / n)
+    box = points.groupBy("sample").agg((F.min("x") - step).alias("lx"), (F.min("y") - step).alias("ly"), (F.max("x") + step).alias("hx"), (F.max("y") + step).alias("hy"), n.alias("n"))
+
+    def run(batches):
+        for b in batches:
+            c = {name: b.column(i).to_pylist() for i, name in enumerate(b.schema.names)}
+            src, dst, done = [], [], []
+            for i in range(b.num_rows):
+                near = c["near"][i]
+                here = (c["lx"][i] - c["x"][i], c["ly"][i] - c["y"][i], c["hx"][i] - c["x"][i], c["hy"][i] - c["y"][i])
+                hit, radius = voronoi_neighbours(here, [p["dx"] for p in near], [p["dy"] for p in near])
+                src.append(i)
+                dst.append([near[m]["dst"] for m in hit])
+                done.append(len(near) >= c["n"][i] - 1 or 2 * radius <= near[-1]["d"])
+            at = pa.array(src, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(dst, pa.list_(pa.string())), pa.array(done, pa.bool_())], names=["sample", "src", "dst", "done"])
+
+    most = box.agg(F.max("n")).first()[0] or 0
+    left, out = points, None
+    while True:
+        near = knn(points, min(k, max(most - 1, 1)))
+        near = near.groupBy("sample", F.col("src").alias("cell_id")).agg(F.array_sort(F.collect_list(F.struct("d", "dst", "dx", "dy"))).alias("near"))
+        cells = left.join(near, ["sample", "cell_id"]).join(F.broadcast(box), "sample").select("sample", "cell_id", "x", "y", "lx", "ly", "hx", "hy", "n", "near")
+        cut = settle(cells.mapInArrow(run, "sample string, src string, dst array<string>, done boolean"))
+        found = cut.where("done").select("sample", "src", F.explode("dst").alias("dst"))
+        out = found if out is None else out.unionByName(found)
+        left = left.join(cut.where("not done").select("sample", F.col("src").alias("cell_id")), ["sample", "cell_id"], "left_semi")
+        if k >= most - 1 or left.isEmpty():
+            return undirected(out)
+        left, k = settle(left), 2 * k
+
+
+def keypoint_residuals(keypoints: DataFrame, m: list[list[float]], pixel_size: float) -> DataFrame:
+    """One row: mean and largest distance of transformed from fixed keypoints, in pixels and in micrometres."""
+    x, y = affine(F.col("alignmentX"), F.col("alignmentY"), m)
+    d = F.sqrt(F.pow(x - F.col("fixedX"), 2) + F.pow(y - F.col("fixedY"), 2))
+    return keypoints.agg(F.avg(d).alias("mean_px"), F.max(d).alias("max_px"), (F.avg(d) * pixel_size).alias("mean_um"), (F.max(d) * pixel_size).alias("max_um"))

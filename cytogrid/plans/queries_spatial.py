@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytogrid.operators import spatial
+from cytogrid.operators import image, spatial
 from cytogrid.plans import views as V
 from cytogrid.plans.queries_core import rounded
 from cytogrid.plans.registry import query
@@ -107,3 +107,34 @@ def panel(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {_FEAT} SELECT sample, cell_id, gene, round(sqrt(0.2) * coalesce(value, 0), 5) AS own, round(sqrt(0.8 * 2 / 3) * coalesce(mean, 0), 5) AS neighbour_mean, round(sqrt(0.8 / 3) * coalesce(sqrt(re * re + im * im), 0), 5) AS gradient FROM vals FULL JOIN fd USING (sample, cell_id, gene)""")
 def neighbour_mean_expr(spark: SparkSession, d: str) -> DataFrame:
     return rounded(spatial.neighbour_features(panel(spark, d), knn(spark, d)), "own", "neighbour_mean", "gradient", to=5)
+
+
+@query()
+def delaunay_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Held against cells cut by all points in tests."""
+    return spatial.delaunay(V.spots(spark, d))
+
+
+@query("SELECT round(avg(e), 6) AS mean_px, round(max(e), 6) AS max_px, round(avg(e) * 0.2125, 6) AS mean_um, round(max(e) * 0.2125, 6) AS max_um FROM (SELECT sqrt(pow(1.01 * x + 0.5 - x, 2) + pow(0.99 * y - 0.25 - y, 2)) AS e FROM spots) q")
+def keypoint_residuals(spark: SparkSession, d: str) -> DataFrame:
+    k = V.spots(spark, d).select(F.col("x").alias("fixedX"), F.col("y").alias("fixedY"), F.col("x").alias("alignmentX"), F.col("y").alias("alignmentY"))
+    return rounded(spatial.keypoint_residuals(k, [[1.01, 0, 0.5], [0, 0.99, -0.25], [0, 0, 1]], 0.2125), "mean_px", "max_px", "mean_um", "max_um")
+
+
+_PIXELS = "px AS (SELECT CAST(l_orderkey % 40 AS BIGINT) AS x, CAST(l_partkey % 30 AS BIGINT) AS y, l_returnflag AS channel, CAST(sum(l_quantity) AS DOUBLE) AS value FROM lineitem GROUP BY 1, 2, 3)"
+
+
+def pixels(spark: SparkSession, d: str) -> DataFrame:
+    li = V.table(spark, d, "lineitem")
+    return li.groupBy((F.col("l_orderkey") % 40).alias("x"), (F.col("l_partkey") % 30).alias("y"), F.col("l_returnflag").alias("channel")).agg(F.sum("l_quantity").alias("value"))
+
+
+@query(f"""WITH {_PIXELS}, r AS (SELECT channel, quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.99) AS hi FROM px WHERE value > 0 GROUP BY 1)
+SELECT x, y, channel, round(least(greatest((value - lo) / (hi - lo), 0), 1), 6) AS scaled FROM px JOIN r USING (channel)""")
+def channel_normalise(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(image.normalise(pixels(spark, d)), "scaled").drop("value")
+
+
+@query(f"WITH {_PIXELS} SELECT CAST(floor(x / 4) AS BIGINT) AS x, CAST(floor(y / 4) AS BIGINT) AS y, channel, round(avg(value), 6) AS value FROM px GROUP BY 1, 2, 3")
+def block_mean_downsample(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(image.downsample(pixels(spark, d), 4), "value")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytogrid.operators import de, markers, normalize, pseudobulk, qc, signatures
+from cytogrid.operators.durable import settle
 from cytogrid.plans import views as V
 from cytogrid.plans.queries_core import _CHAIN, _NORM, MITO, effective, n_cells, rounded
 from cytogrid.plans.registry import query
@@ -107,7 +108,8 @@ stats AS (SELECT gene, a, b, contrast, log2fc, p, padj FROM adj)"""
 
 
 def stats(spark: SparkSession, d: str) -> DataFrame:
-    return markers.adjust(ratios(spark, d), "p", ["contrast"])
+    # a small table that several branches read
+    return settle(markers.adjust(ratios(spark, d), "p", ["contrast"]))
 
 
 @query(f"WITH {_ADJ} SELECT gene, contrast, p, round(padj, 6) AS padj FROM stats")

@@ -223,3 +223,20 @@ def test_workflow(spark, counts, tmp_path):
     assert set(status.values()) == {"done"} and list(status)[0] == "validation"
     assert spark.read.parquet(str(tmp_path / "out/filtered")).count() == len(COUNTS)
     assert workflow.needed("run_exploration") == ["validation", "filtered", "normalised", "dotplot"]
+
+
+def test_delaunay(spark):
+    rng = np.random.default_rng(8)
+    p = rng.uniform(0, 10, (50, 2))
+    d = spark.createDataFrame([("s", f"p{i:02d}", float(a), float(b)) for i, (a, b) in enumerate(p)], "sample string, cell_id string, x double, y double")
+    got = {(r["u"], r["v"]) for r in spatial.delaunay(d, k=6).collect()}
+    step = np.sqrt(np.prod(p.max(0) - p.min(0)) / len(p))
+    want = set()
+    for i in range(len(p)):
+        rest = [j for j in range(len(p)) if j != i]
+        lo, hi = p.min(0) - step - p[i], p.max(0) + step - p[i]
+        hit, _ = spatial.voronoi_neighbours((lo[0], lo[1], hi[0], hi[1]), (p[rest] - p[i])[:, 0].tolist(), (p[rest] - p[i])[:, 1].tolist())
+        want |= {tuple(sorted((f"p{i:02d}", f"p{rest[m]:02d}"))) for m in hit}
+    assert got == want
+    # a point on the grid midway between two joined points is nearest to both, so few edges cross: planar bound
+    assert len(got) <= 3 * len(p) - 6
