@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytogrid.functions import text
-from cytogrid.operators import annotate
+from cytogrid.operators import annotate, report
 from cytogrid.plans import views as V
 from cytogrid.plans.queries_core import n_cells
 from cytogrid.plans.registry import query
@@ -109,3 +109,28 @@ def region_split(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window
 
     return V.cells(spark, d).select("cell_id", "sample", annotate.composite(F.col("region_annotation"), F.col("cell_type")).alias("key"), F.ntile(4).over(Window.partitionBy("region_annotation").orderBy("cell_id")).alias("piece"))
+
+
+@query("WITH q AS (SELECT region_annotation, quantile_cont(x, [0, 0.25, 0.5, 0.75, 1]) AS q FROM cells GROUP BY 1) SELECT region_annotation, unnest([0.0, 0.25, 0.5, 0.75, 1.0]) AS point, round(unnest(q), 6) AS value FROM q")
+def metric_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return report.distribution(V.cells(spark, d), "region_annotation", "x").withColumn("value", F.round("value", 6))
+
+
+@query("SELECT sample, round(x * 0.5, 6) AS px, round(y * 0.5, 6) AS py, round(greatest(-50.0, least(x, 80.0)), 6) AS value FROM spots")
+def map_points(spark: SparkSession, d: str) -> DataFrame:
+    out = report.map_points(V.spots(spark, d), "x", 0.5, -50.0, 80.0)
+    return out.withColumns({c: F.round(c, 6) for c in ("px", "py", "value")})
+
+
+@query("SELECT cell_id AS id, label, x, row_number() OVER (PARTITION BY label ORDER BY x DESC, cell_id) AS place, round(avg(x) OVER (), 6) AS mean_all FROM spots")
+def sorted_bars(spark: SparkSession, d: str) -> DataFrame:
+    s = V.spots(spark, d).select(F.col("cell_id").alias("id"), "label", "x")
+    return report.sorted_bars(s, "label", "x").withColumn("mean_all", F.round("mean_all", 6))
+
+
+@query("SELECT sample, 'composition' AS part, region_annotation AS key, cell_type AS name, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY sample, region_annotation), 6) AS value FROM cells GROUP BY 1, 3, 4")
+def sample_page_composition(spark: SparkSession, d: str) -> DataFrame:
+    from cytogrid.operators import normalize
+
+    pages = report.sample_pages(normalize.log_normalise(V.counts(spark, d)), V.cells(spark, d), ["none", "region_annotation"], "cell_type")
+    return pages.where("part = 'composition'").withColumn("value", F.round("value", 6))
