@@ -59,7 +59,7 @@ def channel_roles(spark: SparkSession, d: str) -> DataFrame:
     return t.select("name", text.channel_role(F.col("name")).alias("role"))
 
 
-@query("SELECT unnest([0.2, 0.3, 0.4, 0.5, 0.6]) AS resolution")
+@query("SELECT unnest(CAST([0.2, 0.3, 0.4, 0.5, 0.6] AS DOUBLE[])) AS resolution")
 def resolution_ladder(spark: SparkSession, d: str) -> DataFrame:
     return spark.range(1).select(F.explode(text.ladder(F.lit(0.2), F.lit(0.6), F.lit(0.1))).alias("resolution"))
 
@@ -69,7 +69,7 @@ def unique_gene_names(spark: SparkSession, d: str) -> DataFrame:
     return text.unique_names(V.table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name")), "name", "p_partkey")
 
 
-@query("SELECT t, coalesce(CAST(CAST(TRY_CAST(t AS DOUBLE) AS BIGINT) AS VARCHAR), 'NA') AS whole, CASE WHEN t = '2.5' THEN 2.0 WHEN t = '3.5' THEN 4.0 WHEN t = '7' THEN 7.0 END AS even FROM (VALUES ('7'), ('2.5'), ('3.5'), ('x'), ('')) AS q(t)")
+@query("SELECT t, coalesce(CAST(CAST(TRY_CAST(t AS DOUBLE) AS BIGINT) AS VARCHAR), 'NA') AS whole, CAST(CASE WHEN t = '2.5' THEN 2 WHEN t = '3.5' THEN 4 WHEN t = '7' THEN 7 END AS DOUBLE) AS even FROM (VALUES ('7'), ('2.5'), ('3.5'), ('x'), ('')) AS q(t)")
 def number_functions(spark: SparkSession, d: str) -> DataFrame:
     t = spark.createDataFrame([(x,) for x in ("7", "2.5", "3.5", "x", "")], "t string")
     # the SQL casts by rounding half to even, so whole numbers come from the rounded value here
@@ -111,7 +111,7 @@ def region_split(spark: SparkSession, d: str) -> DataFrame:
     return V.cells(spark, d).select("cell_id", "sample", annotate.composite(F.col("region_annotation"), F.col("cell_type")).alias("key"), F.ntile(4).over(Window.partitionBy("region_annotation").orderBy("cell_id")).alias("piece"))
 
 
-@query("WITH q AS (SELECT region_annotation, quantile_cont(x, [0, 0.25, 0.5, 0.75, 1]) AS q FROM cells GROUP BY 1) SELECT region_annotation, unnest([0.0, 0.25, 0.5, 0.75, 1.0]) AS point, round(unnest(q), 6) AS value FROM q")
+@query("WITH q AS (SELECT region_annotation, quantile_cont(x, [0, 0.25, 0.5, 0.75, 1]) AS q FROM cells GROUP BY 1) SELECT region_annotation, unnest(CAST([0.0, 0.25, 0.5, 0.75, 1.0] AS DOUBLE[])) AS point, round(unnest(q), 6) AS value FROM q")
 def metric_distribution(spark: SparkSession, d: str) -> DataFrame:
     return report.distribution(V.cells(spark, d), "region_annotation", "x").withColumn("value", F.round("value", 6))
 
