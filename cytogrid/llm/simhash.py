@@ -5,13 +5,13 @@ Fingerprint: 64 bits; a bit is set if it is set in over half of the hashes of a
 Method: the 64 bits are split into blocks with tolerances t_i whose sum of (t_i + 1) exceeds the threshold, so two linked
 fingerprints agree up to t_i bits in some block i. In each block a covering code gives the anchors: a Hamming code on
 2^r - 1 of its bits and the free code on the rest, so every value has one anchor within the covering radius (1, or 0 where
-t_i is 0). A fingerprint has its home at that anchor and is replicated to every anchor within covering radius plus t_i;
-both fingerprints of a link meet at the home anchor of either. Rows are compared per anchor.
+t_i is 0). A fingerprint has its home at that anchor and lies within covering radius plus t_i of the home of whatever it links to;
+it is replicated to every such anchor below its own, so the two of a link meet at the lesser home. Rows are compared per anchor.
 
 Scale: only distinct fingerprints are compared, so groups of exact copies cost one row. Replicas per fingerprint are fixed
-(about 36) and anchors many (2^18 and more per block). An anchor with more rows than a task should hold is dealt out as pairs of
+(about 18) and anchors many (2^18 and more per block). An anchor with more rows than a task should hold is dealt out as pairs of
 chunks, which keeps the comparison complete. A task emits a spanning forest of the links it finds, never all pairs.
-Components are found by distributed star contraction.
+Components are found by distributed star contraction. For removing copies, links are held against the texts' sets of shingles.
 
 Defined cases: null and empty texts have no words and fingerprint zero, which links like any other; repeated rows each get
 a result row; a null id never names a component unless all of its ids are null; further columns are ignored.
@@ -85,94 +85,119 @@ def _table(rows: list[list[int]]) -> Column:
     return F.array(*[F.array(*[F.lit(x).cast("long") for x in r]) for r in rows])
 
 
-def fingerprint_of(text: bytes | None, shingle: int, seed: int = SEED) -> int:
-    """Unsigned 64-bit fingerprint of a text's UTF-8 bytes."""
+def hashes_of(words: list[bytes], shingle: int, seed: int = SEED) -> np.ndarray:
+    """XXH64 (uint64) of each shingle of ``words``, in order; of the whole sequence if it is shorter; none without words."""
     import xxhash
 
-    words = (text or b"").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined, h = b" ".join(words), xxhash.xxh64_intdigest
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - shingle + 1)
-    counts, stop = np.zeros(64, np.int64), ends[min(shingle, len(words)) - 1 :].tolist()
-    starts = starts[:n].tolist()
-    for at in range(0, n, 1 << 16):
-        hashes = np.array([h(joined[a:b], seed) for a, b in zip(starts[at : at + (1 << 16)], stop[at : at + (1 << 16)], strict=True)], np.uint64)
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+    starts, stop = starts[:n].tolist(), ends[min(shingle, len(words)) - 1 :].tolist()
+    return np.fromiter((h(joined[a:b], seed) for a, b in zip(starts, stop, strict=True)), np.uint64, n)
+
 
+def majority(hashes: np.ndarray) -> int:
+    """Each of the 64 bits that is set in over half of ``hashes``."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        counts += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint_of(text: bytes | None, shingle: int, seed: int = SEED) -> int:
+    """Unsigned 64-bit fingerprint of a text's UTF-8 bytes."""
+    return majority(hashes_of((text or b"").lower().split(), shingle, seed))
 
-def fingerprints(docs: DataFrame, kinds: tuple[tuple[int, int], ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row its id and, for each (shingle words, seed) of ``kinds``, a fingerprint as a signed long: fp, check1, check2, ..."""
-    out, names = docs.select(id_col).schema, ["fp", *(f"check{i}" for i in range(1, len(kinds)))]
+
+def _mapped(docs: DataFrame, id_col: str, text_col: str, names: list[str], of_text) -> DataFrame:
+    """Per row its id and the ``names`` columns (long), the unsigned numbers that ``of_text`` gives for the text's bytes."""
+    out = docs.select(id_col).schema
     for name in names:
         out = out.add(name, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([[fingerprint_of(t.as_py(), *kind) for kind in kinds] for t in batch.column(1)], np.uint64).reshape(-1, len(kinds)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(c)) for c in fps.T)], names=[id_col, *names])
+            made = np.array([of_text(t.as_py()) for t in batch.column(1)], np.uint64).reshape(-1, len(names)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(c)) for c in made.T)], names=[id_col, *names])
 
     return docs.select(id_col, F.col(text_col).cast("string").cast("binary").alias(text_col)).mapInArrow(run, out)
 
 
-def _forest(ids: np.ndarray, fp: np.ndarray, checks: list[np.ndarray], group: np.ndarray, home: np.ndarray, bits: int, check_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest, over ids, of the links among rows (sorted by group) of which one is at home; fingerprints are uint64."""
+def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row its id and the fingerprint, fp, as a signed long."""
+    return _mapped(docs, id_col, text_col, ["fp"], lambda text: [fingerprint_of(text, shingle)])
+
+
+def _forest(ids: np.ndarray, fp: np.ndarray, checks: list[np.ndarray], group: np.ndarray, home: np.ndarray, bits: int, check_bits: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest, over ids, of the links among rows (sorted by group) of which one is at home; fingerprints are uint64.
+
+    Links within the first of ``check_bits`` join before those that are only within the next.
+    """
     nodes, node = np.unique(ids, return_inverse=True)
     label = np.arange(len(nodes))
     left, right = [], []
     size = np.bincount(group)
     room = size[group]
     place = np.arange(len(group)) - (np.cumsum(size) - size)[group]
-    at, k = np.arange(len(group)), 1
-    while True:
-        at = at[place[at] + k < room[at]]
-        if not len(at):
-            break
-        b = at + k
-        near = np.nonzero((np.bitwise_count(fp[at] ^ fp[b]) <= bits) & (home[at] | home[b]))[0]
-        if checks and len(near):
-            apart = sum(np.bitwise_count(c[at[near]] ^ c[b[near]]).astype(np.int32) for c in checks)
-            near = near[apart <= check_bits]
-        u, v = node[at[near]], node[b[near]]
-        while len(u):
-            hi, lo = np.maximum(label[u], label[v]), np.minimum(label[u], label[v])
-            fresh = hi != lo
-            u, v, hi, lo = u[fresh], v[fresh], hi[fresh], lo[fresh]
-            if not len(u):
+    for limit in check_bits if checks else (0,):
+        at, k, wider = np.arange(len(group)), 1, False
+        while True:
+            at = at[place[at] + k < room[at]]
+            if not len(at):
                 break
-            # each root is hung below one smaller root: these edges make a forest
-            hung, first = np.unique(hi, return_index=True)
-            left.append(nodes[u[first]])
-            right.append(nodes[v[first]])
-            label[hung] = lo[first]
-            while not np.array_equal(label, label[label]):
-                label = label[label]
-        k += 1
+            b = at + k
+            near = np.nonzero((np.bitwise_count(fp[at] ^ fp[b]) <= bits) & (home[at] | home[b]))[0]
+            if checks and len(near):
+                apart = sum(np.bitwise_count(c[at[near]] ^ c[b[near]]).astype(np.int32) for c in checks)
+                wider = wider or bool(((apart > limit) & (apart <= check_bits[-1])).any())
+                near = near[apart <= limit]
+            u, v = node[at[near]], node[b[near]]
+            while len(u):
+                hi, lo = np.maximum(label[u], label[v]), np.minimum(label[u], label[v])
+                fresh = hi != lo
+                u, v, hi, lo = u[fresh], v[fresh], hi[fresh], lo[fresh]
+                if not len(u):
+                    break
+                # each root is hung below one smaller root: these edges make a forest
+                hung, first = np.unique(hi, return_index=True)
+                left.append(nodes[u[first]])
+                right.append(nodes[v[first]])
+                label[hung] = lo[first]
+                while not np.array_equal(label, label[label]):
+                    label = label[label]
+            k += 1
+        if not wider:
+            break
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def links(distinct: DataFrame, bits: int = BITS, checks: tuple[str, ...] = (), check_bits: int = 0, blocks: tuple[Block, ...] = BLOCKS_4, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
+def links(distinct: DataFrame, bits: int = BITS, checks: tuple[str, ...] = (), check_bits: tuple[int, ...] = (), kind: str | None = None, blocks: tuple[Block, ...] = BLOCKS_4, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
     """Edges (u, v) between nodes that join the same nodes as all links do.
 
     ``distinct`` has node (long), fp and the ``checks`` columns. A link has ``bits`` or fewer differing bits between fp, and
-    ``check_bits`` or fewer between all check columns together.
+    the last of ``check_bits`` (rising) or fewer between all check columns together. A node may have several rows; only
+    those of the same ``kind`` (an integer column) meet.
     """
     if sum(b.tolerance + 1 for b in blocks) <= bits:
         raise ValueError("the blocks' tolerances do not cover the threshold")
-    fp = F.col("fp")
+    fp, first = F.col("fp"), (F.col(kind) * len(blocks) if kind else F.lit(0)).cast("int")
     rows = []
     for i, b in enumerate(blocks):
         value = b.value(fp)
         at = b.syndrome(value)
-        home = F.element_at(F.element_at(_table(b.patterns(b.radius)), at), 1)
+        home = value.bitwiseXOR(F.element_at(F.element_at(_table(b.patterns(b.radius)), at), 1))
+        # of two home anchors the lesser is where the two fingerprints meet, so no replica goes to a greater one
         rows.append(
-            F.transform(
-                F.element_at(_table(b.patterns(b.radius + b.tolerance)), at),
-                (lambda i, value, home: lambda e: F.struct(F.lit(i).alias("block"), value.bitwiseXOR(e).alias("anchor"), (e == home).alias("home")))(i, value, home),
+            F.filter(
+                F.transform(
+                    F.element_at(_table(b.patterns(b.radius + b.tolerance)), at),
+                    (lambda i, value, home: lambda e: F.struct((first + i).alias("block"), value.bitwiseXOR(e).alias("anchor"), (value.bitwiseXOR(e) == home).alias("home")))(i, value, home),
+                ),
+                (lambda home: lambda x: x["anchor"] <= home)(home),
             )
         )
     carried = ["node", "fp", *checks]
@@ -217,7 +242,7 @@ def links(distinct: DataFrame, bits: int = BITS, checks: tuple[str, ...] = (), c
 
 def near_duplicates(docs: DataFrame, shingle: int, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its id, fingerprint (16 lower-case hex digits) and component_id, the least id that it reaches by links."""
-    fps = materialize(fingerprints(docs, ((shingle, SEED),), id_col, text_col))
+    fps = materialize(fingerprints(docs, shingle, id_col, text_col))
     distinct = materialize(fps.groupBy("fp").agg(F.min(id_col).alias("least")))
     roots = components(links(distinct.select(F.col("fp").alias("node"), "fp"), bits))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
@@ -226,21 +251,75 @@ def near_duplicates(docs: DataFrame, shingle: int, bits: int = BITS, id_col: str
     return fps.join(by_fp, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: For removing near copies: words alone give the fingerprint that meets at anchors, since a changed word changes one of its features and
-#: not five; a link must also agree on two fingerprints of five-word shingles, in which texts of a similarity of 0.8 differ in about 24 bits.
-COPY_SHINGLE, COPY_CHECK_BITS = 5, 24
+#: For removing near copies: shingles of five words, and the similarity (share of all distinct shingles) that makes a link.
+COPY_SHINGLE, COPY_SIMILARITY = 5, 0.8
+#: Independent fingerprints of a text's words; a link is missed only where all of them differ in more bits than allowed.
+COPY_PRINTS = 3
+#: Longs of a minwise sketch (one bit of each of 64 minima), and the differing bits at which a link is tried: a similarity of 0.8 has about 26.
+SKETCH_LONGS, SKETCH_BITS = 4, (24, 36)
+_SKETCH = [f"sketch{i}" for i in range(SKETCH_LONGS)]
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 31, 64 * SKETCH_LONGS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+
+
+def sketch_of(hashes: np.ndarray) -> list[int]:
+    """One bit of the least of ``hashes`` in each of 64 * SKETCH_LONGS orders: two texts differ in half of the share they do not have in common."""
+    if not len(hashes):
+        return [0] * SKETCH_LONGS
+    short, least = (hashes >> np.uint64(32)).astype(np.uint32), np.full(len(_FACTORS), (1 << 32) - 1, np.uint32)
+    for at in range(0, len(short), 256):
+        np.minimum(least, (short[at : at + 256, None] * _FACTORS).min(0), out=least)
+    mixed = (least ^ (least >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    return np.packbits((mixed >> np.uint32(31)).astype(np.uint8), bitorder="little").view("<u8").tolist()
+
+
+def copy_marks(text: bytes | None, shingle: int = COPY_SHINGLE) -> list[int]:
+    """COPY_PRINTS fingerprints of the single words, and the sketch of the shingles.
+
+    A changed word is one of its text's words but part of five shingles, so fingerprints of words meet at anchors where those of shingles do not.
+    """
+    words = (text or b"").lower().split()
+    one, out = hashes_of(words, 1), []
+    for _ in range(COPY_PRINTS):
+        out.append(majority(one))
+        one = (one ^ (one >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+        one ^= one >> np.uint64(32)
+    return [*out, *sketch_of(hashes_of(words, shingle))]
+
+
+def shingle_sets(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row its id as ``node`` and ``s``, the distinct hashes of its shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(hashes_of((t.as_py() or b"").lower().split(), shingle)).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "s"])
+
+    return docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(run, "node long, s array<long>")
+
+
+def similar_links(edges: DataFrame, docs: DataFrame, similarity: float, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Those of ``edges`` (u, v) whose texts have that similarity or more. Only texts that some edge names are read for it."""
+    named = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    sets = materialize(shingle_sets(docs.join(named, docs[id_col].cast("long") == named["node"], "left_semi"), shingle, id_col, text_col))
+    a, b = sets.withColumnsRenamed({"node": "u", "s": "a"}), sets.withColumnsRenamed({"node": "v", "s": "b"})
+    shared = F.size(F.array_intersect("a", "b"))
+    return edges.join(a, "u").join(b, "v").where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v").distinct()
 
 
-def distinct_documents(docs: DataFrame, bits: int = BITS, shingle: int = COPY_SHINGLE, check_bits: int = COPY_CHECK_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def distinct_documents(docs: DataFrame, bits: int = BITS, shingle: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without those that nearly copy another: of each component the least id stays.
 
-    Ids must be whole numbers; rows that repeat an id are one document, and rows without an id all stay.
+    Pairs that meet by any fingerprint and agree in the sketch are links if their sets of shingles are similar enough. Ids must
+    be whole numbers; rows that repeat an id are one document, and rows without an id all stay.
     """
     known = docs.where(F.col(id_col).isNotNull())
-    fps = materialize(fingerprints(known, ((1, SEED), (shingle, SEED), (shingle, SEED + 1)), id_col, text_col))
-    distinct = materialize(fps.groupBy("fp", "check1", "check2").agg(F.min(id_col).cast("long").alias("node")))
-    edges = links(distinct, bits, ("check1", "check2"), check_bits)
-    above = components(edges).where("node <> root").select("node")
+    prints = [f"fp{i}" for i in range(COPY_PRINTS)]
+    marks = [*prints, *_SKETCH]
+    made = materialize(_mapped(known, id_col, text_col, marks, lambda text: copy_marks(text, shingle)))
+    distinct = materialize(made.groupBy(*marks).agg(F.min(id_col).cast("long").alias("node")))
+    near = links(distinct.select("node", *_SKETCH, F.posexplode(F.array(*prints)).alias("kind", "fp")), bits, tuple(_SKETCH), SKETCH_BITS, "kind")
+    tried = materialize(near.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
+    above = components(similar_links(tried, known, similarity, shingle, id_col, text_col)).where("node <> root").select("node")
     kept = distinct.select("node").distinct().join(above, "node", "left_anti").select(F.col("node").alias("__id"))
     stays = docs[id_col].cast("long") == F.col("__id")
     return docs.where(F.col(id_col).isNotNull()).join(kept, stays, "left_semi").unionByName(docs.where(F.col(id_col).isNull()))

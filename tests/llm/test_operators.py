@@ -228,6 +228,34 @@ def test_near_copies_go(spark):
     assert {r["doc_id"] for r in simhash.distinct_documents(d).collect()} == {3, 7, None}
 
 
+def test_copies_by_similarity(spark):
+    """Only texts similar enough to another go, and nearly all of those (all with few changed words); against brute force."""
+    rng, rows = np.random.default_rng(6), []
+    vocabulary = np.array(sorted(set(words(400, 99).split())))
+    share = 1 / np.arange(1, len(vocabulary) + 1)
+    for _ in range(12):
+        base = rng.choice(vocabulary, 240, p=share / share.sum()).tolist()
+        for changed in (0, 1, 3, 5, 9, 14, 30):
+            t = base.copy()
+            for at in rng.choice(len(t), changed, replace=False):
+                t[at] = f"new{at}"
+            rows.append((len(rows), " ".join(t)))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    root = {i: i for i, _ in rows}
+    for a in root:
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    d = spark.createDataFrame([*rows, (500, None), (501, ""), (502, "one"), (503, "One"), (504, "two")], "doc_id long, text string")
+    got = {r["doc_id"] for r in simhash.distinct_documents(d).collect()}
+    gone, due = {i for i, _ in rows} - got, {i for i in root if root[i] != i}
+    assert gone <= due and len(gone) >= 0.9 * len(due)
+    assert {i for i in due if i % 7 in (1, 2)} <= gone
+    assert {i for i in got if i >= 500} == {500, 502, 504}
+    assert simhash.distinct_documents(d.limit(0)).count() == 0
+
+
 def test_covering_code():
     for b in simhash.BLOCKS_4[:2]:
         # every value has its anchor within the radius, and the nearest comes first
