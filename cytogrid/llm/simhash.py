@@ -36,6 +36,8 @@ BITS = 4
 SEED = 42
 #: Rows at an anchor that one task compares.
 ANCHOR_ROWS = 4096
+#: Crowded anchors that are broadcast at most.
+MOST_BROADCAST = 50_000
 
 
 @dataclass(frozen=True)
@@ -131,46 +133,59 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col
     return _mapped(docs, id_col, text_col, ["fp"], lambda text: [fingerprint_of(text, shingle)])
 
 
+#: Pairs set aside for a later level at most; beyond it they are joined at once.
+ASIDE_PAIRS = 2_000_000
+
+
 def _forest(ids: np.ndarray, fp: np.ndarray, checks: list[np.ndarray], group: np.ndarray, home: np.ndarray, bits: int, check_bits: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest, over ids, of the links among rows (sorted by group) of which one is at home; fingerprints are uint64.
+    """A spanning forest, over ids, of the links among rows of which one is at home; fingerprints are uint64.
 
-    Links within the first of ``check_bits`` join before those that are only within the next.
+    Rows are sorted by group, those at home first, so that only these need to look at the rows behind them. Links within the first of
+    ``check_bits`` join before those that are only within the last.
     """
     nodes, node = np.unique(ids, return_inverse=True)
     label = np.arange(len(nodes))
     left, right = [], []
-    size = np.bincount(group)
-    room = size[group]
-    place = np.arange(len(group)) - (np.cumsum(size) - size)[group]
-    for limit in check_bits if checks else (0,):
-        at, k, wider = np.arange(len(group)), 1, False
-        while True:
-            at = at[place[at] + k < room[at]]
-            if not len(at):
+
+    def join(u: np.ndarray, v: np.ndarray) -> None:
+        while len(u):
+            hi, lo = np.maximum(label[u], label[v]), np.minimum(label[u], label[v])
+            fresh = hi != lo
+            u, v, hi, lo = u[fresh], v[fresh], hi[fresh], lo[fresh]
+            if not len(u):
                 break
-            b = at + k
-            near = np.nonzero((np.bitwise_count(fp[at] ^ fp[b]) <= bits) & (home[at] | home[b]))[0]
-            if checks and len(near):
-                apart = sum(np.bitwise_count(c[at[near]] ^ c[b[near]]).astype(np.int32) for c in checks)
-                wider = wider or bool(((apart > limit) & (apart <= check_bits[-1])).any())
-                near = near[apart <= limit]
-            u, v = node[at[near]], node[b[near]]
-            while len(u):
-                hi, lo = np.maximum(label[u], label[v]), np.minimum(label[u], label[v])
-                fresh = hi != lo
-                u, v, hi, lo = u[fresh], v[fresh], hi[fresh], lo[fresh]
-                if not len(u):
-                    break
-                # each root is hung below one smaller root: these edges make a forest
-                hung, first = np.unique(hi, return_index=True)
-                left.append(nodes[u[first]])
-                right.append(nodes[v[first]])
-                label[hung] = lo[first]
-                while not np.array_equal(label, label[label]):
-                    label = label[label]
-            k += 1
-        if not wider:
+            # each root is hung below one smaller root: these edges make a forest
+            hung, first = np.unique(hi, return_index=True)
+            left.append(nodes[u[first]])
+            right.append(nodes[v[first]])
+            label[hung] = lo[first]
+            while not np.array_equal(label, label[label]):
+                label[:] = label[label]
+
+    stop = np.cumsum(np.bincount(group))[group] if len(group) else np.zeros(0, np.int64)
+    at, k = np.nonzero(home)[0], 1
+    aside: list[np.ndarray] = []
+    held = 0
+    while True:
+        at = at[at + k < stop[at]]
+        if not len(at):
             break
+        b = at + k
+        near = np.nonzero(np.bitwise_count(fp[at] ^ fp[b]) <= bits)[0]
+        u, v = node[at[near]], node[b[near]]
+        if checks and len(near):
+            apart = sum(np.bitwise_count(c[at[near]] ^ c[b[near]]).astype(np.int32) for c in checks)
+            later = (apart > check_bits[0]) & (apart <= check_bits[-1]) & (label[u] != label[v])
+            aside.append(np.stack((u[later], v[later])))
+            held += int(later.sum())
+            u, v = u[apart <= check_bits[0]], v[apart <= check_bits[0]]
+        join(u, v)
+        if held > ASIDE_PAIRS:
+            join(*np.concatenate(aside, axis=1))
+            aside, held = [], 0
+        k += 1
+    if aside:
+        join(*np.concatenate(aside, axis=1))
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
@@ -203,6 +218,9 @@ def links(distinct: DataFrame, bits: int = BITS, checks: tuple[str, ...] = (), c
     carried = ["node", "fp", *checks]
     placed = distinct.select(*carried, F.explode(F.concat(*rows)).alias("p")).select(*carried, "p.block", "p.anchor", "p.home")
     hot = placed.groupBy("block", "anchor").count().where(F.col("count") > anchor_rows).select("block", "anchor", F.ceil(F.col("count") / anchor_rows).alias("chunks"))
+    hot = materialize(hot)
+    # one row per anchor_rows placed rows at most; sent to all tasks only if few
+    hot = F.broadcast(hot) if hot.count() <= MOST_BROADCAST else hot
     mine = F.pmod(F.xxhash64("node"), F.col("chunks"))
     pairs = F.when(F.col("chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
         F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda j: F.least(mine, j) * F.col("chunks") + F.greatest(mine, j))
@@ -237,7 +255,7 @@ def links(distinct: DataFrame, bits: int = BITS, checks: tuple[str, ...] = (), c
         if rest is not None:
             yield found(rest.combine_chunks())
 
-    return dealt.repartition("block", "anchor", "part").sortWithinPartitions("block", "anchor", "part").mapInArrow(run, "u long, v long")
+    return dealt.repartition("block", "anchor", "part").sortWithinPartitions("block", "anchor", "part", F.desc("home")).mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
