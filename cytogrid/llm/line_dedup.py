@@ -26,7 +26,7 @@ ROLLING_LINES = 2
 LINES_PER_CHUNK = 3
 LONG_LINE_WORDS = 50
 SALTS = 32
-_CODE, _BASE = 1 << 20, 31
+_BASE = 31
 
 
 def _is_long(line: Column, words: int) -> Column:
@@ -37,7 +37,7 @@ def _is_long(line: Column, words: int) -> Column:
 def line_chunks(text: Column, rolling: int = ROLLING_LINES, per_chunk: int = LINES_PER_CHUNK, long_words: int = LONG_LINE_WORDS) -> Column:
     """Array of struct(start, stop, h1, h2, len) of the chunks that can be removed; line numbers from 0, stop exclusive."""
     lines = F.split(text, "\n", -1)
-    noted = F.transform(lines, lambda s: F.struct(s.alias("s"), F.pmod(F.xxhash64(s), F.lit(_CODE)).alias("c"), _is_long(s, long_words).alias("long")))
+    noted = F.transform(lines, lambda s: F.struct(s.alias("s"), F.conv(F.substring(F.md5(s), 1, 5), 16, 10).cast("int").alias("c"), _is_long(s, long_words).alias("long")))
 
     def chunks(n: Column) -> Column:
         """From the noted lines, bound once as a lambda's argument."""
@@ -48,7 +48,7 @@ def line_chunks(text: Column, rolling: int = ROLLING_LINES, per_chunk: int = LIN
             h = F.lit(0)
             for k in range(rolling, 0, -1):
                 h = h * _BASE + code(i - k)
-            return (i == F.size(n)) | F.get(n, i - 1)["long"] | F.get(n, i)["long"] | (F.pmod(F.xxhash64(h), F.lit(per_chunk)) == 0)
+            return (i == F.size(n)) | F.get(n, i - 1)["long"] | F.get(n, i)["long"] | (h % per_chunk == 0)
 
         stops = F.filter(F.sequence(F.lit(1), F.size(n)), ends)
 

@@ -1,7 +1,51 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from __future__ import annotations
+
+from cytogrid.llm.url_templates import DEPTH, MOST_CHILDREN, PRIOR, RARE, REJECT, RULES, SIMILAR_Z
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+OP2 = r"""
+WITH l AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS s FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL) q),
+n AS (SELECT *, CAST('0x' || substr(md5(s), 1, 5) AS BIGINT) AS c, length(s) >= 99 AND regexp_matches(s, '^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){49}[^\x20\x09-\x0D]') AS wide FROM l),
+e AS (SELECT *, CAST(wide OR coalesce(lead(wide) OVER w, true) OR (31 * coalesce(lag(c) OVER w, 0) + c) % 3 = 0 AS INT) AS ends FROM n WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+k AS (SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM e),
+g AS (SELECT doc_id, chunk, min(i) AS start, string_agg(s, chr(10) ORDER BY i) AS body FROM k GROUP BY 1, 2 HAVING (count(*) >= 2 OR bool_or(wide)) AND bool_or(regexp_matches(s, '[^\x20\x09-\x0D]'))),
+r AS (SELECT doc_id, chunk, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) > 1 AS gone FROM g),
+m AS (SELECT k.doc_id, count(*) FILTER (WHERE coalesce(gone, false)) AS removed, string_agg(s, chr(10) ORDER BY i) FILTER (WHERE NOT coalesce(gone, false)) AS kept, count(*) AS n FROM k LEFT JOIN r ON r.doc_id = k.doc_id AND r.chunk = k.chunk GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_lines, coalesce(removed, 0) AS n_removed_lines, md5(CASE WHEN removed > 0 THEN coalesce(kept, '') ELSE text END) AS text_md5 FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id"""
+
+
+def _rule_case(verdict: bool) -> str:
+    """CASE over the rules, the longest first; of equally long ones the first listed."""
+    ordered = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+    arms = (f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{what if verdict else h + p}'" for what, h, p in ordered)
+    return f"CASE {' '.join(arms)} END"
+
+
+def _tree_level(i: int) -> str:
+    """Template parts of level ``i`` (from 1), after t{i - 1}."""
+    return f"""k{i} AS (SELECT host, template, shape[{i}] AS seg, sum(n) AS n, sum(labelled) AS l, sum(blocked) AS b FROM t{i - 1} WHERE len(shape) >= {i} GROUP BY 1, 2, 3),
+w{i} AS (SELECT host, template, seg, n, l, b, count(*) OVER p AS kids, sum(n) OVER p AS all_n, sum(l) OVER p AS all_l, sum(b) OVER p AS all_b FROM k{i} WINDOW p AS (PARTITION BY host, template)),
+r{i} AS (SELECT *, CAST(all_b AS DOUBLE) / nullif(all_l, 0) AS rate, CAST(b AS DOUBLE) / nullif(l, 0) - CAST(all_b - b AS DOUBLE) / nullif(all_l - l, 0) AS gap, CAST(1 AS DOUBLE) / nullif(l, 0) + CAST(1 AS DOUBLE) / nullif(all_l - l, 0) AS inv FROM w{i}),
+d{i} AS (SELECT host, template, seg, CASE WHEN NOT (kids > {MOST_CHILDREN} AND all_n < {RARE} * kids) AND (kids = 1 OR coalesce(gap * gap > CAST('{SIMILAR_Z**2!r}' AS DOUBLE) * (rate * (1 - rate) * inv), false)) THEN seg ELSE '*' END AS part FROM r{i}),
+t{i} AS (SELECT t.host, shape, n, labelled, blocked, t.template || coalesce('/' || part, '') AS template FROM t{i - 1} t LEFT JOIN d{i} d ON d.host = t.host AND d.template = t.template AND d.seg = t.shape[{i}])"""
+
+
+OP5 = rf"""
+WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+v AS (SELECT *, {_rule_case(False)} AS rule, {_rule_case(True)} AS listed,
+  list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: regexp_replace(regexp_replace(s, '[0-9a-fA-F]*[0-9][0-9a-fA-F]{{7,}}', '{{x}}', 'g'), '[0-9]+', '{{n}}', 'g')) AS plain FROM u),
+p AS (SELECT page_id, host, path, rule, listed, CASE WHEN len(plain) > {DEPTH} THEN list_append(plain[1:{DEPTH}], '**') ELSE plain END AS shape FROM v),
+t0 AS (SELECT host, shape, count(*) AS n, count(listed) AS labelled, count(*) FILTER (WHERE listed = 'block') AS blocked, '' AS template FROM p GROUP BY 1, 2),
+{(',' + chr(10)).join(_tree_level(i) for i in range(1, DEPTH + 1))},
+o AS (SELECT coalesce(CAST(sum(blocked) AS DOUBLE) / nullif(sum(labelled), 0), 0) AS rate FROM t{DEPTH}),
+h AS (SELECT host, (sum(blocked) + CAST({PRIOR} AS DOUBLE) * any_value(rate)) / (sum(labelled) + CAST({PRIOR} AS DOUBLE)) AS host_rate FROM t{DEPTH}, o GROUP BY 1),
+j AS (SELECT t.host, template, (sum(blocked) + CAST({PRIOR} AS DOUBLE) * any_value(host_rate)) / (sum(labelled) + CAST({PRIOR} AS DOUBLE)) AS purity FROM t{DEPTH} t JOIN h ON h.host = t.host GROUP BY 1, 2)
+SELECT page_id, p.host, path, rule, coalesce(listed, CASE WHEN purity >= CAST({REJECT} AS DOUBLE) THEN 'block' ELSE 'allow' END) AS verdict, t.template
+FROM p JOIN t{DEPTH} t ON t.host = p.host AND t.shape = p.shape JOIN j ON j.host = t.host AND j.template = t.template"""
+
 OP7 = rf"""
 WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, coalesce('s' || source, 'n') AS skey FROM documents),
 s AS (SELECT skey, any_value(source) AS source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
@@ -40,4 +84,4 @@ WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DO
 s AS (SELECT q.vec_id AS query_id, e.vec_id, CAST(list_dot_product(q.v, e.v) AS BIGINT) AS score FROM e q JOIN e ON q.vec_id % 20 = 0 AND e.vec_id <> q.vec_id)
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) q WHERE rank <= 20"""
 
-SQL = {"op7_source_mixing": OP7, "op8_host_rules": OP8, "op9_exact_top_k": OP9}
+SQL = {"op2_line_dedup": OP2, "op5_url_templates": OP5, "op7_source_mixing": OP7, "op8_host_rules": OP8, "op9_exact_top_k": OP9}
