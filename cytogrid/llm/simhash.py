@@ -11,7 +11,7 @@ it is replicated to every such anchor below its own, so the two of a link meet a
 Scale: only distinct fingerprints are compared, so groups of exact copies cost one row. Replicas per fingerprint are fixed
 (about 18) and anchors many (2^18 and more per block). An anchor with more rows than a task should hold is dealt out as pairs of
 chunks, which keeps the comparison complete. A task emits a spanning forest of the links it finds, never all pairs.
-Components are found by distributed star contraction. For removing copies, links are held against the texts' sets of shingles.
+Components are found by distributed star contraction. For removing copies, the pairs of a component are held against the texts' sets of shingles.
 
 Defined cases: null and empty texts have no words and fingerprint zero, which links like any other; repeated rows each get
 a result row; a null id never names a component unless all of its ids are null; further columns are ignored.
@@ -304,6 +304,11 @@ def copy_marks(text: bytes | None, shingle: int = COPY_SHINGLE) -> list[int]:
     return [*out, *sketch_of(hashes_of(words, shingle))]
 
 
+#: Documents of a group that a task compares with as many others, and so many distinct shingles of theirs at most. A group of more than
+#: the first number is dealt out in up to COPY_CHUNKS parts for the sake of speed, and in more only where the last two bounds ask for it.
+COPY_FEW, COPY_CHUNKS, COPY_MANY, COPY_SHINGLES = 512, 8, 4096, 2_000_000
+
+
 def shingle_sets(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row its id as ``node`` and ``s``, the distinct hashes of its shingles."""
 
@@ -315,20 +320,96 @@ def shingle_sets(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col
     return docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(run, "node long, s array<long>")
 
 
-def similar_links(edges: DataFrame, docs: DataFrame, similarity: float, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Those of ``edges`` (u, v) whose texts have that similarity or more. Only texts that some edge names are read for it."""
-    named = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = materialize(shingle_sets(docs.join(named, docs[id_col].cast("long") == named["node"], "left_semi"), shingle, id_col, text_col))
-    a, b = sets.withColumnsRenamed({"node": "u", "s": "a"}), sets.withColumnsRenamed({"node": "v", "s": "b"})
-    shared = F.size(F.array_intersect("a", "b"))
-    return edges.join(a, "u").join(b, "v").where(shared >= similarity * (F.size("a") + F.size("b") - shared)).select("u", "v").distinct()
+def _joined(node: np.ndarray, chunk: np.ndarray, values: np.ndarray, offsets: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from nodes to the least one that they reach by similar sets; row i has ``values`` from offsets[i] to offsets[i + 1].
+
+    Each pair is held against the sets unless its rows are joined already. Rows of two chunks are compared across these only.
+    """
+    nodes, label = np.unique(node, return_inverse=True)
+    kinds, at = np.unique(values, return_inverse=True)
+    size, across = np.diff(offsets), len(chunk) and chunk.min() != chunk.max()
+    held = np.zeros(len(kinds), bool)
+    for i in range(len(node) - 1):
+        j = np.nonzero(label[i + 1 :] != label[i])[0] + i + 1
+        if across:
+            j = j[chunk[j] != chunk[i]]
+        # sets whose sizes differ too much cannot be similar
+        j = j[np.minimum(size[j], size[i]) >= similarity * np.maximum(size[j], size[i])]
+        if not len(j):
+            continue
+        held[at[offsets[i] : offsets[i + 1]]] = True
+        alike = []
+        ends = np.cumsum(size[j])
+        for some in np.split(j, np.searchsorted(ends, np.arange(COPY_SHINGLES, ends[-1], COPY_SHINGLES))):
+            stop = np.cumsum(size[some])
+            own = at[np.arange(stop[-1] if len(some) else 0) + np.repeat(offsets[some] - stop + size[some], size[some])]
+            shared = np.diff(np.concatenate(([0], np.cumsum(held[own])))[np.concatenate(([0], stop))])
+            alike.append(some[shared >= similarity * (size[i] + size[some] - shared)])
+        held[at[offsets[i] : offsets[i + 1]]] = False
+        met = np.unique(label[np.concatenate(([i], *alike)).astype(np.int64)])
+        if len(met) > 1:
+            label[np.isin(label, met)] = met[0]
+    least = nodes[label]
+    return node[least != node], least[least != node]
+
+
+def similar_links(groups: DataFrame, docs: DataFrame, similarity: float, shingle: int, id_col: str = "doc_id", text_col: str = "text", few: int = COPY_FEW) -> DataFrame:
+    """Edges (u, v) that join the same nodes as all pairs of one group that have that similarity or more.
+
+    ``groups`` has node and root, the group's name. Only texts of its nodes are read, and each is sent as its set of shingles to the tasks
+    that compare its group: one, or for a large group one per pair of chunks.
+    """
+    sets = materialize(shingle_sets(docs.join(groups, docs[id_col].cast("long") == groups["node"], "left_semi"), shingle, id_col, text_col).join(groups, "node"))
+    count, shingles = F.count("*"), F.sum(F.size("s"))
+    chunks = F.greatest(F.least(F.ceil(count / few), F.lit(COPY_CHUNKS)), F.ceil(count / COPY_MANY), F.ceil(shingles / COPY_SHINGLES))
+    large = materialize(sets.groupBy("root").agg(chunks.cast("long").alias("chunks")).where("chunks > 1"))
+    large = F.broadcast(large) if large.count() <= MOST_BROADCAST else large
+    mine = F.when(F.col("chunks").isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64("node"), F.col("chunks")))
+    parts = F.when(F.col("chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
+        F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda k: F.least("chunk", k) * F.col("chunks") + F.greatest("chunk", k))
+    )
+    dealt = sets.join(large, "root", "left").withColumn("chunk", mine).select("root", F.explode(parts).alias("part"), "node", "chunk", "s")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(t: pa.Table) -> pa.RecordBatch:
+            t = t.combine_chunks()
+            root, part, node, chunk = (t.column(c).to_numpy() for c in ("root", "part", "node", "chunk"))
+            s = t.column("s").combine_chunks()
+            s = s.chunk(0) if isinstance(s, pa.ChunkedArray) else s
+            offsets, values = s.offsets.to_numpy().astype(np.int64), s.values.to_numpy()
+            cuts = np.concatenate(([0], np.nonzero((root[1:] != root[:-1]) | (part[1:] != part[:-1]))[0] + 1, [len(root)]))
+            u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                own = _joined(node[a:b], chunk[a:b], values[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], similarity)
+                u.append(own[0])
+                v.append(own[1])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
+
+        # the last group of a batch waits for the rest of its rows
+        rest: list[pa.Table] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch])
+            root, part = t.column("root").to_numpy(), t.column("part").to_numpy()
+            cut = int(np.nonzero((root != root[-1]) | (part != part[-1]))[0].max(initial=-1)) + 1
+            if rest and (cut or (rest[-1].column("root")[-1].as_py(), rest[-1].column("part")[-1].as_py()) != (root[-1], part[-1])):
+                yield found(pa.concat_tables([*rest, t.slice(0, cut)]))
+                rest = []
+            elif cut:
+                yield found(t.slice(0, cut))
+            rest.append(t.slice(cut))
+        if rest:
+            yield found(pa.concat_tables(rest))
+
+    return dealt.repartition("root", "part").sortWithinPartitions("root", "part").mapInArrow(run, "u long, v long")
 
 
 def distinct_documents(docs: DataFrame, bits: int = BITS, shingle: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without those that nearly copy another: of each component the least id stays.
 
-    Pairs that meet by any fingerprint and agree in the sketch are links if their sets of shingles are similar enough. Ids must
-    be whole numbers; rows that repeat an id are one document, and rows without an id all stay.
+    Pairs that meet by any fingerprint and agree in the sketch put their documents into one group; within a group all pairs
+    are held against their sets of shingles, and those similar enough are links. Ids must be whole numbers; rows that repeat an id are one document, and rows without an id all stay.
     """
     known = docs.where(F.col(id_col).isNotNull())
     prints = [f"fp{i}" for i in range(COPY_PRINTS)]
@@ -337,7 +418,8 @@ def distinct_documents(docs: DataFrame, bits: int = BITS, shingle: int = COPY_SH
     distinct = materialize(made.groupBy(*marks).agg(F.min(id_col).cast("long").alias("node")))
     near = links(distinct.select("node", *_SKETCH, F.posexplode(F.array(*prints)).alias("kind", "fp")), bits, tuple(_SKETCH), SKETCH_BITS, "kind")
     tried = materialize(near.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
-    above = components(similar_links(tried, known, similarity, shingle, id_col, text_col)).where("node <> root").select("node")
+    # the forest may lack a link that is similar enough, but never parts its two nodes: all pairs of a candidates' component are tested
+    above = components(similar_links(components(tried), known, similarity, shingle, id_col, text_col)).where("node <> root").select("node")
     kept = distinct.select("node").distinct().join(above, "node", "left_anti").select(F.col("node").alias("__id"))
     stays = docs[id_col].cast("long") == F.col("__id")
     return docs.where(F.col(id_col).isNotNull()).join(kept, stays, "left_semi").unionByName(docs.where(F.col(id_col).isNull()))

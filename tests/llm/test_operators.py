@@ -256,6 +256,26 @@ def test_copies_by_similarity(spark):
     assert simhash.distinct_documents(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("few", [512, 60])
+def test_large_group_of_near_copies(spark, monkeypatch, few):
+    """Every copy is similar to the base, hardly any two copies are to each other: only the base stays."""
+    monkeypatch.setattr(simhash.similar_links, "__defaults__", (*simhash.similar_links.__defaults__[:-1], few))
+    rng, base = np.random.default_rng(8), [f"word{k}" for k in range(200)]
+    pairs = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    rows, own = [(0, " ".join(base))], pairs(base)
+    while len(rows) <= 300:
+        t = base.copy()
+        for at in rng.choice(len(t), 4, replace=False):
+            t[at] = f"new{len(rows)}x{at}"
+        if len(own & pairs(t)) >= 0.8 * len(own | pairs(t)):
+            rows.append((len(rows), " ".join(t)))
+    kept = {r["doc_id"] for r in simhash.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    marks = np.array([simhash.copy_marks(t.encode()) for _, t in rows], np.uint64)
+    apart = np.bitwise_count(marks ^ marks[0])
+    meets = (apart[:, : simhash.COPY_PRINTS].min(1) <= 4) & (apart[:, simhash.COPY_PRINTS :].sum(1) <= simhash.SKETCH_BITS[-1])
+    assert 0 in kept and meets.sum() > 290 and not {i for i in range(1, len(rows)) if meets[i]} & kept
+
+
 def test_covering_code():
     for b in simhash.BLOCKS_4[:2]:
         # every value has its anchor within the radius, and the nearest comes first
