@@ -10,8 +10,8 @@ whatever the corpus. Scoring is a narrow map over whole texts: letters of a batc
 words of all documents of a batch side by side.
 
 Defined cases: text null or without a letter gives ``und`` and score 0; with nothing to learn from, every text is ``und``; rows whose
-language is null are predicted but not learned from; a text of more than MOST_STEPS words is labelled in runs of equally
-many words; repeated rows get equal results; an empty table gives an empty result; further columns are ignored.
+language is null are predicted but not learned from; every word of a text of any length is a step of its own; repeated rows get
+equal results; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 TRAIN_DOCS = 4_000
 BUCKETS = 1 << 15
 SWITCH_PENALTY = 12.0
-MOST_STEPS = 40_000
 UNKNOWN = "und"
 #: Characters scored at once; bounds a task's arrays.
 SLICE = 500_000
@@ -155,7 +154,9 @@ def spans(score: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float = SWIT
             jump = v[np.arange(a), best][:, None] - penalty
             keep = v >= jump
             stay[row], top[row] = keep, best
-            value[:a] = np.where(keep, v, jump) + score[row]
+            v = np.where(keep, v, jump) + score[row]
+            # only differences count; sums over very many words would lose them to rounding
+            value[:a] = v - v.max(1, keepdims=True)
         else:
             value[:a] = score[row]
     label = np.zeros(len(score), np.int64)
@@ -187,12 +188,6 @@ def label_texts(texts: list[str | None], names: list[str], logp: np.ndarray, all
     if not names or not scores:
         return [UNKNOWN] * n, [0.0] * n, [0] * n
     score, weight, doc = np.concatenate(scores), np.concatenate(letters), np.concatenate(docs)
-    words = np.bincount(doc, minlength=n)
-    if words.max() > MOST_STEPS:
-        place = np.arange(len(doc)) - (np.cumsum(words) - words)[doc]
-        unit = place // (-(-words // MOST_STEPS))[doc]
-        begin = np.nonzero(np.concatenate(([True], (unit[1:] != unit[:-1]) | (doc[1:] != doc[:-1]))))[0]
-        score, weight, doc = np.add.reduceat(score, begin, axis=0), np.add.reduceat(weight, begin), doc[begin]
     label = spans(score, doc, n, penalty)
     share = np.bincount(doc * len(names) + label, weights=weight, minlength=n * len(names)).reshape(n, len(names))
     turns = np.bincount(doc[np.concatenate(([True], (label[1:] != label[:-1]) | (doc[1:] != doc[:-1])))], minlength=n)

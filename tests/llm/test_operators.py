@@ -359,6 +359,16 @@ def test_language(spark, docs, empty):
     assert {r["lang_pred"] for r in none.collect()} == {"und"}
 
 
+def test_language_of_long_texts(spark):
+    """A passage has the same spans in a very long text as in a short one."""
+    speak = {"aa": ["alu", "bana", "kuna", "lumo", "tana"], "bb": ["strich", "wecht", "pfort", "knosp", "schrum"]}
+    d = spark.createDataFrame([(i, " ".join(speak[x] * 8), x) for i, x in enumerate(list(speak) * 5)], "doc_id long, text string, lang string")
+    model = language_id.learn(d)
+    unit = " ".join(speak["aa"] * 4 + speak["bb"][:2])
+    _, score, n = language_id.label_texts([" ".join([unit] * k) for k in (40, 4_000)], *model)
+    assert n == [80, 8_000] and score[0] == pytest.approx(score[1])
+
+
 def test_viterbi_against_all_paths():
     from itertools import product
 
