@@ -30,7 +30,7 @@ SWITCH_PENALTY = 12.0
 UNKNOWN = "und"
 #: Characters scored at once; bounds a task's arrays.
 SLICE = 500_000
-#: Share of a script's letters a language must have in it to be a candidate there.
+#: Share of its own letters a language must have in a script to be a candidate there.
 CANDIDATE_SHARE = 0.002
 
 #: Script ranges (first, last code point) by script number; letters elsewhere are script 0.
@@ -129,7 +129,7 @@ def learn(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_c
     c[got.column("bucket").to_numpy(), [number[x] for x in got.column("lang").to_pylist()]] = got.column("n").to_numpy()
     grams, scripts = c[:BUCKETS], c[BUCKETS:]
     logp = np.log((grams + 0.3) / (grams.sum(0) + 0.3 * BUCKETS)).astype(np.float32)
-    allowed = scripts >= np.maximum(1, CANDIDATE_SHARE * scripts.sum(1, keepdims=True))
+    allowed = scripts >= np.maximum(1, CANDIDATE_SHARE * scripts.sum(0))
     allowed[~allowed.any(1)] = True
     return names, logp, allowed
 

@@ -369,6 +369,13 @@ def test_language_of_long_texts(spark):
     assert n == [80, 8_000] and score[0] == pytest.approx(score[1])
 
 
+def test_rare_language_is_a_candidate(spark):
+    """One short document of a language beside a thousand times its letters of another in the same script."""
+    rows = [(i, "alu bana kuna lumo tana " * 100, "aa") for i in range(20)] + [(100, "strich wecht pfort knosp", "bb")]
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert language_id.label_texts(["wecht knosp strich " * 5, "bana lumo alu " * 5], *model)[0] == ["bb", "aa"]
+
+
 def test_viterbi_against_all_paths():
     from itertools import product
 
