@@ -16,16 +16,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder, ``spark.checkpoint.dir``; where that is unset, a temporary one in local mode and an error elsewhere."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="cytogrid-checkpoint-")
+        spark.sparkContext.setCheckpointDir(shared)
+    return shared.rstrip("/")
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the cluster's shared checkpoint folder.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (local tests) a temporary
-    folder is used. A reliable checkpoint survives lost executors and cuts the lineage.
-    """
-    spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cytogrid-checkpoint-"))
+    """Compute ``df`` once and keep it in the shared folder. A reliable checkpoint survives lost executors and cuts the lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -36,3 +40,22 @@ def n_words(text: Column) -> Column:
 
 def blank_if_null(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
+
+
+def bind(value: Column, f) -> Column:
+    """f(value), with the value computed once for each row or element."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def col(name: str) -> Column:
+    """The column of just that name, also where it holds dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_rows(docs: DataFrame, **private: Column) -> DataFrame:
+    """Each row as one struct, ``row``, beside ``private`` columns, which so cannot clash with the row's own; ``rows_again`` undoes it."""
+    return docs.select(F.struct("*").alias("row"), *[c.alias(name) for name, c in private.items()])
+
+
+def rows_again(df: DataFrame) -> DataFrame:
+    return df.select("row.*")

@@ -16,20 +16,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    # a table of its own, so that both sides of the join are plain shuffles, of which a node with very many edges can be split
+    least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
     met = both.join(least, "u")
     if large:
         out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").distinct()
+    return materialize(out.where("u <> v").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v: long, no nulls): root is the least node that can be reached.
 
     Each round halves the depth of the trees at least; it ends when the edges are stars and no longer change. A round's
-    edges go to the shared checkpoint folder, so lineage stays short and a lost executor costs one round at most.
+    tables go to the shared checkpoint folder, so lineage stays short and a lost executor costs one step at most.
     """
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = F.struct(F.count("*"), F.bit_xor(F.xxhash64("u", "v")))
@@ -37,11 +38,12 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         if not before[0]:
             break
-        now = materialize(_star(_star(now, True), False))
+        now = _star(_star(now, True), False)
         after = now.agg(mark).first()[0]
         if after == before:
             break
         before = after
     else:
         raise RuntimeError("the components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+

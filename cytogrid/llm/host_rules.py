@@ -7,8 +7,9 @@ rejects its documents. Documents that fail a base rule are rejected whatever the
 Scale: the counts are taken within each row, so no words are shuffled; only (host, counts) go through a partial aggregate, so a
 host with most rows costs one row per task. The host table joins back by its key.
 
-Defined cases: null text has no words and fails; a null host is a host of its own; an empty table gives an empty result;
-repeated rows are judged alike; the columns of the input are kept only by ``keep``.
+Defined cases: null and empty texts have no words and fail; a null host is a host of its own; a text is measured as a whole however long; repeated
+rows are judged alike, each as a row of its host; a host right at the limit is kept; an empty table gives an empty result; further columns
+are ignored by ``judge`` and kept by ``passing_documents``, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytogrid.llm.common import SPACE, WORD, blank_if_null, materialize
+from cytogrid.llm.common import SPACE, WORD, blank_if_null, col, materialize, rows_again
 
 MIN_WORDS = 50
 #: Percent of words in repeated 3-word windows.
@@ -27,6 +28,8 @@ MOST_SYMBOLS = 50
 MOST_DUP_LINES = 30
 #: A host is rejected if its shrunk failure rate is over this.
 HOST_LIMIT = 0.5
+#: Hosts whose verdicts are sent to all tasks at most.
+MOST_BROADCAST = 10_000
 
 
 def words_of(text: Column) -> Column:
@@ -53,8 +56,11 @@ def repeated_words(hashes: Column, window: int = WINDOW) -> Column:
     )
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+
+
 def measures(docs: DataFrame, *keep: str, text_col: str = "text") -> DataFrame:
-    """``keep`` columns with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (long)."""
+    """``keep`` columns with MEASURES (long); ``keep`` has none of these names."""
     text = F.col("__text")
     t = docs.select(*keep, blank_if_null(F.col(text_col)).alias("__text"))
     lines = F.filter(F.split(text, "\n", -1), lambda s: s.rlike(WORD))
@@ -85,28 +91,34 @@ def host_failed() -> Column:
 
 
 def host_verdicts(measured: DataFrame, host: str, limit: float = HOST_LIMIT) -> DataFrame:
-    """(``host``, host_rate, host_ok): failure rates shrunk by a beta prior that all hosts' rates give."""
-    hosts = measured.groupBy(host).agg(F.count("*").alias("n"), F.count_if(F.col("__failed")).alias("f"))
+    """(``host``, host_rate, host_ok) from ``failed``: failure rates shrunk by a beta prior that all hosts' rates give."""
+    hosts = measured.groupBy(host).agg(F.count("*").alias("n"), F.count_if(F.col("failed")).alias("f"))
     rates = hosts.agg(F.avg(F.col("f") / F.col("n")).alias("m"), F.var_pop(F.col("f") / F.col("n")).alias("v"))
     # a + b of the prior; with no spread between hosts it is held at a large number
     strength = F.when(F.col("v") > 0, F.greatest(F.lit(1.0), F.least(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(1000.0)))).otherwise(F.lit(1000.0))
     prior = rates.select("m", strength.alias("ab"))
     # one row of two numbers
-    rated = hosts.join(F.broadcast(prior)).select(host, ((F.col("f") + F.col("m") * F.col("ab")) / (F.col("n") + F.col("ab"))).alias("host_rate"))
+    rated = hosts.crossJoin(F.broadcast(prior)).select(host, ((F.col("f") + F.col("m") * F.col("ab")) / (F.col("n") + F.col("ab"))).alias("host_rate"))
     return rated.withColumn("host_ok", F.col("host_rate") <= limit)
 
 
 def judge(docs: DataFrame, *keep: str, text_col: str = "text", host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
     """``keep`` columns with the measures, base_failed, host_rate and kept."""
-    hosted = docs.withColumn("__host", F.coalesce(F.concat(F.lit("s"), F.col(host_col).cast("string")), F.lit("n")))
-    measured = measures(hosted, *keep, "__host", text_col=text_col)
-    measured = materialize(measured.withColumn("base_failed", base_failed()).withColumn("__failed", host_failed()))
-    # a table of its own, so that both sides of the join are plain shuffles, of which a hot host's can be split
-    judged = measured.join(materialize(host_verdicts(measured, "__host", limit)), "__host")
-    return judged.withColumn("kept", ~F.col("base_failed") & F.col("host_ok")).drop("__host", "__failed", "host_ok")
-
-
-def passing_documents(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The rows of ``docs``, all columns, whose id is kept; rows that repeat an id stay or go together (stay, if one is kept)."""
-    kept = judge(docs, id_col, **kw).where("kept").select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+    judged = _judged(docs, F.struct(*[col(k).alias(k) for k in keep]), text_col, host_col, limit)
+    return judged.select(*[F.col("row").getField(k).alias(k) for k in keep], *MEASURES, "base_failed", "host_rate", "kept")
+
+
+def _judged(docs: DataFrame, row: Column, text_col: str, host_col: str, limit: float) -> DataFrame:
+    """Per row: ``row``, the measures, base_failed, host_rate and kept."""
+    host = F.coalesce(F.concat(F.lit("s"), col(host_col).cast("string")), F.lit("n"))
+    measured = measures(docs.select(row.alias("row"), host.alias("host"), col(text_col).cast("string").alias("text")), "row", "host")
+    measured = materialize(measured.withColumn("base_failed", base_failed()).withColumn("failed", host_failed()))
+    # a table of its own, so that both sides of the join are plain shuffles, of which a hot host's can be split; sent to all tasks if few
+    verdicts = materialize(host_verdicts(measured, "host", limit))
+    verdicts = F.broadcast(verdicts) if verdicts.count() <= MOST_BROADCAST else verdicts
+    return measured.join(verdicts, "host").withColumn("kept", ~F.col("base_failed") & F.col("host_ok"))
+
+
+def passing_documents(docs: DataFrame, text_col: str = "text", host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+    """The rows of ``docs``, all columns, that are kept; each row is judged by itself and by its host."""
+    return rows_again(_judged(docs, F.struct("*"), text_col, host_col, limit).where("kept"))

@@ -2,16 +2,19 @@
 
 Each source's target is its weight's share of all words, stopped at ``most_copies`` times the source's words, with the
 excess shared anew by weight until no target is above that. Within a source every document has the same expected number of
-copies; these are prefix-summed in order of size, a random offset is added, and a document is emitted once per integer
+copies; these are prefix-summed in order of size, one random offset is added, and a document is emitted once per integer
 boundary that its interval crosses. In size order, the words taken are within about one document of the target. The offset is
-seeded, so reruns agree; of a few seeded draws the one that comes nearest to the target is used.
+seeded by the source's name, so reruns agree.
 
-Scale: a source may hold most rows, so ranks are never made by one window over it. Rows are counted by (source, size, split),
-the counts are prefix-summed in bounded steps (classes of sizes, sizes, splits), and a row's rank is that offset plus its rank among the few rows of its cell.
-The table of sources is small by nature (a mix names its sources).
+Scale: a source may hold most rows, so ranks are never made by one window over it. Rows are counted by (source, size, split), with as
+many splits as the number of rows asks for; the counts are prefix-summed in bounded steps (classes of sizes, sizes, splits), and
+a row's rank is that offset plus its rank among the few rows of its cell. Sources are ordered by one sort of their own table, one row
+per source, and sent to the tasks only if few.
 
-Defined cases: null text has size 0; null source is a source of its own, last in order; sources without words get target 0;
-repeated rows are documents of their own; an empty table gives an empty result; further columns are ignored or kept.
+Defined cases: null text has size 0; null source is a source of its own, last in order; sources without words get target 0; rows of
+equal size come in order of a digest of the id, then of the id, then of the text, so ties fall the same way in each run; repeated rows are documents of their own,
+each with its own copies (rows of one id stay in one cell, which is streamed); ids may have any type; a text counts as a whole however long;
+an empty table gives an empty result; further columns are ignored by ``mix`` and kept by ``mixed_documents``, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,12 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cytogrid.llm.common import materialize, n_words
+from cytogrid.llm.common import col, materialize, n_words, rows_again
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
-DRAWS = 32
-SPLITS = 64
+#: Splits of equal sizes at least, and one per so many rows.
+LEAST_SPLITS, ROWS_PER_SPLIT = 64, 50_000
+#: Sources that are sent to all tasks at most.
+MOST_BROADCAST = 10_000
 
 
 def source_targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_copies: int = MOST_COPIES) -> DataFrame:
@@ -46,27 +51,32 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_c
     return t.select("source", "source_size", F.least(F.coalesce(F.col("level") * F.col("w"), F.lit(0.0)), (most_copies * F.col("source_size")).cast("double")).alias("target"))
 
 
-def offset_draw(source: Column, draw: Column) -> Column:
-    """A seeded number in [0, 1)."""
-    digest = F.md5(F.concat(F.coalesce(source, F.lit("")), F.lit(":"), draw.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+def _digest(text: Column) -> Column:
+    """A number from 0 to 2^32 - 1."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
-def _copies(offset: Column) -> Column:
-    rank, rate = F.col("rank"), F.col("rate")
-    return F.floor(rank * rate + offset) - F.floor((rank - 1) * rate + offset)
+def offset_of(source: Column) -> Column:
+    """The source's seeded random offset, in [0, 1)."""
+    return _digest(F.concat(F.coalesce(source, F.lit("")), F.lit(":0"))).cast("double") / F.lit(4294967296.0)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most_copies: int = MOST_COPIES, draws: int = DRAWS, splits: int = SPLITS) -> DataFrame:
-    """Per row: id, size (words), source, source_size, target and copies (how often the mix emits it)."""
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col)).alias("size"))
+def _copies(rank: Column, rate: Column, offset: Column) -> Column:
+    return (F.floor(rank * rate + offset) - F.floor((rank - 1) * rate + offset)).cast("long")
+
+
+def _drawn(docs: DataFrame, carried: Column, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], most_copies: int, least_splits: int) -> DataFrame:
+    """Per row: ``carried``, source, size, source_size, target and copies."""
+    text, key = col(text_col), F.coalesce(col(id_col).cast("string"), F.lit(""))
     # a null source is grouped under "n", others under "s..."; joins then need no null-safe keys
-    sized = sized.withColumn("skey", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).withColumn("split", F.coalesce(F.pmod(F.col("id").cast("long"), F.lit(splits)), F.lit(splits)))
-    sized = materialize(sized)
+    source = col(source_col).cast("string")
+    sized = materialize(docs.select(carried.alias("carried"), F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("skey"), source.alias("source"), n_words(text).alias("size"), _digest(key).alias("digest"), col(id_col).alias("id"), F.xxhash64(text).alias("th")))
+    splits = max(least_splits, sized.count() // ROWS_PER_SPLIT)
+    sized = sized.withColumn("split", F.col("digest") % splits)
     cells = materialize(sized.groupBy("skey", "size", "split").agg(F.count("*").alias("n"), F.first("source").alias("source")))
-    targets = source_targets(cells.groupBy("skey").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.first("source").alias("source")).drop("skey"), weights, most_copies)
-    targets = targets.withColumn("skey", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
-    targets = materialize(targets)
+    totals = cells.groupBy("skey").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.first("source").alias("source"))
+    targets = source_targets(totals.drop("skey"), weights, most_copies).withColumn("skey", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
+    targets = materialize(targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))))
     earlier = lambda *key: Window.partitionBy(*key[:-1]).orderBy(key[-1]).rowsBetween(Window.unboundedPreceding, -1)
     # sizes are prefix-summed within classes of like sizes, and the few classes within the source
     sizes = cells.groupBy("skey", "size").agg(F.sum("n").alias("n")).withColumn("cls", F.floor(F.log2(F.col("size") + 1) * 8).cast("int"))
@@ -75,21 +85,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     by_size = sizes.join(classes, ["skey", "cls"]).select("skey", "size", (F.col("above") + F.col("over")).alias("above"))
     within = cells.withColumn("beside", F.coalesce(F.sum("n").over(earlier("skey", "size", "split")), F.lit(0))).select("skey", "size", "split", "beside")
     first = within.join(by_size, ["skey", "size"]).select("skey", "size", "split", (F.col("above") + F.col("beside")).alias("first"))
-    ranked = sized.withColumn("place", F.row_number().over(Window.partitionBy("skey", "size", "split").orderBy("id"))).join(first, ["skey", "size", "split"])
-    ranked = materialize(ranked.join(F.broadcast(targets.select("skey", "source_size", "target", "rate")) if targets.count() <= 10_000 else targets.select("skey", "source_size", "target", "rate"), "skey").select("id", "source", "skey", "size", "source_size", "target", "rate", (F.col("first") + F.col("place")).alias("rank")))
-    sums = ranked.groupBy("skey").agg(F.first("target").alias("target"), F.array(*[F.sum(F.col("size") * _copies(offset_draw(F.col("source"), F.lit(k)))) for k in range(draws)]).alias("sums"))
-    misses = F.transform("sums", lambda s: F.abs(s - F.col("target")))
-    # a table of its own, so that both sides of the join are plain shuffles, of which a hot source's can be split
-    best = materialize(sums.select("skey", (F.array_position(misses, F.array_min(misses)) - 1).alias("draw")))
-    out = ranked.join(best, "skey").withColumn("copies", _copies(offset_draw(F.col("source"), F.col("draw"))).cast("long"))
-    return out.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "copies")
+    ranked = sized.withColumn("place", F.row_number().over(Window.partitionBy("skey", "size", "split").orderBy("digest", "id", "th"))).join(first, ["skey", "size", "split"])
+    few = targets.select("skey", "source_size", "target", "rate")
+    ranked = ranked.join(F.broadcast(few) if few.count() <= MOST_BROADCAST else few, "skey")
+    copies = _copies(F.col("first") + F.col("place"), F.col("rate"), offset_of(F.col("source")))
+    return ranked.select("carried", "source", "size", "source_size", "target", copies.alias("copies"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The rows of ``docs`` as the mix emits them, all columns; a row appears as often as the mix takes it.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most_copies: int = MOST_COPIES, least_splits: int = LEAST_SPLITS) -> DataFrame:
+    """Per row: id, size (words), source, source_size, target and copies (how often the mix emits it)."""
+    out = _drawn(docs, col(id_col), id_col, text_col, source_col, weights, most_copies, least_splits)
+    return out.select(F.col("carried").alias(id_col), "source", "size", "source_size", "target", "copies")
 
-    Needs one row per id (rows that repeat an id are one document: its copies are those of the first in size order).
-    """
-    copies = mix(docs, id_col, **kw).groupBy(id_col).agg(F.max("copies").alias("__copies")).where("__copies > 0").withColumnRenamed(id_col, "__id")
-    met = docs.join(copies, docs[id_col].eqNullSafe(F.col("__id")))
-    return met.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*[docs[c] for c in docs.columns])
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most_copies: int = MOST_COPIES, least_splits: int = LEAST_SPLITS) -> DataFrame:
+    """The rows of ``docs`` as the mix emits them, all columns; each row appears as often as the mix takes it."""
+    out = _drawn(docs, F.struct("*"), id_col, text_col, source_col, weights, most_copies, least_splits)
+    emitted = out.where("copies > 0").select(F.col("carried").alias("row"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return rows_again(emitted)

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+from cytogrid.llm.mixing import LEAST_SPLITS, ROWS_PER_SPLIT
 from cytogrid.llm.url_templates import DEPTH, MOST_CHILDREN, PRIOR, RARE, REJECT, RULES, SIMILAR_Z
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP2 = r"""
 WITH l AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS s FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL) q),
-n AS (SELECT *, CAST('0x' || substr(md5(s), 1, 5) AS BIGINT) AS c, length(s) >= 99 AND regexp_matches(s, '^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){49}[^\x20\x09-\x0D]') AS wide FROM l),
-e AS (SELECT *, CAST(wide OR coalesce(lead(wide) OVER w, true) OR (31 * coalesce(lag(c) OVER w, 0) + c) % 3 = 0 AS INT) AS ends FROM n WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-k AS (SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM e),
-g AS (SELECT doc_id, chunk, min(i) AS start, string_agg(s, chr(10) ORDER BY i) AS body FROM k GROUP BY 1, 2 HAVING (count(*) >= 2 OR bool_or(wide)) AND bool_or(regexp_matches(s, '[^\x20\x09-\x0D]'))),
-r AS (SELECT doc_id, chunk, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) > 1 AS gone FROM g),
-m AS (SELECT k.doc_id, count(*) FILTER (WHERE coalesce(gone, false)) AS removed, string_agg(s, chr(10) ORDER BY i) FILTER (WHERE NOT coalesce(gone, false)) AS kept, count(*) AS n FROM k LEFT JOIN r ON r.doc_id = k.doc_id AND r.chunk = k.chunk GROUP BY 1)
+n AS (SELECT *, CAST('0x' || substr(md5(s), 1, 5) AS BIGINT) AS c, length(s) >= 99 AND regexp_matches(s, '^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){49}[^\x20\x09-\x0D]') AS wide, lead(s) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM l),
+b AS (SELECT *, CASE WHEN nxt IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY s, nxt) END AS beside FROM n),
+e AS (SELECT *, coalesce(lag(beside) OVER w, 0) AS before,
+  CAST(wide OR coalesce(lead(wide) OVER w, true) OR ((31 * coalesce(lag(c) OVER w, 0) + c) * 40503 % 67108864) // 1024 % 3 = 0
+    OR beside < greatest(coalesce(lag(beside) OVER w, 0), coalesce(lead(beside) OVER w, 0)) AS INT) AS ends FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+k AS (SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk, lag(s) OVER (PARTITION BY doc_id ORDER BY i) AS prv FROM e),
+g AS (SELECT doc_id, chunk, min(i) AS start, string_agg(s, chr(10) ORDER BY i) AS body, count(*) >= 2 OR bool_or(wide) AS several, any_value(before) AS before, any_value(beside) AS beside, any_value(prv) AS prv, any_value(nxt) AS nxt
+  FROM k GROUP BY 1, 2 HAVING bool_or(regexp_matches(s, '[^\x20\x09-\x0D]'))),
+u AS (SELECT doc_id, chunk, start, body FROM g WHERE several UNION ALL SELECT doc_id, chunk, start, prv || chr(10) || body FROM g WHERE NOT several AND before >= 2
+  UNION ALL SELECT doc_id, chunk, start, body || chr(10) || nxt FROM g WHERE NOT several AND beside >= 2),
+r AS (SELECT DISTINCT doc_id, chunk FROM (SELECT doc_id, chunk, start, min((doc_id, start)) OVER (PARTITION BY body) AS least FROM u) q WHERE (doc_id, start) <> least),
+m AS (SELECT k.doc_id, count(r.chunk) AS removed, string_agg(s, chr(10) ORDER BY i) FILTER (WHERE r.chunk IS NULL) AS kept, count(*) AS n FROM k LEFT JOIN r ON r.doc_id = k.doc_id AND r.chunk = k.chunk GROUP BY 1)
 SELECT d.doc_id, coalesce(n, 0) AS n_lines, coalesce(removed, 0) AS n_removed_lines, md5(CASE WHEN removed > 0 THEN coalesce(kept, '') ELSE text END) AS text_md5 FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id"""
 
 
@@ -47,7 +54,7 @@ SELECT page_id, p.host, path, rule, coalesce(listed, CASE WHEN purity >= CAST({R
 FROM p JOIN t{DEPTH} t ON t.host = p.host AND t.shape = p.shape JOIN j ON j.host = t.host AND j.template = t.template"""
 
 OP7 = rf"""
-WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, coalesce('s' || source, 'n') AS skey FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, coalesce('s' || source, 'n') AS skey, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS digest FROM documents),
 s AS (SELECT skey, any_value(source) AS source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
 o AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS ord FROM s),
 w AS (SELECT *, CASE (ord - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM o),
@@ -55,12 +62,9 @@ lv AS (SELECT *, ((SELECT sum(source_size) FROM w) - 3 * coalesce(sum(source_siz
   FROM w WINDOW r AS (ORDER BY source_size / CAST(w AS DOUBLE), ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 fr AS (SELECT level FROM lv WHERE level * w <= 3 * source_size ORDER BY source_size / CAST(w AS DOUBLE), ord LIMIT 1),
 t AS (SELECT skey, source, source_size, least(coalesce((SELECT level FROM fr) * w, 0.0), CAST(3 * source_size AS DOUBLE)) AS target FROM lv),
-x AS (SELECT d.doc_id, d.size, t.*, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate, row_number() OVER (PARTITION BY d.skey ORDER BY d.size, coalesce(d.doc_id % 64, 64), d.doc_id) AS rank FROM d JOIN t ON t.skey = d.skey),
-u AS (SELECT skey, k, CAST(CAST('0x' || substr(md5(coalesce(source, '') || ':' || CAST(k AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS u FROM t, range(32) AS r(k)),
-m AS (SELECT x.skey, k, abs(sum(size * (floor(rank * rate + u) - floor((rank - 1) * rate + u))) - any_value(target)) AS miss FROM x JOIN u ON u.skey = x.skey GROUP BY 1, 2),
-b AS (SELECT skey, k FROM (SELECT *, row_number() OVER (PARTITION BY skey ORDER BY miss, k) AS n FROM m) q WHERE n = 1)
-SELECT x.doc_id, x.size, x.source_size, x.target, CAST(size * (floor(rank * rate + u) - floor((rank - 1) * rate + u)) AS BIGINT) AS taken
-FROM x JOIN b ON b.skey = x.skey JOIN u ON u.skey = b.skey AND u.k = b.k"""
+x AS (SELECT d.doc_id, d.size, t.*, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate, row_number() OVER (PARTITION BY d.skey ORDER BY d.size, d.digest % greatest({LEAST_SPLITS}, (SELECT count(*) FROM d) // {ROWS_PER_SPLIT}), d.digest, d.doc_id) AS rank FROM d JOIN t ON t.skey = d.skey),
+u AS (SELECT skey, CAST(CAST('0x' || substr(md5(coalesce(source, '') || ':0'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS u FROM t)
+SELECT x.doc_id, x.size, x.source_size, x.target, CAST(size * (floor(rank * rate + u) - floor((rank - 1) * rate + u)) AS BIGINT) AS taken FROM x JOIN u ON u.skey = x.skey"""
 
 OP8 = rf"""
 WITH d AS (SELECT doc_id, coalesce('s' || source, 'n') AS host, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),

@@ -1,14 +1,16 @@
 """Best-fit packing of documents into fixed-length token sequences.
 
-Method: best-fit decreasing. Pieces are dealt into packing groups; in each group the pieces come in order of falling
-length, and a segment tree over remaining capacities finds the tightest open sequence in logarithmic time.
+Method: best-fit decreasing over all pieces at once. In order of falling length, a segment tree over remaining capacities finds the
+tightest open sequence in logarithmic time; equally long pieces that go the same way are placed as one run.
 
-Scale: tokenising is a narrow map; only piece records (no text, no token ids) are shuffled. A full piece is a sequence
-of its own and needs no search. The number of groups grows with the number of pieces, so a group has a bounded number
-of pieces, and a group wastes at most a few part-filled sequences among thousands.
+Scale: tokenising is a narrow map; only piece records (no text, no token ids) are shuffled. What goes where depends only on how many
+pieces there are of each length, a table of as many rows as a sequence has tokens, so all corpora are packed globally whatever
+their size. The runs, whose number the lengths bound as well, are sent to the tasks; a piece finds its own by its rank among
+equally long pieces, which is counted per partition and prefix-summed.
 
-Defined cases: null text is the empty text, whose only token is the end token; repeated rows are packed once per row;
-an empty table gives an empty result; further columns are ignored.
+Defined cases: null text is the empty text, whose only token is the end token; repeated rows are packed once per row; of equally long
+pieces the one read first comes first; a text of any length is cut into pieces; an empty table gives an empty result; further
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,16 +21,15 @@ import zlib
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytogrid.llm.common import materialize
 
 SEQUENCE_TOKENS = 1024
 END_TOKEN = 2
-#: Pieces per packing group; bounds a task's memory.
-GROUP_PIECES = 60_000
 
 _SPECIAL = "<|endoftext|>"
 #: The one place where a piece of the byte-level vocabulary can reach over a space: a space before white space or the end.
@@ -110,12 +111,12 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
 
 class CapacityTree:
-    """Segment tree over remaining capacities 0..most; a leaf counts the open sequences that have just that much left."""
+    """Segment tree over remaining capacities 0..most; a leaf has the open sequences with just that much left, as runs of numbers."""
 
     def __init__(self, most: int):
         self.size = 1 << most.bit_length()
         self.count = [0] * (2 * self.size)
-        self.open: list[list[int]] = [[] for _ in range(most + 1)]
+        self.open: list[list[tuple[int, int]]] = [[] for _ in range(most + 1)]
 
     def _add(self, capacity: int, by: int) -> None:
         i = self.size + capacity
@@ -123,12 +124,12 @@ class CapacityTree:
             self.count[i] += by
             i >>= 1
 
-    def put(self, capacity: int, sequence: int) -> None:
-        self.open[capacity].append(sequence)
-        self._add(capacity, 1)
+    def put(self, capacity: int, first: int, many: int) -> None:
+        self.open[capacity].append((first, many))
+        self._add(capacity, many)
 
-    def tightest(self, need: int) -> tuple[int, int] | None:
-        """Take out (capacity, sequence) of the least capacity that is at least ``need``."""
+    def tightest(self, need: int) -> int | None:
+        """The least capacity, of at least ``need``, that an open sequence has."""
         i, count = self.size + need, self.count
         if not count[i]:
             while i > 1 and (i & 1 or not count[i + 1]):
@@ -138,56 +139,84 @@ class CapacityTree:
             i += 1
             while i < self.size:
                 i = 2 * i if count[2 * i] else 2 * i + 1
-        capacity = i - self.size
-        self._add(capacity, -1)
-        return capacity, self.open[capacity].pop()
-
-
-def best_fit_decreasing(lengths: list[int], most: int) -> tuple[list[int], list[int]]:
-    """Sequence and offset of each piece; ``lengths`` come in falling order."""
-    tree, sequence, offset, made = CapacityTree(most), [], [], 0
-    for n in lengths:
-        found = tree.tightest(n) if n < most else None
-        if found is None:
-            capacity, s = most, made
-            made += 1
-        else:
-            capacity, s = found
-        sequence.append(s)
-        offset.append(most - capacity)
-        if capacity > n:
-            tree.put(capacity - n, s)
-    return sequence, offset
-
-
-def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE_TOKENS, group_pieces: int = GROUP_PIECES) -> DataFrame:
+        return i - self.size
+
+    def take(self, capacity: int, most: int) -> tuple[int, int]:
+        """Take out (first, many) sequences of that capacity, ``most`` of them at most."""
+        first, many = self.open[capacity].pop()
+        if many > most:
+            self.open[capacity].append((first + most, many - most))
+            many = most
+        self._add(capacity, -many)
+        return first, many
+
+
+#: A run of equally long pieces: (length, rank of the first among all of that length, number, first sequence, pieces per sequence, offset of the first).
+Run = tuple[int, int, int, int, int, int]
+
+
+def best_fit_decreasing(counts: dict[int, int], most: int) -> list[Run]:
+    """Best-fit decreasing of all pieces, given how many there are of each length.
+
+    Equally long pieces go the same way one after the other: into the tightest sequence until it has no room for one more, and so on
+    through all sequences of that capacity. Such a run is one step, so the work depends on the lengths' number, not on the pieces'.
+    """
+    tree, made, out = CapacityTree(most), 0, []
+    for n in sorted(counts, reverse=True):
+        rank, left = 0, counts[n]
+        while left:
+            capacity = tree.tightest(n) if n < most else None
+            each = (most if capacity is None else capacity) // n
+            whole = max(1, left // each)
+            if capacity is None:
+                capacity, first, many = most, made, whole
+                made += whole
+            else:
+                first, many = tree.take(capacity, whole)
+            each = min(each, left)
+            out.append((n, rank, many * each, first, each, most - capacity))
+            rank += many * each
+            left -= many * each
+            if capacity > each * n:
+                tree.put(capacity - each * n, first, many)
+    return out
+
+
+def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE_TOKENS) -> DataFrame:
     """One row per piece of every document, with its sequence_id and its offset there (see the module)."""
-    cut_up = materialize(pieces(docs, tokenizer, id_col, text_col, sequence))
-    groups = max(1, -(-cut_up.count() // group_pieces))
-    out = cut_up.schema.add("sequence_id", "long").add("offset", "long")
-    names = out.names
+    # the written table's partitions and their rows' order stay, so a piece's rank among equally long ones is the same each time it is taken
+    placed = materialize(pieces(docs, tokenizer, id_col, text_col, sequence).select(F.struct("*").alias("p"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")))
+    rows = placed.select("p", "part", "at", F.col("p.length").alias("length"))
+    cells = materialize(rows.groupBy("length", "part").count())
+    counts = {r["length"]: r["n"] for r in cells.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # as many rows as a sequence has tokens
+    runs = np.array(best_fit_decreasing(counts, sequence), np.int64).reshape(-1, 6)
+    # rising by length, then by rank, as one number per run
+    runs = runs[np.lexsort((runs[:, 1], runs[:, 0]))]
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = cells.select("length", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("length", "part").orderBy("at")) - 1
+    ranked = rows.withColumn("within", within).join(firsts, ["length", "part"]).select("p.*", (F.col("before") + F.col("within")).alias("rank"))
+    out = ranked.drop("rank").schema.add("sequence_id", "long").add("offset", "long")
+    starts = np.searchsorted(runs[:, 0], np.arange(sequence + 2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        rows = pa.Table.from_batches(got)
-        # a group's rows come together, longest first
-        group = rows.column("__group").to_pylist()
-        lengths = rows.column("length").to_pylist()
-        sequences: list[int] = []
-        offsets: list[int] = []
-        at = 0
-        while at < len(group):
-            g, to = group[at], at
-            while to < len(group) and group[to] == g:
-                to += 1
-            s, o = best_fit_decreasing(lengths[at:to], sequence)
-            sequences += [(g << 32) + x for x in s]
-            offsets += o
-            at = to
-        kept = rows.select(names[:-2]).append_column("sequence_id", pa.array(sequences, pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
-        yield from kept.to_batches()
-
-    dealt = cut_up.withColumn("__group", F.pmod(F.xxhash64(F.col(id_col), "piece", "start", "ids_crc32"), F.lit(groups)))
-    return dealt.repartition(groups, "__group").sortWithinPartitions("__group", F.desc("length"), F.col(id_col), "piece").mapInArrow(run, out)
+        for batch in batches:
+            length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
+            order = np.argsort(length, kind="stable")
+            mine = np.zeros(len(length), np.int64)
+            for n, a, b in zip(*_groups(length[order]), strict=True):
+                lo, hi = starts[n], starts[n + 1]
+                mine[order[a:b]] = lo + np.searchsorted(runs[lo:hi, 1], rank[order[a:b]], side="right") - 1
+            r = runs[mine]
+            k = rank - r[:, 1]
+            made = [pa.array(r[:, 3] + k // r[:, 4]), pa.array(r[:, 5] + k % r[:, 4] * length)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=out.names)
+
+    return ranked.mapInArrow(run, out)
+
+
+def _groups(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(value, start, stop) of each run of equal values."""
+    cut = np.nonzero(np.diff(ordered))[0] + 1
+    start = np.concatenate(([0], cut)) if len(ordered) else cut
+    return ordered[start], start, np.concatenate((cut, [len(ordered)])) if len(ordered) else cut

@@ -22,8 +22,8 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed_lines"), F.md5("text").alias("text_md5"))
+    out = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", F.col("n_removed").alias("n_removed_lines"), F.md5("text").alias("text_md5"))
 
 
 def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
