@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from cytogrid.llm.common import materialize
 
 MOST_ROUNDS = 60
+#: Parts in which a node's edges meet its least neighbour, so that a node with very many edges is not one task.
+SALTS = 16
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -16,34 +18,33 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    # a table of its own, so that both sides of the join are plain shuffles, of which a node with very many edges can be split
-    least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
-    met = both.join(least, "u")
+    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = both.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "salt"])
     if large:
         out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return materialize(out.where("u <> v").distinct())
+    return out.where("u <> v").distinct()
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has either one edge downwards or only edges upwards."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down + up > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v: long, no nulls): root is the least node that can be reached.
 
-    Each round halves the depth of the trees at least; it ends when the edges are stars and no longer change. A round's
-    tables go to the shared checkpoint folder, so lineage stays short and a lost executor costs one step at most.
+    Each round halves the depth of the trees at least; it ends when the edges are stars. A round's edges go to the shared checkpoint
+    folder, so lineage stays short and a lost executor costs one round at most.
     """
     now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    mark = F.struct(F.count("*"), F.bit_xor(F.xxhash64("u", "v")))
-    before = now.agg(mark).first()[0]
     for _ in range(MOST_ROUNDS):
-        if not before[0]:
+        if _are_stars(now):
             break
-        now = _star(_star(now, True), False)
-        after = now.agg(mark).first()[0]
-        if after == before:
-            break
-        before = after
+        now = materialize(_star(_star(now, True), False))
     else:
         raise RuntimeError("the components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-

@@ -5,16 +5,18 @@ Fingerprint: 64 bits; a bit is set if it is set in over half of the hashes of a
 Method: the 64 bits are split into blocks with tolerances t_i whose sum of (t_i + 1) exceeds the threshold, so two linked
 fingerprints agree up to t_i bits in some block i. In each block a covering code gives the anchors: a Hamming code on
 2^r - 1 of its bits and the free code on the rest, so every value has one anchor within the covering radius (1, or 0 where
-t_i is 0). A fingerprint has its home at that anchor and lies within covering radius plus t_i of the home of whatever it links to;
+the bits are not coded). A fingerprint has its home at that anchor and lies within covering radius plus t_i of the home of whatever it links to;
 it is replicated to every such anchor below its own, so the two of a link meet at the lesser home. Rows are compared per anchor.
 
-Scale: only distinct fingerprints are compared, so groups of exact copies cost one row. Replicas per fingerprint are fixed
-(about 18) and anchors many (2^18 and more per block). An anchor with more rows than a task should hold is dealt out as pairs of
+Scale: only distinct fingerprints are compared, so groups of exact copies cost one row. Up to WIDE_FROM fingerprints there are three blocks
+(about 18 replicas a fingerprint, 2^17 anchors or more); beyond, two wide ones (about 94 replicas, 2^27 anchors), so that anchors do not fill up
+as the corpus grows. An anchor with more rows than a task should hold is dealt out as pairs of
 chunks, which keeps the comparison complete. A task emits a spanning forest of the links it finds, never all pairs.
 Components are found by distributed star contraction. For removing copies, the pairs of a component are held against the texts' sets of shingles.
 
 Defined cases: null and empty texts have no words and fingerprint zero, which links like any other; repeated rows each get
-a result row; a null id never names a component unless all of its ids are null; further columns are ignored.
+a result row; a null id never names a component unless all of its ids are null; a text counts as a whole however long; an empty table gives an empty
+result; further columns are ignored, or kept where rows are, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytogrid.llm.common import materialize
+from cytogrid.llm.common import col, materialize, rows_again, whole_rows
 from cytogrid.llm.components import components
 
 BITS = 4
@@ -80,7 +82,16 @@ class Block:
 
 
 #: Tolerances 1, 1, 0: (1 + 1) + (1 + 1) + (0 + 1) = 5 > 4 bits.
-BLOCKS_4 = (Block(0, 22, 1, 4), Block(22, 22, 1, 4), Block(44, 20, 0, 0))
+BLOCKS_4 = (Block(0, 22, 1, 4), Block(22, 22, 1, 4), Block(44, 20, 0, 3))
+#: Tolerances 2, 1: (2 + 1) + (1 + 1) = 5 > 4 bits.
+WIDE_BLOCKS_4 = (Block(0, 32, 2, 5), Block(32, 32, 1, 5))
+#: Distinct fingerprints from which on a replica is cheaper than the rows that it would meet at an anchor of the narrow blocks.
+WIDE_FROM = 1 << 30
+
+
+def blocks_for(fingerprints: int) -> tuple[Block, ...]:
+    """Blocks for that many distinct fingerprints; all find the same links."""
+    return BLOCKS_4 if fingerprints < WIDE_FROM else WIDE_BLOCKS_4
 
 
 def _table(rows: list[list[int]]) -> Column:
@@ -260,13 +271,14 @@ def links(distinct: DataFrame, bits: int = BITS, checks: tuple[str, ...] = (), c
 
 def near_duplicates(docs: DataFrame, shingle: int, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its id, fingerprint (16 lower-case hex digits) and component_id, the least id that it reaches by links."""
-    fps = materialize(fingerprints(docs, shingle, id_col, text_col))
-    distinct = materialize(fps.groupBy("fp").agg(F.min(id_col).alias("least")))
-    roots = components(links(distinct.select(F.col("fp").alias("node"), "fp"), bits))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(named, "root").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    fps = materialize(fingerprints(docs, shingle, id_col, text_col).toDF("id", "fp"))
+    distinct = materialize(fps.groupBy("fp").agg(F.min("id").alias("least")))
+    roots = components(links(distinct.select(F.col("fp").alias("node"), "fp"), bits, blocks=blocks_for(distinct.count())))
+    linked = materialize(distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    # tables of their own, so that both sides of each join are plain shuffles, of which a large component's or a common fingerprint's can be split
+    named = materialize(linked.groupBy("root").agg(F.min("least").alias("component_id")))
+    by_fp = materialize(linked.join(named, "root").select("fp", "component_id"))
+    return fps.join(by_fp, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 #: For removing near copies: shingles of five words, and the similarity (share of all distinct shingles) that makes a link.
@@ -309,15 +321,15 @@ def copy_marks(text: bytes | None, shingle: int = COPY_SHINGLE) -> list[int]:
 COPY_FEW, COPY_CHUNKS, COPY_MANY, COPY_SHINGLES = 512, 8, 4096, 2_000_000
 
 
-def shingle_sets(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row its id as ``node`` and ``s``, the distinct hashes of its shingles."""
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """``texts`` (node, root, text) with, in place of the text, ``s``, the distinct hashes of its shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(hashes_of((t.as_py() or b"").lower().split(), shingle)).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "s"])
+            sets = [np.unique(hashes_of((t.as_py() or b"").lower().split(), shingle)).view(np.int64) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sets, pa.list_(pa.int64()))], names=["node", "root", "s"])
 
-    return docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(run, "node long, s array<long>")
+    return texts.select("node", "root", F.col("text").cast("binary")).mapInArrow(run, "node long, root long, s array<long>")
 
 
 def _joined(node: np.ndarray, chunk: np.ndarray, values: np.ndarray, offsets: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -353,13 +365,13 @@ def _joined(node: np.ndarray, chunk: np.ndarray, values: np.ndarray, offsets: np
     return node[least != node], least[least != node]
 
 
-def similar_links(groups: DataFrame, docs: DataFrame, similarity: float, shingle: int, id_col: str = "doc_id", text_col: str = "text", few: int = COPY_FEW) -> DataFrame:
+def similar_links(groups: DataFrame, texts: DataFrame, similarity: float, shingle: int, few: int = COPY_FEW) -> DataFrame:
     """Edges (u, v) that join the same nodes as all pairs of one group that have that similarity or more.
 
-    ``groups`` has node and root, the group's name. Only texts of its nodes are read, and each is sent as its set of shingles to the tasks
-    that compare its group: one, or for a large group one per pair of chunks.
+    ``groups`` has node and root, the group's name; ``texts`` node and text. Only texts of the groups' nodes are read, and each is sent
+    as its set of shingles to the tasks that compare its group: one, or for a large group one per pair of chunks.
     """
-    sets = materialize(shingle_sets(docs.join(groups, docs[id_col].cast("long") == groups["node"], "left_semi"), shingle, id_col, text_col).join(groups, "node"))
+    sets = materialize(shingle_sets(texts.join(groups, "node").select("node", "root", "text"), shingle))
     count, shingles = F.count("*"), F.sum(F.size("s"))
     chunks = F.greatest(F.least(F.ceil(count / few), F.lit(COPY_CHUNKS)), F.ceil(count / COPY_MANY), F.ceil(shingles / COPY_SHINGLES))
     large = materialize(sets.groupBy("root").agg(chunks.cast("long").alias("chunks")).where("chunks > 1"))
@@ -406,20 +418,22 @@ def similar_links(groups: DataFrame, docs: DataFrame, similarity: float, shingle
 
 
 def distinct_documents(docs: DataFrame, bits: int = BITS, shingle: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, without those that nearly copy another: of each component the least id stays.
+    """The rows of ``docs``, all columns, without those that nearly copy another: of each group one row stays.
 
-    Pairs that meet by any fingerprint and agree in the sketch put their documents into one group; within a group all pairs
-    are held against their sets of shingles, and those similar enough are links. Ids must be whole numbers; rows that repeat an id are one document, and rows without an id all stay.
+    Pairs that meet by any fingerprint and agree in the sketch put their rows into one group; within a group all pairs are held
+    against their sets of shingles, and those similar enough are links. Of linked rows the one with the least id stays (a null id comes
+    last; of equal ids, the least hash of the text, then the row read first). Each row is a document of its own.
     """
-    known = docs.where(F.col(id_col).isNotNull())
+    rows = materialize(whole_rows(docs, node=F.monotonically_increasing_id(), id=col(id_col), text=col(text_col).cast("string")))
     prints = [f"fp{i}" for i in range(COPY_PRINTS)]
     marks = [*prints, *_SKETCH]
-    made = materialize(_mapped(known, id_col, text_col, marks, lambda text: copy_marks(text, shingle)))
-    distinct = materialize(made.groupBy(*marks).agg(F.min(id_col).cast("long").alias("node")))
-    near = links(distinct.select("node", *_SKETCH, F.posexplode(F.array(*prints)).alias("kind", "fp")), bits, tuple(_SKETCH), SKETCH_BITS, "kind")
+    first = F.struct(F.col("id").isNull().alias("none"), "id", F.xxhash64("text").alias("th"), "node")
+    made = _mapped(rows.select(first.alias("first"), "text"), "first", "text", marks, lambda text: copy_marks(text, shingle))
+    distinct = materialize(made.groupBy(*marks).agg(F.min("first").alias("first")).withColumn("node", F.col("first.node")))
+    near = links(distinct.select("node", *_SKETCH, F.posexplode(F.array(*prints)).alias("kind", "fp")), bits, tuple(_SKETCH), SKETCH_BITS, "kind", blocks_for(distinct.count()))
     tried = materialize(near.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
     # the forest may lack a link that is similar enough, but never parts its two nodes: all pairs of a candidates' component are tested
-    above = components(similar_links(components(tried), known, similarity, shingle, id_col, text_col)).where("node <> root").select("node")
-    kept = distinct.select("node").distinct().join(above, "node", "left_anti").select(F.col("node").alias("__id"))
-    stays = docs[id_col].cast("long") == F.col("__id")
-    return docs.where(F.col(id_col).isNotNull()).join(kept, stays, "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
+    linked = materialize(components(similar_links(components(tried), rows.select("node", "text"), similarity, shingle)))
+    stays = distinct.join(linked, "node").groupBy("root").agg(F.min("first")["node"].alias("node"))
+    kept = distinct.select("node").join(linked.join(stays.select("node"), "node", "left_anti"), "node", "left_anti")
+    return rows_again(rows.join(kept, "node", "left_semi"))
