@@ -60,7 +60,7 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20).select("query_id", "rank", "vec_id", "score")
 
 
 def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
