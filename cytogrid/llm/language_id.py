@@ -6,12 +6,13 @@ letters in its spans, the score that share.
 
 Model: per language, counts of letter trigrams hashed into a fixed number of buckets and of letters per script, learned by a
 partial aggregate over at most TRAIN_DOCS training documents per language (drawn by hash); its size is languages x buckets
-whatever the corpus. Scoring is a narrow map over whole texts: letters of a batch are scored as arrays, and Viterbi runs over the
-words of all documents of a batch side by side.
+whatever the corpus. Scoring is a narrow map over whole texts: letters are scored as arrays, SLICE characters at a time, and Viterbi runs over the
+words of the documents of a slice side by side. A longer text is cut between words into slices of its own; the values of its labels are carried
+from slice to slice, and only its back pointers, a bit per word and language, are kept.
 
 Defined cases: text null or without a letter gives ``und`` and score 0; with nothing to learn from, every text is ``und``; rows whose
-language is null are predicted but not learned from; every word of a text of any length is a step of its own; repeated rows get
-equal results; an empty table gives an empty result; further columns are ignored.
+language is null are predicted but not learned from; every word of a text of any length is a step of its own; equal scores go to the language
+first in order of name; repeated rows get equal results; an empty table gives an empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cytogrid.llm.common import col
+
 TRAIN_DOCS = 4_000
 BUCKETS = 1 << 15
 SWITCH_PENALTY = 12.0
@@ -58,8 +61,8 @@ N_SCRIPTS = 14
 @cache
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Whether a code point is a letter, and its script."""
-    letter = np.fromiter((chr(c).isalpha() for c in range(0x30000)), bool, 0x30000)
-    script = np.zeros(0x30000, np.uint8)
+    letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    script = np.zeros(0x110000, np.uint8)
     for number, first, last in SCRIPTS:
         script[first : last + 1] = number
     return letter, script
@@ -73,7 +76,6 @@ class Letters:
         low = [t.lower() for t in texts]
         sizes = np.fromiter(map(len, low), np.int64, len(low)) + 1
         cp = np.frombuffer(("\n".join(low) + "\n").encode("utf-32-le", "surrogatepass"), "<u4")
-        cp = np.minimum(cp, 0x2FFFF)
         is_letter = letter[cp]
         edge = np.diff(np.concatenate(([False], is_letter, [False])).astype(np.int8))
         start, stop = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
@@ -170,31 +172,79 @@ def spans(score: np.ndarray, doc: np.ndarray, n_docs: int, penalty: float = SWIT
     return label
 
 
-def label_texts(texts: list[str | None], names: list[str], logp: np.ndarray, allowed: np.ndarray, penalty: float = SWITCH_PENALTY) -> tuple[list[str], list[float], list[int]]:
+def _cut(text: str, most: int) -> Iterator[str]:
+    """``text`` in parts of about ``most`` characters, cut before characters that are no letters."""
+    at = 0
+    while at < len(text):
+        end = min(len(text), at + most)
+        while end < len(text) and text[end].isalpha():
+            end += 1
+        yield text[at:end]
+        at = end
+
+
+def _word_scores(got: Letters, logp: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+    """Words x languages; very low where the language is no candidate in the word's script."""
+    s = np.add.reduceat(logp[got.bucket], got.first, axis=0)
+    s[~allowed[got.script]] = -1e4
+    return s
+
+
+def _label_long(text: str, logp: np.ndarray, allowed: np.ndarray, penalty: float, most: int) -> tuple[np.ndarray, int]:
+    """Letters per language and number of spans of one long text."""
+    kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    value: np.ndarray | None = None
+    for part in _cut(text, most):
+        got = Letters([part])
+        if not len(got.n):
+            continue
+        score = _word_scores(got, logp, allowed)
+        stay, top = np.ones(score.shape, bool), np.zeros(len(score), np.uint16)
+        for t, row in enumerate(score):
+            if value is None:
+                value = row.copy()
+                continue
+            best = int(value.argmax())
+            jump = value[best] - penalty
+            stay[t], top[t] = value >= jump, best
+            value = np.maximum(value, jump) + row
+            value -= value.max()
+        kept.append((np.packbits(stay, axis=1), top, got.n))
+    share, turns = np.zeros(logp.shape[1], np.int64), 0
+    if value is None:
+        return share, 0
+    now = int(value.argmax())
+    for stay, top, n in reversed(kept):
+        for t in range(len(n) - 1, -1, -1):
+            share[now] += n[t]
+            if not stay[t, now >> 3] >> (7 - (now & 7)) & 1:
+                turns += int(top[t]) != now
+                now = int(top[t])
+    return share, turns + 1
+
+
+def label_texts(texts: list[str | None], names: list[str], logp: np.ndarray, allowed: np.ndarray, penalty: float = SWITCH_PENALTY, most: int = SLICE) -> tuple[list[str], list[float], list[int]]:
     """Per text: its language, the share of letters in that language's spans, and the number of language spans."""
-    whole = [t or "" for t in texts]
-    scores, letters, docs = [], [], []
-    for at, part in _slices(whole):
+    share, turns = np.zeros((len(texts), len(names)), np.int64), np.zeros(len(texts), np.int64)
+    if not names:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts), turns.tolist()
+    short = [t if t and len(t) <= most else "" for t in texts]
+    for at, part in _slices(short):
         got = Letters(part)
         if not len(got.n):
             continue
-        if names:
-            s = np.add.reduceat(logp[got.bucket], got.first, axis=0)
-            s[~allowed[got.script]] = -1e4
-            scores.append(s)
-        letters.append(got.n)
-        docs.append(got.doc + at)
-    n = len(whole)
-    if not names or not scores:
-        return [UNKNOWN] * n, [0.0] * n, [0] * n
-    score, weight, doc = np.concatenate(scores), np.concatenate(letters), np.concatenate(docs)
-    label = spans(score, doc, n, penalty)
-    share = np.bincount(doc * len(names) + label, weights=weight, minlength=n * len(names)).reshape(n, len(names))
-    turns = np.bincount(doc[np.concatenate(([True], (label[1:] != label[:-1]) | (doc[1:] != doc[:-1])))], minlength=n)
+        label = spans(_word_scores(got, logp, allowed), got.doc, len(part), penalty)
+        here = np.bincount(got.doc * len(names) + label, weights=got.n, minlength=len(part) * len(names))
+        share[at : at + len(part)] = here.reshape(len(part), -1)
+        fresh = np.concatenate(([True], (label[1:] != label[:-1]) | (got.doc[1:] != got.doc[:-1])))
+        turns[at : at + len(part)] = np.bincount(got.doc[fresh], minlength=len(part))
+    for i, t in enumerate(texts):
+        if t and len(t) > most:
+            share[i], turns[i] = _label_long(t, logp, allowed, penalty, most)
     total, best = share.sum(1), share.argmax(1)
     return (
         [names[b] if t else UNKNOWN for b, t in zip(best, total, strict=True)],
-        [float(share[i, best[i]] / total[i]) if total[i] else 0.0 for i in range(n)],
+        [float(share[i, best[i]] / total[i]) if total[i] else 0.0 for i in range(len(texts))],
         turns.tolist(),
     )
 
@@ -209,4 +259,4 @@ def identify(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64())], names=[id_col, "lang_pred", "score", "n_spans"])
 
     out = docs.select(id_col).schema.add("lang_pred", "string").add("score", "double").add("n_spans", "long")
-    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, out)
+    return docs.select(col(id_col), col(text_col).cast("string").alias("text")).mapInArrow(run, out)

