@@ -4,15 +4,16 @@ Network: one layer of learned filters over windows of WIDTH bytes (each filter i
 evaluated at every byte of the text. Responses are max-pooled over overlapping chunks that cover the whole text; per filter the
 largest and the mean of its chunks' maxima feed one logistic unit.
 
-Training: on at most TRAIN_DOCS labelled documents, half of each class as far as there are, drawn by hash, and TRAIN_CHUNKS evenly
-spread chunks of each; gradients reach the filters through the windows that won the pooling. It runs in one task on this bounded
-sample; the model (a fixed number of weights) is sent to the tasks that score. Class weights restore the labels' own shares.
+Training: on the whole texts of at most about TRAIN_DOCS labelled documents, half of each class as far as there are, drawn by hash;
+gradients reach the filters through the windows that won the pooling. It runs in one task on this bounded sample; the
+model (a fixed number of weights) is sent to the tasks that score. Class weights restore the labels' own shares.
 
 Scale: scoring is a narrow map over whole texts, in slices of bounded size.
 
-Defined cases: null text is the empty text, which is scored like any other (padding bytes); null labels are ignored, a document
-with several labels learns from the least; without labels of both classes the score is the share of class 1 (0.5 with no labels);
-repeated rows get equal results; an empty table gives an empty result; further columns are ignored.
+Defined cases: null text is the empty text, which is scored like any other (padding bytes); a text counts as a whole however long; labels that are
+neither 0 nor 1, of no id or of no document are ignored; a document with several labels learns from the least, one with several rows
+from the least text; without documents of both classes the score is the share of class 1 among them (0.5 without any); 0.5 counts as
+class 1; repeated rows get equal results; an empty table gives an empty result; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,9 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cytogrid.llm.common import col, materialize
+
 WIDTH, FILTERS = 8, 12
-CHUNK, STRIDE = 512, 256
-TRAIN_DOCS, TRAIN_CHUNKS = 2_000, 4
+#: Chunks of two blocks of STRIDE bytes.
+STRIDE = 256
+TRAIN_DOCS = 2_000
 EPOCHS, BATCH, RATE = 8, 32, 0.02
 #: Bytes convolved at once.
 SLICE = 1 << 18
@@ -49,32 +53,47 @@ class Net:
             z += p[pair[2 * k : 2 * k + n]]
         return z
 
+    def pooled(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The texts side by side (bytes), where each one's blocks of STRIDE bytes start, and per block and filter the largest response and its place.
+
+        Each text is padded so that no block's windows reach into the next text.
+        """
+        blocks = np.array([max(1, -(-len(t) // STRIDE)) for t in texts])
+        start = np.concatenate(([0], np.cumsum(blocks)))
+        data = np.zeros(start[-1] * STRIDE + WIDTH - 1, np.uint8)
+        for t, at in zip(texts, start, strict=False):
+            data[at * STRIDE : at * STRIDE + len(t)] = np.frombuffer(t, np.uint8)
+        top, won = np.empty((start[-1], FILTERS), np.float32), np.empty((start[-1], FILTERS), np.int64)
+        for a in range(0, len(top), SLICE // STRIDE):
+            e = min(len(top), a + SLICE // STRIDE)
+            z = self.responses(data[a * STRIDE : e * STRIDE + WIDTH - 1]).reshape(e - a, STRIDE, FILTERS)
+            won[a:e] = z.argmax(1)
+            top[a:e] = np.take_along_axis(z, won[a:e, None, :], 1)[:, 0]
+        return data, start, np.maximum(top + self.bias, 0), won
+
     def score(self, texts: list[bytes]) -> np.ndarray:
         """Probability of class 1 of each text."""
         feature = np.zeros((len(texts), 2 * FILTERS), np.float32)
         for i, group in _groups(texts):
-            # texts side by side, each padded so that no window or stride block reaches into the next
-            blocks = [max(1, -(-len(t) // STRIDE)) for t in group]
-            data = np.zeros(sum(blocks) * STRIDE + WIDTH - 1, np.uint8)
-            at = 0
-            top = np.empty((sum(blocks), FILTERS), np.float32)
-            for t, b in zip(group, blocks, strict=True):
-                data[at * STRIDE : at * STRIDE + len(t)] = np.frombuffer(t, np.uint8)
-                at += b
-            for a in range(0, len(top), SLICE // STRIDE):
-                e = min(len(top), a + SLICE // STRIDE)
-                top[a:e] = self.responses(data[a * STRIDE : e * STRIDE + WIDTH - 1]).reshape(e - a, STRIDE, FILTERS).max(1)
-            top = np.maximum(top + self.bias, 0)
-            at = 0
-            for k, b in enumerate(blocks):
-                mine = top[at : at + b]
-                # a chunk is CHUNK // STRIDE blocks; chunks overlap
-                chunks = np.maximum(mine[:-1], mine[1:]) if b > 1 else mine
-                feature[i + k, :FILTERS], feature[i + k, FILTERS:] = chunks.max(0), chunks.mean(0)
-                at += b
+            _, start, top, _ = self.pooled(group)
+            for k in range(len(group)):
+                feature[i + k] = _feature(top[start[k] : start[k + 1]])[0]
         return 1 / (1 + np.exp(-(feature @ self.out[:-1] + self.out[-1]).astype(np.float64)))
 
 
+def _feature(top: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of one text's blocks: the largest and the mean of its chunks' maxima, each chunk's winning block, and the winning chunk.
+
+    A chunk is two neighbouring blocks, so chunks overlap; a text of one block is one chunk.
+    """
+    later = np.zeros((max(1, len(top) - 1), FILTERS), np.int64)
+    chunks = top
+    if len(top) > 1:
+        later = (top[1:] > top[:-1]).astype(np.int64)
+        chunks = np.maximum(top[:-1], top[1:])
+    return np.concatenate((chunks.max(0), chunks.mean(0))), np.arange(len(chunks))[:, None] + later, chunks.argmax(0)
+
+
 def _groups(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
     at = size = 0
     for i, t in enumerate(texts):
@@ -86,84 +105,70 @@ def _groups(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
         yield at, texts[at:]
 
 
-def train(chunks: list[list[bytes]], label: np.ndarray, weight: np.ndarray, seed: int = 7) -> Net:
-    """Fit the network by Adam on documents given as lists of chunks."""
+def gradients(net: Net, texts: list[bytes], label: np.ndarray, weight: np.ndarray) -> tuple[list[np.ndarray], float]:
+    """Gradients of the mean weighted log loss by table, bias and out, and the loss itself."""
+    data, start, top, won = net.pooled(texts)
+    parts = [_feature(top[a:b]) for a, b in zip(start[:-1], start[1:], strict=True)]
+    feature = np.stack([p[0] for p in parts])
+    p = 1 / (1 + np.exp(-(feature @ net.out[:-1] + net.out[-1]).astype(np.float64)))
+    loss = -np.mean(weight * np.where(label == 1, np.log(np.maximum(p, 1e-12)), np.log(np.maximum(1 - p, 1e-12))))
+    err = ((p - label) * weight / len(texts)).astype(np.float32)
+    back = err[:, None] * net.out[:-1][None, :]
+    g_top, f = np.zeros_like(top), np.arange(FILTERS)
+    for k, (_, block, peak) in enumerate(parts):
+        mine = g_top[start[k] : start[k + 1]]
+        np.add.at(mine, (block, f[None, :]), back[k, FILTERS:] / len(block))
+        mine[block[peak, f], f] += back[k, :FILTERS]
+    g_top *= top > 0
+    place = np.arange(len(top))[:, None] * STRIDE + won
+    g_table = np.stack([_by_byte(data[place + j], g_top) for j in range(WIDTH)])
+    return [g_table, g_top.sum(0), np.concatenate((feature.T @ err, [err.sum()])).astype(np.float32)], float(loss)
+
+
+def _by_byte(byte: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Sums of ``g`` (rows x filters) by byte and filter."""
+    at = byte.astype(np.int64) * FILTERS + np.arange(FILTERS)[None, :]
+    return np.bincount(at.ravel(), weights=g.ravel(), minlength=256 * FILTERS).reshape(256, FILTERS).astype(np.float32)
+
+
+def train(texts: list[bytes], label: np.ndarray, weight: np.ndarray, seed: int = 7) -> Net:
+    """Fit the network by Adam on whole texts."""
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.15, (WIDTH, 256, FILTERS)).astype(np.float32)
     bias, out = np.full(FILTERS, 0.1, np.float32), np.concatenate((rng.normal(0, 0.3, 2 * FILTERS), [0])).astype(np.float32)
     params = [table, bias, out]
     moment = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    most, span, step = TRAIN_CHUNKS, CHUNK + WIDTH - 1, 0
-    data = np.zeros((len(chunks), most, span), np.uint8)
-    real = np.zeros((len(chunks), most), np.float32)
-    for i, c in enumerate(chunks):
-        for k, x in enumerate(c[:most]):
-            data[i, k, : min(len(x), CHUNK)] = np.frombuffer(x[:CHUNK], np.uint8)
-            real[i, k] = 1
-    real[:, 0] = 1
+    step = 0
     for epoch in range(EPOCHS):
-        order = rng.permutation(len(chunks))
+        order = rng.permutation(len(texts))
+        rate = RATE * (1 - 0.9 * epoch / EPOCHS)
         for at in range(0, len(order), BATCH):
             pick = order[at : at + BATCH]
-            x, r, n = data[pick], real[pick], len(pick)
-            net = Net(table, bias, out)
-            flat = np.concatenate((x.ravel(), np.zeros(WIDTH, np.uint8)))
-            z = net.responses(flat)[: n * most * span].reshape(n * most, span, FILTERS)[:, :CHUNK]
-            won = z.argmax(1)
-            top = np.maximum(np.take_along_axis(z, won[:, None, :], 1)[:, 0] + bias, 0).reshape(n, most, FILTERS)
-            held = np.where(r[:, :, None] > 0, top, -1)
-            peak = held.argmax(1)
-            share = r / r.sum(1, keepdims=True)
-            feature = np.concatenate((held.max(1), (top * share[:, :, None]).sum(1)), 1)
-            p = 1 / (1 + np.exp(-(feature @ out[:-1] + out[-1])))
-            err = ((p - label[pick]) * weight[pick] / n).astype(np.float32)
-            g_out = np.concatenate((feature.T @ err, [err.sum()])).astype(np.float32)
-            back = err[:, None] * out[:-1][None, :]
-            g_top = share[:, :, None] * back[:, None, FILTERS:]
-            np.put_along_axis(g_top, peak[:, None, :], np.take_along_axis(g_top, peak[:, None, :], 1) + back[:, None, :FILTERS], 1)
-            g_top = (g_top * (top > 0)).reshape(n * most, FILTERS)
-            g_table = np.zeros_like(table)
-            rows = x.reshape(n * most, span)
-            f = np.arange(FILTERS)[None, :]
-            for j in range(WIDTH):
-                np.add.at(g_table[j], (np.take_along_axis(rows, won + j, 1), f), g_top)
+            found, _ = gradients(Net(table, bias, out), [texts[i] for i in pick], label[pick], weight[pick])
             step += 1
-            rate = RATE * (1 - 0.9 * epoch / EPOCHS)
-            for q, g, (m, v) in zip(params, (g_table, g_top.sum(0), g_out), moment, strict=True):
+            for q, g, (m, v) in zip(params, found, moment, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 q -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return Net(table, bias, out)
 
 
-def _spread(text: bytes) -> list[bytes]:
-    """At most TRAIN_CHUNKS chunks, evenly over the text."""
-    last = max(0, len(text) - CHUNK)
-    n = min(TRAIN_CHUNKS, 1 + -(-last // STRIDE))
-    return [text[a : a + CHUNK] for a in ((last * k // max(1, n - 1)) for k in range(n))]
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_docs: int = TRAIN_DOCS) -> Net | float:
     """The network, or a constant score where the labels do not have both classes."""
-    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias("y"))
+    known = labels.where(col(label_col).isin(0, 1) & col(id_col).isNotNull()).groupBy(col(id_col).alias("id")).agg(F.min(col(label_col)).cast("int").alias("y"))
+    texts = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
+    known = materialize(known.join(texts.select("id"), "id", "left_semi"))
     n = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}  # two classes
     if len(n) < 2:
         return float(next(iter(n))) if n else 0.5
     half = most_docs // 2
     share = F.when(F.col("y") == 0, min(1.0, half / n[0])).otherwise(min(1.0, half / n[1]))
-    drawn = known.where(F.pmod(F.xxhash64(F.lit("train"), id_col), F.lit(1 << 20)) < share * (1 << 20))
-    # at most about most_docs rows of two numbers
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    sample = texts.join(F.broadcast(drawn.select(F.col(id_col).alias("id"), "y").limit(2 * most_docs)), "id").select("y", "text")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [_spread(t or b"") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(parts, pa.list_(pa.binary()))], names=["y", "chunks"])
+    drawn = known.where(F.pmod(F.xxhash64(F.lit("train"), "id"), F.lit(1 << 20)) < share * (1 << 20))
+    # about most_docs rows of two numbers; the limit only bounds what is sent
+    sample = texts.join(F.broadcast(drawn.limit(2 * most_docs)), "id").groupBy("id", "y").agg(F.min("text").alias("text")).select("y", "text")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(y, c) for b in batches for y, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-        rows.sort()
+        rows = sorted((y, t) for b in batches for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
         y = np.array([r[0] for r in rows], np.float32)
         ones = n[1] / (n[0] + n[1])
         seen = max(1e-6, min(1 - 1e-6, float(y.mean()) if len(y) else 0.5))
@@ -172,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         flat = np.concatenate((net.table.ravel(), net.bias, net.out)).astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array([flat.tolist()], pa.list_(pa.float64()))], names=["w"])
 
-    flat = np.array(sample.mapInArrow(cut, "y int, chunks array<binary>").repartition(1).mapInArrow(learn, "w array<double>").first()["w"], np.float32)
+    flat = np.array(sample.repartition(1).mapInArrow(learn, "w array<double>").first()["w"], np.float32)
     size = WIDTH * 256 * FILTERS
     return Net(flat[:size].reshape(WIDTH, 256, FILTERS), flat[size : size + FILTERS], flat[size + FILTERS :])
 
@@ -189,4 +194,4 @@ def classify(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str
             score = np.full(len(texts), model) if net is None else net.score(texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], names=[id_col, "score"])
 
-    return docs.select(id_col, F.col(text_col).cast("string").cast("binary").alias(text_col)).mapInArrow(run, docs.select(id_col).schema.add("score", "double"))
+    return docs.select(col(id_col), col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(run, docs.select(col(id_col)).schema.add("score", "double"))
