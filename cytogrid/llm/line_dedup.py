@@ -105,7 +105,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     """Per (id, th), the list ``r`` of its chunks whose key repeats: struct(start, stop, first, last, h1, h2, len, leads); from id, text."""
     chunks = noted_documents(docs).select("id", "th", F.explode(line_chunks(F.col("n"), F.col("met"))).alias("c"))
     c = materialize(chunks.select("id", "th", "c.*"))
-    place = F.struct("id", "start", "th")
+    # of a pair the place is where the pair stands, whichever of its lines it stands for
+    place = F.struct("id", "first", "th")
     # rows repeated whole are one document
     groups = materialize(c.groupBy(*_KEY).agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select(*_KEY, "least"))
     met = c.join(groups, _KEY)

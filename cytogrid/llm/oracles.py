@@ -17,7 +17,7 @@ e AS (SELECT *, coalesce(lag(beside) OVER w, 0) AS before,
 k AS (SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk, lag(s) OVER (PARTITION BY doc_id ORDER BY i) AS prv FROM e),
 g AS (SELECT doc_id, chunk, min(i) AS start, string_agg(s, chr(10) ORDER BY i) AS body, count(*) >= 2 OR bool_or(wide) AS several, any_value(before) AS before, any_value(beside) AS beside, any_value(prv) AS prv, any_value(nxt) AS nxt
   FROM k GROUP BY 1, 2 HAVING bool_or(regexp_matches(s, '[^\x20\x09-\x0D]'))),
-u AS (SELECT doc_id, chunk, start, body FROM g WHERE several UNION ALL SELECT doc_id, chunk, start, prv || chr(10) || body FROM g WHERE NOT several AND before >= 2
+u AS (SELECT doc_id, chunk, start, body FROM g WHERE several UNION ALL SELECT doc_id, chunk, start - 1, prv || chr(10) || body FROM g WHERE NOT several AND before >= 2
   UNION ALL SELECT doc_id, chunk, start, body || chr(10) || nxt FROM g WHERE NOT several AND beside >= 2),
 r AS (SELECT DISTINCT doc_id, chunk FROM (SELECT doc_id, chunk, start, min((doc_id, start)) OVER (PARTITION BY body) AS least FROM u) q WHERE (doc_id, start) <> least),
 m AS (SELECT k.doc_id, count(r.chunk) AS removed, string_agg(s, chr(10) ORDER BY i) FILTER (WHERE r.chunk IS NULL) AS kept, count(*) AS n FROM k LEFT JOIN r ON r.doc_id = k.doc_id AND r.chunk = k.chunk GROUP BY 1)

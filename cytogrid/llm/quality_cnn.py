@@ -56,17 +56,18 @@ class Net:
     def pooled(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The texts side by side (bytes), where each one's blocks of STRIDE bytes start, and per block and filter the largest response and its place.
 
-        Each text is padded so that no block's windows reach into the next text.
+        The last block has room for the window of the last byte; windows that begin after it could reach into the next text and are left out.
         """
-        blocks = np.array([max(1, -(-len(t) // STRIDE)) for t in texts])
+        blocks = np.array([-(-(len(t) + WIDTH - 1) // STRIDE) for t in texts])
         start = np.concatenate(([0], np.cumsum(blocks)))
-        data = np.zeros(start[-1] * STRIDE + WIDTH - 1, np.uint8)
+        data, last = np.zeros(start[-1] * STRIDE + WIDTH - 1, np.uint8), start[1:] - 1
         for t, at in zip(texts, start, strict=False):
             data[at * STRIDE : at * STRIDE + len(t)] = np.frombuffer(t, np.uint8)
         top, won = np.empty((start[-1], FILTERS), np.float32), np.empty((start[-1], FILTERS), np.int64)
         for a in range(0, len(top), SLICE // STRIDE):
             e = min(len(top), a + SLICE // STRIDE)
             z = self.responses(data[a * STRIDE : e * STRIDE + WIDTH - 1]).reshape(e - a, STRIDE, FILTERS)
+            z[last[(last >= a) & (last < e)] - a, STRIDE - WIDTH + 1 :] = -np.inf
             won[a:e] = z.argmax(1)
             top[a:e] = np.take_along_axis(z, won[a:e, None, :], 1)[:, 0]
         return data, start, np.maximum(top + self.bias, 0), won

@@ -6,11 +6,12 @@ characters, runs above and below the middle of the alphabet, and serial correlat
 the higher, the more random the token looks.
 
 What is reported is controlled for false discoveries, within each class of token lengths: the null is ordinary text, namely the corpus's own
-tokens of that class that hold no digit or no letter (words, names, paths), and the share of them that look at least as random as
-some limit is what a mixed token that is no secret has. The limit is the widest at which that share of all mixed tokens is at most
-DISCOVERY_RATE of those reported. Longer tokens are told apart better, so their limits are wider. Mixed tokens
-within the limit that touch no base span are added as spans of kind ``random``. A class with few ordinary tokens (none counts as one
-that looks random) reports little or nothing rather than without control.
+tokens of that length and less that are no mixture, whose digits, if any, stand together (words, names, paths, titles with a year; the shorter, the
+more random they look), and the share of them that look at least as random as some limit is what a mixed token that is no
+secret has. The limit is the widest at which that share of all mixed tokens is at most DISCOVERY_RATE of those
+reported. Longer tokens are told apart better, so their limits are wider. Mixed tokens within the limit that touch no base span are added as
+spans of kind ``random``. With few ordinary tokens (none counts as one that looks random) little or nothing is reported rather than
+without control.
 
 Scale: matches and statistics are computed within each row by SQL functions; the text is read once and never shuffled, and work
 grows with a text's length (places of n matches by prefix sums in about n^1.5 short steps). The limits come from counts of p-value
@@ -169,14 +170,16 @@ def limits_of(bins: list[tuple[int, int, bool, int]], rate: float = DISCOVERY_RA
     """Per length class the last bin that is reported (-1: none), from (class, bin, mixed, number of tokens).
 
     Bins rise as tokens look less random. At a limit the expected number of ordinary tokens among the mixed ones within it is
-    (1 + ordinary within) / (1 + ordinary) of all mixed ones.
+    (1 + ordinary within) / (1 + ordinary) of all mixed ones, ordinary ones being those of that class and below.
     """
     out = []
     for c in range(len(LENGTH_CLASSES)):
         mixed, plain = [0] * (BINS + 1), [0] * (BINS + 1)
         for cls, b, is_mixed, n in bins:
-            if cls == c:
-                (mixed if is_mixed else plain)[b] += n
+            if is_mixed and cls == c:
+                mixed[b] += n
+            elif not is_mixed and cls <= c:
+                plain[b] += n
         limit, seen, null = -1, 0, 0
         for b in range(BINS + 1):
             seen, null = seen + mixed[b], null + plain[b]
@@ -197,7 +200,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
 
     def scored(x: Column) -> Column:
         bare = F.regexp_replace(x["m"], "=+$", "")
-        mixed = x["m"].rlike("[0-9]") & x["m"].rlike("[A-Za-z]")
+        mixed = x["m"].rlike("[0-9][^0-9]+[0-9]") & x["m"].rlike("[A-Za-z]")
         decades = -F.log10(F.greatest(battery(bare), F.lit(1e-30)))
         return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), _length_class(F.length(bare)).alias("cls"), mixed.alias("mixed"), F.least(F.floor(F.greatest(decades, F.lit(0.0)) * BINS_PER_DECADE), F.lit(BINS)).cast("int").alias("bin"))
 
