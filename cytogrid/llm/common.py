@@ -52,9 +52,14 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def whole_rows(docs: DataFrame, **private: Column) -> DataFrame:
-    """Each row as one struct, ``row``, beside ``private`` columns, which so cannot clash with the row's own; ``rows_again`` undoes it."""
-    return docs.select(F.struct("*").alias("row"), *[c.alias(name) for name, c in private.items()])
+def row_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """Columns ``key`` (of the id, also of none) and ``th`` (the text's hash): rows alike in both are one document read twice."""
+    return [F.coalesce(F.concat(F.lit("s"), col(id_col).cast("string")), F.lit("n")).alias("key"), F.xxhash64(col(text_col).cast("string")).alias("th")]
+
+
+def keyed_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Each row as one struct, ``row``, beside its ``row_key``, so that no private column can clash with the row's own; ``rows_again`` undoes it."""
+    return docs.select(F.struct("*").alias("row"), *row_key(docs, id_col, text_col))
 
 
 def rows_again(df: DataFrame) -> DataFrame:

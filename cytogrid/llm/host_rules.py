@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytogrid.llm.common import SPACE, WORD, blank_if_null, col, materialize, rows_again
+from cytogrid.llm.common import SPACE, WORD, blank_if_null, col, materialize, row_key, rows_again
 
 MIN_WORDS = 50
 #: Percent of words in repeated 3-word windows.
@@ -119,6 +119,11 @@ def _judged(docs: DataFrame, row: Column, text_col: str, host_col: str, limit: f
     return measured.join(verdicts, "host").withColumn("kept", ~F.col("base_failed") & F.col("host_ok"))
 
 
-def passing_documents(docs: DataFrame, text_col: str = "text", host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
-    """The rows of ``docs``, all columns, that are kept; each row is judged by itself and by its host."""
-    return rows_again(_judged(docs, F.struct("*"), text_col, host_col, limit).where("kept"))
+def passing_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+    """The rows of ``docs``, all columns, that are kept; each row is judged by its own text and host."""
+    host = F.coalesce(F.concat(F.lit("s"), col(host_col).cast("string")), F.lit("n"))
+    keys = ["key", "th", "host"]
+    judged = _judged(docs, F.struct(*row_key(docs, id_col, text_col), host.alias("host")), text_col, host_col, limit)
+    # one text of one host has one verdict, so rows that share all keys stay or go together
+    kept = judged.where("kept").select("row.*").distinct()
+    return rows_again(docs.select(F.struct("*").alias("row"), *row_key(docs, id_col, text_col), host.alias("host")).join(kept, keys, "left_semi"))

@@ -124,14 +124,17 @@ def _deduped(rows: DataFrame) -> DataFrame:
     body = F.array_join(F.slice(lines, F.col("c.first") + 1, F.col("c.last") - F.col("c.first")), "\n")
     texts = d.join(named, same).select("text", F.explode("r").alias("c")).select("c.h1", "c.h2", "c.len", body.alias("body"))
     differing = texts.groupBy(*_KEY).agg(F.min("body").alias("a"), F.max("body").alias("b")).where("a <> b").select(*_KEY)
-    # texts that share a key but differ, by all odds none, are spared
-    # a chunk in very many documents is one key: it is met in SALTS parts
-    salted = differing.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spared = known.select("id", "th", F.explode("r").alias("c")).select("id", "th", "c.start", *[f"c.{k}" for k in _KEY], F.pmod(F.xxhash64("id", "th"), F.lit(SALTS)).cast("int").alias("salt"))
-    spared = spared.join(salted, [*_KEY, "salt"], "left_semi")
-    spared = spared.groupBy(F.col("id").alias("sid"), F.col("th").alias("sth")).agg(F.collect_set("start").alias("spared"))
-    out = d.join(named, same, "left").drop("kid", "kth")
-    out = out.join(spared, out["id"].eqNullSafe(spared["sid"]) & (out["h"] == spared["sth"]), "left")
+    differing = materialize(differing)
+    out = d.join(named, same, "left").drop("kid", "kth").withColumn("spared", F.lit(None).cast("array<int>"))
+    if not differing.isEmpty():
+        # texts that share a key but differ, by all odds none, are spared
+        # a chunk in very many documents is one key: it is met in SALTS parts
+        salted = differing.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        spared = known.select("id", "th", F.explode("r").alias("c")).select("id", "th", "c.start", *[f"c.{k}" for k in _KEY], F.pmod(F.xxhash64("id", "th"), F.lit(SALTS)).cast("int").alias("salt"))
+        spared = spared.join(salted, [*_KEY, "salt"], "left_semi")
+        spared = spared.groupBy(F.col("id").alias("sid"), F.col("th").alias("sth")).agg(F.collect_set("start").alias("spared"))
+        out = out.drop("spared")
+        out = out.join(spared, out["id"].eqNullSafe(spared["sid"]) & (out["h"] == spared["sth"]), "left")
     gone = F.filter(F.coalesce("r", F.array()), lambda x: ~x["leads"] & ~F.coalesce(F.array_contains("spared", x["start"]), F.lit(False)))
     gone = F.array_sort(F.array_distinct(F.transform(gone, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop")))))
     out = out.select("row", "id", "text", F.when(F.col("r").isNotNull(), gone).alias("gone"))

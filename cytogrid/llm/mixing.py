@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cytogrid.llm.common import col, materialize, n_words, rows_again
+from cytogrid.llm.common import col, materialize, n_words, row_key, rows_again
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -99,7 +99,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most_copies: int = MOST_COPIES, least_splits: int = LEAST_SPLITS) -> DataFrame:
-    """The rows of ``docs`` as the mix emits them, all columns; each row appears as often as the mix takes it."""
-    out = _drawn(docs, F.struct("*"), id_col, text_col, source_col, weights, most_copies, least_splits)
-    emitted = out.where("copies > 0").select(F.col("carried").alias("row"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return rows_again(emitted)
+    """The rows of ``docs`` as the mix emits them, all columns; each row appears as often as the mix takes it.
+
+    Rows alike in id, text and source share what these rows take, as evenly as can be.
+    """
+    keys = ["key", "th", "skey"]
+    source = F.coalesce(F.concat(F.lit("s"), col(source_col).cast("string")), F.lit("n")).alias("skey")
+    drawn = _drawn(docs, F.struct(*row_key(docs, id_col, text_col), source), id_col, text_col, source_col, weights, most_copies, least_splits)
+    taken = drawn.groupBy("carried.key", "carried.th", "carried.skey").agg(F.sum("copies").alias("taken"), F.count("*").alias("rows")).where("taken > 0")
+    met = docs.select(F.struct("*").alias("row"), *row_key(docs, id_col, text_col), source).join(taken, keys)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("taken"))
+    copies = F.expr("taken div rows").cast("int") + F.when(nth <= F.col("taken") % F.col("rows"), 1).otherwise(0)
+    emitted = met.select("row", copies.alias("copies")).where("copies > 0")
+    return rows_again(emitted.select("row", F.explode(F.sequence(F.lit(1), "copies"))))

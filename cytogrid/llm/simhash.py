@@ -28,10 +28,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cytogrid.llm.common import col, materialize, rows_again, whole_rows
+from cytogrid.llm.common import col, keyed_rows, materialize, row_key, rows_again
 from cytogrid.llm.components import components
 
 BITS = 4
@@ -365,13 +365,13 @@ def _joined(node: np.ndarray, chunk: np.ndarray, values: np.ndarray, offsets: np
     return node[least != node], least[least != node]
 
 
-def similar_links(groups: DataFrame, texts: DataFrame, similarity: float, shingle: int, few: int = COPY_FEW) -> DataFrame:
+def similar_links(texts: DataFrame, similarity: float, shingle: int, few: int = COPY_FEW) -> DataFrame:
     """Edges (u, v) that join the same nodes as all pairs of one group that have that similarity or more.
 
-    ``groups`` has node and root, the group's name; ``texts`` node and text. Only texts of the groups' nodes are read, and each is sent
-    as its set of shingles to the tasks that compare its group: one, or for a large group one per pair of chunks.
+    ``texts`` has node, root (the group's name) and text. Each is sent as its set of shingles to the tasks that compare its group: one, or
+    for a large group one per pair of chunks.
     """
-    sets = materialize(shingle_sets(texts.join(groups, "node").select("node", "root", "text"), shingle))
+    sets = materialize(shingle_sets(texts.select("node", "root", "text"), shingle))
     count, shingles = F.count("*"), F.sum(F.size("s"))
     chunks = F.greatest(F.least(F.ceil(count / few), F.lit(COPY_CHUNKS)), F.ceil(count / COPY_MANY), F.ceil(shingles / COPY_SHINGLES))
     large = materialize(sets.groupBy("root").agg(chunks.cast("long").alias("chunks")).where("chunks > 1"))
@@ -420,20 +420,28 @@ def similar_links(groups: DataFrame, texts: DataFrame, similarity: float, shingl
 def distinct_documents(docs: DataFrame, bits: int = BITS, shingle: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without those that nearly copy another: of each group one row stays.
 
-    Pairs that meet by any fingerprint and agree in the sketch put their rows into one group; within a group all pairs are held
+    Pairs that meet by any fingerprint and agree in the sketch put their documents into one group; within a group all pairs are held
     against their sets of shingles, and those similar enough are links. Of linked rows the one with the least id stays (a null id comes
-    last; of equal ids, the least hash of the text, then the row read first). Each row is a document of its own.
+    last; of equal ids, the least hash of the text); of rows alike in id and text, any one.
     """
-    rows = materialize(whole_rows(docs, node=F.monotonically_increasing_id(), id=col(id_col), text=col(text_col).cast("string")))
     prints = [f"fp{i}" for i in range(COPY_PRINTS)]
     marks = [*prints, *_SKETCH]
-    first = F.struct(F.col("id").isNull().alias("none"), "id", F.xxhash64("text").alias("th"), "node")
-    made = _mapped(rows.select(first.alias("first"), "text"), "first", "text", marks, lambda text: copy_marks(text, shingle))
-    distinct = materialize(made.groupBy(*marks).agg(F.min("first").alias("first")).withColumn("node", F.col("first.node")))
+    known = F.struct(col(id_col).isNull().alias("none"), col(id_col).alias("id"), *row_key(docs, id_col, text_col)[::-1])
+    made = _mapped(docs.select(known.alias("doc"), col(text_col).cast("string").alias("text")), "doc", "text", marks, lambda text: copy_marks(text, shingle))
+    distinct = materialize(made.groupBy(*marks).agg(F.min("doc").alias("doc")).withColumn("node", F.monotonically_increasing_id()))
     near = links(distinct.select("node", *_SKETCH, F.posexplode(F.array(*prints)).alias("kind", "fp")), bits, tuple(_SKETCH), SKETCH_BITS, "kind", blocks_for(distinct.count()))
     tried = materialize(near.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
     # the forest may lack a link that is similar enough, but never parts its two nodes: all pairs of a candidates' component are tested
-    linked = materialize(components(similar_links(components(tried), rows.select("node", "text"), similarity, shingle)))
-    stays = distinct.join(linked, "node").groupBy("root").agg(F.min("first")["node"].alias("node"))
-    kept = distinct.select("node").join(linked.join(stays.select("node"), "node", "left_anti"), "node", "left_anti")
-    return rows_again(rows.join(kept, "node", "left_semi"))
+    grouped = materialize(components(tried).join(distinct.select("node", "doc.key", "doc.th"), "node"))
+    texts = docs.select(*row_key(docs, id_col, text_col), col(text_col).cast("string").alias("text")).join(grouped, ["key", "th"])
+    linked = materialize(components(similar_links(texts, similarity, shingle)).join(distinct.select("node", "doc"), "node"))
+    gone = linked.join(_least(linked), "node", "left_anti").select("node")
+    kept = distinct.join(gone, "node", "left_anti").select("doc.key", "doc.th")
+    rows = keyed_rows(docs, id_col, text_col).join(kept, ["key", "th"])
+    nth = F.row_number().over(Window.partitionBy("key", "th").orderBy("key"))
+    return rows_again(rows.withColumn("nth", nth).where("nth = 1"))
+
+
+def _least(linked: DataFrame) -> DataFrame:
+    """The node of the least document of each root."""
+    return linked.groupBy("root").agg(F.min_by("node", "doc").alias("node")).select("node")

@@ -325,7 +325,7 @@ def test_copies_by_similarity(spark):
 @pytest.mark.parametrize("few", [512, 60])
 def test_large_group_of_near_copies(spark, monkeypatch, few):
     """Every copy is similar to the base, hardly any two copies are to each other: only the base stays."""
-    monkeypatch.setattr(simhash.similar_links, "__defaults__", (*simhash.similar_links.__defaults__[:-1], few))
+    monkeypatch.setattr(simhash.similar_links, "__defaults__", (few,))
     rng, base = np.random.default_rng(8), [f"word{k}" for k in range(200)]
     pairs = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
     rows, own = [(0, " ".join(base))], pairs(base)
