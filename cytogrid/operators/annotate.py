@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def with_default(cells: DataFrame, labels: DataFrame, on: list[str], label: str, default: str, name: str | None = None) -> DataFrame:
-    """Left join of one label column; cells without one get ``default``."""
+    """Left join of one label column; cells without one get ``default``, of several the least is taken."""
     name = name or label
-    lab = labels.select(*on, F.col(label).alias("__label")).dropDuplicates(on)
+    lab = labels.groupBy(*on).agg(F.min(label).alias("__label"))
     return cells.join(lab, on, "left").withColumn(name, F.coalesce(F.col("__label").cast("string"), F.lit(default))).drop("__label")
 
 
@@ -20,11 +20,11 @@ def coverage(cells: DataFrame, labels: DataFrame, on: list[str], by: list[str])
 
 
 def total_join(cells: DataFrame, labels: DataFrame, on: list[str], label: str) -> DataFrame:
-    """Left join that must cover every cell; raises with the number that it does not."""
+    """Left join that must cover every cell; raises with the number that it does not. Of several labels the least is taken."""
     bad = coverage(cells, labels, on, []).first()
     if bad and bad["n_uncovered"]:
         raise ValueError(f"{bad['n_uncovered']} of {bad['n']} cells have no {label}")
-    return cells.join(labels.select(*on, label).dropDuplicates(on), on)
+    return cells.join(labels.groupBy(*on).agg(F.min(label).alias(label)), on)
 
 
 def cluster_names(matrix: DataFrame, key: str = "cluster") -> DataFrame:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Stands for the mean of a level in which a gene was not counted at all.
+ZERO_MEAN = 0.5
+
+
 def contrasts(levels: DataFrame, level: str) -> DataFrame:
     """All unordered pairs of levels (a before b)."""
     a, b = levels.select(F.col(level).alias("a")).distinct(), levels.select(F.col(level).alias("b")).distinct()
@@ -15,11 +21,12 @@ def contrasts(levels: DataFrame, level: str) -> DataFrame:
 
 
 def mean_ratios(norm: DataFrame, level: str) -> DataFrame:
-    """(gene, a, b, contrast, log2fc) from mean normalised counts of two levels; null where either is 0."""
+    """(gene, a, b, contrast, log2fc) from mean normalised counts of two levels; a mean of 0 counts as ZERO_MEAN, and two of them as no ratio."""
     m = norm.groupBy("gene", level).agg(F.avg("norm").alias("m"))
     pairs = contrasts(norm, level)
     x = F.broadcast(pairs).join(m.select(F.col(level).alias("a"), "gene", F.col("m").alias("ma")), "a").join(m.select(F.col(level).alias("b"), "gene", F.col("m").alias("mb")), ["b", "gene"])
-    return x.select("gene", "a", "b", "contrast", F.when((F.col("ma") > 0) & (F.col("mb") > 0), F.log2(F.col("ma") / F.col("mb"))).alias("log2fc"))
+    floor = lambda m: F.when(F.col(m) > 0, F.col(m)).otherwise(F.lit(ZERO_MEAN))
+    return x.select("gene", "a", "b", "contrast", F.when((F.col("ma") > 0) | (F.col("mb") > 0), F.log2(floor("ma") / floor("mb"))).alias("log2fc"))
 
 
 def classes(stats: DataFrame, padj: float = 0.05, lfc: float = 0.25) -> DataFrame:
@@ -87,10 +94,26 @@ def _nb_fit(y: np.ndarray, offset: np.ndarray, x: np.ndarray, alpha: float) -> t
     return beta, np.linalg.inv(x.T @ (w[:, None] * x) + 1e-8 * np.eye(x.shape[1])), ll
 
 
+def chi2_tail(x: float, df: int) -> float:
+    """P(chi-squared with ``df`` degrees > x), by the finite sums that whole degrees have."""
+    x = max(x, 0.0)
+    odd = df % 2
+    term = math.sqrt(2 * x / math.pi) * math.exp(-x / 2) if odd else math.exp(-x / 2)
+    total = math.erfc(math.sqrt(x / 2)) if odd else term
+    for k in range(1, (df + 1) // 2):
+        if not odd:
+            term *= x / (2 * k)
+            total += term
+        else:
+            total += term
+            term *= x / (2 * k + 1)
+    return min(1.0, total)
+
+
 def nb_tests(bulks: DataFrame, factors: DataFrame, bulk: str, level: str, levels: list[str]) -> DataFrame:
-    """Wald tests of every pair of ``levels`` and the likelihood-ratio statistic of the whole factor, a gene per group.
+    """Wald tests of every pair of ``levels``, of each level against the mean of the rest, and the likelihood-ratio test of the whole factor, a gene per group.
 
-    Rows (gene, contrast, log2fc, stat, lr): dispersion by moments, shrunk halfway to the trend a1 / mean + a0 of all genes. The
+    ``bulks`` has every gene in every pseudobulk, zeros too. Rows (gene, contrast, log2fc, stat, lr, lr_p): dispersion by moments, shrunk halfway to the trend a1 / mean + a0 of all genes. The
     Cartesian part is bounded: a gene has one row per pseudobulk. A gene's regression is a small numpy helper; genes are spread by Spark.
     """
     x = bulks.join(F.broadcast(factors), bulk).where(F.col(level).isin(levels))
@@ -115,6 +138,7 @@ def nb_tests(bulks: DataFrame, factors: DataFrame, bulk: str, level: str, levels
         out = []
         if seen == list(range(len(levels))):
             beta, cov, full = _nb_fit(y, off, design, float(pdf["alpha"].iloc[0]))
+            found = []
             _, _, null = _nb_fit(y, off, design[:, :1], float(pdf["alpha"].iloc[0]))
             for a in range(len(levels)):
                 for b in range(a + 1, len(levels)):
@@ -122,10 +146,19 @@ def nb_tests(bulks: DataFrame, factors: DataFrame, bulk: str, level: str, levels
                     c[a] += a > 0
                     c[b] -= 1
                     se = float(np.sqrt(max(c @ cov @ c, 1e-12)))
-                    out.append((pdf["gene"].iloc[0], f"{levels[a]}_vs_{levels[b]}", float(c @ beta / np.log(2)), float(c @ beta / se), 2 * (full - null)))
-        return pd.DataFrame(out, columns=["gene", "contrast", "log2fc", "stat", "lr"])
-
-    return x.join(shrunk, "gene").groupBy("gene").applyInPandas(run, "gene string, contrast string, log2fc double, stat double, lr double")
+                    found.append((f"{levels[a]}_vs_{levels[b]}", float(c @ beta / np.log(2)), float(c @ beta / se)))
+            for a in range(len(levels) if len(levels) > 2 else 0):
+                c = np.full(len(levels), -1 / (len(levels) - 1))
+                c[a] = 1
+                # the first level is the design's base: its effect is 0
+                c[0] = 0
+                se = float(np.sqrt(max(c @ cov @ c, 1e-12)))
+                found.append((f"{levels[a]}_vs_rest", float(c @ beta / np.log(2)), float(c @ beta / se)))
+            lr = 2 * (full - null)
+            out += [(pdf["gene"].iloc[0], *f, lr, chi2_tail(lr, len(levels) - 1)) for f in found]
+        return pd.DataFrame(out, columns=["gene", "contrast", "log2fc", "stat", "lr", "lr_p"])
+
+    return x.join(shrunk, "gene").groupBy("gene").applyInPandas(run, "gene string, contrast string, log2fc double, stat double, lr double, lr_p double")
 
 
 def patterns(z: DataFrame, level: str, least: int = 10) -> DataFrame:

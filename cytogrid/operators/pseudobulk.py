@@ -48,6 +48,12 @@ def expressed(bulks: DataFrame) -> DataFrame:
     return bulks.join(bulks.groupBy("gene").agg(F.sum("count").alias("t")).where("t > 0").select("gene"), "gene", "left_semi")
 
 
+def completed(bulks: DataFrame, bulk: list[str], gene: str = "gene", count: str = "count") -> DataFrame:
+    """``bulk`` columns, gene and count of every gene in every pseudobulk: 0 where it was not counted."""
+    every = bulks.select(*bulk).distinct().crossJoin(bulks.select(gene).distinct())
+    return every.join(bulks.select(*bulk, gene, count), [*bulk, gene], "left").withColumn(count, F.coalesce(count, F.lit(0).cast("long")))
+
+
 def size_factors(bulks: DataFrame, bulk: str) -> DataFrame:
     """Median of ratios: exp(median over genes of ln count - mean ln count), over genes counted in every pseudobulk."""
     n = bulks.agg(F.count_distinct(bulk).alias("all"))

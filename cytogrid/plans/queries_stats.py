@@ -61,14 +61,16 @@ def replicate_gate(spark: SparkSession, d: str) -> DataFrame:
     return kept.groupBy("region_annotation").agg(F.count("*").alias("n_rows"), F.sum("count").alias("total"))
 
 
-_FACTORS = f"""{bulk_sql()}, b AS (SELECT sample || '|' || region_annotation AS bulk, region_annotation, gene, count FROM bulks),
+_FACTORS = f"""{bulk_sql()}, b AS (SELECT e.sample || '|' || e.region_annotation AS bulk, e.region_annotation, g.gene, coalesce(k.count, 0) AS count FROM (SELECT DISTINCT sample, region_annotation FROM bulks) e CROSS JOIN (SELECT DISTINCT gene FROM bulks) g
+  LEFT JOIN bulks k ON k.sample = e.sample AND k.region_annotation = e.region_annotation AND k.gene = g.gene),
 lc AS (SELECT *, ln(count) AS lc FROM b WHERE count > 0), fullg AS (SELECT gene, avg(lc) AS m FROM lc GROUP BY 1 HAVING count(*) = (SELECT count(DISTINCT bulk) FROM b)),
 sf AS (SELECT bulk, exp(quantile_cont(lc - m, 0.5)) AS size_factor FROM lc JOIN fullg USING (gene) GROUP BY 1),
 normed AS (SELECT b.*, count / size_factor AS norm, log2(count / size_factor + 1) AS value FROM b JOIN sf USING (bulk))"""
 
 
 def named_bulks(spark: SparkSession, d: str) -> DataFrame:
-    return bulks(spark, d).select(F.concat_ws("|", "sample", "region_annotation").alias("bulk"), "region_annotation", "gene", "count")
+    every = pseudobulk.completed(bulks(spark, d), ["sample", "region_annotation"])
+    return every.select(F.concat_ws("|", "sample", "region_annotation").alias("bulk"), "region_annotation", "gene", "count")
 
 
 def normed(spark: SparkSession, d: str) -> DataFrame:
@@ -87,7 +89,7 @@ def gene_zscore(spark: SparkSession, d: str) -> DataFrame:
 
 
 _RATIOS = f"""{_FACTORS}, m AS (SELECT gene, region_annotation AS lv, avg(norm) AS m FROM normed GROUP BY 1, 2),
-ratios AS (SELECT x.gene, x.lv AS a, y.lv AS b, x.lv || '_vs_' || y.lv AS contrast, log2(x.m / y.m) AS log2fc FROM m x JOIN m y ON x.gene = y.gene AND x.lv < y.lv)"""
+ratios AS (SELECT x.gene, x.lv AS a, y.lv AS b, x.lv || '_vs_' || y.lv AS contrast, CASE WHEN x.m > 0 OR y.m > 0 THEN log2(CASE WHEN x.m > 0 THEN x.m ELSE 0.5 END / CASE WHEN y.m > 0 THEN y.m ELSE 0.5 END) END AS log2fc FROM m x JOIN m y ON x.gene = y.gene AND x.lv < y.lv)"""
 #: A stand-in p-value for tests of what comes after the statistics: a function of gene and contrast.
 _P = "(ascii(right(gene, 1)) * 7 + length(gene) * 13 + length(contrast) * 29) % 100 / 100.0"
 
@@ -169,9 +171,9 @@ def unique_markers_wide(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def nb_wald(spark: SparkSession, d: str) -> DataFrame:
-    """Negative-binomial tests of three regions with adjusted p-values; held against properties in tests."""
+    """Negative-binomial tests of all regions with adjusted p-values; held against properties in tests."""
     b = named_bulks(spark, d)
-    t = de.nb_tests(b, pseudobulk.size_factors(b, "bulk"), "bulk", "region_annotation", ["AFRICA", "AMERICA", "ASIA"])
+    t = de.nb_tests(b, pseudobulk.size_factors(b, "bulk"), "bulk", "region_annotation", ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"])
     return markers.adjust(t.withColumn("p", markers.normal_two_sided("stat")), "p", ["contrast"])
 
 

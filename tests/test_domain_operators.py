@@ -240,3 +240,26 @@ def test_delaunay(spark):
     assert got == want
     # a point on the grid midway between two joined points is nearest to both, so few edges cross: planar bound
     assert len(got) <= 3 * len(p) - 6
+
+
+def test_chi_squared_tail():
+    # from tables of the distribution
+    for x, df, p in ((3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (9.487729, 4, 0.05), (11.070498, 5, 0.05), (16.811894, 6, 0.01)):
+        assert de.chi2_tail(x, df) == pytest.approx(p, rel=1e-5)
+
+
+def test_gene_of_one_level(spark):
+    """Zeros count: a gene absent from one level has a ratio, z-scores and a test there."""
+    rng = np.random.default_rng(9)
+    rows = [(f"{lv}{k}", lv, f"g{g}", int(rng.poisson(60))) for lv in "ABC" for k in range(4) for g in range(30)]
+    rows += [(f"A{k}", "A", "only", 40 + k) for k in range(4)]
+    b = pseudobulk.completed(spark.createDataFrame(rows, "bulk string, lv string, gene string, count long"), ["bulk", "lv"]).cache()
+    assert b.count() == 12 * 31 and b.where("gene = 'only'").agg({"count": "sum"}).first()[0] == 166
+    factors = pseudobulk.size_factors(b, "bulk")
+    norm = pseudobulk.log_normalised(b, factors, "bulk")
+    ratios = {(r["gene"], r["contrast"]): r["log2fc"] for r in de.mean_ratios(norm, "lv").collect()}
+    assert ratios[("only", "A_vs_B")] > 5 and ratios[("only", "B_vs_C")] is None
+    assert pseudobulk.gene_zscores(norm, "bulk").where("gene = 'only'").count() == 12
+    t = {(r["gene"], r["contrast"]): r for r in de.nb_tests(b, factors, "bulk", "lv", ["A", "B", "C"]).collect()}
+    assert t[("only", "A_vs_B")]["log2fc"] > 5 and t[("only", "A_vs_rest")]["lr_p"] < 1e-6
+    assert np.mean([t[(f"g{g}", "A_vs_rest")]["lr_p"] < 0.05 for g in range(30)]) < 0.3

@@ -11,9 +11,6 @@ from cytogrid.plans.registry import oracle_sql, queries
 
 DATA = os.environ.get("CYTOGRID_TEST_DATA", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-#: Plans of many joins that take long to compile; the comparison over larger tables covers them.
-SLOW = {"heatmap_genes", "unique_markers_wide", "topk_up_down", "volcano_classes", "de_summary", "bh_adjust", "unique_markers", "gene_zscore"}
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
 
 
@@ -33,7 +30,7 @@ def plain(x):
     return round(float(x), 9) if isinstance(x, int | float) else str(x)
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query(spark, con, name):
     df = queries()[name](spark, DATA)
     cur = con.execute(oracle_sql()[name])
