@@ -69,7 +69,8 @@ normed AS (SELECT b.*, count / size_factor AS norm, log2(count / size_factor + 1
 
 
 def named_bulks(spark: SparkSession, d: str) -> DataFrame:
-    every = pseudobulk.completed(bulks(spark, d), ["sample", "region_annotation"])
+    # a small table (pseudobulks x genes) that several branches read
+    every = settle(pseudobulk.completed(settle(bulks(spark, d)), ["sample", "region_annotation"]))
     return every.select(F.concat_ws("|", "sample", "region_annotation").alias("bulk"), "region_annotation", "gene", "count")
 
 
