@@ -179,21 +179,34 @@ def silhouettes(rows: DataFrame) -> DataFrame:
 
 
 def sketch(rows: DataFrame, n: int, size: float, dims: int = 3) -> DataFrame:
-    """About evenly spread rows: equal boxes over the first dimensions are drawn from in turn (by id) until n rows are kept. Adds box, kept."""
-    box = F.concat_ws(",", F.transform(F.slice("v", 1, dims), lambda x: F.floor(x / size).cast("string")))
-    r = rows.withColumn("box", box).withColumn("turn", F.row_number().over(Window.partitionBy("box").orderBy("id")))
-    turns = r.groupBy("turn").agg(F.count("*").alias("c"))
-    # a row per turn; only the last turn is taken in part
-    turns = turns.withColumn("upto", F.sum("c").over(Window.orderBy("turn")))
-    r = r.join(F.broadcast(turns.select("turn", (F.col("upto") <= n).alias("whole"), (F.lit(n) - (F.col("upto") - F.col("c"))).alias("room"))), "turn")
-    part = r.where(~F.col("whole") & (F.col("room") > 0)).withColumn("p", F.row_number().over(Window.partitionBy("turn").orderBy("id"))).where("p <= room").select("id", F.lit(True).alias("some"))
-    return r.join(part, "id", "left").withColumn("kept", F.col("whole") | F.coalesce("some", F.lit(False))).drop("turn", "whole", "room", "some")
-
+    """About evenly spread rows: equal boxes over the first dimensions are drawn from in turn (by id, which is unique) until n rows are kept. Adds box, kept.
 
-def harmonise(rows: DataFrame, clusters: int, theta: float = 2.0, sigma: float = 0.1, ridge: float = 1.0, rounds: int = 6, seed: int = 0) -> DataFrame:
+    The counts of the boxes say in which turn the n-th row is drawn, so a box ranks only as many rows as there are turns, first within parts of it.
+    """
+    box = F.concat_ws(",", F.transform(F.slice("v", 1, dims), lambda x: F.floor(x / size).cast("string")))
+    r = rows.withColumn("box", box)
+    # a row per distinct box size below n: whole turns up to that size draw ``upto`` rows
+    sizes = r.groupBy("box").agg(F.least(F.count("*"), F.lit(n)).alias("s")).groupBy("s").agg(F.count("*").alias("c"))
+    w = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    rest = F.sum("c").over(Window.orderBy(F.desc("s")))
+    sizes = sizes.select("s", rest.alias("rest"), F.coalesce(F.sum(F.col("s") * F.col("c")).over(w), F.lit(0)).alias("done")).withColumn("upto", F.col("done") + F.col("s") * F.col("rest"))
+    cut = sizes.where(F.col("upto") >= n).orderBy("s").select("done", "rest").first()
+    if cut is None:
+        return r.withColumn("kept", F.lit(True))
+    done, rest = cut
+    turn = -(-(n - done) // rest)
+    room = n - done - (turn - 1) * rest
+    ranked = r.select("id", "box", F.row_number().over(Window.partitionBy("box", F.pmod(F.xxhash64("id"), F.lit(256))).orderBy("id")).alias("t")).where(F.col("t") <= turn)
+    ranked = ranked.select("id", F.row_number().over(Window.partitionBy("box").orderBy("id")).alias("t"))
+    kept = ranked.where(F.col("t") < turn).select("id").unionByName(ranked.where(F.col("t") == turn).select("id").orderBy("id").limit(room))
+    return r.join(kept.withColumn("kept", F.lit(True)), "id", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+
+
+def harmonise(rows: DataFrame, clusters: int, theta: float = 2.0, sigma: float = 0.1, ridge: float = 1.0, settled: float = 1e-3, rounds: int = 50, seed: int = 0) -> DataFrame:
     """Batch-corrected vectors (id, batch, v): soft clusters with a penalty for uneven batches, and per cluster a ridge regression on the batch.
 
-    A round is one pass: tasks send the sums by (cluster, batch), whose size is that of the model, and the corrected vectors are written.
+    A round is one pass: tasks send the sums by (cluster, batch), whose size is that of the model, and the corrected vectors are written. Rounds end
+    when no coordinate of a cluster's direction moves by ``settled``, or after ``rounds``.
     """
     batches = sorted(r[0] for r in rows.select("batch").distinct().collect())  # the names of batches
     if len(batches) < 2:
@@ -248,7 +261,10 @@ def harmonise(rows: DataFrame, clusters: int, theta: float = 2.0, sigma: float =
         now = settle(now.select("id", "batch", "v", "v0").mapInArrow(corrected, now.schema))
         # all rows move at once, so the batch counts are averaged over rounds, or the penalty would swing them to and fro
         share = total[:, :, 0] / max(total[:, :, 0].sum(), 1e-12)
-        observed, y = (observed + share) / 2, unit(total[:, :, 1 + width :].sum(1))
+        before, y = y, unit(total[:, :, 1 + width :].sum(1))
+        observed = (observed + share) / 2
+        if np.abs(y - before).max() < settled:
+            break
     return now.select("id", "batch", "v")
 
 

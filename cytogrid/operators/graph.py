@@ -35,7 +35,7 @@ def _connected(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """Communities split into their connected parts, named by their least node."""
     inner = settle(_both_ways(edges).join(labels.select(F.col("node").alias("u"), F.col("c").alias("cu")), "u").join(labels.select(F.col("node").alias("v"), F.col("c").alias("cv")), "v").where("cu = cv").select("u", "v"))
     now = settle(labels.select("node", F.col("node").alias("c")))
-    for _ in range(64):
+    while True:
         least = inner.join(now.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.min("c").alias("m"))
         step = now.join(least, "node", "left").select("node", F.least("c", F.coalesce("m", "c")).alias("c"), (F.col("m") < F.col("c")).alias("moved"))
         # a label also jumps to its label's label
@@ -47,9 +47,11 @@ def _connected(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return now
 
 
-def communities(edges: DataFrame, gamma: float = 1.0, rounds: int = 8, levels: int = 3, seed: int = 0) -> DataFrame:
-    """(node, cluster) by modularity: nodes move to their best neighbouring community (half of them each round, by hash), communities are split
-    into connected parts, and the graph of communities is clustered again. Clusters are numbered by falling size.
+def communities(edges: DataFrame, gamma: float = 1.0, rounds: int = 200, seed: int = 0) -> DataFrame:
+    """(node, cluster) by modularity: nodes move to their best neighbouring community until none would move, communities are split
+    into connected parts, and the graph of communities is clustered again until none merge. Clusters are numbered by falling size.
+
+    A half, a fourth and an eighth of the nodes may move in turn, by hash, since nodes that move at once can swap for ever; ``rounds`` without rest are an error.
     """
     level = settle(edges.select("u", "v", "w"))
     names = settle(level.select(F.col("u").alias("node")).unionByName(level.select(F.col("v").alias("node"))).distinct().withColumn("c", F.col("node")))
@@ -57,7 +59,7 @@ def communities(edges: DataFrame, gamma: float = 1.0, rounds: int = 8, levels: i
     m2 = 2 * (level.agg(F.sum("w")).first()[0] or 0.0)
     if not m2:
         return of.select("node", F.lit("0").alias("cluster")).where("false")
-    for _ in range(levels):
+    while True:
         sym = settle(_both_ways(level))
         # a loop counts twice in a node's strength
         strength = settle(sym.groupBy(F.col("u").alias("node")).agg(F.sum(F.when(F.col("u") == F.col("v"), 2 * F.col("w")).otherwise(F.col("w"))).alias("k")))
@@ -68,12 +70,14 @@ def communities(edges: DataFrame, gamma: float = 1.0, rounds: int = 8, levels: i
             stay = now.select("node", "c").withColumn("w", F.lit(0.0))
             options = to.unionByName(stay).groupBy("node", "c").agg(F.sum("w").alias("w")).join(now.select("node", "k", F.col("c").alias("own")), "node").join(total, "c")
             gain = F.col("w") - gamma * F.col("k") * (F.col("tot") - F.when(F.col("c") == F.col("own"), F.col("k")).otherwise(0.0)) / m2
-            best = options.groupBy("node").agg(F.max_by("c", F.struct(F.round(gain, 9), F.col("c") == F.col("own"))).alias("to"))
-            turn = F.pmod(F.xxhash64("node", F.lit(seed + r)), F.lit(2)) == 0
-            step = settle(now.join(best, "node").select("node", "k", F.when(turn, F.col("to")).otherwise(F.col("c")).alias("c"), (turn & (F.col("to") != F.col("c"))).alias("moved")))
-            now = step.drop("moved")
-            if r and step.where("moved").isEmpty():
+            best = options.groupBy("node").agg(F.max_by("c", F.struct(F.round(gain, 9), F.col("c") == F.col("own"), "c")).alias("to"))
+            turn = F.pmod(F.xxhash64("node", F.lit(seed + r)), F.lit(2 << r % 3)) == 0
+            step = settle(now.join(best, "node").select("node", "k", F.when(turn, F.col("to")).otherwise(F.col("c")).alias("c"), (F.col("to") != F.col("c")).alias("would")))
+            now = step.drop("would")
+            if step.where("would").isEmpty():
                 break
+        else:
+            raise RuntimeError(f"nodes still move after {rounds} rounds")
         parts = _connected(level, now.select("node", "c"))
         of = settle(of.join(parts.select(F.col("node").alias("c"), F.col("c").alias("up")), "c").select("node", F.col("up").alias("c")))
         up = parts.withColumnRenamed("c", "p")
@@ -85,27 +89,32 @@ def communities(edges: DataFrame, gamma: float = 1.0, rounds: int = 8, levels: i
     size = of.groupBy("c").agg(F.count("*").alias("n"))
     # a row per cluster
     number = size.withColumn("cluster", (F.row_number().over(Window.orderBy(F.desc("n"), "c")) - 1).cast("string"))
-    return of.join(F.broadcast(number.select("c", "cluster")), "c").select("node", "cluster")
+    return of.join(number.select("c", "cluster"), "c").select("node", "cluster")
 
 
 def layout(edges: DataFrame, rounds: int = 12, repel: int = 4, seed: int = 0) -> DataFrame:
-    """(node, x, y): a two-dimensional layout in which edges attract and hashed pairs of nodes repel; a drawing aid, not a metric."""
+    """(node, x, y): a two-dimensional layout in which edges attract and hashed pairs of nodes repel; a drawing aid, not a metric.
+
+    The step shrinks to nothing over ``rounds``. In each, nodes are dealt anew to buckets of about 64 and each meets the ``repel`` nearest in hash order there.
+    """
     nodes = edges.select(F.col("u").alias("node")).unionByName(edges.select(F.col("v").alias("node"))).distinct()
     unit = lambda s: F.pmod(F.xxhash64("node", F.lit(s)), F.lit(1 << 20)) / float(1 << 20) * 20 - 10
-    n = nodes.count()
-    now = settle(nodes.select("node", F.row_number().over(Window.orderBy(F.xxhash64("node", F.lit(seed)), "node")).alias("no"), unit(seed + 1).alias("x"), unit(seed + 2).alias("y")))
+    now = settle(nodes.select("node", unit(seed + 1).alias("x"), unit(seed + 2).alias("y")))
+    buckets = max(1, now.count() // 64)
     sym = settle(_both_ways(edges))
+    offsets = [i for i in range(-(repel // 2), repel - repel // 2 + 1) if i]
     for r in range(rounds):
         rate = 0.5 * (1 - r / rounds)
-        p = now.select("node", "x", "y", "no")
-        q = now.select(F.col("node").alias("v"), F.col("x").alias("vx"), F.col("y").alias("vy"), F.col("no").alias("vno"))
+        q = now.select(F.col("node").alias("v"), F.col("x").alias("vx"), F.col("y").alias("vy"))
         dx, dy = F.col("vx") - F.col("x"), F.col("vy") - F.col("y")
         d2 = dx * dx + dy * dy
-        pull = sym.withColumnRenamed("u", "node").join(p, "node").join(q, "v").select("node", (F.col("w") * dx / (1 + d2)).alias("fx"), (F.col("w") * dy / (1 + d2)).alias("fy"))
-        # each node meets the nodes at a few offsets in the shuffled order
-        met = p.withColumn("vno", F.explode(F.array(*[F.pmod(F.col("no") + (r * 7919 + i * 104729 + 1) % max(n, 1), F.lit(n)) + 1 for i in range(repel)]))).join(q, "vno").where(F.col("node") != F.col("v"))
+        pull = sym.withColumnRenamed("u", "node").join(now, "node").join(q, "v").select("node", (F.col("w") * dx / (1 + d2)).alias("fx"), (F.col("w") * dy / (1 + d2)).alias("fy"))
+        order = F.xxhash64("node", F.lit(seed + 3 + r))
+        w = Window.partitionBy(F.pmod(order, F.lit(buckets))).orderBy(order, "node")
+        met = now.select("node", "x", "y", F.array(*[F.lead(F.struct("x", "y"), i).over(w) for i in offsets]).alias("met")).select("node", "x", "y", F.explode("met").alias("o"))
+        met = met.where("o IS NOT NULL").select("node", "x", "y", F.col("o.x").alias("vx"), F.col("o.y").alias("vy"))
         push = met.select("node", (-dx / ((0.01 + d2) * (1 + d2))).alias("fx"), (-dy / ((0.01 + d2) * (1 + d2))).alias("fy"))
         cap = lambda c: F.greatest(F.lit(-4.0), F.least(F.lit(4.0), F.sum(c)))
         force = pull.unionByName(push).groupBy("node").agg(cap("fx").alias("fx"), cap("fy").alias("fy"))
-        now = settle(now.join(force, "node", "left").na.fill(0.0, ["fx", "fy"]).select("node", "no", (F.col("x") + rate * F.col("fx")).alias("x"), (F.col("y") + rate * F.col("fy")).alias("y")))
-    return now.select("node", "x", "y")
+        now = settle(now.join(force, "node", "left").na.fill(0.0, ["fx", "fy"]).select("node", (F.col("x") + rate * F.col("fx")).alias("x"), (F.col("y") + rate * F.col("fy")).alias("y")))
+    return now

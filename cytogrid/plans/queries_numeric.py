@@ -14,13 +14,13 @@ from cytogrid.plans.registry import query
 K = 8
 
 
-def rows(spark: SparkSession, d: str, n: int = 8) -> DataFrame:
-    """id, v (the first n components, rounded), label, batch."""
-    v = F.transform(F.slice("pcs", 1, n), lambda x: F.round(x, 6))
+def rows(spark: SparkSession, d: str) -> DataFrame:
+    """id, v (all components, rounded), label, batch."""
+    v = F.transform("pcs", lambda x: F.round(x, 6))
     return V.spots(spark, d).select(F.col("cell_id").alias("id"), v.alias("v"), "label", F.col("sample").alias("batch"), "vec_id")
 
 
-_ROWS = """r0 AS (SELECT 'v' || CAST(vec_id AS VARCHAR) AS id, vec_id, list_transform(embedding[1:8], lambda x: round(CAST(x AS DOUBLE), 6)) AS v, 'c' || CAST(label AS VARCHAR) AS label FROM embeddings)"""
+_ROWS = """r0 AS (SELECT 'v' || CAST(vec_id AS VARCHAR) AS id, vec_id, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE), 6)) AS v, 'c' || CAST(label AS VARCHAR) AS label FROM embeddings)"""
 _NEAR = f"""{_ROWS}, pr AS (SELECT a.id AS src, b.id AS dst, round(list_distance(a.v, b.v), 9) AS d FROM r0 a JOIN r0 b ON a.id <> b.id),
 knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY d, dst) AS rank FROM pr) q WHERE rank <= {K})"""
 
@@ -86,17 +86,17 @@ def pseudobulk_pca(spark: SparkSession, d: str) -> DataFrame:
 def leiden_labels(spark: SparkSession, d: str) -> DataFrame:
     """Clusters of the neighbour graph; tests hold their modularity and connectedness."""
     k = embed.knn(rows(spark, d), rows(spark, d), K)
-    return graph.communities(graph.fuzzy_union(k), rounds=6, levels=2)
+    return graph.communities(graph.fuzzy_union(k))
 
 
 @query()
 def layout_xy(spark: SparkSession, d: str) -> DataFrame:
-    return graph.layout(graph.fuzzy_union(embed.knn(rows(spark, d), rows(spark, d), K)), rounds=4)
+    return graph.layout(graph.fuzzy_union(embed.knn(rows(spark, d), rows(spark, d), K)))
 
 
 @query()
 def harmony_pcs(spark: SparkSession, d: str) -> DataFrame:
-    return embed.harmonise(rows(spark, d), clusters=8, rounds=2)
+    return embed.harmonise(rows(spark, d), clusters=8)
 
 
 @query()

@@ -173,12 +173,36 @@ def test_harmony_brings_batches_together(spark):
 def test_communities(spark):
     edges = [(f"{c}{i}", f"{c}{j}", 1.0) for c in "abc" for i in range(6) for j in range(i)] + [("a0", "b0", 1.0), ("b1", "c1", 1.0)]
     e = spark.createDataFrame([(min(u, v), max(u, v), w) for u, v, w in edges], "u string, v string, w double")
-    got = {r["node"]: r["cluster"] for r in graph.communities(e, rounds=6, levels=2).collect()}
-    q = graph.modularity(e, graph.communities(e, rounds=6, levels=2).select("node", F.col("cluster").alias("c"))).first()[0]
+    got = {r["node"]: r["cluster"] for r in graph.communities(e).collect()}
+    q = graph.modularity(e, graph.communities(e).select("node", F.col("cluster").alias("c"))).first()[0]
     assert q > 0.5 and len({got[f"a{i}"] for i in range(6)}) == 1
     assert graph.layout(e, rounds=2).count() == 18
 
 
+def test_no_node_would_move(spark):
+    rng = np.random.default_rng(8)
+    e = {(f"{min(a, b):02d}", f"{max(a, b):02d}"): float(rng.integers(1, 4)) for a, b in rng.integers(0, 40, (160, 2)).tolist() if a != b}
+    c = {r["node"]: r["cluster"] for r in graph.communities(spark.createDataFrame([(*k, w) for k, w in e.items()], "u string, v string, w double")).collect()}
+    k = {n: sum(w for x, w in e.items() if n in x) for n in c}
+    link = {(a, b): sum(w for (u, v), w in e.items() if {c[u], c[v]} == {a, b}) for a in set(c.values()) for b in set(c.values()) if a < b}
+    tot = {a: sum(k[n] for n in c if c[n] == a) for a in set(c.values())}
+    assert all(w <= tot[a] * tot[b] / sum(k.values()) + 1e-6 for (a, b), w in link.items())  # no two communities gain by merging
+
+
+@pytest.mark.parametrize("n", [0, 1, 37, 120, 199, 200, 500])
+def test_sketch_draws_in_turn(spark, n):
+    rng = np.random.default_rng(9)
+    x = np.where(np.arange(200)[:, None] < 80, 0.05, rng.uniform(0, 0.5, (200, 3)))
+    rows = vectors(spark, x)
+    ids = [r["id"] for r in rows.orderBy("id").collect()]
+    seen, turns = {}, []
+    for i, v in zip(ids, x, strict=True):
+        b = tuple(np.floor(v / 0.1).astype(int))
+        seen[b] = seen.get(b, 0) + 1
+        turns.append((seen[b], i))
+    assert {r["id"] for r in embed.sketch(rows, n, 0.1).where("kept").collect()} == {i for _, i in sorted(turns)[:n]}
+
+
 def test_text_functions(spark):
     one = spark.range(1)
     row = one.select(text.cell_key(F.lit("cellid_000000123-1")).alias("a"), text.cell_key(F.lit("x7")).alias("b"), text.cell_key_loose(F.lit("CELLID_000")).alias("c"), text.ladder(F.lit(0.8), F.lit(1.2), F.lit(0.2)).alias("d"), text.shown(F.lit(None).cast("double")).alias("e"), text.nearest_scale(F.lit(3.1), 0.3).alias("f"), text.sample_of_file(F.lit("/x/adata_s1_annotated.h5ad")).alias("g"), text.resolution_of(F.lit("s1_0.5"), F.lit("s1")).alias("h")).first()
