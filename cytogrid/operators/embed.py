@@ -1,7 +1,7 @@
 """Embeddings: principal components, exact neighbours, label transfer, silhouettes, sketches and batch correction.
 
 Vectors are array columns. Pairwise work runs in blocks: rows are hashed into blocks of fixed size and each pair of blocks is one task
-with bounded memory, its distances one matrix product. Models (Gram matrix, centroids) have a size that the number of cells does not change.
+with bounded memory, its distances one matrix product. Models (components, centroids) have a size that the number of cells does not change.
 """
 
 from __future__ import annotations
@@ -14,11 +14,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from cytogrid.operators.annotate import shared_genes
 from cytogrid.operators.durable import settle
 
 BLOCK = 8_192
-#: A Gram matrix of this many columns squared still fits a driver with ease.
-MOST_COLUMNS = 4_000
+#: Tasks of a pass whose totals go to the driver.
+PARTS = 4_096
+#: Values of sparse rows worked on at a time, and directions beyond those asked for in a block.
+ENTRIES, SPARE = 200_000, 10
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -35,67 +38,159 @@ def lists(a: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(a) + 1, dtype=np.int32) * a.shape[1]), flat)
 
 
-def panel_vectors(values: DataFrame, genes: list[str], value: str = "value") -> DataFrame:
-    """(sample, cell_id, v): a cell's values in the order of a gene panel, zeros filled in."""
-    m = values.where(F.col("gene").isin(genes)).groupBy("sample", "cell_id").agg(F.map_from_entries(F.collect_list(F.struct("gene", F.col(value).cast("double").alias("value")))).alias("m"))
-    return m.select("sample", "cell_id", F.transform(F.array(*[F.lit(g) for g in genes]), lambda g: F.coalesce(F.try_element_at("m", g), F.lit(0.0))).alias("v"))
+def panel_rows(values: DataFrame, genes: DataFrame, value: str = "value") -> DataFrame:
+    """(sample, cell_id, at, v): a cell's values and their places in the gene panel, in order of name; zeros stay implicit."""
+    # the panel is a list of names
+    place = genes.select("gene").distinct().withColumn("at", (F.row_number().over(Window.orderBy("gene")) - 1).cast("int"))
+    m = values.join(place, "gene").groupBy("sample", "cell_id").agg(F.sort_array(F.collect_list(F.struct("at", F.col(value).cast("double").alias("v")))).alias("m"))
+    return m.select("sample", "cell_id", F.col("m.at").alias("at"), F.col("m.v").alias("v"))
 
 
-def moments(vectors: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
-    """(n, mean, Gram matrix of the centred rows) by partial sums."""
+def summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
+    """The sum of ``part`` over all batches: tasks send their totals, at most PARTS of them, and the driver gets ``size`` numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, s, g = 0, None, None
+        total = None
         for b in batches:
             if b.num_rows:
-                x = matrix(b.column(0))
-                n += len(x)
-                s = x.sum(0) if s is None else s + x.sum(0)
-                g = x.T @ x if g is None else g + x.T @ x
-        if n:
-            flat = np.concatenate(([n], s, g.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int64)), pa.array(flat)], names=["i", "x"])
-
-    width = vectors.select(F.max(F.size("v"))).first()[0]
-    if width is None:
-        return 0, np.zeros(0), np.zeros((0, 0))
-    if width > MOST_COLUMNS:
-        raise ValueError(f"{width} columns; select genes first (at most {MOST_COLUMNS})")
-    got = vectors.select("v").mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
-    flat = np.zeros(1 + width + width * width)
-    flat[got.column("i").to_numpy()] = got.column("x").to_numpy()
-    n, s, g = flat[0], flat[1 : 1 + width], flat[1 + width :].reshape(width, width)
-    return int(n), s / n, g - np.outer(s, s) / n
-
-
-def pca(vectors: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(mean, components as rows, explained variance ratio); a component's largest weight is positive."""
-    n, mean, gram = moments(vectors)
-    if not n:
-        return mean, np.zeros((0, 0)), np.zeros(0)
-    value, vector = np.linalg.eigh(gram)
-    order = np.argsort(-value)[:k]
-    comp = vector[:, order].T
-    comp *= np.sign(comp[np.arange(len(comp)), np.abs(comp).argmax(1)])[:, None]
-    return mean, comp, value[order] / max(value.sum(), 1e-300)
+                total = part(b) if total is None else total + part(b)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int64)), pa.array(total)], names=["i", "x"])
 
-
-def project(vectors: DataFrame, mean: np.ndarray, comp: np.ndarray, *keep: str, name: str = "pcs") -> DataFrame:
-    """``keep`` columns with the coordinates of v in the components."""
-    schema = vectors.select(*keep).schema.add(name, ArrayType(DoubleType()))
+    got = rows.coalesce(PARTS).mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
+    flat = np.zeros(size)
+    flat[got.column("i").to_numpy()] = got.column("x").to_numpy()
+    return flat
+
+
+def _slices(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(row, at, value, rows) of sparse rows, some ENTRIES values at a time."""
+    ends = np.concatenate(([0], np.cumsum(b.column("v").value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
+    at, v = (b.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("at", "v"))
+    cuts = np.unique(np.concatenate((np.searchsorted(ends[:-1], np.arange(0, ends[-1] + 1, ENTRIES)), [0, b.num_rows])))
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        take = slice(ends[lo], ends[hi])
+        yield np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1])), at[take], v[take].astype(np.float64), hi - lo
+
+
+def _gathered(where: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
+    """Row sums of ``x`` by ``where``, as ``n`` rows."""
+    out = np.zeros((n, x.shape[1]))
+    if len(where):
+        order = np.argsort(where, kind="stable")
+        w = where[order]
+        starts = np.concatenate(([0], np.nonzero(np.diff(w))[0] + 1))
+        out[w[starts]] = np.add.reduceat(x[order], starts, axis=0)
+    return out
+
+
+def moments(rows: DataFrame, width: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """(n, mean, population variance) of each column; ``rows`` have v, and at where they are sparse."""
+
+    def part(b: pa.RecordBatch) -> np.ndarray:
+        if "at" not in b.schema.names:
+            x = matrix(b.column("v"))
+            return np.concatenate(([len(x)], x.sum(0), (x * x).sum(0)))
+        got = np.zeros((width, 2))
+        for _, at, v, _ in _slices(b):
+            got += _gathered(at, np.stack((v, v * v), 1), width)
+        return np.concatenate(([b.num_rows], got[:, 0], got[:, 1]))
+
+    flat = summed(rows, part, 1 + 2 * width)
+    n = max(flat[0], 1)
+    mean = flat[1 : 1 + width] / n
+    return int(flat[0]), mean, np.maximum(flat[1 + width :] / n - mean * mean, 0)
+
+
+def pca(rows: DataFrame, k: int, width: int | None = None, tolerance: float = 1e-8, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(mean, components as rows, explained variance ratio); a component's largest weight is positive.
+
+    ``rows`` have v, and for sparse rows at, the places of its values among ``width`` columns. A block Krylov basis grows by one pass over the rows at
+    a time until the k leading pairs leave a residual below ``tolerance`` of the largest; a basis of all columns is exact. The driver holds width x some hundred
+    numbers at most, never the matrix of all column products, so the panel may have any number of genes.
+    """
+    sparse = "at" in rows.columns
+    rows = rows.select("at", "v") if sparse else rows.select("v")
+    if width is None:
+        width = rows.select(F.max(F.array_max("at") + 1 if sparse else F.size("v"))).first()[0] or 0
+    n, mean, variance = moments(rows, width)
+    if not n or not width or not k:
+        return mean, np.zeros((0, width)), np.zeros(0)
+
+    def times(q: np.ndarray) -> np.ndarray:
+        shift = mean @ q
+
+        def part(b: pa.RecordBatch) -> np.ndarray:
+            if not sparse:
+                x = matrix(b.column("v"))
+                return (x.T @ (x @ q - shift)).ravel()
+            z = np.zeros(q.shape)
+            for row, at, v, many in _slices(b):
+                y = _gathered(row, v[:, None] * q[at], many) - shift
+                z += _gathered(at, v[:, None] * y[row], width)
+            return z.ravel()
+
+        z = summed(rows, part, q.size).reshape(q.shape)
+        return z / n
+
+    block = min(width, k + SPARE)
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, block)))[0]
+    image = times(basis)
+    while True:
+        t = basis.T @ image
+        value, s = np.linalg.eigh((t + t.T) / 2)
+        value, s = value[::-1], s[:, ::-1]
+        comp = basis @ s[:, :k]
+        left = np.linalg.norm(image @ s[:, :k] - comp * value[:k], axis=0).max()
+        if left <= tolerance * max(value[0], 1e-300) or basis.shape[1] >= width:
+            break
+        fresh = image[:, -block:]
+        for _ in range(2):
+            fresh = fresh - basis @ (basis.T @ fresh)
+        u, size, _ = np.linalg.svd(fresh, full_matrices=False)
+        u = u[:, size > 1e-12 * max(value[0], 1e-300)][:, : width - basis.shape[1]]
+        if not u.shape[1]:
+            break
+        if basis.shape[1] > 12 * (k + SPARE):  # start again from the leading directions
+            keep = s[:, : 4 * (k + SPARE)]
+            basis, image = basis @ keep, image @ keep
+        block = u.shape[1]
+        basis, image = np.hstack((basis, u)), np.hstack((image, times(u)))
+    comp = comp.T
+    comp = comp * np.where(comp[np.arange(len(comp)), np.abs(comp).argmax(1)] < 0, -1.0, 1.0)[:, None]
+    return mean, comp, value[:k] / max(variance.sum(), 1e-300)
+
+
+def project(rows: DataFrame, mean: np.ndarray, comp: np.ndarray, *keep: str, name: str = "pcs") -> DataFrame:
+    """``keep`` columns with the coordinates of v (sparse: at, v) in the components."""
+    schema = rows.select(*keep).schema.add(name, ArrayType(DoubleType()))
+    cols = ["at", "v"] if "at" in rows.columns else ["v"]
+    shift = comp @ mean
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], lists((matrix(b.columns[-1]) - mean) @ comp.T)], names=[*keep, name])
+                if len(cols) == 1:
+                    y = matrix(b.columns[-1]) @ comp.T
+                else:
+                    y = np.concatenate([_gathered(row, v[:, None] * comp.T[at], many) for row, at, v, many in _slices(b)])
+                yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], lists(y - shift)], names=[*keep, name])
+
+    return rows.select(*keep, *cols).mapInArrow(run, schema)
+
 
-    return vectors.select(*keep, "v").mapInArrow(run, schema)
+def panel_pcs(values: DataFrame, genes: DataFrame, k: int) -> DataFrame:
+    """(sample, cell_id, pcs): cells in the k leading components of a gene panel; fewer where the panel or the cells have fewer."""
+    rows = settle(panel_rows(values, genes))
+    mean, comp, _ = pca(rows, k, genes.select("gene").distinct().count())
+    return project(rows, mean, comp, "sample", "cell_id")
 
 
 def standardised(vectors: DataFrame) -> DataFrame:
     """v with each column's z-score (population SD); columns without spread are 0."""
-    n, mean, gram = moments(vectors)
-    sd = np.sqrt(np.diag(gram) / max(n, 1))
+    width = vectors.select(F.max(F.size("v"))).first()[0] or 0
+    _, mean, variance = moments(vectors.select("v"), width)
+    sd = np.sqrt(variance)
     scale = np.where(sd > 0, 1 / np.where(sd > 0, sd, 1), 0.0)
     m, s = F.array(*[F.lit(float(x)) for x in mean]), F.array(*[F.lit(float(x)) for x in scale])
     return vectors.withColumn("v", F.transform("v", lambda x, i: (x - F.get(m, i)) * F.get(s, i)))
@@ -154,6 +249,21 @@ def transfer_labels(query: DataFrame, reference: DataFrame, k: int, label: str =
     return n.where("r = 1").select(F.col("src").alias("id"), "label", (F.col("n") / F.col("all")).alias("share"))
 
 
+def transfer_by_genes(query: DataFrame, reference: DataFrame, labels: DataFrame, pcs: int = 50, k: int = 15, least: int = 100) -> DataFrame:
+    """(id, label, share) for the cells of ``query`` from a labelled reference: both are expression values (sample, cell_id, gene, value).
+
+    Components are fitted on the reference over the genes that both have (at least ``least``), both are placed in them, and a cell takes the most
+    frequent label of its k nearest. ``labels``: sample, cell_id, label; reference cells without one take no part. Ids are "sample|cell".
+    """
+    genes = settle(shared_genes(query, reference, least))
+    fit = settle(panel_rows(reference, genes))
+    mean, comp, _ = pca(fit, pcs, genes.count())
+    name = F.concat_ws("|", "sample", "cell_id").alias("id")
+    r = project(fit, mean, comp, "sample", "cell_id", name="v").join(labels.select("sample", "cell_id", "label"), ["sample", "cell_id"])
+    q = project(panel_rows(query, genes), mean, comp, "sample", "cell_id", name="v")
+    return transfer_labels(settle(q.select(name, "v")), settle(r.select(name, "v", "label")), k)
+
+
 def silhouettes(rows: DataFrame) -> DataFrame:
     """(id, label, silhouette) with Euclidean distance; rows have id, v, label. Sums per block pair, never all distances at once."""
 

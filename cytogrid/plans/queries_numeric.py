@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytogrid.operators import de, embed, graph, normalize, pseudobulk
+from cytogrid.operators.durable import settle
 from cytogrid.plans import views as V
 from cytogrid.plans.queries_core import rounded
 from cytogrid.plans.queries_stats import _FACTORS, named_bulks, normed
@@ -65,8 +66,8 @@ def modularity_given_labels(spark: SparkSession, d: str) -> DataFrame:
 def pca_variance(spark: SparkSession, d: str) -> DataFrame:
     """Explained variance of normalised counts; held against numpy in tests."""
     c = normalize.log_normalise(V.counts(spark, d))
-    genes = sorted(r[0] for r in V.genes(spark, d).collect())  # the gene panel
-    _, comp, ratio = embed.pca(embed.panel_vectors(c, genes), 10)
+    genes = V.genes(spark, d)
+    _, _, ratio = embed.pca(settle(embed.panel_rows(c, genes)), 10, genes.count())
     return spark.createDataFrame([(i + 1, float(x)) for i, x in enumerate(ratio)], "component int, explained double")
 
 
@@ -75,9 +76,9 @@ def pseudobulk_pca(spark: SparkSession, d: str) -> DataFrame:
     """Two components of pseudobulks at counts per million, with explained percent."""
     b = named_bulks(spark, d).select(F.lit("all").alias("sample"), F.col("bulk").alias("cell_id"), "gene", "count")
     v = normalize.log_normalise(b, 1e6)
-    genes = sorted(r[0] for r in v.groupBy("gene").agg(F.var_samp("value").alias("s")).where("s > 0").select("gene").collect())
-    vec = embed.panel_vectors(v, genes)
-    mean, comp, ratio = embed.pca(vec, 2)
+    genes = settle(v.groupBy("gene").agg(F.var_samp("value").alias("s")).where("s > 0").select("gene"))
+    vec = settle(embed.panel_rows(v, genes))
+    mean, comp, ratio = embed.pca(vec, 2, genes.count())
     p = embed.project(vec, mean, comp, "cell_id")
     return p.select(F.col("cell_id").alias("bulk"), F.get("pcs", F.lit(0)).alias("pc1"), F.get("pcs", F.lit(1)).alias("pc2"), F.lit(float(100 * ratio[0])).alias("pct1"), F.lit(float(100 * ratio[1])).alias("pct2"))
 

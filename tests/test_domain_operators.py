@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,6 +149,49 @@ def test_pca_against_numpy(spark):
     assert p == 80
 
 
+@pytest.mark.parametrize(("cells", "genes", "k"), [(60, 7, 3), (40, 5000, 4), (6, 30, 10)])
+def test_sparse_pca_against_numpy(spark, cells, genes, k):
+    """More columns than any matrix of column products should have, and fewer rows than components."""
+    rng = np.random.default_rng(10)
+    x = rng.poisson(2, (cells, genes)) * (rng.uniform(size=(cells, genes)) < 0.1) * (1.0 + 4 * (np.arange(genes) < 5))
+    x[:, 0] = rng.poisson(30, cells) + 1  # no cell without a value
+    values = spark.createDataFrame([("s", f"c{i:02d}", f"g{j:05d}", float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)], "sample string, cell_id string, gene string, value double")
+    panel = spark.createDataFrame([(f"g{j:05d}",) for j in range(genes)], "gene string")
+    rows = embed.panel_rows(values, panel)
+    mean, comp, ratio = embed.pca(rows, k, genes)
+    u, s, vt = np.linalg.svd(x - x.mean(0), full_matrices=False)
+    most = min(k, len(s) - (cells <= genes), genes)
+    assert mean == pytest.approx(x.mean(0)) and ratio[:most] == pytest.approx((s**2 / (s**2).sum())[:most], rel=1e-6)
+    assert np.abs((comp[:most] * vt[:most]).sum(1)) == pytest.approx(np.ones(most), abs=1e-5)
+    got = np.array([r["pcs"] for r in embed.project(rows, mean, comp, "cell_id").orderBy("cell_id").collect()])
+    assert got == pytest.approx((x - x.mean(0)) @ comp.T, abs=1e-8)
+
+
+@pytest.mark.parametrize("entries", [1, 3, 7, 1000])
+def test_slices_of_sparse_rows(entries, monkeypatch):
+    monkeypatch.setattr(embed, "ENTRIES", entries)
+    at = [[0, 2], [], [1], [0, 1, 2, 3], [], [3]]
+    b = pa.RecordBatch.from_arrays([pa.array(at, pa.list_(pa.int32())), pa.array([[float(10 * i + c) for c in r] for i, r in enumerate(at)], pa.list_(pa.float64()))], names=["at", "v"])
+    got, first = [], 0
+    for row, col, v, many in embed._slices(b):
+        got += list(zip((row + first).tolist(), col.tolist(), v.tolist(), strict=True))
+        first += many
+    assert first == len(at) and got == [(i, c, 10.0 * i + c) for i, r in enumerate(at) for c in r]
+
+
+def test_transfer_by_genes(spark):
+    rng = np.random.default_rng(11)
+    kind = np.arange(60) % 3
+    x = rng.poisson(1 + 8 * (np.arange(120)[None, :] % 3 == kind[:, None]))
+    long = [(("q" if i < 20 else "r"), f"c{i}", f"g{j}", float(x[i, j])) for i in range(60) for j in range(120) if x[i, j]]
+    v = spark.createDataFrame(long, "sample string, cell_id string, gene string, value double")
+    labels = spark.createDataFrame([("r", f"c{i}", f"t{kind[i]}") for i in range(20, 60)], "sample string, cell_id string, label string")
+    got = {r["id"]: r["label"] for r in embed.transfer_by_genes(v.where("sample = 'q'"), v.where("sample = 'r'"), labels, 5, 5).collect()}
+    assert got == {f"q|c{i}": f"t{kind[i]}" for i in range(20)}
+    with pytest.raises(ValueError, match="shared genes"):
+        embed.transfer_by_genes(v.where("sample = 'q'"), v.where("sample = 'r' AND gene < 'g2'"), labels)
+
+
 def test_silhouette_against_numpy(spark):
     rng = np.random.default_rng(5)
     lab = rng.integers(0, 3, 50)
