@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytogrid.operators import image, spatial
+from cytogrid.operators import image, spatial, subset
 from cytogrid.plans import views as V
 from cytogrid.plans.queries_core import rounded
 from cytogrid.plans.registry import query
@@ -54,19 +54,34 @@ def spatial_knn_edges(spark: SparkSession, d: str) -> DataFrame:
     return rounded(knn(spark, d), "d", to=5).drop("dx", "dy")
 
 
-@query(f"""WITH {_KNN}, deg AS (SELECT sample, x, count(*) AS d FROM (SELECT sample, u AS x FROM und UNION ALL SELECT sample, v FROM und) q GROUP BY 1, 2), p AS (SELECT sample, CAST(sum(d * (d - 1)) AS DOUBLE) AS p FROM deg GROUP BY 1), m AS (SELECT sample, CAST(count(*) AS DOUBLE) AS m FROM und GROUP BY 1),
+_ENRICHED = f"""{_KNN}, deg AS (SELECT sample, x, count(*) AS d FROM (SELECT sample, u AS x FROM und UNION ALL SELECT sample, v FROM und) q GROUP BY 1, 2), p AS (SELECT sample, CAST(sum(d * (d - 1)) AS DOUBLE) AS p FROM deg GROUP BY 1), m AS (SELECT sample, CAST(count(*) AS DOUBLE) AS m FROM und GROUP BY 1),
 sz AS (SELECT sample, label, CAST(count(*) AS DOUBLE) AS n FROM spots GROUP BY 1, 2), tt AS (SELECT sample, sum(n) AS nn FROM sz GROUP BY 1),
 seen AS (SELECT und.sample, least(a.label, b.label) AS i, greatest(a.label, b.label) AS j, count(*) AS observed FROM und JOIN spots a ON a.cell_id = u JOIN spots b ON b.cell_id = v GROUP BY 1, 2, 3),
 ful AS (SELECT a.sample, a.label AS i, b.label AS j, a.n AS ni, b.n AS nj, nn, p, m, m * (m - 1) - p AS q, coalesce(observed, 0) AS observed FROM sz a JOIN sz b ON a.sample = b.sample AND a.label <= b.label JOIN p ON p.sample = a.sample JOIN m ON m.sample = a.sample JOIN tt ON tt.sample = a.sample LEFT JOIN seen s ON s.sample = a.sample AND s.i = a.label AND s.j = b.label),
 e AS (SELECT *, CASE WHEN i = j THEN m * ni * (ni - 1) / (nn * (nn - 1)) ELSE 2 * m * ni * nj / (nn * (nn - 1)) END AS ex FROM ful),
 s2 AS (SELECT *, CASE WHEN i = j THEN ex + p * ni * (ni - 1) * (ni - 2) / (nn * (nn - 1) * (nn - 2)) + q * ni * (ni - 1) * (ni - 2) * (ni - 3) / (nn * (nn - 1) * (nn - 2) * (nn - 3))
  ELSE ex + p * ni * nj * (ni + nj - 2) / (nn * (nn - 1) * (nn - 2)) + 4 * q * ni * (ni - 1) * nj * (nj - 1) / (nn * (nn - 1) * (nn - 2) * (nn - 3)) END AS sq FROM e)
-SELECT sample, i, j, observed, round(ex, 6) AS expected, round(sqrt(greatest(sq - ex * ex, 0)), 5) AS sd, round((observed - ex) / nullif(sqrt(greatest(sq - ex * ex, 0)), 0), 4) AS z FROM s2""")
+SELECT sample, i, j, observed, round(ex, 6) AS expected, round(sqrt(greatest(sq - ex * ex, 0)), 5) AS sd, round((observed - ex) / nullif(sqrt(greatest(sq - ex * ex, 0)), 0), 4) AS z FROM s2"""
+
+
+@query(f"WITH {_ENRICHED}")
 def nhood_enrichment(spark: SparkSession, d: str) -> DataFrame:
     out = spatial.enrichment(spatial.undirected(knn(spark, d)), V.spots(spark, d), "label")
     return rounded(rounded(rounded(out, "expected"), "sd", to=5), "z", to=4)
 
 
+_REGION = "CASE WHEN vec_id % 7 = 0 THEN 'Bubble' WHEN vec_id % 2 = 0 THEN 'even' ELSE 'odd' END"
+
+
+@query(f"""WITH rs AS (SELECT *, {_REGION} AS region FROM spots WHERE label <> 'c0'), g AS (SELECT sample, region FROM rs WHERE region <> 'Bubble' GROUP BY 1, 2 HAVING count(*) >= 30 AND count(DISTINCT label) >= 2),
+parts AS (SELECT rs.sample || '|' || region AS sample, cell_id, x, y, label FROM rs JOIN g USING (sample, region)), {_ENRICHED.replace("spots", "parts")}""")
+def region_enrichment(spark: SparkSession, d: str) -> DataFrame:
+    """Enrichment within each region of each sample that has 30 cells and two labels; c0 stands for cells without annotation."""
+    parts = subset.by_region(V.spots(spark, d).withColumn("region", F.expr(_REGION)).withColumn("label", F.when(F.col("label") == "c0", "Unannotated").otherwise(F.col("label"))), "label", "region")
+    out = spatial.enrichment(spatial.undirected(spatial.knn(parts, K)), parts, "label")
+    return rounded(rounded(rounded(out, "expected"), "sd", to=5), "z", to=4)
+
+
 _CO = f"""{_KNN}, co AS (SELECT pr.sample, CAST(floor(d / 20) AS BIGINT) AS bin, a.label AS i, b.label AS j, count(*) AS n FROM pr JOIN spots a ON a.cell_id = src JOIN spots b ON b.cell_id = dst WHERE d <= 100 AND floor(d / 20) < 5 GROUP BY 1, 2, 3, 4),
 ratio AS (SELECT sample, bin, i, j, (n / CAST(sum(n) OVER (PARTITION BY sample, bin, i) AS DOUBLE)) / (sum(n) OVER (PARTITION BY sample, bin, j) / CAST(sum(n) OVER (PARTITION BY sample, bin) AS DOUBLE)) AS ratio FROM co)"""
 

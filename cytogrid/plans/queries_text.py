@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cytogrid.functions import text
-from cytogrid.operators import annotate, report
+from cytogrid.operators import annotate, compose, report, subset
 from cytogrid.plans import views as V
 from cytogrid.plans.queries_core import n_cells
 from cytogrid.plans.registry import query
@@ -134,3 +134,36 @@ def sample_page_composition(spark: SparkSession, d: str) -> DataFrame:
 
     pages = report.sample_pages(normalize.log_normalise(V.counts(spark, d)), V.cells(spark, d), ["none", "region_annotation"], "cell_type")
     return pages.where("part = 'composition'").withColumn("value", F.round("value", 6))
+
+
+@query("SELECT sample, cell_id, x, y FROM cells WHERE cell_type IN ('1-URGENT', '2-HIGH')")
+def compartment_cells(spark: SparkSession, d: str) -> DataFrame:
+    return subset.compartment(V.cells(spark, d), "cell_type", ["1-URGENT", "2-HIGH"]).select("sample", "cell_id", "x", "y")
+
+
+@query("WITH g AS (SELECT sample, niche FROM cells WHERE cell_type <> '5-LOW' GROUP BY 1, 2 HAVING count(*) >= 8 AND count(DISTINCT cell_type) >= 4) SELECT sample, niche, cell_id, cell_type FROM cells JOIN g USING (sample, niche) WHERE cell_type <> '5-LOW'")
+def mixed_groups(spark: SparkSession, d: str) -> DataFrame:
+    return subset.mixed_groups(V.cells(spark, d), ["sample", "niche"], "cell_type", 8, 4, ("5-LOW",)).select("sample", "niche", "cell_id", "cell_type")
+
+
+@query("SELECT sample, cell_id, 'x' AS gene, CAST(x AS DOUBLE) AS value FROM cells UNION ALL SELECT sample, cell_id, 'y', CAST(y AS DOUBLE) FROM cells")
+def pseudo_genes(spark: SparkSession, d: str) -> DataFrame:
+    return subset.pseudo_genes(V.cells(spark, d), ["x", "y"])
+
+
+@query("SELECT sample, n_cells, n_genes, round(n_cells * n_genes * 12.0 / 1e9, 9) AS gigabytes, n_cells * n_genes * 12.0 / 1e9 > 0.0002 AS too_large FROM (SELECT sample, count(DISTINCT cell_id) AS n_cells, count(DISTINCT gene) AS n_genes FROM counts GROUP BY 1) q")
+def dense_size(spark: SparkSession, d: str) -> DataFrame:
+    return subset.dense_size(V.counts(spark, d), 1, 0.0002).withColumn("gigabytes", F.round("gigabytes", 9))
+
+
+@query("SELECT sample, cell_id AS barcode, cell_type AS label FROM cells")
+def external_annotation(spark: SparkSession, d: str) -> DataFrame:
+    return subset.one_sample(V.cells(spark, d), ["cell_type"], F.col("sample"), "label")
+
+
+@query("SELECT label, row_number() OVER (ORDER BY TRY_CAST(label AS DOUBLE) NULLS LAST, label) AS place FROM (SELECT DISTINCT CASE WHEN label = 'c0' THEN label ELSE substr(label, 2) END AS label FROM spots) q")
+def numeric_label_order(spark: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    label = V.spots(spark, d).select(F.when(F.col("label") == "c0", F.col("label")).otherwise(F.substring("label", 2, 99)).alias("label")).distinct()
+    return label.select("label", F.row_number().over(Window.orderBy(*compose.numeric_order(F.col("label")))).alias("place"))

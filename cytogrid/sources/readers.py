@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,10 +131,37 @@ def write_stage(df: DataFrame, path: str) -> None:
 
 
 def write_table(df: DataFrame, path: str, header: dict[str, str] | None = None) -> None:
-    """A TSV with its provenance in a JSON beside it."""
+    """A TSV with its provenance, and when it was written, in a JSON beside it."""
     df.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
     if header is not None:
-        df.sparkSession.createDataFrame([(json.dumps(header, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.meta")
+        note = {"written": datetime.now(UTC).isoformat(timespec="seconds"), **header}
+        df.sparkSession.createDataFrame([(json.dumps(note, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.meta")
+
+
+def write_per_sample(df: DataFrame, path: str) -> None:
+    """A folder of TSV files per sample."""
+    df.write.mode("overwrite").partitionBy("sample").option("sep", "\t").option("header", True).csv(path)
+
+
+def scale_factors(spark: SparkSession, path: str) -> dict[str, float]:
+    """The numbers of a scale-factor JSON by name; raises where it is not one object of numbers."""
+    text = spark.read.text(path, wholetext=True).first()
+    got = json.loads(text["value"]) if text else None
+    if not isinstance(got, dict):
+        raise ValueError(f"{path} is not a JSON object")
+    return {k: float(v) for k, v in got.items() if isinstance(v, int | float) and not isinstance(v, bool)}
+
+
+def image_scale(sample: str, level: int, small: tuple[int, int], full: tuple[int, int], pixel_um: float) -> dict[str, str | int | float]:
+    """How a reduced image (height, width) relates to the full one and to micrometres."""
+    if small[0] <= 0 or full[0] <= 0:
+        raise ValueError("an image has a height above 0")
+    factor = full[0] / small[0]
+    return {"sample": sample, "level": level, "height": small[0], "width": small[1], "full_height": full[0], "full_width": full[1], "scale": factor, "pixel_um": pixel_um, "scaled_pixel_um": factor * pixel_um}
+
+
+def write_json(spark: SparkSession, fields: dict[str, str | int | float], path: str) -> None:
+    spark.createDataFrame([(json.dumps(fields),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_report(checks: DataFrame, passed: Column, path: str) -> bool:
