@@ -1,18 +1,21 @@
 """Configuration and the named targets: which tables a run makes, from a contract folder to its results.
 
 A configuration is a plain mapping (read from YAML); unknown keys and contradictions stop a run before any job. A target is a list of steps;
-each step reads tables by name and gives one, and per-sample or per-resolution work is a grouping column, not a job.
+each step reads tables by name and gives one, and per-sample work is a grouping column, not a job. What a configuration has no input for is skipped and
+says why; what reads a step that did not end well is blocked by it, and the rest goes on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytogrid.operators import annotate, compose, contract, markers, normalize, pseudobulk, qc, spatial
+from cytogrid.operators import annotate, compose, contract, de, embed, markers, normalize, pseudobulk, qc, signatures, spatial, subset
+from cytogrid.operators.durable import settle
 from cytogrid.sources import readers
 
 MODES = ("decoupled", "visium_hd", "xenium", "atera", "merscope")
@@ -36,6 +39,17 @@ class Config:
     neighbours: int = 6
     pseudobulk_min_cells: int = 10
     pseudobulk_min_counts: int = 1000
+    min_replicates: int = 2
+    components: int = 30
+    graph_neighbours: int = 15
+    resolutions: tuple[float, ...] = (0.5, 1.0)
+    integrated_resolution: float = 0.5
+    batch_groups: int = 8
+    distance_step: float = 20.0
+    distance_bins: int = 5
+    gene_lists: str | None = None
+    compartments: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    compartment_least: int = 50
     skip: tuple[str, ...] = field(default=())
 
     @classmethod
@@ -51,6 +65,10 @@ class Config:
             raise ValueError(f"mode is one of {', '.join(MODES)}")
         if bool(c.external_labels) != bool(c.external_label_column):
             raise ValueError("external_labels and external_label_column go together")
+        if not c.resolutions or min(c.resolutions) <= 0 or len(set(c.resolutions)) != len(c.resolutions):
+            raise ValueError("resolutions are different numbers above 0")
+        if not all(c.compartments.values()):
+            raise ValueError("a compartment lists the labels that it has")
         if bad := sorted(set(c.skip) - set(STEPS)):
             raise ValueError(f"no such steps: {', '.join(bad)}")
         return c
@@ -71,6 +89,63 @@ def _filtered(t: dict[str, DataFrame], c: Config) -> DataFrame:
     return qc.filter_chain(t["counts"], rows, c.mito_prefixes)
 
 
+def _enrichment(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    cells = subset.mixed_groups(t["cells"], ["sample"], c.cell_type, 50)
+    return spatial.enrichment(spatial.undirected(spatial.knn(cells, c.neighbours)), cells, c.cell_type)
+
+
+def _region_enrichment(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    cells = settle(subset.by_region(t["cells"], c.cell_type, c.condition))
+    return spatial.enrichment(spatial.undirected(spatial.knn(cells, c.neighbours)), cells, c.cell_type)
+
+
+def _niche_pcs(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    """Cells in the components of their own and their neighbours' expression, batches brought together."""
+    wide = settle(spatial.neighbour_features(t["normalised"], t["neighbours"]))
+    parts = ("own", "neighbour_mean", "gradient")
+    long = wide.unpivot(["sample", "cell_id", "gene"], list(parts), "part", "value").where("value <> 0").select("sample", "cell_id", F.concat_ws("|", "part", "gene").alias("gene"), "value")
+    pcs = embed.panel_pcs(settle(long), long.select("gene").distinct(), c.components)
+    return subset.integrated(settle(pcs.select(F.concat_ws("|", "sample", "cell_id").alias("id"), F.col("sample").alias("batch"), F.col("pcs").alias("v"))), c.batch_groups)
+
+
+def _niches(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    """(sample, cell_id, resolution, niche, niche_raw): clusters of niche_pcs, smoothed over the cells' neighbours."""
+    found = settle(subset.clusterings(t["niche_pcs"].select("id", "v"), c.resolutions, c.graph_neighbours))
+    cells = t["cells"].select("sample", "cell_id", F.concat_ws("|", "sample", "cell_id").alias("id"))
+    out = []
+    for r in sorted(c.resolutions):
+        labels = settle(cells.join(found.where(F.col("resolution") == float(r)).select("id", F.col("cluster").alias("niche")), "id").drop("id"))
+        out.append(spatial.refine(labels, t["neighbours"], "niche").withColumn("resolution", F.lit(float(r))))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _de(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    """Tests of the conditions that have enough pseudobulks, with p-values adjusted within each contrast."""
+    by = ["sample", c.condition]
+    kept = settle(pseudobulk.expressed(pseudobulk.replicate_gate(t["pseudobulk"], by, c.condition, c.min_replicates)))
+    levels = sorted(r[0] for r in kept.select(c.condition).distinct().collect())  # the names of conditions
+    if len(levels) < 2:
+        raise ValueError(f"{len(levels)} conditions with {c.min_replicates} pseudobulks; two are needed")
+    b = settle(pseudobulk.completed(kept, by).withColumn("bulk", F.concat_ws("|", *by)))
+    tests = de.nb_tests(b, pseudobulk.size_factors(b, "bulk"), "bulk", c.condition, levels)
+    return markers.adjust(tests.withColumn("p", markers.normal_two_sided("stat")), "p", ["contrast"])
+
+
+def _signatures(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    genes = t["normalised"].select("gene").distinct()
+    lists = signatures.present(readers.gene_lists(t["normalised"].sparkSession, str(c.gene_lists)), genes)
+    return signatures.aucell(t["normalised"], lists.select(F.col("entry").alias("source"), F.col("gene").alias("target")), genes.count())
+
+
+def _subclusters(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    """(compartment, branch, id, resolution, res_idx, cluster) of every compartment, each from its own counts."""
+    out = []
+    for name, labels in sorted(c.compartments.items()):
+        got = subset.reanalyse(t["filtered"], t["cells"], c.cell_type, labels, c.resolutions, c.components, c.graph_neighbours, c.mito_prefixes, c.compartment_least)
+        out.append(got["clusters"].select(F.lit(name).alias("compartment"), "*"))
+    return reduce(DataFrame.unionByName, out)
+
+
 #: name -> step(tables so far, config); in an order in which each finds what it reads.
 STEPS: dict[str, Callable[[dict[str, DataFrame], Config], DataFrame]] = {
     "validation": _gate,
@@ -79,18 +154,60 @@ STEPS: dict[str, Callable[[dict[str, DataFrame], Config], DataFrame]] = {
     "filtered": _filtered,
     "normalised": lambda t, c: normalize.log_normalise(t["filtered"]),
     "variable_genes": lambda t, c: normalize.highly_variable(t["normalised"], t["cells"].agg(F.count("*").alias("n_cells"))),
+    "pcs": lambda t, c: subset.pcs_of(t["filtered"], c.components),
+    "clusters": lambda t, c: subset.clusterings(t["pcs"].select("id", "v"), c.resolutions, c.graph_neighbours),
+    "cluster_tree": lambda t, c: compose.cluster_tree(t["clusters"], "id"),
+    "integrated": lambda t, c: subset.integrated(t["pcs"], c.batch_groups),
+    "integrated_clusters": lambda t, c: subset.clusterings(t["integrated"].select("id", "v"), [c.integrated_resolution], c.graph_neighbours),
     "neighbours": lambda t, c: spatial.knn(t["cells"], c.neighbours),
-    "enrichment": lambda t, c: spatial.enrichment(spatial.undirected(t["neighbours"]), t["cells"], c.cell_type),
+    "enrichment": _enrichment,
+    "region_enrichment": _region_enrichment,
+    "co_occurrence": lambda t, c: spatial.co_occurrence(t["cells"], c.cell_type, c.distance_step, c.distance_bins),
+    "niche_pcs": _niche_pcs,
+    "niches": _niches,
     "composition": lambda t, c: compose.row_percent(compose.crosstab(t["cells"], "sample", c.cell_type), "sample"),
     "markers": lambda t, c: markers.top_markers(markers.rank_sum(t["normalised"], t["cells"], c.cell_type), c.cell_type, 10),
     "dotplot": lambda t, c: markers.dot_stats(t["normalised"], t["cells"], F.col(c.cell_type)),
+    "signatures": _signatures,
     "majority": lambda t, c: annotate.majority_vote(t["cells"], c.condition, c.cell_type),
     "pseudobulk": lambda t, c: pseudobulk.aggregate(t["filtered"], pseudobulk.regions_only(t["cells"], c.condition), ["sample", c.condition], c.pseudobulk_min_cells, c.pseudobulk_min_counts),
+    "de": _de,
+    "de_summary": lambda t, c: de.summary(t["de"], "contrast"),
+    "subclusters": _subclusters,
+}
+#: What a step reads of other steps.
+READS = {
+    "qc_report": ("qc_metrics",),
+    "filtered": ("validation",),
+    "normalised": ("filtered",),
+    "variable_genes": ("normalised",),
+    "pcs": ("filtered",),
+    "clusters": ("pcs",),
+    "cluster_tree": ("clusters",),
+    "integrated": ("pcs",),
+    "integrated_clusters": ("integrated",),
+    "niche_pcs": ("normalised", "neighbours"),
+    "niches": ("niche_pcs", "neighbours"),
+    "markers": ("normalised",),
+    "dotplot": ("normalised",),
+    "signatures": ("normalised",),
+    "pseudobulk": ("filtered",),
+    "de": ("pseudobulk",),
+    "de_summary": ("de",),
+    "subclusters": ("filtered",),
+}
+#: Steps that need something of the configuration.
+NEEDS: dict[str, tuple[str, Callable[[Config], bool]]] = {
+    "signatures": ("no gene lists", lambda c: c.gene_lists is not None),
+    "subclusters": ("no compartments", lambda c: bool(c.compartments)),
+    "cluster_tree": ("one resolution", lambda c: len(c.resolutions) > 1),
 }
 TARGETS = {
-    "run_preprocessing": ("validation", "qc_metrics", "qc_report", "filtered", "normalised", "variable_genes"),
-    "run_postprocessing": ("neighbours", "enrichment", "composition", "markers", "majority", "pseudobulk"),
+    "run_preprocessing": ("validation", "qc_metrics", "qc_report", "filtered", "normalised", "variable_genes", "pcs", "clusters", "cluster_tree"),
+    "run_postprocessing": ("integrated", "integrated_clusters", "enrichment", "region_enrichment", "co_occurrence", "niches", "composition", "markers", "majority", "de", "de_summary"),
     "run_exploration": ("dotplot",),
+    "explore_genes": ("dotplot", "signatures"),
+    "subcluster_all": ("subclusters",),
     "qc_sweep_all": ("qc_metrics", "qc_report"),
 }
 TARGETS["all"] = tuple(STEPS)
@@ -98,31 +215,39 @@ TARGETS["all"] = tuple(STEPS)
 
 def needed(target: str) -> list[str]:
     """The steps of a target and those that they read, in order."""
-    reads = {"qc_report": ["qc_metrics"], "normalised": ["filtered"], "variable_genes": ["normalised"], "enrichment": ["neighbours"], "markers": ["normalised"], "dotplot": ["normalised"], "pseudobulk": ["filtered"], "filtered": ["validation"]}
     want, stack = set(), list(TARGETS[target])
     while stack:
         s = stack.pop()
         if s not in want:
             want.add(s)
-            stack += reads.get(s, [])
+            stack += READS.get(s, ())
     return [s for s in STEPS if s in want]
 
 
 def run(spark: SparkSession, config: Config, target: str = "all") -> dict[str, str]:
-    """Make a target's tables under config.out; per step "done", "skipped" or "failed: why". A failed gate stops what follows."""
+    """Make a target's tables under config.out, and "status" (step, status, reason): done, skipped, blocked by a step that it reads, or failed.
+
+    Returns step -> status, with the reason behind a colon. A failed gate stops what follows.
+    """
     t = readers.read_contract(spark, config.contract)
-    status: dict[str, str] = {}
+    status: dict[str, tuple[str, str]] = {}
     for name in needed(target):
+        lacking = next((r for r in READS.get(name, ()) if status[r][0] != "done"), None)
         if name in config.skip:
-            status[name] = "skipped"
-            continue
-        try:
-            df = STEPS[name](t, config)
-            df.write.mode("overwrite").parquet(f"{config.out}/{name}")
-            t[name] = spark.read.parquet(f"{config.out}/{name}")
-            status[name] = "done"
-        except Exception as e:
-            status[name] = f"failed: {str(e)[:200]}"
-            if name == "validation":
-                break
-    return status
+            status[name] = ("skipped", "by configuration")
+        elif name in NEEDS and not NEEDS[name][1](config):
+            status[name] = ("skipped", NEEDS[name][0])
+        elif lacking is not None:
+            status[name] = ("blocked", lacking)
+        else:
+            try:
+                df = STEPS[name](t, config)
+                df.write.mode("overwrite").parquet(f"{config.out}/{name}")
+                t[name] = spark.read.parquet(f"{config.out}/{name}")
+                status[name] = ("done", "")
+            except Exception as e:  # one step's failure is its own; those that read it are blocked
+                status[name] = ("failed", f"{type(e).__name__}: {str(e)[:200]}")
+                if name == "validation":
+                    break
+    spark.createDataFrame([(k, *v) for k, v in status.items()], "step string, status string, reason string").coalesce(1).write.mode("overwrite").parquet(f"{config.out}/status")
+    return {k: f"{a}: {b}" if b else a for k, (a, b) in status.items()}

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cytogrid.functions import text
-from cytogrid.operators import annotate, contract, de, embed, graph, markers, normalize, pseudobulk, qc, signatures, spatial
+from cytogrid.operators import annotate, contract, de, embed, graph, markers, normalize, pseudobulk, qc, signatures, spatial, subset
 from cytogrid.plans import workflow
 from cytogrid.sources import readers
 
@@ -293,6 +293,72 @@ def test_workflow(spark, counts, tmp_path):
     assert workflow.needed("run_exploration") == ["validation", "filtered", "normalised", "dotplot"]
 
 
+def test_workflow_of_a_study(spark, tmp_path):
+    """Two samples, two kinds of cells, two conditions: every step ends, says why it is left out, or blocks what reads it."""
+    rng = np.random.default_rng(12)
+    n, genes = 60, 40
+    kind = np.arange(2 * n) % 2
+    region = np.where(np.arange(2 * n) // 2 % 2 == 0, "r1", "r2")
+    x = rng.poisson(2 + 10 * (np.arange(genes)[None, :] % 2 == kind[:, None]) + 8 * ((np.arange(genes) < 4)[None, :] & (region == "r1")[:, None]))
+    name = [("s1" if i < n else "s2", f"c{i:03d}") for i in range(2 * n)]
+    spark.createDataFrame([(*name[i], f"g{j:02d}", int(x[i, j])) for i in range(2 * n) for j in range(genes) if x[i, j]], "sample string, cell_id string, gene string, count long").write.parquet(str(tmp_path / "in/counts"))
+    at = rng.uniform(0, 100, (2 * n, 2))
+    spark.createDataFrame([(*name[i], float(at[i, 0]), float(at[i, 1]), str(region[i]), f"t{kind[i]}") for i in range(2 * n)], "sample string, cell_id string, x double, y double, region_annotation string, cell_type string").write.parquet(str(tmp_path / "in/cells"))
+    spark.createDataFrame([(f"g{j:02d}",) for j in range(genes)], "gene string").write.parquet(str(tmp_path / "in/genes"))
+    (tmp_path / "lists.tsv").write_text("even\todd\ng00\tg01\ng02\tg03\n")
+    raw = {"contract": str(tmp_path / "in"), "out": str(tmp_path / "out"), "components": 4, "graph_neighbours": 8, "resolutions": [0.5], "pseudobulk_min_counts": 1, "gene_lists": str(tmp_path / "lists.tsv"), "compartments": {"first": ["t0"], "none": ["t9"]}}
+    raw["skip"] = ["variable_genes", "qc_report", "niche_pcs", "integrated"]
+    got = workflow.run(spark, workflow.Config.of(raw))
+    odd = {k: v for k, v in got.items() if v != "done"}
+    skipped = "skipped: by configuration"
+    assert odd.pop("subclusters").startswith("failed: ValueError: 0 cells of t9")
+    assert odd == {**dict.fromkeys(raw["skip"], skipped), "niches": "blocked: niche_pcs", "integrated_clusters": "blocked: integrated", "cluster_tree": "skipped: one resolution"}
+    read = lambda t: spark.read.parquet(str(tmp_path / "out" / t))
+    assert read("status").count() == len(got)
+    of = {(f"{s}|{c}"): int(k) for (s, c), k in zip(name, kind, strict=True)}
+    met = {(r["cluster"], of[r["id"]]) for r in read("clusters").collect()}
+    assert len({k for k, _ in met}) == len(met) >= 2  # no cluster mixes the kinds
+    raised = {r["gene"] for r in read("de").where("contrast = 'r1_vs_r2' AND padj < 0.05 AND log2fc > 0.5").collect()}
+    assert {"g00", "g01", "g02", "g03"} <= raised and len(raised) < 8
+    assert {r["source"] for r in read("signatures").collect()} == {"even", "odd"}
+    with pytest.raises(ValueError, match="labels"):
+        workflow.Config.of({**raw, "compartments": {"a": []}})
+
+
+def test_reanalysis_and_niches(spark, tmp_path):
+    rng = np.random.default_rng(13)
+    kind = np.arange(60) // 2 % 2
+    x = rng.poisson(1 + 12 * (np.arange(30)[None, :] % 2 == kind[:, None]))
+    name = [(f"s{i % 2}", f"c{i:02d}") for i in range(60)]
+    counts = spark.createDataFrame([(*name[i], f"g{j:02d}", int(x[i, j])) for i in range(60) for j in range(30) if x[i, j]], "sample string, cell_id string, gene string, count long")
+    # the kinds lie side by side, far apart
+    cells = spark.createDataFrame([(*name[i], float(i % 10 + 100 * kind[i]), float(i // 10), "t") for i in range(60)], "sample string, cell_id string, x double, y double, cell_type string")
+    c = workflow.Config(contract="", out="", components=3, graph_neighbours=6, resolutions=(0.3,), batch_groups=2)
+    t = {"cells": cells, "normalised": normalize.log_normalise(counts), "neighbours": spatial.knn(cells, 4)}
+    t["niche_pcs"] = workflow._niche_pcs(t, c)
+    of = {f"{s}|{i}": int(k) for (s, i), k in zip(name, kind, strict=True)}
+    met = {(r["niche"], of[f"{r['sample']}|{r['cell_id']}"]) for r in workflow._niches(t, c).collect()}
+    assert len({k for k, _ in met}) == len(met) >= 2
+    got = subset.reanalyse(counts, cells, "cell_type", ["t"], [0.3], 3, 6)
+    assert {r["branch"] for r in got["pcs"].select("branch").distinct().collect()} == {"plain", "corrected"}
+    assert got["clusters"].groupBy("branch").count().where("count = 60").count() == 2 and got["qc"].count() == 60
+
+
+def test_scale_and_per_sample_files(spark, tmp_path):
+    fields = readers.image_scale("s", 2, (100, 50), (400, 200), 0.25)
+    assert fields["scale"] == 4 and fields["scaled_pixel_um"] == 1
+    readers.write_json(spark, fields, str(tmp_path / "m"))
+    assert readers.scale_factors(spark, str(tmp_path / "m"))["full_width"] == 200
+    (tmp_path / "l.json").write_text("[1]")
+    with pytest.raises(ValueError, match="object"):
+        readers.scale_factors(spark, str(tmp_path / "l.json"))
+    df = spark.createDataFrame([("a", "1", "x"), ("b", "2", "y")], "sample string, barcode string, niche string")
+    readers.write_per_sample(df, str(tmp_path / "n"))
+    assert sorted(p.name for p in (tmp_path / "n").glob("sample=*")) == ["sample=a", "sample=b"]
+    with pytest.raises(ValueError, match="no columns"):
+        subset.one_sample(df, ["z"], F.col("sample"))
+
+
 def test_delaunay(spark):
     rng = np.random.default_rng(8)
     p = rng.uniform(0, 10, (50, 2))
