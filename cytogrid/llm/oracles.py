@@ -92,4 +92,34 @@ WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DO
 s AS (SELECT q.vec_id AS query_id, e.vec_id, CAST(list_dot_product(q.v, e.v) AS BIGINT) AS score FROM e q JOIN e ON q.vec_id % 20 = 0 AND e.vec_id <> q.vec_id)
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) q WHERE rank <= 20"""
 
-SQL = {"op2_line_dedup": OP2, "op5_url_templates": OP5, "op7_source_mixing": OP7, "op8_host_rules": OP8, "op9_exact_top_k": OP9}
+_START = "sha256('3:' || CAST(vec_id AS VARCHAR)), v"
+
+
+def _lloyd_round(i: int) -> str:
+    """The nearest of the centroids of round ``i`` for each vector, and the centroids after it; all sums are whole numbers below 2^53."""
+    return f"""p{i} AS MATERIALIZED (SELECT r, any_value(vec_id) AS vec_id, any_value(k.v) AS v, min({{'d': CAST(list_dot_product(k.v, k.v) - 2 * list_dot_product(k.v, c.v) + list_dot_product(c.v, c.v) AS BIGINT), 'c': cluster}}) AS best FROM kept k, c{i} c GROUP BY r),
+s{i} AS (SELECT cluster, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (SELECT best.c AS cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM p{i}) q GROUP BY 1, 2),
+m{i} AS (SELECT cluster, list(CAST((s - ((s % n + n) % n)) // n AS DOUBLE) ORDER BY i) AS v FROM s{i} GROUP BY 1),
+c{i + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m USING (cluster))"""
+
+
+OP11 = f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY {_START}) - 1 AS INT) AS cluster, v FROM (SELECT vec_id, v FROM kept WHERE vec_id IS NOT NULL ORDER BY {_START} LIMIT 8) q),
+{("," + chr(10)).join(_lloyd_round(i) for i in range(11))}
+SELECT vec_id, best.c AS cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(c.v, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256 FROM p10 JOIN c10 c ON c.cluster = best.c"""
+
+_MARKS = r"<\||</?s>|<</?SYS>>|\[/?INST\]"
+
+#: An escaped text is longer by one for each backslash and by two for each control string.
+OP12 = rf"""
+WITH t AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+c AS (SELECT conv_id, turn, coalesce(role, '') AS role, role = 'assistant' AS spoken, coalesce(text, '') AS text FROM t),
+e AS (SELECT *, length(text) + length(text) - length(replace(text, chr(92), '')) + 2 * len(regexp_extract_all(text, '{_MARKS}')) AS long,
+  length(role) + length(role) - length(replace(replace(role, chr(92), ''), chr(10), '')) + 2 * len(regexp_extract_all(role, '{_MARKS}')) AS wide FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (WHERE spoken), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE spoken), '')) AS loss_sha256, CAST(sum(12 + wide + 1 + long + 11) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id"""
+
+SQL = {"op2_line_dedup": OP2, "op5_url_templates": OP5, "op7_source_mixing": OP7, "op8_host_rules": OP8, "op9_exact_top_k": OP9, "op11_lloyd_clusters": OP11, "op12_chat_format": OP12}

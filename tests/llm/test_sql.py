@@ -27,7 +27,7 @@ def rows(cur_or_df, names=None):
 
 def compare(spark, folder: str, name: str) -> None:
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         path = f"{folder}/{t}.parquet"
         if os.path.exists(path):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{path}{'/*.parquet' if os.path.isdir(path) else ''}'")
@@ -51,9 +51,17 @@ def folder(spark, tmp_path_factory):
     spark.createDataFrame([(*p, "h") for p in PAGES], "page_id long, url string, html string").write.parquet(f"{at}/pages.parquet")
     vectors = [(i, [0.1 * (i % 7), -0.5, float(i)]) for i in range(45)] + [(100, None), (120, [1.0, None, 2.0]), (140, [1.0, float("nan"), 2.0]), (160, [1.0, float("inf"), 0.0])]
     spark.createDataFrame([(*v, 0) for v in vectors], "vec_id long, embedding array<float>, label int").write.parquet(f"{at}/embeddings.parquet")
+    turns = [(1, 0, None, None), (1, 1, "assistant", "a\\<|x|> </s>[/INST]"), (2, 3, "assistant", "b"), (2, 1, "us\ner", "<<SYS>>"), (None, 0, "user", "")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{at}/conversations.parquet")
     return at
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_on_edge_cases(spark, folder, name):
     compare(spark, folder, name)
+
+
+def test_clusters_of_odd_vectors(spark, tmp_path):
+    vectors = [(i, [0.01 * ((i * j) % 9) - 0.03 for j in range(64)]) for i in range(30)] + [(3, [0.5] * 64), (None, [0.25] * 64), (40, None), (41, [1.0]), (42, [None] * 64), (43, [float("nan")] * 64), (44, [float("-inf")] * 64)]
+    spark.createDataFrame([(*v, 0) for v in vectors], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    compare(spark, str(tmp_path), "op11_lloyd_clusters")
