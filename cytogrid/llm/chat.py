@@ -62,23 +62,35 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(role), unescape(text)) for role, text in turns]
 
 
+def _linear(rows: DataFrame, id_col: str, turn_col: str, *others: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows with their tree and stretch of turns, and per stretch its number of rows and of those before it in the tree."""
+    tree = F.coalesce(F.concat(F.lit("s"), col(id_col).cast("string")), F.lit("n"))
+    r = rows.select(tree.alias("tree"), col(turn_col).cast("long").alias("turn"), *others).withColumn("stretch", F.floor(F.col("turn") / CHUNK))
+    counts = r.groupBy("tree", "stretch").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("tree").orderBy(F.col("stretch").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    return r, counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+
 def linear(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """Conversations without parents as trees of one path: each row's parent is the row before it.
 
     Rows are numbered within stretches of turns, and a stretch begins where the counts of the earlier ones end, so no conversation is sorted in one task.
     """
-    tree = F.coalesce(F.concat(F.lit("s"), col(id_col).cast("string")), F.lit("n"))
-    r = rows.select(tree.alias("tree"), col(turn_col).cast("long").alias("turn"), col(role_col).cast("string").alias("role"), col(text_col).cast("string").alias("text"))
-    r = r.withColumn("stretch", F.floor(F.col("turn") / CHUNK))
-    counts = r.groupBy("tree", "stretch").agg(F.count("*").alias("n"))
-    first = F.coalesce(F.sum("n").over(Window.partitionBy("tree").orderBy(F.col("stretch").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    begin = counts.select(F.col("tree").alias("t"), F.col("stretch").alias("s"), first.alias("first"))
-    order = Window.partitionBy("tree", "stretch").orderBy("turn", F.col("role").asc_nulls_first(), F.xxhash64("text"), F.col("text").asc_nulls_first())
+    r, counts = _linear(rows, id_col, turn_col, col(role_col).cast("string").alias("role"), col(text_col).cast("string").alias("text"))
+    order = Window.partitionBy("tree", "stretch").orderBy("turn", blank_if_null(F.col("role")), blank_if_null(F.col("text")))
+    begin = counts.select(F.col("tree").alias("t"), F.col("stretch").alias("s"), "first")
     met = r.withColumn("nth", F.row_number().over(order)).join(begin, (F.col("tree") == F.col("t")) & F.col("stretch").eqNullSafe(F.col("s")))
     at = F.col("first") + F.col("nth") - 1
     return met.select("tree", at.cast("string").alias("node"), F.when(at > 0, (at - 1).cast("string")).alias("parent"), F.lit(0.0).alias("score"), "role", "text")
 
 
+def linear_keys(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "turn") -> DataFrame:
+    """(tree, node, parent, score) of ``linear``, from the stretches' counts alone."""
+    _, counts = _linear(rows, id_col, turn_col)
+    at = counts.select("tree", F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("at"))
+    return at.select("tree", F.col("at").cast("string").alias("node"), F.when(F.col("at") > 0, (F.col("at") - 1).cast("string")).alias("parent"), F.lit(0.0).alias("score"))
+
+
 def messages(rows: DataFrame, tree_col: str, node_col: str, parent_col: str, role_col: str, text_col: str, score: Column) -> DataFrame:
     """Rows of a reply tree as (tree, node, parent, score, role, text), one per node; keys begin with s, that of null is n."""
     text = lambda c: col(c).cast("string")
@@ -122,12 +134,12 @@ def paths(keys: DataFrame, top: int = 1) -> DataFrame:
     return met
 
 
-def conversations(trees: DataFrame, top: int = 1) -> DataFrame:
+def conversations(trees: DataFrame, keys: DataFrame | None = None, top: int = 1) -> DataFrame:
     """Per chosen path: tree, leaf, rank, score, n_turns, formatted, loss (array of start and end).
 
-    ``trees`` as ``linear`` and ``messages`` give them.
+    ``trees`` as ``linear`` and ``messages`` give them; ``keys``, if given, are their keys and scores made without the texts.
     """
-    keys = materialize(trees.select("tree", "node", "parent", "score"))
+    keys = materialize((trees if keys is None else keys).select("tree", "node", "parent", "score"))
     on = paths(keys, top).join(trees.select("tree", "node", "role", "text"), ["tree", "node"])
     role, text = escape_role(blank_if_null(F.col("role"))), escape(blank_if_null(F.col("text")))
     path = ["tree", "leaf", "rank", "score"]

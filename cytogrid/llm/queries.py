@@ -98,7 +98,8 @@ def read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise(chat.ASSISTANT).alias("role"), F.lit(HOSTILE).alias("text"))
-    out = chat.conversations(chat.linear(rows.select("conv_id", "turn", "role", "text").unionByName(added)))
+    rows = rows.select("conv_id", "turn", "role", "text").unionByName(added)
+    out = chat.conversations(chat.linear(rows), chat.linear_keys(rows))
     back = out.select("tree", "formatted", "loss").mapInArrow(read_back, "tree string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
     conv_id = F.when(F.col("tree") != "n", F.expr("substr(tree, 2)")).cast("long").alias("conv_id")
     return back.select(conv_id, *back.columns[1:])

@@ -95,9 +95,9 @@ def test_escape_is_reversible(spark):
 
 def plain_rows(rows):
     """Digest columns straight from the messages."""
-    out, low = [], ""
+    out = []
     for c in {r[0] for r in rows}:
-        own = sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is None, r[1] or 0, r[2] is not None, r[2] or low, r[3] is not None, r[3] or low))
+        own = sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is None, r[1] or 0, r[2] or "", r[3] or ""))
         said = "".join(r[3] or "" for r in own if r[2] == "assistant")
         out.append((c, len(own), sha("".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own)), len(said), sha(said)))
     return sorted(out, key=repr)
@@ -105,15 +105,11 @@ def plain_rows(rows):
 
 def test_conversations_are_read_back(spark, tmp_path):
     rows = [(1, k, ("user", "assistant")[k % 2], t) for k, t in enumerate(HOSTILE)] + [(2, 0, None, None), (2, None, "assistant", "late"), (3, 5, "ro\nle\\n", "x"), (3, 2, "assistant", None), (None, 0, "user", "no id")]
-    rows += [(4, k, ("user", "assistant")[k % 2], f"t{k}") for k in range(700)] + [(5, 1, "assistant", "same")] * 3 + [(5, 1, "assistant", None), (5, 1, "user", "same")]
+    rows += [(4, k, ("user", "assistant")[k % 2], f"t{k}") for k in range(700)] + [(5, 1, "assistant", "same")] * 3 + [(5, 1, "assistant", None), (5, 1, "user", "same"), (5, 1, None, "z"), (5, 1, "", "a")]
     at = str(tmp_path)
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3).write.parquet(f"{at}/conversations.parquet")
     got = sorted(((r["conv_id"], r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in queries.op12_chat_format(spark, at).collect()), key=repr)
-    # rows that tie in turn and role come in order of a digest of the text
-    loose = {c for c, *_ in got if c == 5}
-    want = plain_rows([*rows, (-1, 0, "user", queries.HOSTILE), (-1, 1, "assistant", queries.HOSTILE)])
-    assert [g for g in got if g[0] not in loose] == [w for w in want if w[0] not in loose]
-    assert [g[:2] + g[3:4] for g in got if g[0] in loose] == [w[:2] + w[3:4] for w in want if w[0] in loose]
+    assert got == plain_rows([*rows, (-1, 0, "user", queries.HOSTILE), (-1, 1, "assistant", queries.HOSTILE)])
 
 
 def plain_paths(nodes, top: int):
@@ -163,7 +159,8 @@ def test_formatted_tree(spark):
 def test_conversation_columns_may_clash(spark):
     rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b")]
     d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    plain, clash = (chat.conversations(chat.linear(x)).collect() for x in (d, clashing(d)))
+    plain, clash = (chat.conversations(chat.linear(x), chat.linear_keys(x)).collect() for x in (d, clashing(d)))
+    assert plain == chat.conversations(chat.linear(d)).collect()
     assert plain == clash and plain[0]["n_turns"] == 2
     assert chat.conversations(chat.linear(d.limit(0))).count() == 0
 
