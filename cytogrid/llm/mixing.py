@@ -72,7 +72,8 @@ def _drawn(docs: DataFrame, carried: Column, id_col: str, text_col: str, source_
     source = col(source_col).cast("string")
     sized = materialize(docs.select(carried.alias("carried"), F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("skey"), source.alias("source"), n_words(text).alias("size"), _digest(key).alias("digest"), col(id_col).alias("id"), F.xxhash64(text).alias("th")))
     splits = max(least_splits, sized.count() // ROWS_PER_SPLIT)
-    sized = sized.withColumn("split", F.col("digest") % splits)
+    # ranges of digests, so that the order is (digest, id, text) for any number of splits
+    sized = sized.withColumn("split", F.shiftright(F.col("digest") * splits, 32))
     cells = materialize(sized.groupBy("skey", "size", "split").agg(F.count("*").alias("n"), F.first("source").alias("source")))
     totals = cells.groupBy("skey").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.first("source").alias("source"))
     targets = source_targets(totals.drop("skey"), weights, most_copies).withColumn("skey", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from cytogrid.llm.mixing import LEAST_SPLITS, ROWS_PER_SPLIT
 from cytogrid.llm.url_templates import ENOUGH, MOST_CHILDREN, PRIOR, RARE, REJECT, RULES, SIMILAR_Z
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -66,7 +65,7 @@ lv AS (SELECT *, ((SELECT sum(source_size) FROM w) - 3 * coalesce(sum(source_siz
   FROM w WINDOW r AS (ORDER BY source_size / CAST(w AS DOUBLE), ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 fr AS (SELECT level FROM lv WHERE level * w <= 3 * source_size ORDER BY source_size / CAST(w AS DOUBLE), ord LIMIT 1),
 t AS (SELECT skey, source, source_size, least(coalesce((SELECT level FROM fr) * w, 0.0), CAST(3 * source_size AS DOUBLE)) AS target FROM lv),
-x AS (SELECT d.doc_id, d.size, t.*, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate, row_number() OVER (PARTITION BY d.skey ORDER BY d.size, d.digest % greatest({LEAST_SPLITS}, (SELECT count(*) FROM d) // {ROWS_PER_SPLIT}), d.digest, d.doc_id) AS rank FROM d JOIN t ON t.skey = d.skey),
+x AS (SELECT d.doc_id, d.size, t.*, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate, row_number() OVER (PARTITION BY d.skey ORDER BY d.size, d.digest, d.doc_id) AS rank FROM d JOIN t ON t.skey = d.skey),
 u AS (SELECT skey, CAST(CAST('0x' || substr(md5(coalesce(source, '') || ':0'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 AS u FROM t)
 SELECT x.doc_id, x.size, x.source_size, x.target, CAST(size * (floor(rank * rate + u) - floor((rank - 1) * rate + u)) AS BIGINT) AS taken FROM x JOIN u ON u.skey = x.skey"""
 

@@ -172,13 +172,17 @@ def test_mixing(docs, empty):
     largest = max(size(t) for t in TEXTS)
     assert all(abs(taken[s] - target[s]) <= largest for s in order)
     assert sorted(map(str, got)) == sorted(map(str, mixing.mix(docs.repartition(5), least_splits=2).collect()))
+    # splits only spread the work
+    strings = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    for d in (docs, strings):
+        assert sorted(map(str, mixing.mix(d, least_splits=64).collect())) == sorted(map(str, mixing.mix(d, least_splits=67).collect()))
     # one offset per source, and boundaries crossed by rank: copies of documents of one source differ by one at most
     for source in order:
         own = {r["copies"] for r in got if r["source"] == source}
         assert max(own) - min(own) <= 1
     emitted = Counter(r["text"] for r in mixing.mixed_documents(docs, least_splits=2).collect())
     assert sum(emitted.values()) == sum(r["copies"] for r in got)
-    named = mixing.mix(docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")), least_splits=2)
+    named = mixing.mix(strings, least_splits=2)
     assert named.count() == len(got)
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).columns == empty.columns
 
