@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Words in channel names that give a role, in order of precedence (fixed values of the data format).
-CHANNEL_ROLES = (("dapi", "nuclear"), ("nucle", "nuclear"), ("rna", "rna"), ("18s", "rna"), ("membrane", "membrane"), ("boundary", "membrane"), ("cyto", "cytoplasm"))
+#: Roles in order of precedence, and the words in channel names that give them (fixed values of the data format).
+CHANNEL_ROLES = (
+    ("nuclear", ("dapi", "nucl", "hoechst")),
+    ("rna", ("18s", "rna", "interior")),
+    ("membrane", ("boundary", "membrane", "atp1a1", "cadherin", "e-cad", "ecad", "cd45")),
+    ("cytoplasm", ("alphasma", "sma", "vimentin", "actin", "cytoplasm")),
+)
+
 
 
 def cell_key(cell_id: Column) -> Column:
@@ -46,10 +52,9 @@ def annotation_name(column: Column) -> Column:
 
 
 def channel_role(name: Column) -> Column:
-    low, out = F.lower(name), None
-    for word, role in CHANNEL_ROLES:
-        out = F.when(low.contains(word), role) if out is None else out.when(low.contains(word), role)
-    return out
+    """The first role one of whose words is in the name, in any letter case; null where none is."""
+    low = F.lower(name)
+    return F.coalesce(*[F.when(F.greatest(*[low.contains(w) for w in words]), role) for role, words in CHANNEL_ROLES])
 
 
 def class_name(classification: Column, key: str = "$.name", default: str = "Unlabeled") -> Column:

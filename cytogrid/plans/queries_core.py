@@ -277,10 +277,11 @@ def cluster_tree_edges(spark: SparkSession, d: str) -> DataFrame:
     return rounded(compose.cluster_tree(labels), "share")
 
 
-@query("""SELECT label, row_number() OVER (ORDER BY TRY_CAST(label AS DOUBLE) NULLS LAST, label) AS place, CASE label WHEN '10' THEN 0 WHEN 'b' THEN 1 ELSE 2 END AS config_place, CASE label WHEN 'a' THEN '#111111' ELSE '#cccccc' END AS colour
-FROM (VALUES ('10'), ('9'), ('b'), ('a'), ('007')) AS t(label)""")
+@query("""WITH t AS (SELECT DISTINCT CASE WHEN p_size % 3 = 0 THEN p_brand WHEN p_size % 3 = 1 THEN CAST(p_size AS VARCHAR) ELSE lpad(CAST(p_size AS VARCHAR), 4, '0') END AS label FROM part)
+SELECT label, row_number() OVER (ORDER BY TRY_CAST(label AS DOUBLE) NULLS LAST, label) AS place, CASE label WHEN '10' THEN 0 WHEN 'Brand#13' THEN 1 ELSE 2 END AS config_place, CASE label WHEN '0005' THEN '#111111' ELSE '#cccccc' END AS colour FROM t""")
 def label_ordering(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window
 
-    t = spark.createDataFrame([(x,) for x in ("10", "9", "b", "a", "007")], "label string")
-    return t.select("label", F.row_number().over(Window.orderBy(*compose.numeric_order(F.col("label")))).alias("place"), compose.level_order(F.col("label"), ["10", "b"]).alias("config_place"), compose.palette(F.col("label"), {"a": "#111111"}).alias("colour"))
+    size = F.col("p_size").cast("string")
+    t = V.table(spark, d, "part").select(F.when(F.col("p_size") % 3 == 0, F.col("p_brand")).when(F.col("p_size") % 3 == 1, size).otherwise(F.lpad(size, 4, "0")).alias("label")).distinct()
+    return t.select("label", F.row_number().over(Window.orderBy(*compose.numeric_order(F.col("label")))).alias("place"), compose.level_order(F.col("label"), ["10", "Brand#13"]).alias("config_place"), compose.palette(F.col("label"), {"0005": "#111111"}).alias("colour"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cytogrid.operators import de, markers, normalize, pseudobulk, qc, signatures
@@ -238,9 +238,14 @@ def lists(spark: SparkSession) -> DataFrame:
     return signatures.entries(spark.createDataFrame(LISTS, "`hot-ring` string, warm string, rouge string"))
 
 
-@query(f"WITH {_LISTS_SQL} SELECT entry, CASE WHEN count(*) = 1 AND any_value(gene) = entry THEN 'gene' ELSE 'signature' END AS kind, count(*) AS n FROM lists GROUP BY entry")
+@query("""WITH l AS (SELECT 'hot' AS entry, CASE WHEN p_name LIKE 'hot%' THEN p_name END AS gene FROM part UNION ALL SELECT 'large', CASE WHEN p_size > 40 THEN trim(p_brand || ' ') ELSE ' ' END FROM part UNION ALL SELECT 'Brand#13', max(p_brand) FILTER (WHERE p_brand = 'Brand#13') FROM part)
+SELECT entry, CASE WHEN count(*) = 1 AND any_value(gene) = entry THEN 'gene' ELSE 'signature' END AS kind, count(*) AS n FROM l WHERE trim(gene) <> '' GROUP BY entry""")
 def column_list_unpivot(spark: SparkSession, d: str) -> DataFrame:
-    return signatures.kinds(lists(spark))
+    """Gene lists written from the parts: two signatures with blanks between, and an entry that lists itself."""
+    p, first = V.table(spark, d, "part"), Window.partitionBy("p_brand").orderBy("p_partkey")
+    alone = F.when((F.col("p_brand") == "Brand#13") & (F.row_number().over(first) == 1), F.col("p_brand"))
+    wide = p.select(F.when(F.col("p_name").startswith("hot"), F.col("p_name")).alias("hot"), F.when(F.col("p_size") > 40, F.concat("p_brand", F.lit(" "))).otherwise(" ").alias("large"), alone.alias("Brand#13"))
+    return signatures.kinds(signatures.entries(wide))
 
 
 @query(f"WITH {_LISTS_SQL} SELECT entry, gene FROM lists SEMI JOIN genes USING (gene)")

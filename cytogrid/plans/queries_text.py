@@ -52,16 +52,26 @@ def name_functions(spark: SparkSession, d: str) -> DataFrame:
     return V.table(spark, d, "part").select("p_name", text.file_safe(n).alias("safe"), F.lit("hot").alias("word"), F.when(n.startswith("hot"), "T").otherwise("F").alias("prefixed"), text.annotation_name(F.concat(F.lit("cell_type_"), "p_brand")).alias("ann"), text.file_safe(F.concat(n, F.lit("#")), True).alias("strict")).distinct()
 
 
-@query("""SELECT name, CASE WHEN lower(name) LIKE '%dapi%' OR lower(name) LIKE '%nucle%' THEN 'nuclear' WHEN lower(name) LIKE '%rna%' OR lower(name) LIKE '%18s%' THEN 'rna' WHEN lower(name) LIKE '%membrane%' OR lower(name) LIKE '%boundary%' THEN 'membrane' WHEN lower(name) LIKE '%cyto%' THEN 'cytoplasm' END AS role
-FROM (VALUES ('DAPI'), ('18S rRNA'), ('Boundary 1'), ('cytoplasm RNA'), ('other')) AS t(name)""")
+#: Names of image channels as vendors write them, dealt to the parts.
+CHANNELS = ("DAPI", "Hoechst", "ATP1A1/CD45/E-Cadherin", "18S", "18S rRNA", "Interior RNA", "AlphaSMA/Vimentin", "Boundary 1", "cytoplasm RNA", "Cyto", "beta-Actin", "PolyT")
+
+
+@query(f"""WITH c AS (SELECT DISTINCT list_extract({list(CHANNELS)!r}, CAST(p_partkey % {len(CHANNELS)} AS INT) + 1) || ' ' || p_brand AS name FROM part)
+SELECT name, CASE WHEN regexp_matches(name, '(?i)dapi|nucl|hoechst') THEN 'nuclear' WHEN regexp_matches(name, '(?i)18s|rna|interior') THEN 'rna' WHEN regexp_matches(name, '(?i)boundary|membrane|atp1a1|cadherin|e-cad|ecad|cd45') THEN 'membrane'
+ WHEN regexp_matches(name, '(?i)alphasma|sma|vimentin|actin|cytoplasm') THEN 'cytoplasm' END AS role FROM c""")
 def channel_roles(spark: SparkSession, d: str) -> DataFrame:
-    t = spark.createDataFrame([(x,) for x in ("DAPI", "18S rRNA", "Boundary 1", "cytoplasm RNA", "other")], "name string")
+    channel = F.element_at(F.array(*[F.lit(c) for c in CHANNELS]), (F.col("p_partkey") % len(CHANNELS) + 1).cast("int"))
+    t = V.table(spark, d, "part").select(F.concat_ws(" ", channel, "p_brand").alias("name")).distinct()
     return t.select("name", text.channel_role(F.col("name")).alias("role"))
 
 
-@query("SELECT unnest(CAST([0.2, 0.3, 0.4, 0.5, 0.6] AS DOUBLE[])) AS resolution")
+@query("WITH l AS (SELECT s_suppkey, (s_suppkey % 5 + 1) / 10.0 AS low, (s_suppkey % 7) AS steps, CASE WHEN s_suppkey % 2 = 0 THEN 0.1 ELSE 0.25 END AS step FROM supplier) SELECT s_suppkey, round(CAST(low + unnest(range(steps + 1)) * step AS DOUBLE), 10) AS resolution FROM l")
 def resolution_ladder(spark: SparkSession, d: str) -> DataFrame:
-    return spark.range(1).select(F.explode(text.ladder(F.lit(0.2), F.lit(0.6), F.lit(0.1))).alias("resolution"))
+    """A ladder for each supplier's own limits and step."""
+    k = F.col("s_suppkey")
+    step = F.when(k % 2 == 0, 0.1).otherwise(0.25)
+    low = (k % 5 + 1) / 10
+    return V.table(spark, d, "supplier").select("s_suppkey", F.explode(text.ladder(low, low + (k % 7) * step, step)).alias("resolution"))
 
 
 @query("SELECT p_partkey, p_name || CASE WHEN n = 1 THEN '' ELSE '-' || CAST(n - 1 AS VARCHAR) END AS name FROM (SELECT p_partkey, p_name, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS n FROM part) q")
@@ -69,16 +79,21 @@ def unique_gene_names(spark: SparkSession, d: str) -> DataFrame:
     return text.unique_names(V.table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name")), "name", "p_partkey")
 
 
-@query("SELECT t, coalesce(CAST(CAST(TRY_CAST(t AS DOUBLE) AS BIGINT) AS VARCHAR), 'NA') AS whole, CAST(CASE WHEN t = '2.5' THEN 2 WHEN t = '3.5' THEN 4 WHEN t = '7' THEN 7 END AS DOUBLE) AS even FROM (VALUES ('7'), ('2.5'), ('3.5'), ('x'), ('')) AS q(t)")
+@query("""WITH q AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderkey / 8.0 AS VARCHAR) WHEN 1 THEN CAST(o_orderkey AS VARCHAR) WHEN 2 THEN o_orderpriority ELSE '' END AS t FROM orders), v AS (SELECT *, TRY_CAST(t AS DOUBLE) AS v FROM q)
+SELECT o_orderkey, CAST(trunc(v) AS BIGINT) AS whole, CAST(CASE WHEN v - floor(v) = 0.5 THEN 2 * round(v / 2) ELSE round(v) END AS DOUBLE) AS even FROM v""")
 def number_functions(spark: SparkSession, d: str) -> DataFrame:
-    t = spark.createDataFrame([(x,) for x in ("7", "2.5", "3.5", "x", "")], "t string")
-    # the SQL casts by rounding half to even, so whole numbers come from the rounded value here
-    return t.select("t", F.coalesce(text.whole(text.half_even(F.col("t").try_cast("double")).cast("string")).cast("string"), F.lit("NA")).alias("whole"), text.half_even(F.col("t").try_cast("double")).alias("even"))
+    """Whole numbers and halves rounded to even, of texts some of which are no numbers."""
+    k = F.col("o_orderkey")
+    t = F.when(k % 4 == 0, (k / 8.0).cast("string")).when(k % 4 == 1, k.cast("string")).when(k % 4 == 2, F.col("o_orderpriority")).otherwise("")
+    q = V.table(spark, d, "orders").select("o_orderkey", t.alias("t"))
+    return q.select("o_orderkey", text.whole(F.col("t")).alias("whole"), text.half_even(F.col("t").try_cast("double")).alias("even"))
 
 
-@query("SELECT CAST(i AS VARCHAR) AS cluster, '' AS \"s0_0.5\", '' AS \"s1_0.5\" FROM range(50) AS r(i)")
+@query("SELECT CAST(i AS VARCHAR) AS cluster, '' AS \"AUTOMOBILE_0.5\", '' AS \"BUILDING_0.5\", '' AS \"FURNITURE_0.5\", '' AS \"HOUSEHOLD_0.5\", '' AS \"MACHINERY_0.5\" FROM range(50) AS r(i) WHERE EXISTS (SELECT 1 FROM cells)")
 def blank_template(spark: SparkSession, d: str) -> DataFrame:
-    return readers.annotation_template(spark, ["s0_0.5", "s1_0.5"])
+    """Columns for the samples that the cells have."""
+    samples = sorted(r[0] for r in V.cells(spark, d).select("sample").distinct().collect())
+    return readers.annotation_template(spark, [f"{s}_0.5" for s in samples])
 
 
 @query("SELECT region_annotation, arg_min(condition, (-n, condition)) AS condition FROM (SELECT region_annotation, condition, count(*) AS n FROM cells GROUP BY 1, 2) q GROUP BY 1")

@@ -398,3 +398,12 @@ def test_gene_of_one_level(spark):
     t = {(r["gene"], r["contrast"]): r for r in de.nb_tests(b, factors, "bulk", "lv", ["A", "B", "C"]).collect()}
     assert t[("only", "A_vs_B")]["log2fc"] > 5 and t[("only", "A_vs_rest")]["lr_p"] < 1e-6
     assert np.mean([t[(f"g{g}", "A_vs_rest")]["lr_p"] < 0.05 for g in range(30)]) < 0.3
+
+
+def test_channel_roles(spark):
+    want = {
+        "DAPI": "nuclear", "Nuclei": "nuclear", "HOECHST 33342": "nuclear", "18S": "rna", "Interior": "rna", "membrane RNA": "rna", "ATP1A1/CD45/E-Cadherin": "membrane", "E-cad": "membrane", "Boundary 2": "membrane",
+        "AlphaSMA/Vimentin": "cytoplasm", "F-actin": "cytoplasm", "Cytoplasm": "cytoplasm", "Cyto": None, "PolyT": None, "": None, None: None,
+    }
+    got = spark.createDataFrame([(k,) for k in want], "name string").select("name", text.channel_role(F.col("name")).alias("role"))
+    assert {r["name"]: r["role"] for r in got.collect()} == want
