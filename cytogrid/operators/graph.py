@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Callable, Sequence
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,65 +35,190 @@ def modularity(edges: DataFrame, labels: DataFrame, gamma: float = 1.0) -> DataF
     return t.agg(F.sum(F.col("l") / F.col("m") - gamma * F.pow(F.col("k") / (2 * F.col("m")), 2)).alias("q"))
 
 
-def _connected(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """Communities split into their connected parts, named by their least node."""
-    inner = settle(_both_ways(edges).join(labels.select(F.col("node").alias("u"), F.col("c").alias("cu")), "u").join(labels.select(F.col("node").alias("v"), F.col("c").alias("cv")), "v").where("cu = cv").select("u", "v"))
-    now = settle(labels.select("node", F.col("node").alias("c")))
-    while True:
-        least = inner.join(now.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.min("c").alias("m"))
-        step = now.join(least, "node", "left").select("node", F.least("c", F.coalesce("m", "c")).alias("c"), (F.col("m") < F.col("c")).alias("moved"))
-        # a label also jumps to its label's label
-        jump = step.select(F.col("node").alias("c"), F.col("c").alias("up"))
-        step = settle(step.join(jump, "c", "left").select("node", F.coalesce("up", "c").alias("c"), F.coalesce("moved", F.lit(False)).alias("moved")))
-        now = step.select("node", "c")
-        if step.where("moved").isEmpty():
-            break
-    return now
+def _local_moves(g: float, nodes: pd.DataFrame, links: pd.DataFrame, stamp: str) -> tuple[list[str], bool]:
+    """Communities of a block's nodes after moves one at a time, each to where modularity gains most, until none gains; and whether any would move at first.
 
-
-def communities(edges: DataFrame, gamma: float = 1.0, rounds: int = 200, seed: int = 0) -> DataFrame:
-    """(node, cluster) by modularity: nodes move to their best neighbouring community until none would move, communities are split
-    into connected parts, and the graph of communities is clustered again until none merge. Clusters are numbered by falling size.
-
-    A half, a fourth and an eighth of the nodes may move in turn, by hash, since nodes that move at once can swap for ever; ``rounds`` without rest are an error.
+    ``g`` is the resolution over twice the weight of all edges. Only nodes with ``turn`` move; those of other blocks stay as they are. ``stamp`` makes new names.
+    """
+    names, k, c, turn = (nodes[x].tolist() for x in ("node", "k", "c", "turn"))
+    place = {n: i for i, n in enumerate(names)}
+    total = dict(zip(nodes["c"], nodes["total"], strict=True)) | dict(zip(links["cv"], links["total"], strict=True))
+    near: list[list] = [[] for _ in names]
+    for u, v, w, cv in zip(links["u"], links["v"], links["w"], links["cv"], strict=True):
+        near[place[u]].append((place.get(v, -1), w, cv))
+
+    def best_of(i: int) -> str | None:
+        """The community that node ``i`` would rather be in; None: one of its own, under a name that no community has."""
+        weight: dict[str, float] = {}
+        for j, w, cv in near[i]:
+            to = c[j] if j >= 0 else cv
+            weight[to] = weight.get(to, 0.0) + w
+        own, ki = c[i], k[i]
+        left = total[own] - ki
+        best, most = own, weight.get(own, 0.0) - g * ki * left + 1e-9 * ki
+        for to, w in sorted(weight.items()):
+            gain = w - g * ki * total[to]
+            if to != own and gain > most:
+                best, most = to, gain
+        return None if best == own and left > 1e-9 * ki and most < 0 else best
+
+    would, moves = any(best_of(i) != c[i] for i in range(len(names))), 0
+    waiting, queued = deque(i for i, t in enumerate(turn) if t), list(turn)
+    while would and waiting:
+        i = waiting.popleft()
+        queued[i] = False
+        best = best_of(i) or f"{names[i]}+{stamp}.{moves}"
+        if best != c[i]:
+            moves += 1
+            total[c[i]] -= k[i]
+            total[best] = total.get(best, 0.0) + k[i]
+            c[i] = best
+            for j, _, _ in near[i]:
+                if j >= 0 and turn[j] and not queued[j] and c[j] != best:
+                    queued[j] = True
+                    waiting.append(j)
+    return c, would
+
+
+def _refined(g: float, nodes: pd.DataFrame, links: pd.DataFrame) -> list[str]:
+    """For nodes of some communities, the part of its community that each is in, named by one of its nodes.
+
+    Parts start as single nodes. A node that is still alone and well connected to the rest of its community joins the part where modularity
+    gains most, among parts that are well connected to the rest themselves: joined to it by at least the weight expected by chance.
     """
-    level = settle(edges.select("u", "v", "w"))
-    names = settle(level.select(F.col("u").alias("node")).unionByName(level.select(F.col("v").alias("node"))).distinct().withColumn("c", F.col("node")))
-    of = names
+    names, k = nodes["node"].tolist(), nodes["k"].tolist()
+    tied, whole = nodes["tied"].tolist(), nodes["total"].tolist()
+    place = {n: i for i, n in enumerate(names)}
+    near: list[list] = [[] for _ in names]
+    for u, v, w in zip(links["u"], links["v"], links["w"], strict=True):
+        near[place[u]].append((place[v], w))
+    part, size = list(range(len(names))), [1] * len(names)
+    strength, outward = k.copy(), tied.copy()
+    fits = lambda p: outward[p] >= g * strength[p] * (whole[p] - strength[p]) - 1e-9 * strength[p]
+    for i in range(len(names)):
+        if size[i] != 1 or part[i] != i or not fits(i):
+            continue
+        weight: dict[int, float] = {}
+        for j, w in near[i]:
+            weight[part[j]] = weight.get(part[j], 0.0) + w
+        gains = [(w - g * k[i] * strength[p], -p) for p, w in weight.items() if p != i and fits(p)]
+        gain, to = max(gains, default=(0.0, 0))
+        if gain > 0:
+            part[i], size[i] = -to, 0
+            size[-to] += 1
+            strength[-to] += k[i]
+            outward[-to] += tied[i] - 2 * weight[-to]
+    return [names[p] for p in part]
+
+
+def ladder(edges: DataFrame, gammas: Sequence[float], passes: int = 2, rounds: int = 200, seed: int = 0, block: int = 200_000) -> DataFrame:
+    """(res, node, cluster) for each resolution ``gammas[res]``: Leiden communities of the same graph, all resolutions in one set of rounds.
+
+    A level moves nodes to their best neighbouring community until none would move; splits each community into well-connected parts; and makes the
+    parts the nodes of the next level, which starts from the communities. It ends when no community has two nodes. Clusters are numbered by falling size.
+
+    Each of ``passes`` over all levels starts from the communities that the last one found.
+
+    Nodes are dealt by hash to blocks of about ``block`` edges. A block moves its nodes one at a time against the last known communities of the others; from two
+    blocks on a half to a sixteenth of the nodes have their turn in a round, since nodes that move at once can swap for ever. Parts are made within blocks of whole
+    communities; one with more edges than a block is dealt over several, anew in each level. ``rounds`` without rest are an error.
+    """
+    level = settle(edges.select("u", "v", F.col("w").cast("double").alias("w")))
     m2 = 2 * (level.agg(F.sum("w")).first()[0] or 0.0)
     if not m2:
-        return of.select("node", F.lit("0").alias("cluster")).where("false")
-    while True:
-        sym = settle(_both_ways(level))
-        # a loop counts twice in a node's strength
-        strength = settle(sym.groupBy(F.col("u").alias("node")).agg(F.sum(F.when(F.col("u") == F.col("v"), 2 * F.col("w")).otherwise(F.col("w"))).alias("k")))
-        now = settle(strength.select("node", "k", F.col("node").alias("c")))
-        for r in range(rounds):
-            total = now.groupBy("c").agg(F.sum("k").alias("tot"))
-            to = sym.where("u <> v").join(now.select(F.col("node").alias("v"), "c"), "v").groupBy(F.col("u").alias("node"), "c").agg(F.sum("w").alias("w"))
-            stay = now.select("node", "c").withColumn("w", F.lit(0.0))
-            options = to.unionByName(stay).groupBy("node", "c").agg(F.sum("w").alias("w")).join(now.select("node", "k", F.col("c").alias("own")), "node").join(total, "c")
-            gain = F.col("w") - gamma * F.col("k") * (F.col("tot") - F.when(F.col("c") == F.col("own"), F.col("k")).otherwise(0.0)) / m2
-            best = options.groupBy("node").agg(F.max_by("c", F.struct(F.round(gain, 9), F.col("c") == F.col("own"), "c")).alias("to"))
-            turn = F.pmod(F.xxhash64("node", F.lit(seed + r)), F.lit(2 << r % 3)) == 0
-            step = settle(now.join(best, "node").select("node", "k", F.when(turn, F.col("to")).otherwise(F.col("c")).alias("c"), (F.col("to") != F.col("c")).alias("would")))
-            now = step.drop("would")
-            if step.where("would").isEmpty():
-                break
-        else:
-            raise RuntimeError(f"nodes still move after {rounds} rounds")
-        parts = _connected(level, now.select("node", "c"))
-        of = settle(of.join(parts.select(F.col("node").alias("c"), F.col("c").alias("up")), "c").select("node", F.col("up").alias("c")))
-        up = parts.withColumnRenamed("c", "p")
-        small = level.join(up.select(F.col("node").alias("u"), F.col("p").alias("pu")), "u").join(up.select(F.col("node").alias("v"), F.col("p").alias("pv")), "v")
-        small = settle(small.groupBy(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).agg(F.sum("w").alias("w")))
-        if small.count() == level.count():
-            break
-        level = small
-    size = of.groupBy("c").agg(F.count("*").alias("n"))
+        return level.select(F.lit(0).alias("res"), F.col("u").alias("node"), F.lit("0").alias("cluster")).where("false")
+    each = F.explode(F.array(*[F.lit(i) for i in range(len(gammas))])).alias("res")
+    sym = _both_ways(level)
+    # a loop counts twice in a node's strength
+    strength = sym.groupBy(F.col("u").alias("node")).agg(F.sum(F.when(F.col("u") == F.col("v"), 2 * F.col("w")).otherwise(F.col("w"))).alias("k"))
+    links = settle(sym.where("u <> v").groupBy("u", "v").agg(F.sum("w").alias("w")).select(each, "u", "v", "w"))
+    nodes = settle(strength.select(each, "node", "k", F.col("node").alias("c")))
+    g = [x / m2 for x in gammas]
+    for turn in range(passes):
+        of = settle(_levels(nodes, links, g, rounds, seed + turn * rounds, block))
+        if turn + 1 < passes:
+            nodes = settle(nodes.drop("c").join(of, ["res", "node"]))
     # a row per cluster
-    number = size.withColumn("cluster", (F.row_number().over(Window.orderBy(F.desc("n"), "c")) - 1).cast("string"))
-    return of.join(number.select("c", "cluster"), "c").select("node", "cluster")
+    number = of.groupBy("res", "c").agg(F.count("*").alias("n"), F.min("node").alias("least"))
+    number = number.withColumn("cluster", (F.row_number().over(Window.partitionBy("res").orderBy(F.desc("n"), "least")) - 1).cast("string"))
+    return of.join(number.select("res", "c", "cluster"), ["res", "c"]).select("res", "node", "cluster")
+
+
+def _levels(nodes: DataFrame, links: DataFrame, g: list[float], rounds: int, seed: int, block: int) -> DataFrame:
+    """(res, node, c): one pass of Leiden over (res, node, k, c), from level to level."""
+    maps: list[DataFrame] = []
+    for depth in range(rounds):
+        blocks = max(1, links.count() // len(g) // block)
+        nodes = _moved(nodes, links, g, blocks, rounds, seed + depth)
+        parts = settle(_parts(nodes, links, g, blocks, block, seed + depth))
+        n = parts.groupBy("res").agg(F.count("*").alias("nodes"), F.count_distinct("c").alias("communities")).collect()
+        maps.append(parts.select("res", "node", "part"))
+        if all(r["nodes"] == r["communities"] for r in n):
+            break
+        u, v = (parts.select("res", F.col("node").alias(x), F.col("part").alias(f"p{x}")) for x in "uv")
+        links = settle(links.join(u, ["res", "u"]).join(v, ["res", "v"]).where("pu <> pv").groupBy("res", F.col("pu").alias("u"), F.col("pv").alias("v")).agg(F.sum("w").alias("w")))
+        nodes = settle(parts.groupBy("res", F.col("part").alias("node")).agg(F.sum("k").alias("k"), F.first("c").alias("c")))
+    else:
+        raise RuntimeError(f"communities still merge after {rounds} levels")
+    of = maps[0].select("res", "node", F.col("part").alias("c"))
+    for m in maps[1:]:
+        of = of.join(m.select("res", F.col("node").alias("c"), F.col("part").alias("up")), ["res", "c"]).select("res", "node", F.col("up").alias("c"))
+    return of
+
+
+def _renamed(df: DataFrame) -> DataFrame:
+    """The same columns as new ones, for a table that meets another from the same source."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
+def _moved(nodes: DataFrame, links: DataFrame, g: list[float], blocks: int, rounds: int, seed: int) -> DataFrame:
+    """``nodes`` (res, node, k, c) with the communities that moves of nodes come to rest in."""
+    for r in range(rounds):
+        stamp = f"{seed}.{r}"
+
+        def run(key: tuple, own: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+            own = own.sort_values("node", ignore_index=True)
+            c, would = _local_moves(g[int(key[0])], own, near.sort_values(["u", "v"]), f"{stamp}.{key[1]}")  # noqa: B023
+            return pd.DataFrame({"res": own["res"], "node": own["node"], "k": own["k"], "c": c, "would": would})
+
+        now = nodes.join(nodes.groupBy("res", "c").agg(F.sum("k").alias("total")), ["res", "c"])
+        of = lambda x: F.pmod(F.xxhash64(x, F.lit(seed)), F.lit(blocks)).cast("int").alias("block")
+        met = links.join(now.select("res", F.col("node").alias("v"), F.col("c").alias("cv"), "total"), ["res", "v"])
+        share = 1 if blocks == 1 else 2 << r % 4
+        own = now.select("res", of("node"), "node", "k", "c", "total", (F.pmod(F.xxhash64("node", F.lit(seed + 1 + r)), F.lit(share)) == 0).alias("turn"))
+        near = _renamed(met.select("res", of("u"), "u", "v", "w", "cv", "total"))
+        step = own.groupBy("res", "block").cogroup(near.groupBy("res", "block")).applyInPandas(run, "res int, node string, k double, c string, would boolean")
+        step = settle(step)
+        nodes = step.drop("would")
+        # a single block has come to rest by itself
+        if blocks == 1 or step.where("would").isEmpty():
+            return nodes
+    raise RuntimeError(f"nodes still move after {rounds} rounds")
+
+
+def _parts(nodes: DataFrame, links: DataFrame, g: list[float], blocks: int, block: int, seed: int) -> DataFrame:
+    """``nodes`` with the well-connected part of its community that each is in."""
+    of = lambda x: nodes.select("res", F.col("node").alias(x), F.col("c").alias(f"c{x}"))
+    inner = links.join(of("u"), ["res", "u"]).join(of("v"), ["res", "v"]).where("cu = cv").select("res", F.col("cu").alias("c"), "u", "v", "w")
+    tied = inner.groupBy("res", F.col("u").alias("node")).agg(F.sum("w").alias("tied"), F.count("*").alias("n"))
+    now = nodes.join(tied, ["res", "node"], "left").na.fill(0, ["tied", "n"])
+    size = now.groupBy("res", "c").agg(F.sum("k").alias("total"), F.expr(f"sum(n) div {block} + 1").alias("pieces"))
+    piece = lambda x: F.pmod(F.xxhash64("c", F.pmod(F.xxhash64(x, F.lit(seed)), "pieces")), F.lit(blocks)).cast("int")
+    slot = lambda x: F.pmod(F.xxhash64(x, F.lit(seed)), "pieces")
+    now = now.join(size, ["res", "c"]).withColumn("block", piece("node"))
+    met = inner.join(size.drop("total"), ["res", "c"]).where(slot("u") == slot("v")).withColumn("block", piece("u"))
+
+    def run(key: tuple, own: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("node", ignore_index=True)
+        return pd.DataFrame({"res": own["res"], "node": own["node"], "k": own["k"], "c": own["c"], "part": _refined(g[int(key[0])], own, near)})
+
+    left = now.select("res", "block", "node", "k", "c", "tied", "total").groupBy("res", "block")
+    return left.cogroup(_renamed(met.select("res", "block", "u", "v", "w")).groupBy("res", "block")).applyInPandas(run, "res int, node string, k double, c string, part string")
+
+
+def communities(edges: DataFrame, gamma: float = 1.0, rounds: int = 200, seed: int = 0) -> DataFrame:
+    """(node, cluster) at one resolution; see ``ladder``."""
+    return ladder(edges, [gamma], rounds=rounds, seed=seed).drop("res")
 
 
 def layout(edges: DataFrame, rounds: int = 12, repel: int = 4, seed: int = 0) -> DataFrame:

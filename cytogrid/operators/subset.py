@@ -60,14 +60,11 @@ def one_sample(cells: DataFrame, columns: Sequence[str], sample: Column, name: s
 
 def clusterings(pcs: DataFrame, resolutions: Sequence[float], k: int = 15) -> DataFrame:
     """(id, resolution, res_idx, cluster): one neighbour graph of ``pcs`` (id, v), clustered at each resolution."""
-    edges = settle(graph.fuzzy_union(embed.knn(pcs, pcs, k)))
-    out = None
-    for i, r in enumerate(sorted(resolutions)):
-        c = graph.communities(edges, gamma=r).select(F.col("node").alias("id"), F.lit(float(r)).alias("resolution"), F.lit(i).alias("res_idx"), "cluster")
-        out = c if out is None else out.unionByName(c)
-    if out is None:
+    if not resolutions:
         raise ValueError("no resolution is given")
-    return out
+    steps = sorted(float(r) for r in resolutions)
+    found = graph.ladder(settle(graph.fuzzy_union(embed.knn(pcs, pcs, k))), steps)
+    return found.select(F.col("node").alias("id"), F.get(F.array(*[F.lit(r) for r in steps]), "res").alias("resolution"), F.col("res").alias("res_idx"), "cluster")
 
 
 def pcs_of(counts: DataFrame, k: int) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,6 +92,16 @@ def leiden_labels(spark: SparkSession, d: str) -> DataFrame:
     return graph.communities(graph.fuzzy_union(k))
 
 
+@query()
+def leiden_ladder(spark: SparkSession, d: str) -> DataFrame:
+    """The same at four resolutions in one set of rounds, with the modularity of each."""
+    k, steps = embed.knn(rows(spark, d), rows(spark, d), K), [0.5, 1.0, 1.5, 2.0]
+    edges = settle(graph.fuzzy_union(k))
+    found = settle(graph.ladder(edges, steps))
+    out = [found.where(F.col("res") == i).crossJoin(graph.modularity(edges, found.where(F.col("res") == i).select("node", F.col("cluster").alias("c")), g)).select(F.lit(g).alias("resolution"), "node", "cluster", F.round("q", 6).alias("modularity")) for i, g in enumerate(steps)]
+    return reduce(DataFrame.unionByName, out)
+
+
 @query()
 def layout_xy(spark: SparkSession, d: str) -> DataFrame:
     return graph.layout(graph.fuzzy_union(embed.knn(rows(spark, d), rows(spark, d), K)))

@@ -223,14 +223,51 @@ def test_communities(spark):
     assert graph.layout(e, rounds=2).count() == 18
 
 
-def test_no_node_would_move(spark):
+def connected(nodes, edges):
+    nodes, seen = set(nodes), set()
+    todo = [min(nodes)]
+    while todo:
+        a = todo.pop()
+        seen.add(a)
+        todo += [v if u == a else u for u, v in edges if a in (u, v) and {u, v} <= nodes and (v if u == a else u) not in seen]
+    return seen == nodes
+
+
+@pytest.mark.parametrize("block", [200_000, 60])
+def test_leiden_ladder(spark, block):
+    """At each resolution and with one block or many: no node would move, no two communities gain by merging, and each is connected."""
     rng = np.random.default_rng(8)
     e = {(f"{min(a, b):02d}", f"{max(a, b):02d}"): float(rng.integers(1, 4)) for a, b in rng.integers(0, 40, (160, 2)).tolist() if a != b}
-    c = {r["node"]: r["cluster"] for r in graph.communities(spark.createDataFrame([(*k, w) for k, w in e.items()], "u string, v string, w double")).collect()}
-    k = {n: sum(w for x, w in e.items() if n in x) for n in c}
-    link = {(a, b): sum(w for (u, v), w in e.items() if {c[u], c[v]} == {a, b}) for a in set(c.values()) for b in set(c.values()) if a < b}
-    tot = {a: sum(k[n] for n in c if c[n] == a) for a in set(c.values())}
-    assert all(w <= tot[a] * tot[b] / sum(k.values()) + 1e-6 for (a, b), w in link.items())  # no two communities gain by merging
+    steps = [0.5, 1.0, 2.0]
+    found = graph.ladder(spark.createDataFrame([(*k, w) for k, w in e.items()], "u string, v string, w double"), steps, block=block).collect()
+    k = {n: sum(w for x, w in e.items() if n in x) for n in {x for uv in e for x in uv}}
+    m2, sizes = sum(k.values()), []
+    for i, gamma in enumerate(steps):
+        c = {r["node"]: r["cluster"] for r in found if r["res"] == i}
+        assert set(c) == set(k)
+        to = {(n, a): sum(w for (u, v), w in e.items() if n in (u, v) and c[v if u == n else u] == a) for n in c for a in set(c.values())}
+        tot = {a: sum(k[n] for n in c if c[n] == a) for a in set(c.values())}
+        link = {(a, b): sum(to[n, b] for n in c if c[n] == a) for a in tot for b in tot if a < b}
+        assert all(w <= gamma * tot[a] * tot[b] / m2 + 1e-6 for (a, b), w in link.items())
+        assert all(connected([n for n in c if c[n] == a], e) for a in tot)
+        stay = {n: to[n, c[n]] - gamma * k[n] * (tot[c[n]] - k[n]) / m2 for n in c}
+        assert min(stay.values()) >= -1e-6
+        sizes.append(len(tot))
+    assert sizes == sorted(sizes)
+
+
+def test_badly_connected_community_is_split(spark):
+    """A node that held two groups together and moved away leaves no community in two pieces."""
+    rng = np.random.default_rng(3)
+    groups = [[f"g{g}n{i}" for i in range(8)] for g in range(6)]
+    e = {(u, v): 1.0 for g in groups for i, v in enumerate(g) for u in g[:i] if rng.random() < 0.8}
+    for g, h in zip(groups, groups[1:], strict=False):
+        e[g[0], h[0]] = 0.5
+    e |= {("bridge", g[1]): 2.0 for g in groups[:3]}
+    d = spark.createDataFrame([(min(uv), max(uv), w) for uv, w in e.items()], "u string, v string, w double")
+    c = {r["node"]: r["cluster"] for r in graph.communities(d, 0.4).collect()}
+    assert all(connected([n for n in c if c[n] == a], e) for a in set(c.values()))
+    assert graph.communities(d.limit(0)).count() == 0
 
 
 @pytest.mark.parametrize("n", [0, 1, 37, 120, 199, 200, 500])
