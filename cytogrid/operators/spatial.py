@@ -1,6 +1,7 @@
 """Spatial operators: layouts, regions, neighbour graphs, enrichment, co-occurrence and niche refinement.
 
-Neighbour and range joins are equi-joins on grid cells: a point meets the 3 x 3 cells around it, never all points.
+Range joins are equi-joins on grid cells: a point meets the 3 x 3 cells around it, never all points. Nearest neighbours are searched by the leaves of a
+quadtree that counts split.
 """
 
 from __future__ import annotations
@@ -85,33 +86,114 @@ def _near(points: DataFrame, others: DataFrame, h: float) -> DataFrame:
     return a.join(b, ["sample", "gx", "gy"]).where("src <> dst").select("sample", "src", "dst", d.alias("d"), (F.col("bx") - F.col("ax")).alias("dx"), (F.col("by") - F.col("ay")).alias("dy"))
 
 
-def knn(points: DataFrame, k: int, h: float | None = None, rounds: int = 40) -> DataFrame:
-    """Exact k nearest neighbours in the plane per sample: (sample, src, dst, rank, d, dx, dy); ties by dst.
+#: Levels of the tree, and how many are counted at a time.
+DEPTH, STRIDE = 30, 6
+
 
-    A point whose k-th neighbour is no farther than the grid cell is done; the others go on with cells of twice the size.
+def quadtree(spots: DataFrame, most: int) -> DataFrame:
+    """``spots`` (sample, x, y, ...: distinct places) with the leaf (depth, cx, cy) of a quadtree whose leaves hold at most ``most`` places.
+
+    The root is a square around the sample. Counts are taken ``STRIDE`` levels at a time, over the places in cells that still hold too many; a place's leaf is its first
+    cell that does not. At the last level a leaf may hold more, as its places are then 2^-30 of the sample apart.
     """
-    points = points.select("sample", "cell_id", "x", "y")
-    stats = points.groupBy("sample").agg(F.count("*").alias("n"), ((F.max("x") - F.min("x")) * (F.max("y") - F.min("y"))).alias("area"), F.max("x").alias("hx"), F.min("x").alias("lx"), F.max("y").alias("hy"), F.min("y").alias("ly"))
-    s = stats.agg(F.max(F.greatest(F.col("hx") - F.col("lx"), F.col("hy") - F.col("ly"))).alias("span"), F.min(F.sqrt(F.col("area") * k / F.col("n"))).alias("h")).first()
-    if not s or s["span"] is None:
-        h = 1.0
-    h = h or max(s["h"] or 0.0, (s["span"] or 0.0) / 1e5, 1e-9)
-    best = Window.partitionBy("sample", "src").orderBy("d", "dst")
-    left, done = points, None
-    for _ in range(rounds):
-        r = _near(left, points, h).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        last_round = s is None or s["span"] is None or h > s["span"]
-        kth = r.groupBy("sample", "src").agg(F.max("d").alias("far"), F.count("*").alias("n"))
-        full = kth if last_round else kth.where((F.col("n") == k) & (F.col("far") <= h))
-        found = settle(r.join(full.select("sample", "src"), ["sample", "src"], "left_semi"))
+    box = spots.groupBy("sample").agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("side"))
+    place = lambda c: F.least(F.floor(F.coalesce(F.try_divide(F.col(c) - F.col(f"{c}0"), F.col("side")), F.lit(0.0)) * (1 << DEPTH)), F.lit((1 << DEPTH) - 1))
+    left = settle(spots.join(box, "sample").withColumn("ix", place("x")).withColumn("iy", place("y")))
+    done = None
+    for top in range(0, DEPTH, STRIDE):
+        low = min(top + STRIDE, DEPTH)
+        at = [F.shiftright(c, DEPTH - low).alias(f"j{c[1]}") for c in ("ix", "iy")]
+        fine = left.groupBy("sample", *at).agg(F.count("*").alias("n"))
+        level = F.explode(F.sequence(F.lit(top), F.lit(low))).alias("depth")
+        over = lambda c: F.expr(f"shiftright(j{c}, {low} - depth)").alias(f"c{c}")  # noqa: B023, E731
+        chain = fine.select("sample", "jx", "jy", "n", level).select("*", over("x"), over("y"))
+        held = chain.groupBy("sample", "depth", "cx", "cy").agg(F.sum("n").alias("all"))
+        fits = (F.col("all") <= most) | (F.col("depth") == DEPTH)
+        leaf = chain.join(held, ["sample", "depth", "cx", "cy"]).where(fits).groupBy("sample", "jx", "jy").agg(F.min_by(F.struct("depth", "cx", "cy"), "depth").alias("leaf"))
+        met = settle(left.select("*", *at).join(leaf, ["sample", "jx", "jy"], "left").drop("jx", "jy"))
+        found = met.where("leaf IS NOT NULL").select("*", "leaf.depth", "leaf.cx", "leaf.cy").drop("leaf")
         done = found if done is None else done.unionByName(found)
-        if last_round:
-            break
-        left = settle(left.join(found.select("sample", F.col("src").alias("cell_id")).distinct(), ["sample", "cell_id"], "left_anti"))
-        if left.isEmpty():
-            break
-        h *= 2
-    return done.select("sample", "src", "dst", "rank", "d", "dx", "dy")
+        left = met.where("leaf IS NULL").drop("leaf")
+        if low == DEPTH or left.isEmpty():
+            return done.drop("ix", "iy")
+
+
+def _reached(near: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Pairs of ``near`` leaves, each with a box (x1, y1, x2, y2), and the leaves (bdepth, bx, by and their bounds) that the box may touch.
+
+    The box touches at most four cells of its own size; a leaf lies below one of these or is one of the cells above them.
+    """
+    key = ["sample", "l", "gx", "gy"]
+    side = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    own = F.greatest(F.lit(0), F.least(F.coalesce(F.floor(F.log2(F.try_divide(F.col("side"), side))), F.lit(DEPTH)), F.lit(DEPTH))).cast("int")
+    a = near.withColumn("l", own)
+    cell = lambda v, o: F.greatest(F.lit(0), F.least(F.floor(F.coalesce(F.try_divide(F.col(v) - F.col(o), F.col("side")), F.lit(0.0)) * F.pow(F.lit(2.0), F.col("l"))), F.expr("shiftleft(1L, l)") - 1))
+    a = a.withColumn("gx", F.explode(F.sequence(cell("x1", "x0"), cell("x2", "x0")))).withColumn("gy", F.explode(F.sequence(cell("y1", "y0"), cell("y2", "y0"))))
+    b = leaves.select("sample", F.col("depth").alias("bdepth"), F.col("cx").alias("bx"), F.col("cy").alias("by"), "lx", "ly", "hx", "hy", "held")
+    below = b.withColumn("l", F.explode(F.sequence(F.lit(0), "bdepth"))).withColumn("gx", F.expr("shiftright(bx, bdepth - l)")).withColumn("gy", F.expr("shiftright(by, bdepth - l)"))
+    above = a.where("l > 0").withColumn("up", F.explode(F.sequence(F.lit(0), F.col("l") - 1))).withColumn("gx", F.expr("shiftright(gx, l - up)")).withColumn("gy", F.expr("shiftright(gy, l - up)")).withColumn("l", F.col("up")).drop("up")
+    whole = b.withColumn("l", F.col("bdepth")).withColumn("gx", F.col("bx")).withColumn("gy", F.col("by"))
+    met = a.join(below, key).unionByName(above.distinct().join(whole, key))
+    touch = (F.col("lx") <= F.col("x2")) & (F.col("hx") >= F.col("x1")) & (F.col("ly") <= F.col("y2")) & (F.col("hy") >= F.col("y1"))
+    return met.where(touch).drop(*key[1:]).distinct()
+
+
+def _nearest(met: DataFrame, k: int) -> DataFrame:
+    """Of places that meet others (px, py, ids): the k + 1 nearest names each, with rank and distance."""
+    d = F.sqrt(F.pow(F.col("x") - F.col("px"), 2) + F.pow(F.col("y") - F.col("py"), 2))
+    each = met.select(*[c for c in met.columns if c != "ids"], d.alias("d"), F.explode("ids").alias("dst"))
+    best = Window.partitionBy("sample", "x", "y").orderBy("d", "dst")
+    return each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1)
+
+
+def search(points: DataFrame, k: int, most: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What ``knn`` joins: the places (with ids) in their leaves, the nearest of each within its leaf, and each place's other leaves (depth, cx, cy)."""
+    # the least names, kept few on the way by a rank that stops at k + 1
+    first = F.row_number().over(Window.partitionBy("sample", "x", "y").orderBy("src"))
+    spots = points.withColumn("r", first).where(F.col("r") <= k + 1).groupBy("sample", "x", "y").agg(F.collect_list("src").alias("ids"))
+    tree = settle(quadtree(spots, most))
+    leaf = ["sample", "depth", "cx", "cy"]
+    leaves = settle(tree.groupBy(*leaf, "x0", "y0", "side").agg(F.sum(F.size("ids")).alias("held"), F.min("x").alias("lx"), F.min("y").alias("ly"), F.max("x").alias("hx"), F.max("y").alias("hy")))
+    other = tree.select(*leaf, F.col("x").alias("px"), F.col("y").alias("py"), "ids")
+    own = settle(_nearest(tree.select(*leaf, "x", "y").join(other, leaf), k))
+    # leaves with too few: distances to the farthest corners of the leaves below their parent, until these hold enough
+    few = leaves.where(F.col("held") <= k).withColumn("up", F.greatest(F.col("depth") - 1, F.lit(0)))
+    a = few.select("sample", "depth", "cx", "cy", F.col("lx").alias("ax"), F.col("ly").alias("ay"), F.col("hx").alias("zx"), F.col("hy").alias("zy"), F.col("up").alias("l"), F.expr("shiftright(cx, depth - up)").alias("gx"), F.expr("shiftright(cy, depth - up)").alias("gy"))
+    b = leaves.select("sample", F.explode(F.sequence(F.lit(0), "depth")).alias("l"), "*").select("sample", "l", F.expr("shiftright(cx, depth - l)").alias("gx"), F.expr("shiftright(cy, depth - l)").alias("gy"), "lx", "ly", "hx", "hy", "held")
+    far = lambda lo, hi, p, q: F.greatest(F.col(hi) - F.col(p), F.col(q) - F.col(lo))
+    span = F.sqrt(F.pow(far("lx", "hx", "ax", "zx"), 2) + F.pow(far("ly", "hy", "ay", "zy"), 2))
+    rising = Window.partitionBy(*leaf).orderBy("span").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    enough = a.join(b, ["sample", "l", "gx", "gy"]).withColumn("span", span).withColumn("sum", F.sum("held").over(rising)).where(F.col("sum") > k).groupBy(*leaf).agg(F.min("span").alias("span"))
+    kth = own.groupBy(*leaf, "x", "y").agg(F.max(F.when(F.col("rank") == k + 1, F.col("d"))).alias("kth"))
+    # a sample with no more than k points is searched whole
+    reach = kth.join(enough, leaf, "left").join(leaves.select(*leaf, "side"), leaf).select(*leaf, "x", "y", (F.coalesce("kth", "span", 2 * F.col("side")) * (1 + 1e-9)).alias("reach"))
+    reach = settle(reach)
+    wide = leaves.join(reach.groupBy(*leaf).agg(F.max("reach").alias("reach")), leaf)
+    boxes = wide.select(*leaf, "x0", "y0", "side", *[(F.col(c) + sign * F.col("reach")).alias(n) for c, sign, n in (("lx", -1, "x1"), ("ly", -1, "y1"), ("hx", 1, "x2"), ("hy", 1, "y2"))])
+    pairs = _reached(boxes, leaves).where("depth <> bdepth OR cx <> bx OR cy <> by").select(*leaf, "bdepth", "bx", "by", "lx", "ly", "hx", "hy")
+    gap = lambda c: F.greatest(F.col(f"l{c}") - F.col(c), F.col(c) - F.col(f"h{c}"), F.lit(0.0))
+    near = reach.join(pairs, leaf).where(F.sqrt(F.pow(gap("x"), 2) + F.pow(gap("y"), 2)) <= F.col("reach")).select("sample", "x", "y", F.col("bdepth").alias("depth"), F.col("bx").alias("cx"), F.col("by").alias("cy"))
+    return tree, own, near
+
+
+def knn(points: DataFrame, k: int, most: int | None = None) -> DataFrame:
+    """Exact k nearest neighbours in the plane per sample: (sample, src, dst, rank, d, dx, dy); ties by dst.
+
+    Points at one place are one row with their k + 1 least names, as no more of them can be among anyone's neighbours. Places are dealt to
+    the leaves of a quadtree split by counts, at most ``most`` places each, so crowded and empty regions cost the same. The k-th distance
+    within a place's own leaf bounds the search: only leaves that this circle touches are joined. Where a leaf holds too few, the nearest
+    leaves of its parent that hold enough give the bound. Points without coordinates have no neighbours.
+    """
+    points = points.select("sample", F.col("cell_id").alias("src"), "x", "y").where("x IS NOT NULL AND y IS NOT NULL")
+    tree, own, near = search(points, k, most or max(4 * k, 24))
+    best = Window.partitionBy("sample", "x", "y").orderBy("d", "dst")
+    other = tree.select("sample", "depth", "cx", "cy", F.col("x").alias("px"), F.col("y").alias("py"), "ids")
+    rest = _nearest(near.join(other, ["sample", "depth", "cx", "cy"]).drop("depth", "cx", "cy"), k)
+    both = own.select("sample", "x", "y", "px", "py", "d", "dst").unionByName(rest.select("sample", "x", "y", "px", "py", "d", "dst"))
+    found = both.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1)
+    lists = found.groupBy("sample", "x", "y").agg(F.array_sort(F.collect_list(F.struct("rank", "dst", "d", (F.col("px") - F.col("x")).alias("dx"), (F.col("py") - F.col("y")).alias("dy")))).alias("near"))
+    met = points.join(lists, ["sample", "x", "y"]).select("sample", "src", F.posexplode(F.slice(F.filter("near", lambda n: n["dst"] != F.col("src")), 1, k)).alias("at", "n"))
+    return met.select("sample", "src", "n.dst", (F.col("at") + 1).alias("rank"), "n.d", "n.dx", "n.dy")
 
 
 def pairs_within(points: DataFrame, radius: float) -> DataFrame:

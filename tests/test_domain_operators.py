@@ -444,3 +444,48 @@ def test_channel_roles(spark):
     }
     got = spark.createDataFrame([(k,) for k in want], "name string").select("name", text.channel_role(F.col("name")).alias("role"))
     assert {r["name"]: r["role"] for r in got.collect()} == want
+
+
+def plane(spark, xy, sample="s"):
+    return spark.createDataFrame([(sample, f"c{i:05d}", float(x), float(y)) for i, (x, y) in enumerate(xy)], "sample string, cell_id string, x double, y double")
+
+
+def odd_planes(rng):
+    even = rng.uniform(0, 1, (500, 2))
+    yield even
+    yield np.concatenate([even, [[1000, 1000]]])
+    yield np.concatenate([rng.normal(0, 1, (400, 2)), rng.normal(0, 300, (100, 2))])
+    yield np.concatenate([rng.integers(0, 5, (300, 2)), np.zeros((300, 2)), rng.normal(0, 1e-7, (100, 2))])
+    yield np.stack([np.arange(120) % 50, np.zeros(120)], 1)
+    yield np.array([[1.0, 1.0], [2.0, 2.0], [2.0, 2.0]])
+
+
+@pytest.mark.parametrize("case", range(6))
+def test_neighbours_in_odd_planes(spark, case):
+    xy, k = list(odd_planes(np.random.default_rng(1)))[case], 5
+    got = {}
+    lone = spark.createDataFrame([("t", "alone", 0.0, 0.0), ("t", "nowhere", None, 1.0)], "sample string, cell_id string, x double, y double")
+    for r in sorted(spatial.knn(plane(spark, xy).unionByName(lone), k).collect(), key=lambda r: r["rank"]):
+        assert (r["dx"] ** 2 + r["dy"] ** 2) ** 0.5 == pytest.approx(r["d"])
+        got.setdefault(r["src"], []).append((round(r["d"], 9), r["dst"]))
+    for i, p in enumerate(xy):
+        d = np.sqrt(((xy - p) ** 2).sum(1))
+        assert got[f"c{i:05d}"] == [(round(x, 9), n) for x, n in sorted((float(d[j]), f"c{j:05d}") for j in range(len(xy)) if j != i)[:k]]
+    assert len(got) == len(xy)
+
+
+def met_pairs(points, k, most=24):
+    """Pairs of places that the search joins."""
+    tree, _, near = spatial.search(points.select("sample", F.col("cell_id").alias("src"), "x", "y"), k, most)
+    leaf = ["sample", "depth", "cx", "cy"]
+    n = tree.groupBy(*leaf).agg(F.count("*").alias("n"))
+    return n.agg(F.sum(F.col("n") * F.col("n"))).first()[0] + (near.join(n, leaf).agg(F.sum("n")).first()[0] or 0)
+
+
+def test_an_outlier_costs_no_more_pairs(spark):
+    even = np.random.default_rng(2).uniform(0, 1, (3000, 2))
+    usual = met_pairs(plane(spark, even), 6)
+    assert usual < 150 * 3000
+    assert met_pairs(plane(spark, np.concatenate([even, [[1000, 1000]]])), 6) < 2 * usual
+    # places, not points, are paired
+    assert met_pairs(plane(spark, np.zeros((3000, 2))), 6) == 1
