@@ -39,41 +39,82 @@ def scale_rings(polygons: DataFrame, m: list[list[float]]) -> DataFrame:
     return polygons.withColumn("ring", F.transform("ring", moved))
 
 
-def _edges(polygons: DataFrame) -> DataFrame:
-    """Rings as edges (ord, region, x1, y1, x2, y2); open rings are closed."""
-    ring = F.when(F.element_at("ring", 1) == F.element_at("ring", -1), F.col("ring")).otherwise(F.concat("ring", F.slice("ring", 1, 1)))
-    p = polygons.select("ord", "region", ring.alias("ring")).select("ord", "region", F.explode(F.arrays_zip(F.slice("ring", F.lit(1), F.size("ring") - 1).alias("a"), F.slice("ring", F.lit(2), F.size("ring") - 1).alias("b"))).alias("e"))
-    return p.select("ord", "region", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2"))
+def _edges(ring: Column) -> Column:
+    """A ring's edges (x1, y1, x2, y2); an open ring is closed."""
+    closed = F.when(F.element_at(ring, 1) == F.element_at(ring, -1), ring).otherwise(F.concat(ring, F.slice(ring, 1, 1)))
+    pairs = F.arrays_zip(F.slice(closed, F.lit(1), F.size(closed) - 1).alias("a"), F.slice(closed, F.lit(2), F.size(closed) - 1).alias("b"))
+    return F.transform(pairs, lambda e: F.struct(e["a"]["x"].alias("x1"), e["a"]["y"].alias("y1"), e["b"]["x"].alias("x2"), e["b"]["y"].alias("y2")))
+
+
+def _crosses(s: Column, x: Column, y: Column) -> Column:
+    """Whether a ray from (x, y) towards larger x crosses the edge."""
+    at = s["x1"] + F.try_divide((y - s["y1"]) * (s["x2"] - s["x1"]), s["y2"] - s["y1"])
+    return F.when((s["y1"] > y) != (s["y2"] > y), x < at).otherwise(F.lit(False))
+
+
+def _odd(edges: Column, x: Column, y: Column) -> Column:
+    return F.size(F.filter(edges, lambda s: _crosses(s, x, y))) % 2 == 1
+
+
+#: Cells that a polygon's longer side is at most divided into.
+CELLS = 16
+
+
+def cover(polygons: DataFrame) -> DataFrame:
+    """``polygons`` (sample, ord, region, ring) as grid cells (sample, level, gx, gy, ord, region, edges) of size 2^level, about ``CELLS`` along the longer side.
+
+    A cell that no edge touches is inside or outside as a whole: its edges are null, and those outside are left out. The others carry the edges that can count for a point in
+    them: those that reach the cell's rows and do not end left of it.
+    """
+    p = polygons.withColumn("edges", _edges(F.col("ring"))).drop("ring")
+    for c, lo, hi in (("x", "lx", "hx"), ("y", "ly", "hy")):
+        p = p.withColumn(lo, F.array_min(f"edges.{c}1")).withColumn(hi, F.array_max(f"edges.{c}1"))
+    side = F.greatest(F.col("hx") - F.col("lx"), F.col("hy") - F.col("ly"))
+    p = p.where((F.col("hx") > F.col("lx")) & (F.col("hy") > F.col("ly"))).withColumn("level", F.ceil(F.log2(side / CELLS)).cast("int")).withColumn("size", F.pow(F.lit(2.0), F.col("level")))
+    span = lambda c: F.explode(F.sequence(F.floor(F.col(f"l{c}") / F.col("size")), F.floor(F.col(f"h{c}") / F.col("size"))))
+    p = p.withColumn("gx", span("x")).withColumn("gy", span("y"))
+    size, x0, y0 = F.col("size"), F.col("gx") * F.col("size"), F.col("gy") * F.col("size")
+    x1, y1 = x0 + size, y0 + size
+
+    def touched(s: Column) -> Column:
+        near = (F.least(s["x1"], s["x2"]) <= x1) & (F.greatest(s["x1"], s["x2"]) >= x0) & (F.least(s["y1"], s["y2"]) <= y1) & (F.greatest(s["y1"], s["y2"]) >= y0)
+        turn = [(s["x2"] - s["x1"]) * (y - s["y1"]) - (s["y2"] - s["y1"]) * (x - s["x1"]) for x in (x0, x1) for y in (y0, y1)]
+        return near & (F.least(*turn) <= 0) & (F.greatest(*turn) >= 0)
+
+    counts = lambda s: (F.least(s["y1"], s["y2"]) <= y1) & (F.greatest(s["y1"], s["y2"]) >= y0) & (F.greatest(s["x1"], s["x2"]) >= x0)
+    border = F.exists("edges", touched)
+    p = p.withColumn("border", border).where(F.col("border") | _odd(F.col("edges"), x0 + size / 2, y0 + size / 2))
+    return p.select("sample", "level", "gx", "gy", "ord", "region", F.when(F.col("border"), F.filter("edges", counts)).alias("edges"))
 
 
 def regions_of(cells: DataFrame, polygons: DataFrame, last: bool = False, default: str = "Unlabeled") -> DataFrame:
     """``cells`` with region: the first (or last) polygon, in order of ord, that a point lies strictly within.
 
-    Polygons are hand-drawn annotations of one slide; their edges form one small array, and each point is tested within its row by
-    crossing parity, boundary points excluded.
+    ``polygons``: ord, region, ring (array of struct x, y), and sample where each belongs to one; without it they hold for every cell. Points meet polygons by
+    equal (sample, grid cell) of the polygons' ``cover``, and edges are looked at, by crossing parity, boundary points excluded, in border cells only. Points at one place
+    are looked up once; cells without coordinates get the default.
     """
-    if not cells.columns or "__e" in cells.columns:
-        raise ValueError("unexpected column __e")
-    e = _edges(polygons)
-    boxes = e.groupBy("ord", "region").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"), F.min("x1").alias("lx"), F.max("x1").alias("hx"), F.min("y1").alias("ly"), F.max("y1").alias("hy"))
-    every = boxes.agg(F.array_sort(F.collect_list(F.struct("ord", "region", "edges", "lx", "hx", "ly", "hy"))).alias("__e"))
+    keyed = "sample" in polygons.columns
+    key = F.col("sample") if keyed else F.lit("")
+    found = settle(cover(polygons.select(key.alias("sample"), "ord", "region", "ring")))
+    # a list of a few sizes per sample
+    levels = found.groupBy("sample").agg(F.collect_set("level").alias("levels"))
+    spots = cells.select(key.alias("sample"), "x", "y").where("x IS NOT NULL AND y IS NOT NULL").distinct()
+    size = F.pow(F.lit(2.0), F.col("level"))
+    at = spots.join(levels, "sample").select("sample", "x", "y", F.explode("levels").alias("level")).withColumn("gx", F.floor(F.col("x") / size)).withColumn("gy", F.floor(F.col("y") / size))
     x, y = F.col("x"), F.col("y")
 
-    def crosses(s: Column) -> Column:
-        at = s["x1"] + F.try_divide((y - s["y1"]) * (s["x2"] - s["x1"]), s["y2"] - s["y1"])
-        return F.when((s["y1"] > y) != (s["y2"] > y), x < at).otherwise(F.lit(False))
-
     def touches(s: Column) -> Column:
         cross = (s["x2"] - s["x1"]) * (y - s["y1"]) - (s["y2"] - s["y1"]) * (x - s["x1"])
         return (cross == 0) & x.between(F.least(s["x1"], s["x2"]), F.greatest(s["x1"], s["x2"])) & y.between(F.least(s["y1"], s["y2"]), F.greatest(s["y1"], s["y2"]))
 
-    def within(p: Column) -> Column:
-        near = (x > p["lx"]) & (x < p["hx"]) & (y > p["ly"]) & (y < p["hy"])
-        return F.when(near, (F.size(F.filter(p["edges"], crosses)) % 2 == 1) & ~F.exists(p["edges"], touches)).otherwise(F.lit(False))
-
-    hit = F.transform(F.filter("__e", within), lambda p: p["region"])
-    met = cells.join(F.broadcast(every))
-    return met.withColumn("region", F.coalesce(F.get(hit, F.size(hit) - 1 if last else F.lit(0)), F.lit(default))).drop("__e")
+    within = F.col("edges").isNull() | (_odd(F.col("edges"), x, y) & ~F.exists("edges", touches))
+    pick = F.max_by if last else F.min_by
+    hits = at.join(found, ["sample", "level", "gx", "gy"]).where(within).groupBy("sample", "x", "y").agg(pick("region", "ord").alias("__region"))
+    if not keyed:
+        hits = hits.drop("sample")
+    met = cells.drop("region").join(hits, ["sample", "x", "y"] if keyed else ["x", "y"], "left")
+    return met.select(*[c for c in cells.columns if c != "region"], F.coalesce("__region", F.lit(default)).alias("region"))
 
 
 def _near(points: DataFrame, others: DataFrame, h: float) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import numpy as np
 import pyarrow as pa
@@ -489,3 +490,31 @@ def test_an_outlier_costs_no_more_pairs(spark):
     assert met_pairs(plane(spark, np.concatenate([even, [[1000, 1000]]])), 6) < 2 * usual
     # places, not points, are paired
     assert met_pairs(plane(spark, np.zeros((3000, 2))), 6) == 1
+
+
+def strictly_within(x, y, ring):
+    edges = list(zip(ring, ring[1:] + ring[:1], strict=True))
+    on = any((bx - ax) * (y - ay) == (by - ay) * (x - ax) and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by) for (ax, ay), (bx, by) in edges)
+    return not on and sum((ay > y) != (by > y) and x < ax + (y - ay) * (bx - ax) / (by - ay) for (ax, ay), (bx, by) in edges) % 2 == 1
+
+
+@pytest.mark.parametrize("last", [False, True])
+def test_regions_of_many_polygons(spark, last):
+    """Polygons of all sizes and odd shapes in two samples, points on corners and edges too, against one test after another."""
+    rng = random.Random(4)
+    shapes = []
+    for k in range(120):
+        cx, cy, r = rng.uniform(-50, 50), rng.uniform(-50, 50), rng.choice([0.01, 0.5, 4, 30])
+        ring = [(round(cx + rng.uniform(-r, r), 2), round(cy + rng.uniform(-r, r), 2)) for _ in range(rng.randrange(3, 9))]
+        shapes.append((f"s{k % 2}", k, f"r{k}", ring + ring[:1] if k % 3 else ring))
+    shapes += [("s0", 200, "square", [(0.0, 0.0), (16.0, 0.0), (16.0, 16.0), (0.0, 16.0)]), ("s0", 201, "flat", [(0.0, 0.0), (5.0, 0.0)]), ("s2", 202, "other", [(-99.0, -99.0), (99.0, -99.0), (0.0, 99.0)])]
+    points = [(f"s{rng.randrange(2)}", round(rng.uniform(-60, 60), 2), round(rng.uniform(-60, 60), 2)) for _ in range(500)] + [(s, *p) for s, _, _, ring in shapes[:40] for p in ring] + [("s0", 8.0, 0.0), ("s0", 8.0, 8.0), ("s3", 0.0, 0.0), ("s0", None, 1.0), ("s0", 8.0, 8.0)]
+    cells = spark.createDataFrame([(s, f"c{i}", x, y, "was") for i, (s, x, y) in enumerate(points)], "sample string, cell_id string, x double, y double, region string")
+    polygons = spark.createDataFrame(shapes, "sample string, ord int, region string, ring array<struct<x:double,y:double>>")
+    got = {r["cell_id"]: r["region"] for r in spatial.regions_of(cells, polygons, last).collect()}
+    assert len(got) == len(points)
+    for i, (s, x, y) in enumerate(points):
+        hits = [r for t, _, r, ring in shapes if t == s and x is not None and strictly_within(x, y, ring[:-1] if ring[0] == ring[-1] else ring)]
+        assert got[f"c{i}"] == (hits[-1 if last else 0] if hits else "Unlabeled")
+    inner = spatial.cover(polygons.where("region = 'square'")).where("edges IS NULL").count()
+    assert inner >= 14 * 14
