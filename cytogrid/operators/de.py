@@ -1,14 +1,13 @@
-"""Differential expression over pseudobulks: contrasts, negative-binomial tests, classes, unique markers and patterns."""
+"""Differential expression over pseudobulks: contrasts, Welch tests, classes, unique markers and patterns; negative-binomial tests are in nbinom."""
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cytogrid.operators.durable import settle
 
 #: Stands for the mean of a level in which a gene was not counted at all.
 ZERO_MEAN = 0.5
@@ -29,6 +28,26 @@ def mean_ratios(norm: DataFrame, level: str) -> DataFrame:
     return x.select("gene", "a", "b", "contrast", F.when((F.col("ma") > 0) | (F.col("mb") > 0), F.log2(floor("ma") / floor("mb"))).alias("log2fc"))
 
 
+#: Coefficients of a rational approximation of erfc, right to 1.5e-7.
+ERFC = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+
+
+def normal_tails(z: Column) -> Column:
+    """P(|N| > |z|) by a polynomial, in built-in functions."""
+    x = F.abs(z) / math.sqrt(2)
+    t = 1 / (1 + 0.3275911 * x)
+    return F.exp(-x * x) * sum((c * F.pow(t, F.lit(float(k + 1))) for k, c in enumerate(ERFC)), F.lit(0.0))
+
+
+def welch(values: DataFrame, level: str, value: str = "value") -> DataFrame:
+    """(gene, a, b, contrast, stat, p) of every pair of levels: Welch's statistic of the pseudobulks' values, its p from the normal tails; null without spread or with one pseudobulk."""
+    m = values.groupBy("gene", level).agg(F.avg(value).alias("m"), F.var_samp(value).alias("v"), F.count("*").alias("n"))
+    side = lambda x: m.select("gene", F.col(level).alias(x), *[F.col(c).alias(f"{c}{x}") for c in "mvn"])
+    met = side("a").join(side("b"), "gene").where("a < b")
+    z = F.try_divide(F.col("ma") - F.col("mb"), F.sqrt(F.col("va") / F.col("na") + F.col("vb") / F.col("nb")))
+    return met.select("gene", "a", "b", F.concat_ws("_vs_", "a", "b").alias("contrast"), z.alias("stat"), normal_tails(z).alias("p"))
+
+
 def classes(stats: DataFrame, padj: float = 0.05, lfc: float = 0.25) -> DataFrame:
     """Rows with p and fold change, their class (Up, Down, NS) and -log10 of the adjusted p."""
     c = F.when(F.col("padj") >= padj, "NS").when(F.col("log2fc") > lfc, "Up").when(F.col("log2fc") < -lfc, "Down").otherwise("NS")
@@ -73,27 +92,6 @@ def ragged(markers: DataFrame, level: str, levels: list[str]) -> DataFrame:
     return r.groupBy("row").pivot(level, levels).agg(F.first("gene"))
 
 
-def _nb_fit(y: np.ndarray, offset: np.ndarray, x: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """Coefficients, covariance and log-likelihood of one gene's negative-binomial regression with fixed dispersion."""
-    from math import lgamma
-
-    beta = np.zeros(x.shape[1])
-    beta[0] = np.log(max(y.mean(), 0.1)) - offset.mean()
-    for _ in range(50):
-        mu = np.exp(np.clip(x @ beta + offset, -30, 30))
-        w = mu / (1 + alpha * mu)
-        h = x.T @ (w[:, None] * x) + 1e-8 * np.eye(x.shape[1])
-        step = np.linalg.solve(h, x.T @ ((y - mu) / (1 + alpha * mu)))
-        beta = beta + np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
-            break
-    mu = np.exp(np.clip(x @ beta + offset, -30, 30))
-    r = 1 / alpha
-    ll = sum(lgamma(v + r) - lgamma(r) - lgamma(v + 1) for v in y) + float((r * np.log(r / (r + mu)) + y * np.log(mu / (r + mu))).sum())
-    w = mu / (1 + alpha * mu)
-    return beta, np.linalg.inv(x.T @ (w[:, None] * x) + 1e-8 * np.eye(x.shape[1])), ll
-
-
 def chi2_tail(x: float, df: int) -> float:
     """P(chi-squared with ``df`` degrees > x), by the finite sums that whole degrees have."""
     x = max(x, 0.0)
@@ -110,57 +108,6 @@ def chi2_tail(x: float, df: int) -> float:
     return min(1.0, total)
 
 
-def nb_tests(bulks: DataFrame, factors: DataFrame, bulk: str, level: str, levels: list[str]) -> DataFrame:
-    """Wald tests of every pair of ``levels``, of each level against the mean of the rest, and the likelihood-ratio test of the whole factor, a gene per group.
-
-    ``bulks`` has every gene in every pseudobulk, zeros too. Rows (gene, contrast, log2fc, stat, lr, lr_p): dispersion by moments, shrunk halfway to the trend a1 / mean + a0 of all genes. The
-    Cartesian part is bounded: a gene has one row per pseudobulk. A gene's regression is a small numpy helper; genes are spread by Spark.
-    """
-    x = bulks.join(F.broadcast(factors), bulk).where(F.col(level).isin(levels))
-    n = F.col("count") / F.col("size_factor")
-    # spread within levels only, so that a difference between them is not taken for dispersion
-    inner = x.groupBy("gene", level).agg(F.avg(n).alias("m"), F.var_samp(n).alias("v"), F.avg(1 / F.col("size_factor")).alias("inv"))
-    moments = inner.groupBy("gene").agg(F.avg("m").alias("m"), F.avg("v").alias("v"), F.avg("inv").alias("inv"))
-    raw = F.greatest((F.col("v") - F.col("m") * F.col("inv")) / (F.col("m") * F.col("m")), F.lit(1e-8))
-    moments = moments.where("m > 0").select("gene", "m", raw.alias("alpha"))
-    trend = moments.agg(F.regr_slope("alpha", 1 / F.col("m")).alias("a1"), F.regr_intercept("alpha", 1 / F.col("m")).alias("a0"))
-    moments = moments.join(F.broadcast(trend)).withColumn("fit", F.greatest(F.coalesce(F.col("a1"), F.lit(0.0)) / F.col("m") + F.coalesce(F.col("a0"), F.lit(0.1)), F.lit(1e-4)))
-    shrunk = moments.select("gene", F.exp((F.log("alpha") + F.log("fit")) / 2).alias("alpha"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y, off = pdf["count"].to_numpy(float), np.log(pdf["size_factor"].to_numpy(float))
-        index = pdf[level].map({v: i for i, v in enumerate(levels)}).to_numpy()
-        design = np.zeros((len(y), len(levels)))
-        design[:, 0] = 1
-        for i in range(1, len(levels)):
-            design[index == i, i] = 1
-        seen = [i for i in range(len(levels)) if (index == i).any()]
-        out = []
-        if seen == list(range(len(levels))):
-            beta, cov, full = _nb_fit(y, off, design, float(pdf["alpha"].iloc[0]))
-            found = []
-            _, _, null = _nb_fit(y, off, design[:, :1], float(pdf["alpha"].iloc[0]))
-            for a in range(len(levels)):
-                for b in range(a + 1, len(levels)):
-                    c = np.zeros(len(levels))
-                    c[a] += a > 0
-                    c[b] -= 1
-                    se = float(np.sqrt(max(c @ cov @ c, 1e-12)))
-                    found.append((f"{levels[a]}_vs_{levels[b]}", float(c @ beta / np.log(2)), float(c @ beta / se)))
-            for a in range(len(levels) if len(levels) > 2 else 0):
-                c = np.full(len(levels), -1 / (len(levels) - 1))
-                c[a] = 1
-                # the first level is the design's base: its effect is 0
-                c[0] = 0
-                se = float(np.sqrt(max(c @ cov @ c, 1e-12)))
-                found.append((f"{levels[a]}_vs_rest", float(c @ beta / np.log(2)), float(c @ beta / se)))
-            lr = 2 * (full - null)
-            out += [(pdf["gene"].iloc[0], *f, lr, chi2_tail(lr, len(levels) - 1)) for f in found]
-        return pd.DataFrame(out, columns=["gene", "contrast", "log2fc", "stat", "lr", "lr_p"])
-
-    return x.join(shrunk, "gene").groupBy("gene").applyInPandas(run, "gene string, contrast string, log2fc double, stat double, lr double, lr_p double")
-
-
 def patterns(z: DataFrame, level: str, least: int = 10) -> DataFrame:
     """(gene, pattern, group): genes grouped by the order of their levels' mean z-scores, groups of ``least`` genes or more, numbered from 1."""
     m = z.groupBy("gene", level).agg(F.round(F.avg("z"), 6).alias("m"))
@@ -169,3 +116,55 @@ def patterns(z: DataFrame, level: str, least: int = 10) -> DataFrame:
     # a row per pattern
     number = enough.select("pattern", F.dense_rank().over(Window.orderBy(F.desc("n"), "pattern")).alias("group"))
     return p.join(F.broadcast(number), "pattern").select("gene", "pattern", "group")
+
+
+def pattern_groups(values: DataFrame, genes: DataFrame, level: str, cut: float = 0.7, least: int = 15, enough: int = 10, rounds: int = 100) -> DataFrame:
+    """(gene, group): the given genes by how they rise and fall over the levels, groups of ``least`` genes or more, numbered from 1 by falling size.
+
+    A gene's profile is the order of its levels' mean values; the distance of two genes is 1 less Kendall's correlation (ties counted) of their profiles. Divisive clustering: a group in which two
+    profiles are farther apart than ``cut`` is split. The profile farthest on average from the rest founds a splinter, and those nearer on average to the splinter than to what is left
+    go over until none is. Genes of one order are one weighted row, all groups are split in one set of rounds, and since a correlation is a product of scaled signs, the mean distance to a set is
+    that to its sum. The widest pair of a group is looked for between its distinct profiles. Fewer than ``enough`` genes give no groups; genes without any order are left out.
+    """
+    m = values.join(genes.select("gene").distinct(), "gene", "left_semi").groupBy("gene", level).agg(F.round(F.avg("value"), 9).alias("m"))
+    rows = m.groupBy("gene").agg(F.array_sort(F.collect_list(F.struct(F.col(level).alias("l"), "m"))).alias("p")).select("gene", F.col("p.m").alias("m"))
+    signs = F.flatten(F.transform("m", lambda x, i: F.transform(F.slice("m", i + 2, F.size("m")), lambda y: F.signum(x - y))))
+    rows = rows.withColumn("s", signs).withColumn("ties", F.sqrt(F.aggregate("s", F.lit(0.0), lambda a, x: a + x * x))).where("ties > 0")
+    rows = settle(rows.select("gene", F.concat_ws(",", F.transform("s", lambda x: x.cast("int").cast("string"))).alias("profile"), F.transform("s", lambda x: x / F.col("ties")).alias("u")))
+    if rows.count() < enough:
+        return rows.select("gene", F.lit(0).alias("group")).where("false")
+    now = settle(rows.groupBy("profile").agg(F.count("*").cast("double").alias("n"), F.first("u").alias("u")).withColumn("group", F.lit("")))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+    size = len(now.first()["u"])
+    total = lambda by: by.agg(F.sum("n").alias("all"), F.array(*[F.sum(F.col("n") * F.get("u", F.lit(i))) for i in range(size)]).alias("sum"))
+    for _ in range(rounds):
+        a = now.select("group", "u")
+        wide = a.join(a.select("group", F.col("u").alias("w")), "group").groupBy("group").agg(F.max(1 - dot(F.col("u"), F.col("w"))).alias("d")).where(F.col("d") > cut + 1e-9)
+        split = settle(now.join(wide.select("group"), "group"))
+        if split.isEmpty():
+            break
+        # the mean distance to genes of other profiles
+        away = (F.col("all") - dot(F.col("u"), F.col("sum"))) / (F.col("all") - F.col("n"))
+        founder = split.join(total(split.groupBy("group")), "group").groupBy("group").agg(F.max_by("profile", F.struct(F.round(away, 9), "profile")).alias("f"))
+        part = settle(split.join(founder, "group").select("group", "profile", "n", "u", (F.col("profile") == F.col("f")).alias("out")))
+        for _ in range(rounds):
+            t = total(part.groupBy("group", "out"))
+            inner, outer = (t.where(F.col("out") == o).select("group", F.col("all").alias(f"all{k}"), F.col("sum").alias(f"sum{k}")) for o, k in ((False, "i"), (True, "o")))
+            met = part.join(inner, "group").join(outer, "group")
+            left = F.try_divide(F.col("alli") - dot(F.col("u"), F.col("sumi")), F.col("alli") - F.col("n"))
+            gone = (1 - dot(F.col("u"), F.col("sumo")) / F.col("allo")) < left - 1e-9
+            step = settle(met.select("group", "profile", "n", "u", "out", (~F.col("out") & (F.col("alli") > F.col("n")) & gone).alias("goes")))
+            if step.where("goes").isEmpty():
+                break
+            part = step.select("group", "profile", "n", "u", (F.col("out") | F.col("goes")).alias("out"))
+        else:
+            raise RuntimeError(f"profiles still move after {rounds} rounds")
+        named = part.select("profile", "n", "u", F.concat("group", F.when(F.col("out"), "1").otherwise("0")).alias("group"))
+        now = settle(now.join(wide.select("group"), "group", "left_anti").select("profile", "n", "u", "group").unionByName(named))
+    else:
+        raise RuntimeError(f"groups are still wide after {rounds} rounds")
+    found = rows.select("gene", "profile").join(now.select("profile", F.col("group").alias("g")), "profile")
+    kept = found.groupBy("g").agg(F.count("*").alias("n"), F.min("gene").alias("first")).where(F.col("n") >= least)
+    # a row per group
+    number = kept.select("g", F.row_number().over(Window.orderBy(F.desc("n"), "first")).alias("group"))
+    return found.join(number, "g").select("gene", "group")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cytogrid.operators import de, markers, normalize, pseudobulk, qc, signatures
+from cytogrid.operators import de, markers, nbinom, normalize, pseudobulk, qc, signatures
 from cytogrid.operators.durable import settle
 from cytogrid.plans import views as V
 from cytogrid.plans.queries_core import _CHAIN, _NORM, MITO, effective, n_cells, rounded
@@ -91,71 +91,79 @@ def gene_zscore(spark: SparkSession, d: str) -> DataFrame:
 
 _RATIOS = f"""{_FACTORS}, m AS (SELECT gene, region_annotation AS lv, avg(norm) AS m FROM normed GROUP BY 1, 2),
 ratios AS (SELECT x.gene, x.lv AS a, y.lv AS b, x.lv || '_vs_' || y.lv AS contrast, CASE WHEN x.m > 0 OR y.m > 0 THEN log2(CASE WHEN x.m > 0 THEN x.m ELSE 0.5 END / CASE WHEN y.m > 0 THEN y.m ELSE 0.5 END) END AS log2fc FROM m x JOIN m y ON x.gene = y.gene AND x.lv < y.lv)"""
-#: A stand-in p-value for tests of what comes after the statistics: a function of gene and contrast.
-_P = "(ascii(right(gene, 1)) * 7 + length(gene) * 13 + length(contrast) * 29) % 100 / 100.0"
+_ERFC = " + ".join(f"({c!r} * pow(1 / (1 + 0.3275911 * abs(stat) / sqrt(2.0)), {k + 1}))" for k, c in enumerate(de.ERFC))
+#: Welch's statistic of log2 normalised counts, and its p-value.
+_WELCH = f"""{_RATIOS}, lvl AS (SELECT gene, region_annotation AS lv, avg(value) AS m, var_samp(value) AS v, count(*) AS n FROM normed GROUP BY 1, 2),
+wz AS (SELECT x.gene, x.lv AS a, y.lv AS b, (x.m - y.m) / nullif(sqrt(x.v / x.n + y.v / y.n), 0) AS stat FROM lvl x JOIN lvl y ON x.gene = y.gene AND x.lv < y.lv),
+wp AS (SELECT gene, a, b, stat, exp(-stat * stat / 2) * ({_ERFC}) AS p FROM wz)"""
 
 
 def ratios(spark: SparkSession, d: str) -> DataFrame:
-    out = de.mean_ratios(normed(spark, d), "region_annotation")
-    return out.withColumn("p", ((F.ascii(F.right("gene", F.lit(1))) * 7 + F.length("gene") * 13 + F.length("contrast") * 29) % 100) / 100.0)
+    n = settle(normed(spark, d))
+    return de.mean_ratios(n, "region_annotation").join(de.welch(n, "region_annotation").drop("contrast"), ["gene", "a", "b"])
+
+
+@query(f"WITH {_WELCH} SELECT gene, a, b, round(stat, 5) AS stat, round(p, 7) AS p FROM wp")
+def welch_tests(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(rounded(de.welch(normed(spark, d), "region_annotation"), "stat", to=5), "p", to=7).drop("contrast")
 
 
 @query(f"WITH {_RATIOS} SELECT gene, a, b, contrast, round(log2fc, 5) AS log2fc FROM ratios")
 def pairwise_contrasts(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(ratios(spark, d), "log2fc", to=5).drop("p")
+    return rounded(de.mean_ratios(normed(spark, d), "region_annotation"), "log2fc", to=5)
 
 
-_ADJ = f"""{_RATIOS}, pv AS (SELECT *, {_P} AS p FROM ratios), rk AS (SELECT *, row_number() OVER (PARTITION BY contrast ORDER BY p, gene) AS r, count(*) OVER (PARTITION BY contrast) AS n FROM pv),
+_ADJ = f"""{_WELCH}, pv AS (SELECT r.*, round(p, 9) AS p FROM ratios r JOIN wp USING (gene, a, b)), rk AS (SELECT *, row_number() OVER (PARTITION BY contrast ORDER BY p, gene) AS r, count(*) OVER (PARTITION BY contrast) AS n FROM pv),
 adj AS (SELECT *, least(1.0, min(p * n / r) OVER (PARTITION BY contrast ORDER BY p DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS padj FROM rk),
 stats AS (SELECT gene, a, b, contrast, log2fc, p, padj FROM adj)"""
 
 
 def stats(spark: SparkSession, d: str) -> DataFrame:
     # a small table that several branches read
-    return settle(markers.adjust(ratios(spark, d), "p", ["contrast"]))
+    return settle(markers.adjust(rounded(ratios(spark, d), "p", to=9), "p", ["contrast"]))
 
 
-@query(f"WITH {_ADJ} SELECT gene, contrast, p, round(padj, 6) AS padj FROM stats")
+@query(f"WITH {_ADJ} SELECT gene, contrast, round(p, 7) AS p, round(padj, 6) AS padj FROM stats")
 def bh_adjust(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(stats(spark, d), "padj").select("gene", "contrast", F.col("p").cast("double").alias("p"), "padj")
+    return rounded(rounded(stats(spark, d), "padj"), "p", to=7).select("gene", "contrast", "p", "padj")
 
 
-_CLASSED = f"{_ADJ}, classed AS (SELECT *, CASE WHEN padj >= 0.6 THEN 'NS' WHEN log2fc > 0.05 THEN 'Up' WHEN log2fc < -0.05 THEN 'Down' ELSE 'NS' END AS class, -log10(greatest(padj, 1e-300)) AS neg_log10 FROM stats WHERE padj IS NOT NULL AND log2fc IS NOT NULL)"
+_CLASSED = f"{_ADJ}, classed AS (SELECT *, CASE WHEN padj >= 0.9 THEN 'NS' WHEN log2fc > 0.05 THEN 'Up' WHEN log2fc < -0.05 THEN 'Down' ELSE 'NS' END AS class, -log10(greatest(padj, 1e-300)) AS neg_log10 FROM stats WHERE padj IS NOT NULL AND log2fc IS NOT NULL)"
 
 
 @query(f"WITH {_CLASSED} SELECT contrast, class, count(*) AS n, round(sum(neg_log10), 4) AS s FROM classed GROUP BY 1, 2")
 def volcano_classes(spark: SparkSession, d: str) -> DataFrame:
-    return de.classes(stats(spark, d), 0.6, 0.05).groupBy("contrast", "class").agg(F.count("*").alias("n"), F.round(F.sum("neg_log10"), 4).alias("s"))
+    return de.classes(stats(spark, d), 0.9, 0.05).groupBy("contrast", "class").agg(F.count("*").alias("n"), F.round(F.sum("neg_log10"), 4).alias("s"))
 
 
-@query(f"WITH {_ADJ} SELECT contrast, count(padj) AS n_tested, count(*) FILTER (WHERE padj < 0.6) AS n_significant, count(*) FILTER (WHERE padj < 0.6 AND log2fc > 0.05) AS n_up, count(*) FILTER (WHERE padj < 0.6 AND log2fc < -0.05) AS n_down FROM stats GROUP BY 1")
+@query(f"WITH {_ADJ} SELECT contrast, count(padj) AS n_tested, count(*) FILTER (WHERE padj < 0.9) AS n_significant, count(*) FILTER (WHERE padj < 0.9 AND log2fc > 0.05) AS n_up, count(*) FILTER (WHERE padj < 0.9 AND log2fc < -0.05) AS n_down FROM stats GROUP BY 1")
 def de_summary(spark: SparkSession, d: str) -> DataFrame:
-    return de.summary(stats(spark, d), "contrast", 0.6, 0.05)
+    return de.summary(stats(spark, d), "contrast", 0.9, 0.05)
 
 
 @query(f"""WITH {_CLASSED} SELECT contrast, gene, side, rank FROM (
 SELECT contrast, gene, 'Up' AS side, row_number() OVER (PARTITION BY contrast ORDER BY log2fc DESC, gene) AS rank FROM classed WHERE class = 'Up' UNION ALL
 SELECT contrast, gene, 'Down', row_number() OVER (PARTITION BY contrast ORDER BY log2fc, gene) FROM classed WHERE class = 'Down') q WHERE rank <= 10""")
 def topk_up_down(spark: SparkSession, d: str) -> DataFrame:
-    return de.labels_up_down(de.classes(stats(spark, d), 0.6, 0.05), "contrast").select("contrast", "gene", "side", "rank")
+    return de.labels_up_down(de.classes(stats(spark, d), 0.9, 0.05), "contrast").select("contrast", "gene", "side", "rank")
 
 
-@query(f"""WITH {_ADJ}, s AS (SELECT * FROM stats WHERE padj < 0.6) SELECT contrast, gene, side, mode, rank FROM (
+@query(f"""WITH {_ADJ}, s AS (SELECT * FROM stats WHERE padj < 0.9) SELECT contrast, gene, side, mode, rank FROM (
 SELECT contrast, gene, 'up' AS side, 'fixed' AS mode, row_number() OVER (PARTITION BY contrast ORDER BY log2fc DESC, gene) AS rank FROM s WHERE log2fc > 0 UNION ALL
 SELECT contrast, gene, 'down', 'fixed', row_number() OVER (PARTITION BY contrast ORDER BY log2fc, gene) FROM s WHERE log2fc < 0 UNION ALL
 SELECT contrast, gene, 'up', 'compat', row_number() OVER (PARTITION BY contrast ORDER BY log2fc DESC, gene) FROM s WHERE log2fc > 0 UNION ALL
 SELECT contrast, gene, 'down', 'compat', row_number() OVER (PARTITION BY contrast ORDER BY log2fc DESC, gene) FROM s WHERE log2fc < 0) q WHERE rank <= 5""")
 def heatmap_genes(spark: SparkSession, d: str) -> DataFrame:
     s = stats(spark, d)
-    both = [de.heatmap_genes(s, "contrast", 5, 0.6, c).withColumn("mode", F.lit("compat" if c else "fixed")) for c in (False, True)]
+    both = [de.heatmap_genes(s, "contrast", 5, 0.9, c).withColumn("mode", F.lit("compat" if c else "fixed")) for c in (False, True)]
     return both[0].unionByName(both[1]).select("contrast", "gene", "side", "mode", "rank")
 
 
-_UNIQUE = f"{_ADJ}, up AS (SELECT DISTINCT a AS level, gene FROM stats WHERE padj < 0.6 AND log2fc > 0.02), uniq AS (SELECT level, gene FROM up u WHERE NOT EXISTS (SELECT 1 FROM up o WHERE o.gene = u.gene AND o.level <> u.level))"
+_UNIQUE = f"{_ADJ}, up AS (SELECT DISTINCT a AS level, gene FROM stats WHERE padj < 0.9 AND log2fc > 0.02), uniq AS (SELECT level, gene FROM up u WHERE NOT EXISTS (SELECT 1 FROM up o WHERE o.gene = u.gene AND o.level <> u.level))"
 
 
 def unique(spark: SparkSession, d: str) -> DataFrame:
-    return de.unique_markers(stats(spark, d).withColumnRenamed("a", "level"), "level", 0.6, 0.02)
+    return de.unique_markers(stats(spark, d).withColumnRenamed("a", "level"), "level", 0.9, 0.02)
 
 
 @query(f"WITH {_UNIQUE} SELECT level, gene FROM uniq")
@@ -170,12 +178,38 @@ def unique_markers_wide(spark: SparkSession, d: str) -> DataFrame:
     return de.ragged(unique(spark, d).where(F.col("level").isin(levels)), "level", levels)
 
 
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+
 @query()
 def nb_wald(spark: SparkSession, d: str) -> DataFrame:
-    """Negative-binomial tests of all regions with adjusted p-values; held against properties in tests."""
+    """Negative-binomial tests of all regions with adjusted p-values; held against loops over genes and planted effects in tests."""
     b = named_bulks(spark, d)
-    t = de.nb_tests(b, pseudobulk.size_factors(b, "bulk"), "bulk", "region_annotation", ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"])
-    return markers.adjust(t.withColumn("p", markers.normal_two_sided("stat")), "p", ["contrast"])
+    return nbinom.nb_tests(b, pseudobulk.size_factors(b, "bulk"), "bulk", "region_annotation", REGIONS)
+
+
+#: A trend of dispersions for the test of the transform alone; ``nb_stabilised`` fits its own.
+A0, A1 = 0.05, 2.0
+
+
+@query(f"WITH {_FACTORS} SELECT bulk, gene, round(log2((1 + {A1} + 2 * {A0} * norm + 2 * sqrt({A0} * norm * (1 + {A1} + {A0} * norm))) / (4 * {A0})), 6) AS value FROM normed")
+def vst_values(spark: SparkSession, d: str) -> DataFrame:
+    n = normed(spark, d)
+    return rounded(n.select("bulk", "gene", nbinom.vst(F.col("norm"), A0, A1).alias("value")), "value")
+
+
+@query()
+def nb_stabilised(spark: SparkSession, d: str) -> DataFrame:
+    """Variance-stabilised counts under the trend fitted to the data."""
+    b = named_bulks(spark, d)
+    return nbinom.stabilised(b, pseudobulk.size_factors(b, "bulk"), "bulk", "region_annotation", REGIONS)
+
+
+@query()
+def pattern_groups(spark: SparkSession, d: str) -> DataFrame:
+    """All genes by their profile over the regions; held against planted profiles in tests."""
+    values = nb_stabilised(spark, d)
+    return de.pattern_groups(values, values, "region_annotation", least=2)
 
 
 _DOTS = f"""{_NORM}, dg AS (SELECT sample, cell_id, cell_type || ' | ' || region_annotation AS grp FROM cells), dn AS (SELECT grp, count(*) AS n FROM dg GROUP BY 1),

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytogrid.operators import annotate, compose, contract, de, embed, markers, normalize, pseudobulk, qc, signatures, spatial, subset
+from cytogrid.operators import annotate, compose, contract, de, embed, markers, nbinom, normalize, pseudobulk, qc, signatures, spatial, subset
 from cytogrid.operators.durable import settle
 from cytogrid.sources import readers
 
@@ -127,8 +127,17 @@ def _de(t: dict[str, DataFrame], c: Config) -> DataFrame:
     if len(levels) < 2:
         raise ValueError(f"{len(levels)} conditions with {c.min_replicates} pseudobulks; two are needed")
     b = settle(pseudobulk.completed(kept, by).withColumn("bulk", F.concat_ws("|", *by)))
-    tests = de.nb_tests(b, pseudobulk.size_factors(b, "bulk"), "bulk", c.condition, levels)
-    return markers.adjust(tests.withColumn("p", markers.normal_two_sided("stat")), "p", ["contrast"])
+    return nbinom.nb_tests(b, pseudobulk.size_factors(b, "bulk"), "bulk", c.condition, levels)
+
+
+def _pattern_groups(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    """Genes whose conditions differ as a whole, grouped by their profile over the conditions."""
+    by = ["sample", c.condition]
+    kept = settle(pseudobulk.expressed(pseudobulk.replicate_gate(t["pseudobulk"], by, c.condition, c.min_replicates)))
+    b = settle(pseudobulk.completed(kept, by).withColumn("bulk", F.concat_ws("|", *by)))
+    levels = sorted(r[0] for r in kept.select(c.condition).distinct().collect())  # the names of conditions
+    values = nbinom.stabilised(b, pseudobulk.size_factors(b, "bulk"), "bulk", c.condition, levels)
+    return de.pattern_groups(values, t["de"].where("lr_padj < 0.05 AND NOT endswith(contrast, '_vs_rest')"), c.condition)
 
 
 def _signatures(t: dict[str, DataFrame], c: Config) -> DataFrame:
@@ -173,6 +182,7 @@ STEPS: dict[str, Callable[[dict[str, DataFrame], Config], DataFrame]] = {
     "pseudobulk": lambda t, c: pseudobulk.aggregate(t["filtered"], pseudobulk.regions_only(t["cells"], c.condition), ["sample", c.condition], c.pseudobulk_min_cells, c.pseudobulk_min_counts),
     "de": _de,
     "de_summary": lambda t, c: de.summary(t["de"], "contrast"),
+    "pattern_groups": _pattern_groups,
     "subclusters": _subclusters,
 }
 #: What a step reads of other steps.
@@ -194,6 +204,7 @@ READS = {
     "pseudobulk": ("filtered",),
     "de": ("pseudobulk",),
     "de_summary": ("de",),
+    "pattern_groups": ("pseudobulk", "de"),
     "subclusters": ("filtered",),
 }
 #: Steps that need something of the configuration.
@@ -204,7 +215,7 @@ NEEDS: dict[str, tuple[str, Callable[[Config], bool]]] = {
 }
 TARGETS = {
     "run_preprocessing": ("validation", "qc_metrics", "qc_report", "filtered", "normalised", "variable_genes", "pcs", "clusters", "cluster_tree"),
-    "run_postprocessing": ("integrated", "integrated_clusters", "enrichment", "region_enrichment", "co_occurrence", "niches", "composition", "markers", "majority", "de", "de_summary"),
+    "run_postprocessing": ("integrated", "integrated_clusters", "enrichment", "region_enrichment", "co_occurrence", "niches", "composition", "markers", "majority", "de", "de_summary", "pattern_groups"),
     "run_exploration": ("dotplot",),
     "explore_genes": ("dotplot", "signatures"),
     "subcluster_all": ("subclusters",),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import random
 
 import numpy as np
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cytogrid.functions import text
-from cytogrid.operators import annotate, contract, de, embed, graph, markers, normalize, pseudobulk, qc, signatures, spatial, subset
+from cytogrid.operators import annotate, contract, de, embed, graph, markers, nbinom, normalize, pseudobulk, qc, signatures, spatial, subset
 from cytogrid.plans import workflow
 from cytogrid.sources import readers
 
@@ -91,7 +92,7 @@ def test_nb_finds_the_shift(spark):
     rng = np.random.default_rng(1)
     rows = [(f"b{k}", "A" if k < 4 else "B", f"g{j}", int(rng.poisson(200 * (4 if j == 0 and k < 4 else 1)))) for k in range(8) for j in range(12)]
     b = spark.createDataFrame(rows, "bulk string, lv string, gene string, count long")
-    got = {r["gene"]: r for r in de.nb_tests(b, pseudobulk.size_factors(b, "bulk"), "bulk", "lv", ["A", "B"]).collect()}
+    got = {r["gene"]: r for r in nbinom.nb_tests(b, pseudobulk.size_factors(b, "bulk"), "bulk", "lv", ["A", "B"]).collect()}
     assert got["g0"]["log2fc"] == pytest.approx(2, abs=0.3) and got["g0"]["stat"] > 5 and got["g0"]["lr"] > 20
     assert all(abs(got[f"g{j}"]["log2fc"]) < 0.4 for j in range(1, 12))
 
@@ -433,7 +434,7 @@ def test_gene_of_one_level(spark):
     ratios = {(r["gene"], r["contrast"]): r["log2fc"] for r in de.mean_ratios(norm, "lv").collect()}
     assert ratios[("only", "A_vs_B")] > 5 and ratios[("only", "B_vs_C")] is None
     assert pseudobulk.gene_zscores(norm, "bulk").where("gene = 'only'").count() == 12
-    t = {(r["gene"], r["contrast"]): r for r in de.nb_tests(b, factors, "bulk", "lv", ["A", "B", "C"]).collect()}
+    t = {(r["gene"], r["contrast"]): r for r in nbinom.nb_tests(b, factors, "bulk", "lv", ["A", "B", "C"]).collect()}
     assert t[("only", "A_vs_B")]["log2fc"] > 5 and t[("only", "A_vs_rest")]["lr_p"] < 1e-6
     assert np.mean([t[(f"g{g}", "A_vs_rest")]["lr_p"] < 0.05 for g in range(30)]) < 0.3
 
@@ -518,3 +519,127 @@ def test_regions_of_many_polygons(spark, last):
         assert got[f"c{i}"] == (hits[-1 if last else 0] if hits else "Unlabeled")
     inner = spatial.cover(polygons.where("region = 'square'")).where("edges IS NULL").count()
     assert inner >= 14 * 14
+
+
+def nb_counts(seed=0, genes=150, per=6, shift=15):
+    """Counts with dispersions 0.05 + 2 / mean; the first genes are four times as frequent in level B."""
+    rng = np.random.default_rng(seed)
+    level, size = np.repeat([0, 1, 2], per), rng.uniform(0.5, 2, 3 * per)
+    mean = rng.lognormal(5, 1.5, genes)
+    disp = (0.05 + 2 / mean) * rng.lognormal(0, 0.4, genes)
+    mu = mean[:, None] * size * np.where((np.arange(genes) < shift)[:, None] & (level == 1), 4, 1)
+    return rng.negative_binomial(1 / disp[:, None], 1 / (1 + disp[:, None] * mu)), level, size
+
+
+def as_bulks(spark, y, level, size):
+    b = spark.createDataFrame([(f"b{i:02d}", "ABC"[level[i]], f"g{g:03d}", int(v)) for g, row in enumerate(y) for i, v in enumerate(row)], "bulk string, lv string, gene string, count long")
+    return b, spark.createDataFrame([(f"b{i:02d}", float(s)) for i, s in enumerate(size)], "bulk string, size_factor double")
+
+
+def plain_ll(y, mu, alpha):
+    r = 1 / alpha
+    return sum(math.lgamma(v + r) - math.lgamma(r) + v * math.log(m / (r + m)) + r * math.log(r / (r + m)) for v, m in zip(y, mu, strict=True))
+
+
+def test_dispersion_is_the_likeliest():
+    """The adjusted likelihood of one gene after another on a fine grid, with mean and determinant spelled out."""
+    y, level, size = nb_counts(3, 12)
+    d = nbinom.Design(("A", "B", "C"), level, size)
+    got = nbinom.gene_dispersions(y.astype(float), d)
+    for g in range(12):
+        m = [np.mean([y[g, i] / size[i] for i in range(18) if level[i] == k]) for k in range(3)]
+        mu = [max(m[level[i]] * size[i], 0.5) for i in range(18)]
+        x = np.column_stack([np.ones(18), level == 1, level == 2])
+
+        def cr(alpha, g=g, mu=mu):
+            w = np.array(mu) / (1 + alpha * np.array(mu))
+            return plain_ll(y[g], mu, alpha) - 0.5 * np.linalg.slogdet(x.T @ (w[:, None] * x))[1]
+
+        best = max(cr(a) for a in np.exp(np.linspace(np.log(1e-8), np.log(18), 1500)))
+        assert cr(float(got[g])) >= best - 1e-6
+    for v in (0.0, 1.0, 7.0, 1000.0):
+        for r in (1e-3, 0.5, 30.0, 1e4):
+            assert nbinom.log_gamma_ratio(np.array([v]), np.array([r]))[0] == pytest.approx(math.lgamma(v + r) - math.lgamma(r), rel=1e-9, abs=1e-9)
+
+
+def test_levels_are_fitted_and_tested(spark):
+    y, level, size = nb_counts(1)
+    b, f = as_bulks(spark, y, level, size)
+    rows = nbinom.nb_tests(b, f, "bulk", "lv", ["A", "B", "C"]).collect()
+    t = {(r["gene"], r["contrast"]): r for r in rows}
+    assert {c for _, c in t} == {"A_vs_B", "A_vs_C", "B_vs_C", "A_vs_rest", "B_vs_rest", "C_vs_rest"} and len(rows) == 6 * 150
+    for c, sign in (("A_vs_B", -1), ("B_vs_rest", 1)):
+        own = [t[f"g{g:03d}", c] for g in range(15)]
+        assert np.mean([r["log2fc"] for r in own]) == pytest.approx(2 * sign, abs=0.25) and sum(r["padj"] is not None and r["padj"] < 0.05 for r in own) >= 13
+    rest = [t[f"g{g:03d}", c]["p"] for g in range(15, 150) for c in ("A_vs_B", "A_vs_C", "C_vs_rest")]
+    assert 0.01 < np.mean([p is not None and p < 0.05 for p in rest]) < 0.11
+    # a gene's levels maximise the likelihood under its dispersion, and lr compares them with one level
+    for g in (0, 40, 90):
+        r = t[f"g{g:03d}", "A_vs_C"]
+        one = lambda i, e: plain_ll([y[g, k] for k in i], [math.exp(e) * size[k] for k in i], r["dispersion"])  # noqa: B023, E731
+        fit = {}
+        for k in (0, 1, 2):
+            i = [j for j in range(18) if level[j] == k]
+            fit[k] = max(np.linspace(-3, 12, 6001), key=lambda e: one(i, e))  # noqa: B023
+        assert r["log2fc"] == pytest.approx((fit[0] - fit[2]) / math.log(2), abs=0.01)
+        null = max(one(range(18), e) for e in np.linspace(-3, 12, 6001))
+        assert r["lr"] == pytest.approx(2 * (sum(one([j for j in range(18) if level[j] == k], fit[k]) for k in fit) - null), rel=0.01, abs=0.01)
+
+
+def test_trend_and_prior_are_recovered(spark):
+    y, level, size = nb_counts(5, 1500)
+    b, f = as_bulks(spark, y[:, :], level, size)
+    names, designs = nbinom._designs(b, f, "bulk", "lv", ["A", "B", "C"])
+    raw = nbinom.settle(nbinom.dispersions(b, names, designs[:1], "bulk"))
+    (a0, a1), (prior, spread) = nbinom.trends(raw, 1)[0], nbinom.priors(raw, designs[:1], nbinom.trends(raw, 1))[0]
+    assert a0 == pytest.approx(0.055, abs=0.02) and a1 == pytest.approx(2.2, abs=0.7) and 0.2 <= prior <= spread
+
+
+def test_outlying_counts(spark):
+    """One wild count: replaced with seven replicates or more, and no p-value with fewer."""
+    for per, tested in ((8, True), (4, False)):
+        y, level, size = nb_counts(2, 60, per, 0)
+        y = np.maximum(y, 20)
+        y[5, 0] = 400 * y[5].max()
+        b, f = as_bulks(spark, y, level, size)
+        r = {(r["gene"], r["contrast"]): r for r in nbinom.nb_tests(b, f, "bulk", "lv", ["A", "B", "C"]).collect()}["g005", "A_vs_B"]
+        assert (r["p"] is not None) == tested and (not tested or abs(r["log2fc"]) < 2)
+
+
+def test_filter_leaves_out_what_cannot_be_found():
+    rng = np.random.default_rng(7)
+    mean = np.concatenate([rng.uniform(0, 5, 600), rng.uniform(50, 500, 400)])
+    p = np.concatenate([rng.uniform(0, 1, 600), rng.uniform(0, 1, 340), rng.uniform(0, 2e-3, 60)])
+    plain, got = nbinom.benjamini_hochberg(p), nbinom.filtered(p, mean)
+    assert np.isnan(got[:600]).mean() > 0.2 and not np.isnan(got[mean > 50]).any() and (got[~np.isnan(got)] < 0.1).sum() > (plain < 0.1).sum()
+    assert np.isnan(nbinom.filtered(np.array([np.nan, np.nan]), np.ones(2))).all() and nbinom.filtered(np.array([0.01, np.nan]), np.ones(2))[0] == 0.01
+    want = sorted((v * len(p) / (i + 1), i) for i, v in enumerate(sorted(p)))
+    assert plain.min() == pytest.approx(min(1, want[0][0]))
+
+
+@pytest.mark.parametrize("x", [(2, 10, 7.559), (5, 20, 4.103), (1, 8, 11.259), (4, 96, 3.52)])
+def test_f_quantile(x):
+    assert nbinom.f_quantile(0.99, x[0], x[1]) == pytest.approx(x[2], rel=2e-3)
+
+
+def test_no_trend_falls_back(spark):
+    b, f = as_bulks(spark, np.full((12, 18), 50), np.repeat([0, 1, 2], 6), np.ones(18))
+    got = nbinom.stabilised(b, f, "bulk", "lv", ["A", "B", "C"]).select("value").distinct().collect()
+    assert len(got) == 1 and got[0][0] > 0
+    assert nbinom.nb_tests(b, f, "bulk", "lv", ["A", "B", "C"]).where("padj < 0.5").count() == 0
+
+
+def test_planted_profiles_are_grouped(spark):
+    rng = np.random.default_rng(4)
+    shapes = {"up": [0, 1, 2, 3], "down": [3, 2, 1, 0], "peak": [0, 3, 2, 1]}
+    rows = [(f"{s}{g:02d}", f"{lv}{k}", lv, float(10 + 2 * v + rng.normal(0, 0.3))) for s, p in shapes.items() for g in range(20) for lv, v in zip("ABCD", p, strict=True) for k in range(3)]
+    rows += [("flat", f"{lv}{k}", lv, 1.0) for lv in "ABCD" for k in range(3)] + [(f"odd{g}", f"{lv}{k}", lv, float(v)) for g in range(3) for lv, v in zip("ABCD", [1, 0, 3, 2], strict=True) for k in range(3)]
+    v = spark.createDataFrame(rows, "gene string, bulk string, lv string, value double")
+    got = {r["gene"]: r["group"] for r in de.pattern_groups(v, v, "lv", cut=0.6).collect()}
+    assert sorted(set(got.values())) == [1, 2, 3] and len(got) == 60
+    for s in shapes:
+        assert len({got[f"{s}{g:02d}"] for g in range(20)}) == 1
+    few = v.where("gene IN ('up00', 'up01', 'down00')")
+    assert de.pattern_groups(v, few, "lv").count() == 0
+    together = de.pattern_groups(v, v, "lv", cut=2.0, least=1).select("group").distinct().count()
+    assert together == 1
