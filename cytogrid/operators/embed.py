@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -18,8 +19,8 @@ from cytogrid.operators.annotate import shared_genes
 from cytogrid.operators.durable import settle
 
 BLOCK = 8_192
-#: Tasks of a pass whose totals go to the driver.
-PARTS = 4_096
+#: Tasks of a pass whose totals go to the driver, tasks whose totals are added at a time, and numbers in a row.
+PARTS, MERGED, CHUNK = 4_096, 64, 16_384
 #: Values of sparse rows worked on at a time, and directions beyond those asked for in a block.
 ENTRIES, SPARE = 200_000, 10
 
@@ -47,7 +48,10 @@ def panel_rows(values: DataFrame, genes: DataFrame, value: str = "value") -> Dat
 
 
 def summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
-    """The sum of ``part`` over all batches: tasks send their totals, at most PARTS of them, and the driver gets ``size`` numbers."""
+    """The sum of ``part`` over all batches; the driver gets ``size`` numbers.
+
+    Tasks, at most PARTS of them, send their totals in rows of CHUNK numbers; a first stage adds those of MERGED tasks each, a second one what these give.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -55,12 +59,17 @@ def summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size:
             if b.num_rows:
                 total = part(b) if total is None else total + part(b)
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int64)), pa.array(total)], names=["i", "x"])
+            pieces = [np.asarray(total[i : i + CHUNK], np.float64) for i in range(0, size, CHUNK)]
+            task = np.full(len(pieces), TaskContext.get().partitionId(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(task), pa.array(np.arange(len(pieces))), pa.array(pieces, pa.list_(pa.float64()))], names=["task", "i", "x"])
+
+    def add(t: pa.Table) -> pa.Table:
+        return t.slice(0, 1).set_column(2, "x", lists(matrix(t.column("x")).sum(0)[None, :]))
 
-    got = rows.coalesce(PARTS).mapInArrow(run, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
-    flat = np.zeros(size)
-    flat[got.column("i").to_numpy()] = got.column("x").to_numpy()
-    return flat
+    sent = rows.coalesce(PARTS).mapInArrow(run, "task long, i long, x array<double>")
+    some = sent.groupBy("i", F.expr(f"task div {MERGED}")).applyInArrow(add, sent.schema)
+    got = some.groupBy("i").applyInArrow(add, sent.schema).orderBy("i").collect()  # a row per CHUNK numbers
+    return np.concatenate([r["x"] for r in got]) if got else np.zeros(size)
 
 
 def _slices(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
@@ -215,8 +224,8 @@ def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d, 0))
 
 
-def knn(query: DataFrame, reference: DataFrame, k: int) -> DataFrame:
-    """Exact (src, dst, rank, d) of the k nearest reference rows other than itself; both have id (string) and v. Ties by id."""
+def _near(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The k nearest rows of one table for each row of another, ties by id."""
 
     def run(q: pa.Table, r: pa.Table) -> pa.Table:
         src, dst, dist = [], [], []
@@ -236,7 +245,81 @@ def knn(query: DataFrame, reference: DataFrame, k: int) -> DataFrame:
                     dist += d[i][c].tolist()
         return pa.table({"src": pa.array(src, pa.string()), "dst": pa.array(dst, pa.string()), "d": pa.array(dist, pa.float64())})
 
-    got = by_blocks(query.select("id", "v"), reference.select("id", "v"), run, "src string, dst string, d double")
+    return run
+
+
+NEAR = "src string, dst string, d double"
+#: Candidates for each pivot, and pivots at most.
+TRIED, MOST_PIVOTS = 16, 512
+
+
+def pivots(reference: DataFrame, many: int) -> np.ndarray:
+    """``many`` rows far from each other, of TRIED times as many drawn by hash: each next one is the farthest from those taken."""
+    drawn = matrix(reference.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(TRIED * many).select("v").toArrow().column("v"))
+    taken = [0]
+    gap = _distances(drawn, drawn[:1])[:, 0]
+    while len(taken) < min(many, len(drawn)) and gap.max() > 0:
+        taken.append(int(gap.argmax()))
+        gap = np.minimum(gap, _distances(drawn, drawn[taken[-1:]])[:, 0])
+    return drawn[taken]
+
+
+def homes(rows: DataFrame, at: np.ndarray, every: bool = False) -> DataFrame:
+    """``rows`` (id, v) with part, the number of the nearest pivot, and its distance; with ``every``, the distances to all pivots instead."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                d = _distances(matrix(b.column(1)), at)
+                part = d.argmin(1)
+                far = lists(d) if every else pa.array(d[np.arange(len(d)), part])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(part.astype(np.int32)), far], names=["id", "v", "part", "far"])
+
+    return rows.select("id", "v").mapInArrow(run, f"id string, v array<double>, part int, far {'array<double>' if every else 'double'}")
+
+
+def _by_parts(left: DataFrame, right: DataFrame, k: int, block: int) -> DataFrame:
+    """The nearest of ``right`` (id, v, part) for each of ``left`` within their parts, in pairs of blocks of at most about ``block`` rows."""
+    size = lambda t, n: t.groupBy("part").agg(F.expr(f"count(*) div {block} + 1").cast("int").alias(n))
+    many = settle(size(left, "nl").join(size(right, "nr"), "part"))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    a = left.join(many, "part").select("part", "id", "v", own("nl").alias("lb"), F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("rb"))
+    b = right.join(many, "part").select("part", "id", "v", F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("lb"), own("nr").alias("rb"))
+    b = b.select(*[F.col(c).alias(c) for c in b.columns])
+    return a.groupBy("part", "lb", "rb").cogroup(b.groupBy("part", "lb", "rb")).applyInArrow(_near(k), NEAR)
+
+
+def indexed(query: DataFrame, reference: DataFrame, k: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The nearest of each query row in its home part; the other parts that it has to visit (id, v, part); and the reference rows with their parts.
+
+    A part holds the rows nearest to one pivot. By the triangle inequality no row of a part is nearer to a query than the pivot's distance less the part's radius, the part's least distance less
+    the pivot's, or half of what the pivot is farther away than the query's own. Parts whose bound is above the query's k-th distance at home are left out.
+    """
+    many = min(MOST_PIVOTS, max(2, 4 * reference.count() // block))
+    at = pivots(reference, many)
+    kept = settle(homes(reference, at))
+    asked = settle(homes(query, at, every=True))
+    first = settle(_by_parts(asked.select("part", "id", "v"), kept, k, block))
+    # a row per pivot
+    span = {r["part"]: r for r in kept.groupBy("part").agg(F.min("far").alias("lo"), F.max("far").alias("hi")).collect()}
+    lo, hi = (F.array(*[F.lit(float(span[i][c])) if i in span else F.lit(float("inf")) for i in range(len(at))]) for c in ("lo", "hi"))
+    kth = first.groupBy(F.col("src").alias("id")).agg(F.array_sort(F.collect_list("d")).alias("d")).select("id", F.get("d", F.lit(k - 1)).alias("kth"))
+    met = asked.join(kth, "id", "left").withColumn("kth", F.coalesce("kth", F.lit(float("inf"))) * (1 + 1e-7) + 1e-7)
+    bound = F.transform("far", lambda d, i: F.greatest(d - F.get(hi, i), F.get(lo, i) - d, (d - F.get("far", F.col("part"))) / 2))
+    open_parts = F.filter(F.transform(bound, lambda b, i: F.when((b <= F.col("kth")) & (i != F.col("part")) & (F.get(lo, i) < float("inf")), i)), lambda i: i.isNotNull())
+    return first, met.select("id", "v", F.explode(open_parts).alias("part")), kept
+
+
+def knn(query: DataFrame, reference: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+    """Exact (src, dst, rank, d) of the k nearest reference rows other than itself; both have id (string) and v. Ties by id.
+
+    A reference of one block is compared as a whole; larger ones by ``indexed`` parts, of which queries visit those that can hold a neighbour.
+    """
+    if reference.limit(block + 1).count() <= block:
+        got = by_blocks(query.select("id", "v"), reference.select("id", "v"), _near(k), NEAR)
+    else:
+        first, visits, kept = indexed(query, reference, k, block)
+        got = first.unionByName(_by_parts(settle(visits), kept, k, block))
     return got.withColumn("rank", F.row_number().over(Window.partitionBy("src").orderBy("d", "dst"))).where(F.col("rank") <= k)
 
 

@@ -643,3 +643,37 @@ def test_planted_profiles_are_grouped(spark):
     assert de.pattern_groups(v, few, "lv").count() == 0
     together = de.pattern_groups(v, v, "lv", cut=2.0, least=1).select("group").distinct().count()
     assert together == 1
+
+
+def grouped_vectors(rng, groups, per, dim=12):
+    return np.concatenate([rng.normal(0, 1, dim) * 20 + rng.normal(0, 1, (per, dim)) for _ in range(groups)] + [np.zeros((9, dim))])
+
+
+def test_indexed_neighbours(spark):
+    """Equal to comparing all, ties and repeated rows included, with under half of the pairs looked at where vectors are grouped."""
+    rng = np.random.default_rng(11)
+    x = grouped_vectors(rng, 10, 60)
+    rows = vectors(spark, x)
+    got = {}
+    for r in sorted(embed.knn(rows, rows, 5, block=64).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["src"], []).append((r["d"], r["dst"]))
+    plain = {}
+    for r in sorted(embed.knn(rows, rows, 5).collect(), key=lambda r: r["rank"]):
+        plain.setdefault(r["src"], []).append((r["d"], r["dst"]))
+    assert got == plain and len(got) == len(x)
+    _, visits, kept = embed.indexed(rows, rows, 5, 64)
+    size = kept.groupBy("part").agg(F.count("*").alias("n"))
+    seen = kept.join(size, "part").agg(F.sum("n")).first()[0] + (visits.join(size, "part").agg(F.sum("n")).first()[0] or 0)
+    assert seen < 0.5 * len(x) ** 2
+    few = vectors(spark, x[:3])
+    assert embed.knn(few, rows.limit(0), 2, block=1).count() == 0 and embed.knn(few, few, 9, block=1).count() == 6
+
+
+def test_sums_by_tree(spark, monkeypatch):
+    """Totals over many tasks, in rows of a few numbers and stages of a few tasks."""
+    monkeypatch.setattr(embed, "CHUNK", 7)
+    monkeypatch.setattr(embed, "MERGED", 3)
+    rows = spark.range(0, 100, 1, 11).select(F.array(*[(F.col("id") * i % 13).cast("double") for i in range(30)]).alias("v"))
+    got = embed.summed(rows, lambda b: embed.matrix(b.column(0)).sum(0), 30)
+    assert got.tolist() == [float(sum(n * i % 13 for n in range(100))) for i in range(30)]
+    assert embed.summed(rows.limit(0), lambda b: embed.matrix(b.column(0)).sum(0), 30).tolist() == [0.0] * 30
