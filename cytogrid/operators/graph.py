@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,122 @@ def fuzzy_union(knn: DataFrame) -> DataFrame:
     return both.select("u", "v", F.when(F.col("n") == 1, F.col("s")).otherwise(F.col("s") - F.col("p")).alias("w"))
 
 
+def smooth_union(knn: DataFrame, rounds: int = 64) -> DataFrame:
+    """Weights of a neighbour graph (src, dst, d) by local scale: exp(-(d - rho) / sigma), joined both ways as a + b - ab.
+
+    rho is a node's least positive distance, and sigma is found by bisection such that its k weights add up to log2 k; sigma is at least a thousandth of the mean distance.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if not len(f):
+                continue
+            n = f["d"].map(len).to_numpy()
+            d = np.full((len(f), n.max()), np.inf)
+            for i, row in enumerate(f["d"]):
+                d[i, : n[i]] = row
+            rho = np.where(d > 0, d, np.inf).min(1)
+            off = np.maximum(d - np.where(np.isfinite(rho), rho, 0)[:, None], 0)
+            low, high, at, want = np.zeros(len(f)), np.full(len(f), np.inf), np.ones(len(f)), np.log2(n)
+            for _ in range(rounds):
+                above = np.exp(-off / at[:, None]).sum(1) > want
+                low, high = np.where(above, low, at), np.where(above, at, high)
+                at = np.where(np.isinf(high), at * 2, (low + high) / 2)
+            mean = np.where(np.isfinite(d), d, 0).sum(1) / n
+            w = np.exp(-off / np.maximum(at, 1e-3 * mean + 1e-300)[:, None])
+            yield pd.DataFrame({"src": f["src"], "dst": f["dst"], "w": [w[i, : n[i]] for i in range(len(f))]})
+
+    lists = knn.groupBy("src").agg(F.array_sort(F.collect_list(F.struct("d", "dst"))).alias("near")).select("src", F.col("near.dst").alias("dst"), F.col("near.d").alias("d"))
+    w = lists.mapInPandas(run, "src string, dst array<string>, w array<double>").select("src", F.explode(F.arrays_zip("dst", "w")).alias("e")).select("src", "e.dst", "e.w")
+    both = w.groupBy(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).agg(F.sum("w").alias("s"), F.product("w").alias("p"), F.count("*").alias("n"))
+    return both.select("u", "v", F.when(F.col("n") == 1, F.col("s")).otherwise(F.col("s") - F.col("p")).alias("w"))
+
+
+def spectral(edges: DataFrame, steps: int = 6, each: int = 5, seed: int = 0) -> DataFrame:
+    """(node, x, y): the graph's slowest two modes but the constant one, about, from ``steps`` times ``each`` rounds of averaging over neighbours.
+
+    Between the steps the two are made free of the constant mode and of each other; that takes six sums. Coordinates are scaled to at most 10, with a little noise.
+    """
+    sym = settle(_both_ways(edges).where("u <> v"))
+    unit = lambda s: F.pmod(F.xxhash64("node", F.lit(s)), F.lit(1 << 20)) / float(1 << 20) - 0.5
+    t = F.sqrt("deg")
+    now = settle(sym.groupBy(F.col("u").alias("node")).agg(F.sum("w").alias("deg")).select("node", t.alias("t"), unit(seed + 1).alias("x"), unit(seed + 2).alias("y")))
+    for _ in range(steps):
+        for _ in range(each):
+            of = now.select(F.col("node").alias("v"), F.col("t").alias("tv"), F.col("x").alias("vx"), F.col("y").alias("vy"))
+            mean = sym.join(of, "v").groupBy(F.col("u").alias("node")).agg(*[F.sum(F.col("w") / F.col("tv") * F.col(f"v{c}")).alias(f"s{c}") for c in "xy"])
+            now = now.join(mean, "node").select("node", "t", *[((F.col(c) + F.col(f"s{c}") / F.col("t")) / 2).alias(c) for c in "xy"])
+        now = settle(now)
+        m = now.agg(*[F.sum(F.col(a) * F.col(b)).alias(a + b) for a, b in ("tt", "tx", "ty", "xx", "xy", "yy")]).first()
+        if not m["tt"]:
+            break
+        px, py = m["tx"] / m["tt"], m["ty"] / m["tt"]
+        xx, xy = m["xx"] - m["tx"] * px, m["xy"] - m["tx"] * py
+        q = xy / xx if xx > 0 else 0.0
+        yy = m["yy"] - m["ty"] * py - q * xy
+        x, y = F.col("x") - px * F.col("t"), F.col("y") - py * F.col("t")
+        now = now.select("node", "t", (x / max(xx, 1e-300) ** 0.5).alias("x"), ((y - q * x) / max(yy, 1e-300) ** 0.5).alias("y"))
+    most = now.agg(F.max(F.greatest(F.abs(F.col("x") / F.col("t")), F.abs(F.col("y") / F.col("t"))))).first()[0] or 1.0
+    return settle(now.select("node", *[(10 / most * F.col(c) / F.col("t") + 1e-3 * unit(seed + s)).alias(c) for c, s in (("x", 3), ("y", 4))]))
+
+
+#: The curve 1 / (1 + a d^2b) that belongs to a least distance of 0.5.
+CURVE = (0.5830300205483709, 1.334166992455648)
+
+
+def _epochs(pos: np.ndarray, u: np.ndarray, v: np.ndarray, away: np.ndarray, share: np.ndarray, pool: np.ndarray, rates: list[float], repel: int, rng: np.random.Generator) -> np.ndarray:
+    """Positions after one epoch for each rate: edges drawn by their share pull their first end, and for each some of the pool push it.
+
+    ``v`` is the place of the other end in ``pos``, -1 where that belongs to another block and stands at ``away``.
+    """
+    a, b = CURVE
+    for rate in rates:
+        drawn = np.flatnonzero(rng.random(len(u)) < share)
+        i, j = u[drawn], v[drawn]
+        to = pos[i] - np.where((j >= 0)[:, None], pos[j], away[drawn])
+        d2 = np.maximum((to * to).sum(1), 1e-12)
+        pull = -2 * a * b * d2 ** (b - 1) / (1 + a * d2**b)
+        delta = np.zeros_like(pos)
+        np.add.at(delta, i, np.clip(pull[:, None] * to, -4, 4))
+        i = np.repeat(i, repel)
+        to = pos[i] - pool[rng.integers(0, len(pool), len(i))]
+        d2 = (to * to).sum(1)
+        push = np.where(d2 > 0, 2 * b / ((0.001 + d2) * (1 + a * d2**b)), 0)
+        np.add.at(delta, i, np.clip(push[:, None] * to, -4, 4))
+        pos = pos + rate * delta
+    return pos
+
+
+def umap(edges: DataFrame, epochs: int = 500, each: int = 25, repel: int = 5, seed: int = 0, block: int = 20_000, pool: int = 4_096) -> DataFrame:
+    """(node, x, y): two-dimensional coordinates whose near neighbours are those of the graph (u, v, w), from a ``spectral`` start.
+
+    In an epoch an edge is drawn with its weight's share of the largest and pulls its ends together, and ``repel`` nodes drawn for it push them away. Nodes are dealt to blocks of
+    about ``block``; a block runs ``each`` epochs against the last known places of the others, and then all meet again. Nodes that push come from ``pool`` nodes drawn anew each time.
+    """
+    sym = settle(_both_ways(edges).where("u <> v"))
+    top = sym.agg(F.max("w")).first()[0]
+    now = spectral(edges, seed=seed)
+    if not top:
+        return now
+    blocks = max(1, now.count() // block)
+    of = lambda c: F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(blocks)).cast("int").alias("block")
+    for r in range(-(-epochs // each)):
+        met = np.array([(p["x"], p["y"]) for p in now.orderBy(F.xxhash64("node", F.lit(seed + r)), "node").limit(pool).collect()])
+        rates = [1 - e / epochs for e in range(r * each, min(epochs, (r + 1) * each))]
+
+        def run(key: tuple, own: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+            own, near = own.sort_values("node", ignore_index=True), near.sort_values(["u", "v"])
+            place = {n: i for i, n in enumerate(own["node"])}
+            u, v = (np.array([place.get(n, -1) for n in near[c]], np.int64) for c in "uv")
+            rng = np.random.default_rng([seed, r, int(key[0])])  # noqa: B023
+            pos = _epochs(own[["x", "y"]].to_numpy(), u, v, near[["vx", "vy"]].to_numpy(), near["w"].to_numpy() / top, met, rates, repel, rng)  # noqa: B023
+            return pd.DataFrame({"node": own["node"], "x": pos[:, 0], "y": pos[:, 1]})
+
+        far = sym.join(now.select(F.col("node").alias("v"), F.col("x").alias("vx"), F.col("y").alias("vy")), "v").select(of("u"), "u", "v", "w", "vx", "vy")
+        now = settle(now.select(of("node"), "node", "x", "y").groupBy("block").cogroup(_renamed(far).groupBy("block")).applyInPandas(run, "node string, x double, y double"))
+    return now
+
+
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v", "w").unionByName(edges.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
 

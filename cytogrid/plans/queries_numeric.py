@@ -107,6 +107,13 @@ def layout_xy(spark: SparkSession, d: str) -> DataFrame:
     return graph.layout(graph.fuzzy_union(embed.knn(rows(spark, d), rows(spark, d), K)))
 
 
+@query()
+def umap_xy(spark: SparkSession, d: str) -> DataFrame:
+    """Coordinates by a local-scale neighbour graph; tests hold their trustworthiness."""
+    r = rows(spark, d)
+    return graph.umap(settle(graph.smooth_union(embed.knn(r, r, 15))))
+
+
 @query()
 def harmony_pcs(spark: SparkSession, d: str) -> DataFrame:
     return embed.harmonise(rows(spark, d), clusters=8)

@@ -677,3 +677,44 @@ def test_sums_by_tree(spark, monkeypatch):
     got = embed.summed(rows, lambda b: embed.matrix(b.column(0)).sum(0), 30)
     assert got.tolist() == [float(sum(n * i % 13 for n in range(100))) for i in range(30)]
     assert embed.summed(rows.limit(0), lambda b: embed.matrix(b.column(0)).sum(0), 30).tolist() == [0.0] * 30
+
+
+def trustworthiness(x, y, k):
+    """How far down the neighbours in y rank in x: 1 is best."""
+    n = len(x)
+    far = lambda z: ((z[:, None] - z[None]) ** 2).sum(2) + np.diag(np.full(n, np.inf))
+    rank = np.argsort(np.argsort(far(x), 1), 1) + 1
+    near = np.argsort(far(y), 1)[:, :k]
+    return 1 - 2 / (n * k * (2 * n - 3 * k - 1)) * sum(max(0, rank[i, j] - k) for i in range(n) for j in near[i])
+
+
+@pytest.mark.parametrize("block", [20_000, 60])
+def test_umap_is_trustworthy(spark, block):
+    rng = np.random.default_rng(13)
+    x = np.concatenate([rng.normal(0, 4, 20) + rng.normal(0, 1, (30, 20)) for _ in range(9)])
+    rows = vectors(spark, x)
+    edges = embed.settle(graph.smooth_union(embed.knn(rows, rows, 10)))
+    got = {r["node"]: (r["x"], r["y"]) for r in graph.umap(edges, block=block).collect()}
+    y = np.array([got[r["id"]] for r in rows.orderBy("id").collect()])
+    order = np.array([r["v"] for r in rows.orderBy("id").collect()])
+    flat = (order - order.mean(0)) @ np.linalg.svd(order - order.mean(0), full_matrices=False)[2][:2].T
+    assert np.isfinite(y).all() and trustworthiness(order, y, 10) > max(0.9, trustworthiness(order, flat, 10))
+
+
+def test_local_scale_weights(spark):
+    """Each node's weights add up to log2 k, the nearest counts 1, and both directions join."""
+    rng = np.random.default_rng(14)
+    knn = [(f"n{i:02d}", f"n{j:02d}", float(x)) for i in range(30) for j, x in zip(rng.choice([j for j in range(30) if j != i], 8, replace=False), np.sort(rng.uniform(1, 4, 8)), strict=True)]
+    one = {}
+    for s in {k[0] for k in knn}:
+        d = np.array([x for a, _, x in knn if a == s])
+        low, high = 1e-6, 1e3
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (low, mid) if np.exp(-(d - d.min()) / mid).sum() > 3 else (mid, high)
+        one |= {(s, t): float(np.exp(-(x - d.min()) / low)) for a, t, x in knn if a == s}
+    got = {(r["u"], r["v"]): r["w"] for r in graph.smooth_union(spark.createDataFrame(knn, "src string, dst string, d double")).collect()}
+    assert set(got) == {(min(e), max(e)) for e in one}
+    for (u, v), w in got.items():
+        a, b = one.get((u, v), 0.0), one.get((v, u), 0.0)
+        assert w == pytest.approx(a + b - a * b, abs=1e-6)
