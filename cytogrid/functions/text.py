@@ -62,6 +62,15 @@ def class_name(classification: Column, key: str = "$.name", default: str = "Unla
     return F.coalesce(F.get_json_object(classification, key), F.lit(default))
 
 
+#: Region names that stand for another (fixed values of the data format): necrotic areas are air bubbles.
+REGION_NAMES = {"Necrosis": "Bubble"}
+
+
+def remap(label: Column, names: dict[str, str] = REGION_NAMES) -> Column:
+    """The label, or what stands for it in ``names``."""
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), label), label) if names else label
+
+
 def unique_names(df: DataFrame, name: str, order: str) -> DataFrame:
     """Repeated names get "-1", "-2", ... in order, the first stays."""
     n = F.row_number().over(Window.partitionBy(name).orderBy(order)) - 1

@@ -277,14 +277,22 @@ def enrichment(edges: DataFrame, labels: DataFrame, label: str) -> DataFrame:
 
 def co_occurrence(points: DataFrame, label: str, step: float, bins: int) -> DataFrame:
     """(sample, bin, i, j, ratio): share of j among i's neighbours at a distance, over j's share at that distance."""
-    lab = points.select("sample", "cell_id", F.col(label).alias("l"))
-    near = pairs_within(points, step * bins).withColumn("bin", F.floor(F.col("d") / step)).where(F.col("bin") < bins)
-    met = near.join(lab.select("sample", F.col("cell_id").alias("src"), F.col("l").alias("i")), ["sample", "src"]).join(lab.select("sample", F.col("cell_id").alias("dst"), F.col("l").alias("j")), ["sample", "dst"])
+    # the label goes along as part of the name
+    named = points.select("sample", F.struct("cell_id", F.col(label).alias("l")).alias("cell_id"), "x", "y")
+    met = pairs_within(named, step * bins).select("sample", F.floor(F.col("d") / step).alias("bin"), F.col("src.l").alias("i"), F.col("dst.l").alias("j")).where(F.col("bin") < bins)
     n = met.groupBy("sample", "bin", "i", "j").agg(F.count("*").alias("n"))
     w = lambda *c: F.sum("n").over(Window.partitionBy("sample", "bin", *c))
     return n.select("sample", "bin", "i", "j", ((F.col("n") / w("i")) / (w("j") / w())).alias("ratio"))
 
 
+def square(pairs: DataFrame, value: str, labels: list[str], by: str = "sample", symmetric: bool = True) -> DataFrame:
+    """Rows (sample, i, j, value) as matrices: a row per (sample, i) and a column for each of ``labels``; ``symmetric``: pairs given once count both ways."""
+    both = pairs.select(by, "i", "j", value)
+    if symmetric:
+        both = both.unionByName(both.where("i <> j").select(by, F.col("j").alias("i"), F.col("i").alias("j"), value))
+    return both.groupBy(by, "i").pivot("j", labels).agg(F.first(value))
+
+
 def mean_over_distance(ratios: DataFrame) -> DataFrame:
     """Co-occurrence averaged over the distance bins, with the least and largest of all for a shared scale."""
     m = ratios.groupBy("sample", "i", "j").agg(F.avg("ratio").alias("mean_ratio"))

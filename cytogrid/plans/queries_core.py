@@ -259,9 +259,9 @@ def composition_grouped(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH q AS (SELECT sample, region_annotation, condition, 100.0 * count(*) / sum(count(*)) OVER (PARTITION BY sample, region_annotation) AS pct FROM cells GROUP BY 1, 2, 3)
-SELECT sample, region_annotation, round(coalesce(sum(pct) FILTER (WHERE condition = 'F'), 0), 6) AS "F", round(coalesce(sum(pct) FILTER (WHERE condition = 'O'), 0), 6) AS "O", round(coalesce(sum(pct) FILTER (WHERE condition = 'X'), 0), 6) AS "X" FROM q GROUP BY 1, 2""")
+SELECT sample, region_annotation, round(coalesce(sum(pct) FILTER (WHERE condition = 'F'), 0), 6) AS "F", round(coalesce(sum(pct) FILTER (WHERE condition = 'O'), 0), 6) AS "O", round(coalesce(sum(pct) FILTER (WHERE condition = 'P'), 0), 6) AS "P" FROM q GROUP BY 1, 2""")
 def composition_wide(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(compose.wide_percent(V.cells(spark, d), "sample", "region_annotation", "condition", ["F", "O", "X"]), "F", "O", "X")
+    return rounded(compose.wide_percent(V.cells(spark, d), "sample", "region_annotation", "condition", ["F", "O", "P"]), "F", "O", "P")
 
 
 @query("SELECT condition, sample, region_annotation, cell_type, count(*) AS n_cells FROM cells GROUP BY 1, 2, 3, 4")

@@ -126,8 +126,8 @@ def dendrogram_order(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {_FACTORS}, z AS (SELECT gene, bulk, region_annotation, (value - avg(value) OVER (PARTITION BY gene)) / nullif(stddev_samp(value) OVER (PARTITION BY gene), 0) AS z FROM normed),
-m AS (SELECT gene, region_annotation, round(avg(z), 6) AS m FROM z WHERE region_annotation IN ('AFRICA', 'ASIA', 'EUROPE') GROUP BY 1, 2), p AS (SELECT gene, string_agg(region_annotation, '>' ORDER BY m DESC, region_annotation) AS pattern FROM m GROUP BY 1),
-n AS (SELECT pattern, count(*) AS n FROM p GROUP BY 1 HAVING count(*) >= 8) SELECT gene, pattern, dense_rank() OVER (ORDER BY n DESC, pattern) AS "group" FROM p JOIN n USING (pattern)""")
+m AS (SELECT gene, region_annotation, round(avg(z), 6) AS m FROM z GROUP BY 1, 2), p AS (SELECT gene, string_agg(region_annotation, '>' ORDER BY m DESC, region_annotation) AS pattern FROM m GROUP BY 1),
+n AS (SELECT pattern, count(*) AS n FROM p GROUP BY 1 HAVING count(*) >= 1) SELECT gene, pattern, dense_rank() OVER (ORDER BY n DESC, pattern) AS "group" FROM p JOIN n USING (pattern)""")
 def expression_patterns(spark: SparkSession, d: str) -> DataFrame:
     z = pseudobulk.gene_zscores(normed(spark, d), "bulk").withColumn("region_annotation", F.element_at(F.split("bulk", r"\|"), 2))
-    return de.patterns(z.where(F.col("region_annotation").isin("AFRICA", "ASIA", "EUROPE")), "region_annotation", 8)
+    return de.patterns(z, "region_annotation", 1)

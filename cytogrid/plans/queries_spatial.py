@@ -81,6 +81,11 @@ def nhood_enrichment(spark: SparkSession, d: str) -> DataFrame:
     return rounded(rounded(rounded(out, "expected"), "sd", to=5), "z", to=4)
 
 
+def region_parts(spark: SparkSession, d: str) -> DataFrame:
+    s = V.spots(spark, d).withColumn("region", F.expr(_REGION))
+    return subset.by_region(s.withColumn("label", F.when(F.col("label") == "c0", "Unannotated").otherwise(F.col("label"))), "label", "region")
+
+
 _REGION = "CASE WHEN vec_id % 7 = 0 THEN 'Bubble' WHEN vec_id % 2 = 0 THEN 'even' ELSE 'odd' END"
 
 
@@ -88,7 +93,7 @@ _REGION = "CASE WHEN vec_id % 7 = 0 THEN 'Bubble' WHEN vec_id % 2 = 0 THEN 'even
 parts AS (SELECT rs.sample || '|' || region AS sample, cell_id, x, y, label FROM rs JOIN g USING (sample, region)), {_ENRICHED.replace("spots", "parts")}""")
 def region_enrichment(spark: SparkSession, d: str) -> DataFrame:
     """Enrichment within each region of each sample that has 30 cells and two labels; c0 stands for cells without annotation."""
-    parts = subset.by_region(V.spots(spark, d).withColumn("region", F.expr(_REGION)).withColumn("label", F.when(F.col("label") == "c0", "Unannotated").otherwise(F.col("label"))), "label", "region")
+    parts = region_parts(spark, d)
     out = spatial.enrichment(spatial.undirected(spatial.knn(parts, K)), parts, "label")
     return rounded(rounded(rounded(out, "expected"), "sd", to=5), "z", to=4)
 
@@ -107,6 +112,23 @@ def cooccurrence_mean(spark: SparkSession, d: str) -> DataFrame:
     return rounded(spatial.mean_over_distance(spatial.co_occurrence(V.spots(spark, d), "label", 20.0, 5)), "mean_ratio", "scale_min", "scale_max")
 
 
+@query(f"""WITH rs AS (SELECT *, {_REGION} AS region FROM spots WHERE label <> 'c0'), g AS (SELECT sample, region FROM rs WHERE region <> 'Bubble' GROUP BY 1, 2 HAVING count(*) >= 30 AND count(DISTINCT label) >= 2),
+parts AS (SELECT rs.sample || '|' || region AS sample, cell_id, x, y, label FROM rs JOIN g USING (sample, region)), {_CO.replace("spots", "parts")} SELECT sample, bin, i, j, round(ratio, 6) AS ratio FROM ratio""")
+def region_cooccurrence(spark: SparkSession, d: str) -> DataFrame:
+    """Co-occurrence within each region of each sample that has 30 cells and two labels."""
+    return rounded(spatial.co_occurrence(region_parts(spark, d), "label", 20.0, 5), "ratio")
+
+
+LABELS = [f"c{i}" for i in range(10)]
+
+
+@query(f"WITH {_ENRICHED.replace('SELECT sample, i, j, observed, round(ex, 6)', ', en AS (SELECT sample, i, j, observed, round(ex, 6)')}), bo AS (SELECT sample, i, j, z FROM en UNION ALL SELECT sample, j, i, z FROM en WHERE i <> j) SELECT sample, i, " + ", ".join(f"max(z) FILTER (WHERE j = '{x}') AS {x}" for x in LABELS) + " FROM bo GROUP BY 1, 2")
+def nhood_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Enrichment as label by label matrices."""
+    out = spatial.enrichment(spatial.undirected(knn(spark, d)), V.spots(spark, d), "label")
+    return spatial.square(rounded(out, "z", to=4), "z", LABELS)
+
+
 @query(f"""WITH {_KNN}, n AS (SELECT k.sample, src, s.label AS l, count(*) AS n FROM knn k JOIN spots s ON s.cell_id = dst GROUP BY 1, 2, 3), t AS (SELECT *, sum(n) OVER w AS al, row_number() OVER (PARTITION BY sample, src ORDER BY n DESC, l) AS r FROM n WINDOW w AS (PARTITION BY sample, src))
 SELECT s.sample, s.cell_id, s.label AS label_raw, coalesce(t.l, s.label) AS label FROM spots s LEFT JOIN t ON t.src = s.cell_id AND t.r = 1 AND t.n > 0.3 * t.al""")
 def niche_refine_step(spark: SparkSession, d: str) -> DataFrame:
@@ -120,14 +142,14 @@ def niche_refine(spark: SparkSession, d: str) -> DataFrame:
 
 
 _FEAT = f"""{_KNN}, sg AS (SELECT sample, quantile_cont(d, 0.5) AS sigma FROM knn GROUP BY 1), w0 AS (SELECT knn.*, exp(-pow(d / sigma, 2)) AS w FROM knn JOIN sg USING (sample)), w1 AS (SELECT *, w / sum(w) OVER (PARTITION BY sample, src) AS ww, atan2(dy, dx) AS a FROM w0),
-vals AS (SELECT sample, cell_id, 'g' || CAST(g.i AS VARCHAR) AS gene, round(CAST(abs(e.embedding[g.i]) AS DOUBLE), 6) AS value FROM spots JOIN embeddings e USING (vec_id), (VALUES (3), (4)) AS g(i) WHERE abs(e.embedding[g.i]) > 0.1),
+vals AS (SELECT sample, cell_id, 'g' || CAST(g.i AS VARCHAR) AS gene, round(CAST(abs(e.embedding[g.i]) AS DOUBLE), 6) AS value FROM spots JOIN embeddings e USING (vec_id), range(1, 65) AS g(i) WHERE abs(e.embedding[g.i]) > 0.1),
 fd AS (SELECT w1.sample, src AS cell_id, gene, sum(ww * value) AS mean, sum(ww * value * cos(a)) AS re, sum(ww * value * sin(a)) AS im FROM w1 JOIN vals v ON v.cell_id = dst GROUP BY 1, 2, 3)"""
 
 
 def panel(spark: SparkSession, d: str) -> DataFrame:
-    s = V.spots(spark, d)
-    g = s.select("sample", "cell_id", F.explode(F.array(*[F.struct(F.lit(f"g{i}").alias("gene"), F.round(F.abs(F.get("pcs", F.lit(i - 1))), 6).alias("value"), (F.abs(F.get("pcs", F.lit(i - 1))) > 0.1).alias("on")) for i in (3, 4)])).alias("v"))
-    return g.where("v.on").select("sample", "cell_id", "v.gene", "v.value")
+    """Components as genes: what is above 0.1 either way."""
+    g = V.spots(spark, d).select("sample", "cell_id", F.posexplode("pcs").alias("i", "x")).where(F.abs("x") > 0.1)
+    return g.select("sample", "cell_id", F.concat(F.lit("g"), (F.col("i") + 1).cast("string")).alias("gene"), F.round(F.abs("x"), 6).alias("value"))
 
 
 @query(f"""WITH {_FEAT} SELECT sample, cell_id, gene, round(sqrt(0.2) * coalesce(value, 0), 5) AS own, round(sqrt(0.8 * 2 / 3) * coalesce(mean, 0), 5) AS neighbour_mean, round(sqrt(0.8 / 3) * coalesce(sqrt(re * re + im * im), 0), 5) AS gradient FROM vals FULL JOIN fd USING (sample, cell_id, gene)""")
@@ -164,3 +186,15 @@ def channel_normalise(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {_PIXELS} SELECT CAST(floor(x / 4) AS BIGINT) AS x, CAST(floor(y / 4) AS BIGINT) AS y, channel, round(avg(value), 6) AS value FROM px GROUP BY 1, 2, 3")
 def block_mean_downsample(spark: SparkSession, d: str) -> DataFrame:
     return rounded(image.downsample(pixels(spark, d), 4), "value")
+
+
+#: A turn by 90 degrees, scaled and shifted by fractions of a pixel.
+TURN = [[0.0, 0.75, 3.5], [-0.75, 0.0, 26.25], [0.0, 0.0, 1.0]]
+
+
+@query(f"""WITH {_PIXELS}, g AS (SELECT t.x, u.y, {TURN[0][1]} * u.y + {TURN[0][2]} AS sx, {TURN[1][0]} * t.x + {TURN[1][2]} AS sy FROM range(36) t(x), range(52) u(y)),
+c AS (SELECT g.x, g.y, CAST(floor(sx) AS BIGINT) + i AS px, CAST(floor(sy) AS BIGINT) + j AS py, (CASE i WHEN 1 THEN sx - floor(sx) ELSE 1 - (sx - floor(sx)) END) * (CASE j WHEN 1 THEN sy - floor(sy) ELSE 1 - (sy - floor(sy)) END) AS w FROM g, (VALUES (0), (1)) a(i), (VALUES (0), (1)) b(j))
+SELECT c.x, c.y, k.channel, CAST(floor(round(sum(w * coalesce(value, 255.0)), 6)) AS BIGINT) AS value FROM c CROSS JOIN (SELECT DISTINCT channel FROM px) k LEFT JOIN px ON px.channel = k.channel AND px.x = c.px AND px.y = c.py WHERE w > 0 GROUP BY 1, 2, 3""")
+def warp_pixels(spark: SparkSession, d: str) -> DataFrame:
+    """The pixel view on a turned grid that reaches beyond it."""
+    return image.warp(pixels(spark, d), TURN, 36, 52)

@@ -172,10 +172,9 @@ def unique_markers(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {_UNIQUE}, r AS (SELECT *, row_number() OVER (PARTITION BY level ORDER BY gene) AS row FROM uniq)
-SELECT row, max(gene) FILTER (WHERE level = 'AFRICA') AS "AFRICA", max(gene) FILTER (WHERE level = 'AMERICA') AS "AMERICA", max(gene) FILTER (WHERE level = 'ASIA') AS "ASIA" FROM r WHERE level IN ('AFRICA', 'AMERICA', 'ASIA') GROUP BY 1""")
+SELECT row, max(gene) FILTER (WHERE level = 'AFRICA') AS "AFRICA", max(gene) FILTER (WHERE level = 'AMERICA') AS "AMERICA", max(gene) FILTER (WHERE level = 'ASIA') AS "ASIA", max(gene) FILTER (WHERE level = 'EUROPE') AS "EUROPE", max(gene) FILTER (WHERE level = 'MIDDLE EAST') AS "MIDDLE EAST" FROM r GROUP BY 1""")
 def unique_markers_wide(spark: SparkSession, d: str) -> DataFrame:
-    levels = ["AFRICA", "AMERICA", "ASIA"]
-    return de.ragged(unique(spark, d).where(F.col("level").isin(levels)), "level", levels)
+    return de.ragged(unique(spark, d), "level", REGIONS)
 
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]

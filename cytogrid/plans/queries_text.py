@@ -182,3 +182,11 @@ def numeric_label_order(spark: SparkSession, d: str) -> DataFrame:
 
     label = V.spots(spark, d).select(F.when(F.col("label") == "c0", F.col("label")).otherwise(F.substring("label", 2, 99)).alias("label")).distinct()
     return label.select("label", F.row_number().over(Window.orderBy(*compose.numeric_order(F.col("label")))).alias("place"))
+
+
+@query("SELECT CASE region WHEN 'Necrosis' THEN 'Bubble' ELSE region END AS region, count(*) AS n FROM (SELECT CASE WHEN region_annotation = 'ASIA' THEN 'Necrosis' WHEN region_annotation = 'EUROPE' THEN NULL ELSE region_annotation END AS region FROM cells) q GROUP BY 1")
+def region_remap(spark: SparkSession, d: str) -> DataFrame:
+    """Region names with those that stand for another; ASIA plays a necrotic area, EUROPE one without name."""
+    r = F.col("region_annotation")
+    named = V.cells(spark, d).select(F.when(r == "ASIA", "Necrosis").when(r == "EUROPE", None).otherwise(r).alias("region"))
+    return named.groupBy(text.remap(F.col("region")).alias("region")).agg(F.count("*").alias("n"))

@@ -172,6 +172,7 @@ STEPS: dict[str, Callable[[dict[str, DataFrame], Config], DataFrame]] = {
     "enrichment": _enrichment,
     "region_enrichment": _region_enrichment,
     "co_occurrence": lambda t, c: spatial.co_occurrence(t["cells"], c.cell_type, c.distance_step, c.distance_bins),
+    "region_co_occurrence": lambda t, c: spatial.co_occurrence(settle(subset.by_region(t["cells"], c.cell_type, c.condition)), c.cell_type, c.distance_step, c.distance_bins),
     "niche_pcs": _niche_pcs,
     "niches": _niches,
     "composition": lambda t, c: compose.row_percent(compose.crosstab(t["cells"], "sample", c.cell_type), "sample"),
@@ -215,7 +216,7 @@ NEEDS: dict[str, tuple[str, Callable[[Config], bool]]] = {
 }
 TARGETS = {
     "run_preprocessing": ("validation", "qc_metrics", "qc_report", "filtered", "normalised", "variable_genes", "pcs", "clusters", "cluster_tree"),
-    "run_postprocessing": ("integrated", "integrated_clusters", "enrichment", "region_enrichment", "co_occurrence", "niches", "composition", "markers", "majority", "de", "de_summary", "pattern_groups"),
+    "run_postprocessing": ("integrated", "integrated_clusters", "enrichment", "region_enrichment", "co_occurrence", "region_co_occurrence", "niches", "composition", "markers", "majority", "de", "de_summary", "pattern_groups"),
     "run_exploration": ("dotplot",),
     "explore_genes": ("dotplot", "signatures"),
     "subcluster_all": ("subclusters",),

@@ -718,3 +718,12 @@ def test_local_scale_weights(spark):
     for (u, v), w in got.items():
         a, b = one.get((u, v), 0.0), one.get((v, u), 0.0)
         assert w == pytest.approx(a + b - a * b, abs=1e-6)
+
+
+def test_warp_by_hand(spark):
+    from cytogrid.operators import image
+
+    px = spark.createDataFrame([(0, 0, "r", 0.0), (1, 0, "r", 100.0), (0, 1, "r", 50.0), (1, 1, "r", 200.0), (0, 0, "g", 10.0)], "x long, y long, channel string, value double")
+    got = {(r["x"], r["y"], r["channel"]): r["value"] for r in image.warp(px, [[0.5, 0, 0], [0, 0.5, 0], [0, 0, 1]], 4, 3).collect()}
+    assert len(got) == 24 and got[0, 0, "r"] == 0 and got[1, 0, "r"] == 50 and got[1, 1, "r"] == 87 and got[2, 2, "r"] == 200
+    assert got[3, 0, "r"] == 177 and got[0, 0, "g"] == 10 and got[2, 0, "g"] == 255
