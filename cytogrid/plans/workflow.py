@@ -1,6 +1,6 @@
 """Configuration and the named targets: which tables a run makes, from a contract folder to its results.
 
-A configuration is a plain mapping (read from YAML); unknown keys and contradictions stop a run before any job. A target is a list of steps;
+A configuration is a mapping, or a YAML or JSON file of one; unknown keys, wrong values and contradictions stop a run before any job, each named by its key. A target is a list of steps;
 each step reads tables by name and gives one, and per-sample work is a grouping column, not a job. What a configuration has no input for is skipped and
 says why; what reads a step that did not end well is blocked by it, and the rest goes on.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cytogrid.operators import annotate, compose, contract, de, embed, markers, nbinom, normalize, pseudobulk, qc, signatures, spatial, subset
 from cytogrid.operators.durable import settle
+from cytogrid.plans import schema
 from cytogrid.sources import readers
 
 MODES = ("decoupled", "visium_hd", "xenium", "atera", "merscope")
@@ -48,30 +49,41 @@ class Config:
     distance_step: float = 20.0
     distance_bins: int = 5
     gene_lists: str | None = None
+    reference: str | None = None
+    reference_label: str | None = None
+    reference_genes: int = 100
     compartments: dict[str, tuple[str, ...]] = field(default_factory=dict)
     compartment_least: int = 50
     skip: tuple[str, ...] = field(default=())
 
     @classmethod
     def of(cls, raw: dict) -> Config:
-        known = {f.name for f in fields(cls)}
-        if unknown := sorted(set(raw) - known):
-            raise ValueError(f"unknown keys: {', '.join(unknown)}")
-        for key in ("contract", "out"):
-            if not raw.get(key):
-                raise ValueError(f"{key} is required")
-        c = cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in raw.items()})
-        if c.mode not in MODES:
-            raise ValueError(f"mode is one of {', '.join(MODES)}")
-        if bool(c.external_labels) != bool(c.external_label_column):
-            raise ValueError("external_labels and external_label_column go together")
-        if not c.resolutions or min(c.resolutions) <= 0 or len(set(c.resolutions)) != len(c.resolutions):
-            raise ValueError("resolutions are different numbers above 0")
-        if not all(c.compartments.values()):
-            raise ValueError("a compartment lists the labels that it has")
-        if bad := sorted(set(c.skip) - set(STEPS)):
-            raise ValueError(f"no such steps: {', '.join(bad)}")
-        return c
+        good = schema.checked(raw, SCHEMA)
+        if bad := sorted(set(good.get("skip", ())) - set(STEPS)):
+            raise ValueError(f"skip: no such steps: {', '.join(bad)}")
+        lists = lambda v: tuple(v) if isinstance(v, list) else {k: tuple(x) for k, x in v.items()} if isinstance(v, dict) else v
+        return cls(**{k: lists(v) for k, v in good.items()})
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> Config:
+        return cls.of(schema.read(spark, path))
+
+
+def _schema() -> dict:
+    """The schema of Config: kinds and defaults come from its fields, ranges and what goes together from here."""
+    text, count, share, whole = {"type": ["string", "null"]}, {"type": "integer", "minimum": 1}, {"type": ["number", "null"], "minimum": 0}, {"type": "string", "pattern": r"\S"}
+    names = {"type": "array", "items": {"type": "string"}, "unique": True}
+    keys = {
+        "contract": whole, "out": whole, "mode": {"type": "string", "enum": MODES}, "mito_prefixes": names, "cell_type": whole, "condition": whole, "skip": names, "gene_lists": text,
+        "min_counts": share, "max_counts": share, "min_genes": share, "min_cells": share, "max_pct_mt": {**share, "maximum": 100}, "external_labels": text, "external_label_column": text,
+        "resolutions": {"type": "array", "items": {"type": "number", "above": 0}, "least": 1, "unique": True}, "integrated_resolution": {"type": "number", "above": 0}, "distance_step": {"type": "number", "above": 0},
+        "compartments": {"type": "object", "others": {**names, "least": 1}}, "reference": text, "reference_label": text,
+    }
+    keys |= {f.name: count for f in fields(Config) if f.name not in keys}
+    return {"type": "object", "keys": keys, "required": ["contract", "out"], "needs": {"external_labels": ["external_label_column"], "external_label_column": ["external_labels"], "reference": ["reference_label"], "reference_label": ["reference"]}}
+
+
+SCHEMA = _schema()
 
 
 def _gate(t: dict[str, DataFrame], c: Config) -> DataFrame:
@@ -140,6 +152,13 @@ def _pattern_groups(t: dict[str, DataFrame], c: Config) -> DataFrame:
     return de.pattern_groups(values, t["de"].where("lr_padj < 0.05 AND NOT endswith(contrast, '_vs_rest')"), c.condition)
 
 
+def _transferred(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    """(id, label, share): labels of a reference contract's cells taken over by the nearest cells here."""
+    ref = readers.read_contract(t["normalised"].sparkSession, str(c.reference))
+    labels = ref["cells"].select("sample", "cell_id", F.col(str(c.reference_label)).alias("label")).where(contract.is_label(F.col("label")))
+    return embed.transfer_by_genes(t["normalised"], normalize.log_normalise(ref["counts"], 1e4), labels, c.components, c.graph_neighbours, c.reference_genes)
+
+
 def _signatures(t: dict[str, DataFrame], c: Config) -> DataFrame:
     genes = t["normalised"].select("gene").distinct()
     lists = signatures.present(readers.gene_lists(t["normalised"].sparkSession, str(c.gene_lists)), genes)
@@ -179,6 +198,7 @@ STEPS: dict[str, Callable[[dict[str, DataFrame], Config], DataFrame]] = {
     "markers": lambda t, c: markers.top_markers(markers.rank_sum(t["normalised"], t["cells"], c.cell_type), c.cell_type, 10),
     "dotplot": lambda t, c: markers.dot_stats(t["normalised"], t["cells"], F.col(c.cell_type)),
     "signatures": _signatures,
+    "transferred": _transferred,
     "majority": lambda t, c: annotate.majority_vote(t["cells"], c.condition, c.cell_type),
     "pseudobulk": lambda t, c: pseudobulk.aggregate(t["filtered"], pseudobulk.regions_only(t["cells"], c.condition), ["sample", c.condition], c.pseudobulk_min_cells, c.pseudobulk_min_counts),
     "de": _de,
@@ -202,6 +222,7 @@ READS = {
     "markers": ("normalised",),
     "dotplot": ("normalised",),
     "signatures": ("normalised",),
+    "transferred": ("normalised",),
     "pseudobulk": ("filtered",),
     "de": ("pseudobulk",),
     "de_summary": ("de",),
@@ -211,6 +232,7 @@ READS = {
 #: Steps that need something of the configuration.
 NEEDS: dict[str, tuple[str, Callable[[Config], bool]]] = {
     "signatures": ("no gene lists", lambda c: c.gene_lists is not None),
+    "transferred": ("no reference", lambda c: c.reference is not None),
     "subclusters": ("no compartments", lambda c: bool(c.compartments)),
     "cluster_tree": ("one resolution", lambda c: len(c.resolutions) > 1),
 }
@@ -219,6 +241,7 @@ TARGETS = {
     "run_postprocessing": ("integrated", "integrated_clusters", "enrichment", "region_enrichment", "co_occurrence", "region_co_occurrence", "niches", "composition", "markers", "majority", "de", "de_summary", "pattern_groups"),
     "run_exploration": ("dotplot",),
     "explore_genes": ("dotplot", "signatures"),
+    "label_transfer": ("transferred",),
     "subcluster_all": ("subclusters",),
     "qc_sweep_all": ("qc_metrics", "qc_report"),
 }

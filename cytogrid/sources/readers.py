@@ -5,6 +5,7 @@ Ids are always text: nothing infers types. Readers are plans over spark.read; on
 
 from __future__ import annotations
 
+import fnmatch
 import json
 from collections.abc import Iterable
 from datetime import UTC, datetime
@@ -97,16 +98,36 @@ def inverse(m: list[list[float]]) -> list[list[float]]:
 
 
 def first_that_has(spark: SparkSession, *paths: str | None) -> str | None:
-    """The first path that has files (globs allowed): external input before own output."""
+    """The first path that has files: external input before own output. Globs are allowed; "folder/**/pattern" looks at every depth below the folder."""
     for p in paths:
-        if p:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(p)
-            found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
-            if found is not None and len(found):
-                return p
+        if p and _found(spark, p):
+            return p
     return None
 
 
+def _found(spark: SparkSession, path: str) -> list[str]:
+    """Paths that match, in order of name."""
+    folder, deep, pattern = path.partition("/**/")
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder if deep else path)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    here = [s.getPath() for s in files.globStatus(top) or ()]
+    if not deep:
+        return sorted(str(x) for x in here)
+    out = []
+    for at in here:
+        each = files.listFiles(at, True)
+        while each.hasNext():
+            x = each.next().getPath()
+            if fnmatch.fnmatch(x.getName(), pattern):
+                out.append(str(x))
+    return sorted(out)
+
+
+def files_of(spark: SparkSession, *paths: str | None) -> list[str]:
+    """The files of the first path that has any, none where no path has."""
+    return next((f for p in paths if p and (f := _found(spark, p))), [])
+
+
 def bin_cells(bins: DataFrame, positions: DataFrame) -> DataFrame:
     """Cell centroids (cell_id, x, y) from a bin-to-cell map (bin, cell_id) and bin positions (bin, row, col); unassigned bins are dropped."""
     real = bins.where(F.col("cell_id").isNotNull() & ~F.lower(F.col("cell_id")).isin("0", "nan"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import math
 import random
+import struct
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +15,8 @@ from pyspark.sql import functions as F
 
 from cytogrid.functions import text
 from cytogrid.operators import annotate, contract, de, embed, graph, markers, nbinom, normalize, pseudobulk, qc, signatures, spatial, subset
-from cytogrid.plans import workflow
-from cytogrid.sources import readers
+from cytogrid.plans import schema, workflow
+from cytogrid.sources import images, readers
 
 COUNTS = [("s", "a", "g1", 4), ("s", "a", "MT-1", 1), ("s", "b", "g1", 2), ("s", "b", "g2", 2), ("s", "c", "MT-1", 5), ("s", "c", "MT-2", 5), ("s", "d", "g2", 9), ("s", "e", "g1", 1), ("s", "f", "g3", 3), ("s", "f", "g1", 3)]
 
@@ -319,7 +321,7 @@ def test_readers(spark, tmp_path):
 def test_workflow(spark, counts, tmp_path):
     with pytest.raises(ValueError, match="unknown keys"):
         workflow.Config.of({"contract": "x", "out": "y", "colour": 1})
-    with pytest.raises(ValueError, match="go together"):
+    with pytest.raises(ValueError, match="goes together"):
         workflow.Config.of({"contract": "x", "out": "y", "external_labels": "z"})
     cells = spark.createDataFrame([("s", c, float(i), float(i % 2), "r1" if i < 3 else "r2", "t1" if i % 2 else "t2") for i, c in enumerate("abcdef")], "sample string, cell_id string, x double, y double, region_annotation string, cell_type string")
     counts.write.parquet(str(tmp_path / "in/counts"))
@@ -352,7 +354,7 @@ def test_workflow_of_a_study(spark, tmp_path):
     odd = {k: v for k, v in got.items() if v != "done"}
     skipped = "skipped: by configuration"
     assert odd.pop("subclusters").startswith("failed: ValueError: 0 cells of t9")
-    assert odd == {**dict.fromkeys(raw["skip"], skipped), "niches": "blocked: niche_pcs", "integrated_clusters": "blocked: integrated", "cluster_tree": "skipped: one resolution"}
+    assert odd == {**dict.fromkeys(raw["skip"], skipped), "niches": "blocked: niche_pcs", "integrated_clusters": "blocked: integrated", "cluster_tree": "skipped: one resolution", "transferred": "skipped: no reference"}
     read = lambda t: spark.read.parquet(str(tmp_path / "out" / t))
     assert read("status").count() == len(got)
     of = {(f"{s}|{c}"): int(k) for (s, c), k in zip(name, kind, strict=True)}
@@ -361,7 +363,7 @@ def test_workflow_of_a_study(spark, tmp_path):
     raised = {r["gene"] for r in read("de").where("contrast = 'r1_vs_r2' AND padj < 0.05 AND log2fc > 0.5").collect()}
     assert {"g00", "g01", "g02", "g03"} <= raised and len(raised) < 8
     assert {r["source"] for r in read("signatures").collect()} == {"even", "odd"}
-    with pytest.raises(ValueError, match="labels"):
+    with pytest.raises(ValueError, match="compartments.a: 0 items"):
         workflow.Config.of({**raw, "compartments": {"a": []}})
 
 
@@ -727,3 +729,90 @@ def test_warp_by_hand(spark):
     got = {(r["x"], r["y"], r["channel"]): r["value"] for r in image.warp(px, [[0.5, 0, 0], [0, 0.5, 0], [0, 0, 1]], 4, 3).collect()}
     assert len(got) == 24 and got[0, 0, "r"] == 0 and got[1, 0, "r"] == 50 and got[1, 1, "r"] == 87 and got[2, 2, "r"] == 200
     assert got[3, 0, "r"] == 177 and got[0, 0, "g"] == 10 and got[2, 0, "g"] == 255
+
+
+def test_schema_names_faults_by_key_path():
+    s = {
+        "type": "object", "required": ["name"], "needs": {"a": ["b"]}, "when": [({"mode": "deep"}, {"required": ["depth"]})],
+        "keys": {"name": {"type": "string", "pattern": "^[a-z]+$"}, "a": {"type": "integer", "minimum": 1, "maximum": 9}, "b": {"type": ["number", "null"], "above": 0}, "mode": {"enum": ["flat", "deep"], "default": "flat"}, "depth": {"type": "integer"},
+                 "inner": {"type": "object", "default": {}, "keys": {"list": {"type": "array", "least": 2, "unique": True, "items": {"type": "string"}}, "on": {"type": "boolean", "default": True}}}},
+    }
+    assert schema.checked({"name": "x"}, s) == {"name": "x", "mode": "flat", "inner": {"on": True}}
+    assert schema.faults(["x"], s) == ["configuration: ['x'] is not object"]
+    got = schema.faults({"name": "X1", "a": 0, "b": 0, "mode": "deep", "inner": {"list": ["p", 3, "p"], "off": 1}}, s)
+    assert [g.split(":")[0] for g in got] == ["name", "a", "b", "inner", "inner.list", "inner.list[1]", "depth"]
+    assert schema.faults({"name": "x", "a": 12}, s) == ["a: 12 is above 9", "a: goes together with b"] and schema.faults({"name": "", "a": True, "b": 1}, s)[0] == "name: is required"
+    assert schema.faults({"name": "x", "inner": {"list": ["p"]}}, s) == ["inner.list: 1 items, at least 2 are needed"]
+
+
+def test_configuration_files(spark, tmp_path):
+    (tmp_path / "c.json").write_text(json.dumps({"contract": "in", "out": "o", "resolutions": [0.5, 2], "compartments": {"a": ["t"]}}))
+    c = workflow.Config.read(spark, str(tmp_path / "c.json"))
+    assert c.resolutions == (0.5, 2) and c.compartments == {"a": ("t",)} and c.neighbours == 6
+    pytest.importorskip("yaml")
+    (tmp_path / "c.yaml").write_text("contract: in\nout: o\nresolutions: [0.5, -1]\nneighbours: many\nmode: cloud\nreference: r\n")
+    with pytest.raises(ValueError) as e:
+        workflow.Config.read(spark, str(tmp_path / "c.yaml"))
+    assert all(x in str(e.value) for x in ("resolutions[1]: -1 is not above 0", "neighbours: 'many' is not integer", "mode: 'cloud' is none of", "reference: goes together with reference_label"))
+
+
+def png(a, kinds):
+    """A PNG file of lines x width x channels, each line under one of the format's filters."""
+    h, w, c = a.shape
+    raw = np.ascontiguousarray(a.astype(">u2") if a.dtype == np.uint16 else a).view(np.uint8).reshape(h, -1).astype(int)
+    step, out = raw.shape[1] // w, b""
+    for y in range(h):
+        k, line = kinds[y % len(kinds)], raw[y]
+        up = raw[y - 1] if y else np.zeros_like(line)
+        left, corner = np.concatenate([np.zeros(step, int), line[:-step]]), np.concatenate([np.zeros(step, int), up[:-step]])
+        p = left + up - corner
+        paeth = np.where((abs(p - left) <= abs(p - up)) & (abs(p - left) <= abs(p - corner)), left, np.where(abs(p - up) <= abs(p - corner), up, corner))
+        out += bytes([k]) + ((line - [0, left, up, (left + up) // 2, paeth][k]) % 256).astype(np.uint8).tobytes()
+    chunk = lambda n, b: struct.pack(">I", len(b)) + n + b + struct.pack(">I", zlib.crc32(n + b))
+    packed = zlib.compress(out)
+    head = struct.pack(">IIBBBBB", w, h, 16 if a.dtype == np.uint16 else 8, {1: 0, 3: 2, 2: 4, 4: 6}[c], 0, 0, 0)
+    return images.PNG + chunk(b"IHDR", head) + chunk(b"tEXt", b"x") + chunk(b"IDAT", packed[:50]) + chunk(b"IDAT", packed[50:]) + chunk(b"IEND", b"")
+
+
+def test_images_are_read_back(spark, tmp_path, monkeypatch):
+    rng, want = np.random.default_rng(3), {}
+    for c, kind in ((1, np.uint8), (2, np.uint8), (3, np.uint8), (4, np.uint16), (1, np.uint16)):
+        a = rng.integers(0, np.iinfo(kind).max + 1, (13, 7, c)).astype(kind)
+        a[4:9] = a[4]
+        want[f"{c}{a.dtype}.png"] = a
+        (tmp_path / f"{c}{a.dtype}.png").write_bytes(png(a, [4, 3, 2, 1, 0, 4]))
+        assert [y for y, _ in images.png_bands(png(a, [0]), 7 * c * 4)] == [0, 4, 8, 12]
+    for name, a in (("flat.npy", rng.normal(0, 1, (5, 6))), ("deep.npy", rng.integers(0, 9, (3, 5, 6)).astype(np.uint16))):
+        np.save(tmp_path / name, a)
+        want[name] = np.moveaxis(a, 0, 2) if a.ndim == 3 else a[:, :, None]
+    got = {n: np.full(a.shape, np.nan) for n, a in want.items()}
+    for r in images.pixels(spark, str(tmp_path)).collect():
+        got[r["path"].rsplit("/", 1)[1]][r["y"], r["x"], r["channel"]] = r["value"]
+    assert all((got[n] == a).all() for n, a in want.items())
+    (tmp_path / "bad.png").write_bytes(png(want["1uint8.png"], [0])[:60])
+    with pytest.raises(Exception, match="bad.png"):
+        images.pixels(spark, str(tmp_path / "bad.png")).count()
+
+
+def test_files_are_found_at_any_depth(spark, tmp_path):
+    (tmp_path / "a/b/c").mkdir(parents=True)
+    for f in ("a/x.csv", "a/b/y.csv", "a/b/c/z.txt"):
+        (tmp_path / f).write_text("1")
+    names = lambda *p: [f.rsplit("/", 1)[1] for f in readers.files_of(spark, *p)]
+    assert names(None, f"{tmp_path}/nowhere/**/*.csv", f"{tmp_path}/a/**/*.csv") == ["y.csv", "x.csv"] and names(f"{tmp_path}/a/*.csv") == ["x.csv"]
+    assert readers.first_that_has(spark, f"{tmp_path}/**/*.bam", f"{tmp_path}/**/z.*") == f"{tmp_path}/**/z.*" and names(f"{tmp_path}/q") == []
+
+
+def test_labels_come_from_a_reference(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    kind = np.arange(40) % 2
+    x = rng.poisson(1 + 20 * (np.arange(30)[None, :] % 2 == kind[:, None]))
+    def folder(name, sample):
+        spark.createDataFrame([(sample, f"c{i:02d}", f"g{j:02d}", int(x[i, j])) for i in range(40) for j in range(30) if x[i, j]], "sample string, cell_id string, gene string, count long").write.parquet(str(tmp_path / name / "counts"))
+        spark.createDataFrame([(sample, f"c{i:02d}", float(i), 0.0, "r", f"t{kind[i]}") for i in range(40)], "sample string, cell_id string, x double, y double, region_annotation string, cell_type string").write.parquet(str(tmp_path / name / "cells"))
+        spark.createDataFrame([(f"g{j:02d}",) for j in range(30)], "gene string").write.parquet(str(tmp_path / name / "genes"))
+        return str(tmp_path / name)
+    c = workflow.Config.of({"contract": folder("in", "s"), "out": str(tmp_path / "out"), "reference": folder("ref", "r"), "reference_label": "cell_type", "reference_genes": 20, "components": 4, "graph_neighbours": 5})
+    assert set(workflow.run(spark, c, "label_transfer").values()) == {"done"}
+    got = {r["id"]: r["label"] for r in spark.read.parquet(str(tmp_path / "out/transferred")).collect()}
+    assert got == {f"s|c{i:02d}": f"t{kind[i]}" for i in range(40)}
