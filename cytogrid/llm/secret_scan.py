@@ -5,17 +5,17 @@ Base spans: each kind's leftmost non-overlapping matches, of which those that ar
 characters, runs above and below the middle of the alphabet, and serial correlation of neighbours. The p-values are combined (Fisher);
 the higher, the more random the token looks.
 
-What is reported is controlled for false discoveries, within each class of token lengths: the null is ordinary text, namely the corpus's own
-tokens of that length and less that are no mixture, whose digits, if any, stand together (words, names, paths, titles with a year; the shorter, the
-more random they look), and the share of them that look at least as random as some limit is what a mixed token that is no
-secret has. The limit is the widest at which that share of all mixed tokens is at most DISCOVERY_RATE of those
-reported. Longer tokens are told apart better, so their limits are wider. Mixed tokens within the limit that touch no base span are added as
-spans of kind ``random``. With few ordinary tokens (none counts as one that looks random) little or nothing is reported rather than
-without control.
-
-Scale: matches and statistics are computed within each row by SQL functions; the text is read once and never shuffled, and work
-grows with a text's length (places of n matches by prefix sums in about n^1.5 short steps). The limits come from counts of p-value
-bins per length class, a table of fixed size.
+What is reported is controlled for false discoveries, within each class of token lengths. A model of neighbouring letters, fitted on all
+words of the corpus, tells tokens that its words explain better than chance (words, names, paths: ordinary) from those that they do not (odd; changes between letters and
+digits speak against words too). Ordinary tokens are the null: the share of those of that length and less that look at least as random as some limit is what an odd
+token that is no secret has. A class with fewer than ``LEAST_NULL`` of them borrows those of the next longer classes. The limit is the widest at which that share of all
+odd tokens is at most DISCOVERY_RATE of those reported. Longer tokens are told apart better, so their limits are wider. Odd tokens within the limit that touch no base
+span are added as spans of kind ``random``. With few ordinary tokens in the whole corpus (none counts as one that looks random) little or nothing is reported rather
+than without control.
+
+Scale: matches and statistics are computed within each row by SQL functions; texts are read twice and never shuffled, and work
+grows with a text's length (places of n matches by prefix sums in about n^1.5 short steps). Words are counted in their tasks before letter pairs are, and the model is a
+table of 26 by 26 numbers; the limits come from counts of p-value bins per length class, a table of fixed size.
 
 Defined cases: null text is empty and has no span; a text counts as a whole however long; repeated rows get equal results and count each; of
 p-values in one bin all or none are within the limit; an empty table gives an empty result; further columns are ignored, whatever their names.
@@ -23,6 +23,7 @@ p-values in one bin all or none are within the limit; an empty table gives an em
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -50,8 +51,10 @@ ENCODINGS = (
     ("hex", r"\A[0-9a-f]+\z", "0123456789abcdef"),
     ("HEX", r"\A[0-9A-F]+\z", "0123456789ABCDEF"),
     ("base32", r"\A[A-Z2-7]+\z", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("lower", r"\A[a-z]+\z", "abcdefghijklmnopqrstuvwxyz"),
     ("base36", r"\A[a-z0-9]+\z", "0123456789abcdefghijklmnopqrstuvwxyz"),
     ("BASE36", r"\A[A-Z0-9]+\z", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("letters", r"\A[A-Za-z]+\z", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base62", r"\A[A-Za-z0-9]+\z", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     ("base64", r"\A[A-Za-z0-9+/]+\z", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", r"", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_+/"),
@@ -62,6 +65,11 @@ DISCOVERY_RATE = 0.05
 #: Bins of -log10 of the combined p-value; the last is open.
 BINS, BINS_PER_DECADE = 400, 20
 LEAST_P = 1e-15
+#: Ordinary tokens that a length class needs for a null of its own.
+LEAST_NULL = 200
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+#: What a change between letter and digit takes from a token's score, in bits.
+CHANGE = 0.5
 
 
 def matches(text: Column, pattern: str, test: str, *groups: int) -> list[Column]:
@@ -166,19 +174,43 @@ def _length_class(n: Column) -> Column:
     return sum((F.when(n >= c, 1).otherwise(0) for c in LENGTH_CLASSES[1:]), F.lit(0))
 
 
+def letter_pairs(texts: DataFrame) -> list[float]:
+    """For each letter and the next one, how many bits more likely that is within the words of ``texts`` (text) than if all letters were; row by row of LETTERS."""
+    words = texts.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    pairs = words.select("n", F.explode(F.sequence(F.lit(1), F.length("w") - 1)).alias("i"), "w").groupBy(F.expr("substr(w, i, 2)").alias("pair")).agg(F.sum("n").alias("n"))
+    seen = {r["pair"]: r["n"] for r in pairs.collect()}  # 676 rows at most
+    total = {a: sum(seen.get(a + b, 0) for b in LETTERS) for a in LETTERS}
+    return [math.log2(26 * (seen.get(a + b, 0) + 1) / (total[a] + 26)) for a in LETTERS for b in LETTERS]
+
+
+def wordlike(token: Column, table: Column) -> Column:
+    """A token's bits for being made of words: its letter pairs by ``letter_pairs``, less CHANGE for each change between letter and digit."""
+    kinds = F.transform(F.filter(F.split(F.lower(token), ""), lambda c: c != ""), lambda c: F.position(c, F.lit(LETTERS + "0123456789")))
+
+    def add(t: Column, c: Column) -> Column:
+        last = t["last"]
+        both = (last > 0) & (c > 0)
+        pair = F.when(both & (last <= 26) & (c <= 26), F.get(table, (last - 1) * 26 + c - 1)).when(both & ((last <= 26) != (c <= 26)), -CHANGE).otherwise(0.0)
+        return F.struct(c.alias("last"), (t["bits"] + pair).alias("bits"))
+
+    return F.aggregate(kinds, F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("bits")), add, lambda t: t["bits"])
+
+
 def limits_of(bins: list[tuple[int, int, bool, int]], rate: float = DISCOVERY_RATE) -> list[int]:
-    """Per length class the last bin that is reported (-1: none), from (class, bin, mixed, number of tokens).
+    """Per length class the last bin that is reported (-1: none), from (class, bin, odd, number of tokens).
 
-    Bins rise as tokens look less random. At a limit the expected number of ordinary tokens among the mixed ones within it is
-    (1 + ordinary within) / (1 + ordinary) of all mixed ones, ordinary ones being those of that class and below.
+    Bins rise as tokens look less random. At a limit the expected number of ordinary tokens among the odd ones within it is (1 + ordinary within) / (1 + ordinary) of all odd
+    ones, ordinary ones being those of that class and below, and where these are few those of the next classes too.
     """
-    out = []
-    for c in range(len(LENGTH_CLASSES)):
+    out, classes = [], range(len(LENGTH_CLASSES))
+    size = [sum(n for cls, _, odd, n in bins if not odd and cls == c) for c in classes]
+    for c in classes:
+        last = next((e for e in classes if e >= c and sum(size[: e + 1]) >= LEAST_NULL), len(LENGTH_CLASSES) - 1)
         mixed, plain = [0] * (BINS + 1), [0] * (BINS + 1)
-        for cls, b, is_mixed, n in bins:
-            if is_mixed and cls == c:
+        for cls, b, is_odd, n in bins:
+            if is_odd and cls == c:
                 mixed[b] += n
-            elif not is_mixed and cls <= c:
+            elif not is_odd and cls <= last:
                 plain[b] += n
         limit, seen, null = -1, 0, 0
         for b in range(BINS + 1):
@@ -198,16 +230,19 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
     tokens = F.transform(F.arrays_zip(running(_lengths(whole)).alias("stop"), token.alias("m")), lambda z: F.struct((z["stop"] - F.length(z["m"])).alias("start"), z["stop"].alias("stop"), z["m"].alias("m")))
     free = F.filter(tokens, lambda x: (x["m"] != "") & ~x["m"].rlike(TOUCHES))
 
+    # one row of 676 numbers, as a column: an array of literals would be made anew for each letter
+    t = t.crossJoin(F.broadcast(docs.sparkSession.createDataFrame([(letter_pairs(t),)], "pairs array<double>")))
+
     def scored(x: Column) -> Column:
         bare = F.regexp_replace(x["m"], "=+$", "")
-        mixed = x["m"].rlike("[0-9][^0-9]+[0-9]") & x["m"].rlike("[A-Za-z]")
+        odd = x["m"].rlike("[A-Za-z]") & (wordlike(bare, F.col("pairs")) < 0)
         decades = -F.log10(F.greatest(battery(bare), F.lit(1e-30)))
-        return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), _length_class(F.length(bare)).alias("cls"), mixed.alias("mixed"), F.least(F.floor(F.greatest(decades, F.lit(0.0)) * BINS_PER_DECADE), F.lit(BINS)).cast("int").alias("bin"))
+        return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), _length_class(F.length(bare)).alias("cls"), odd.alias("odd"), F.least(F.floor(F.greatest(decades, F.lit(0.0)) * BINS_PER_DECADE), F.lit(BINS)).cast("int").alias("bin"))
 
     t = materialize(t.select("id", base.alias("base"), F.transform(free, scored).alias("scored")))
-    bins = t.select(F.explode("scored").alias("x")).groupBy("x.cls", "x.bin", "x.mixed").agg(F.count("*").alias("n"))
-    limits = limits_of([(r["cls"], r["bin"], r["mixed"], r["n"]) for r in bins.collect()], rate)  # a fixed number of bins
-    kept = F.filter("scored", lambda x: x["mixed"] & (x["bin"] <= F.get(F.array(*map(F.lit, limits)), x["cls"])))
+    bins = t.select(F.explode("scored").alias("x")).groupBy("x.cls", "x.bin", "x.odd").agg(F.count("*").alias("n"))
+    limits = limits_of([(r["cls"], r["bin"], r["odd"], r["n"]) for r in bins.collect()], rate)  # a fixed number of bins
+    kept = F.filter("scored", lambda x: x["odd"] & (x["bin"] <= F.get(F.array(*map(F.lit, limits)), x["cls"])))
     added = F.transform(kept, lambda x: F.struct(x["start"].alias("start"), F.lit(len(BASE)).alias("kind"), x["stop"].alias("stop")))
     return t.select(F.col("id").alias(id_col), "base", added.alias("added"))
 
