@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,11 +40,11 @@ def cell_counts(cells: DataFrame, *by: str) -> DataFrame:
     return cells.groupBy(*by).agg(F.count("*").alias("n_cells"))
 
 
-def cluster_tree(labels: DataFrame, cell: str = "cell_id") -> DataFrame:
-    """Transitions between clusterings: ``labels`` (cell, res_idx, cluster) -> res_idx, from, to, n, share of the source cluster."""
-    a, b = labels.select(cell, "res_idx", F.col("cluster").alias("from")), labels.select(cell, (F.col("res_idx") - 1).alias("res_idx"), F.col("cluster").alias("to"))
-    n = a.join(b, [cell, "res_idx"]).groupBy("res_idx", "from", "to").agg(F.count("*").alias("n"))
-    return n.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("res_idx", "from")))
+def cluster_tree(labels: DataFrame, cell: str = "cell_id", by: Sequence[str] = ()) -> DataFrame:
+    """Transitions between clusterings: ``labels`` (by..., cell, res_idx, cluster) -> by..., res_idx, from, to, n, share of the source cluster."""
+    a, b = labels.select(*by, cell, "res_idx", F.col("cluster").alias("from")), labels.select(*by, cell, (F.col("res_idx") - 1).alias("res_idx"), F.col("cluster").alias("to"))
+    n = a.join(b, [*by, cell, "res_idx"]).groupBy(*by, "res_idx", "from", "to").agg(F.count("*").alias("n"))
+    return n.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*by, "res_idx", "from")))
 
 
 def level_order(label: Column, levels: list[str]) -> Column:

@@ -349,26 +349,65 @@ def transfer_by_genes(query: DataFrame, reference: DataFrame, labels: DataFrame,
 
 def silhouettes(rows: DataFrame) -> DataFrame:
     """(id, label, silhouette) with Euclidean distance; rows have id, v, label. Sums per block pair, never all distances at once."""
+    return ladder_silhouettes(rows.select("id", "v", F.array("label").alias("labels"))).drop("res_idx")
+
+
+def ladder_silhouettes(rows: DataFrame) -> DataFrame:
+    """(id, res_idx, label, silhouette) under each of several clusterings; rows have id, v, labels (equally long lists, res_idx counts from 0).
+
+    Each distance is computed once for all clusterings. A row alone in its cluster has 0, as has every row where there is one cluster.
+    """
 
     def run(q: pa.Table, r: pa.Table) -> pa.Table:
-        out: list[tuple] = []
+        cols: list[list] = [[], [], [], [], []]
         if q.num_rows and r.num_rows:
-            names, code = np.unique(np.array(r.column("label").to_pylist()), return_inverse=True)
-            hot = np.eye(len(names))[code]
+            codes = [np.unique(np.array(x), return_inverse=True) for x in zip(*r.column("labels").to_pylist(), strict=True)]
+            hot = np.concatenate([np.eye(len(names))[code] for names, code in codes], axis=1)
+            names = [str(x) for found, _ in codes for x in found]
+            steps = [i for i, (found, _) in enumerate(codes) for _ in found]
             x, y = matrix(q.column("v")), matrix(r.column("v"))
-            ids, n = q.column("id").to_pylist(), hot.sum(0)
+            ids, others, n = np.array(q.column("id").to_pylist()), np.array(r.column("id").to_pylist()), hot.sum(0)
             for at in range(0, len(x), 512):
                 d = _distances(x[at : at + 512], y)
-                d[np.array(ids[at : at + 512])[:, None] == np.array(r.column("id").to_pylist())[None, :]] = 0
+                d[ids[at : at + 512, None] == others[None, :]] = 0
                 s = d @ hot
-                out += [(ids[at + i], names[j], float(s[i, j]), float(n[j])) for i in range(len(s)) for j in range(len(names))]
-        cols = list(zip(*out, strict=True)) or [[], [], [], []]
-        return pa.table({"id": pa.array(cols[0], pa.string()), "other": pa.array(cols[1], pa.string()), "s": pa.array(cols[2], pa.float64()), "n": pa.array(cols[3], pa.float64())})
+                for c, new in zip(cols, (np.repeat(ids[at : at + 512], len(names)).tolist(), steps * len(s), names * len(s), s.ravel().tolist(), np.tile(n, len(s)).tolist()), strict=True):
+                    c += new
+        return pa.table({k: pa.array(c, t) for (k, t), c in zip({"id": pa.string(), "res_idx": pa.int32(), "other": pa.string(), "s": pa.float64(), "n": pa.float64()}.items(), cols, strict=True)})
 
-    sums = by_blocks(rows.select("id", "v"), rows.select("id", "v", "label"), run, "id string, other string, s double, n double").groupBy("id", "other").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    sums = by_blocks(rows.select("id", "v"), rows.select("id", "v", "labels"), run, "id string, res_idx int, other string, s double, n double")
+    sums = sums.groupBy("id", "res_idx", "other").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     own = F.col("other") == F.col("label")
-    m = rows.select("id", "label").join(sums, "id").groupBy("id", "label").agg(F.max(F.when(own, F.try_divide(F.col("s"), F.col("n") - 1))).alias("a"), F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"))
-    return m.select("id", "label", F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))).alias("silhouette"))
+    m = rows.select("id", F.posexplode("labels").alias("res_idx", "label")).join(sums, ["id", "res_idx"]).groupBy("id", "res_idx", "label")
+    m = m.agg(F.max(F.when(own, F.try_divide(F.col("s"), F.col("n") - 1))).alias("a"), F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"))
+    score = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
+    return m.select("id", "res_idx", "label", F.when(F.col("a").isNull() | F.col("b").isNull(), 0.0).otherwise(score).alias("silhouette"))
+
+
+def box_size(rows: DataFrame, n: int, dims: int = 3, halvings: int = 40) -> float:
+    """The narrowest of the sides span, span / 2, span / 4, ... at which the boxes of ``sketch`` are ``n`` or fewer, so that it meets every box; else the span.
+
+    The span is the widest of the first dimensions. Halving never makes boxes fewer, so sides are tried four in a pass until there are too many.
+    """
+    of = [F.get("v", F.lit(i)) for i in range(dims)]
+    ends = rows.agg(*[f(x).alias(f"{k}{i}") for i, x in enumerate(of) for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    span = max((ends[f"hi{i}"] - ends[f"lo{i}"] for i in range(dims) if ends[f"lo{i}"] is not None), default=0.0)
+    if not span > 0:
+        return 1.0
+    best = span
+    for first in range(0, halvings, 4):
+        sides = [span / 2**j for j in range(first, first + 4)]
+        boxes = rows.select(F.explode(F.array(*[F.struct(F.lit(j).alias("j"), _box(s, dims).alias("box")) for j, s in enumerate(sides)])).alias("b")).select("b.*")
+        many = {r["j"]: r["n"] for r in boxes.distinct().groupBy("j").agg(F.count("*").alias("n")).collect()}  # four rows
+        few = [s for j, s in enumerate(sides) if many[j] <= n]
+        best = few[-1] if few else best
+        if len(few) < 4:
+            break
+    return best
+
+
+def _box(size: float, dims: int) -> Column:
+    return F.concat_ws(",", F.transform(F.slice("v", 1, dims), lambda x: F.floor(x / size).cast("string")))
 
 
 def sketch(rows: DataFrame, n: int, size: float, dims: int = 3) -> DataFrame:
@@ -376,8 +415,7 @@ def sketch(rows: DataFrame, n: int, size: float, dims: int = 3) -> DataFrame:
 
     The counts of the boxes say in which turn the n-th row is drawn, so a box ranks only as many rows as there are turns, first within parts of it.
     """
-    box = F.concat_ws(",", F.transform(F.slice("v", 1, dims), lambda x: F.floor(x / size).cast("string")))
-    r = rows.withColumn("box", box)
+    r = rows.withColumn("box", _box(size, dims))
     # a row per distinct box size below n: whole turns up to that size draw ``upto`` rows
     sizes = r.groupBy("box").agg(F.least(F.count("*"), F.lit(n)).alias("s")).groupBy("s").agg(F.count("*").alias("c"))
     w = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)

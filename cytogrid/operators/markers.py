@@ -6,7 +6,7 @@ is Z plus its rank among the non-zero cells, so cells x genes is never made.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -23,32 +23,35 @@ def normal_two_sided(z: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(lambda v: None if v is None or v != v else math.erfc(abs(v) / math.sqrt(2)))
 
 
-def _group_sizes(cells: DataFrame, group: str) -> DataFrame:
-    n = cells.groupBy(group).agg(F.count("*").alias("n_g"))
-    return n.join(n.agg(F.sum("n_g").alias("n_all")))
+def _group_sizes(cells: DataFrame, group: str, by: Sequence[str] = ()) -> DataFrame:
+    n = cells.groupBy(*by, group).agg(F.count("*").alias("n_g"))
+    n_all = n.groupBy(*by).agg(F.sum("n_g").alias("n_all"))
+    return n.join(n_all, list(by)) if by else n.join(n_all)
 
 
-def rank_sum(values: DataFrame, cells: DataFrame, group: str) -> DataFrame:
-    """(group, gene, rank_sum, score, logfoldchange) of each group against the rest.
+def rank_sum(values: DataFrame, cells: DataFrame, group: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., group, gene, rank_sum, score, logfoldchange) of each group against the rest of its ``by``.
 
     ``values``: sample, cell_id, gene, value > 0 for the non-zero entries. The score is the rank-sum z without tie correction.
+    A cell may have a row for each of several ``by``, as for several clusterings; all are ranked in one pass. ``by`` may not be null.
     """
-    sizes = _group_sizes(cells, group)
-    x = values.where("value > 0").join(cells.select("sample", "cell_id", group), ["sample", "cell_id"])
+    by = list(by)
+    sizes = F.broadcast(_group_sizes(cells, group, by))  # a row per label
+    x = values.where("value > 0").join(cells.select("sample", "cell_id", *by, group), ["sample", "cell_id"])
     # ties by counting equal values, so a frequent value is one row
-    per_value = x.groupBy("gene", "value").agg(F.count("*").alias("same"))
-    below = Window.partitionBy("gene").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = per_value.withColumn("rank", F.coalesce(F.sum("same").over(below), F.lit(0)) + (F.col("same") + 1) / 2).select("gene", "value", "rank")
+    per_value = x.groupBy(*by, "gene", "value").agg(F.count("*").alias("same"))
+    below = Window.partitionBy(*by, "gene").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = per_value.withColumn("rank", F.coalesce(F.sum("same").over(below), F.lit(0)) + (F.col("same") + 1) / 2).select(*by, "gene", "value", "rank")
     e = F.expm1("value")
-    per_group = x.join(ranks, ["gene", "value"]).groupBy("gene", group).agg(F.sum("rank").alias("r"), F.count("*").alias("nz"), F.sum(e).alias("e"))
-    of_gene = per_group.groupBy("gene").agg(F.sum("nz").alias("nz_all"), F.sum("e").alias("e_all"))
-    full = of_gene.join(F.broadcast(sizes)).join(per_group, ["gene", group], "left").na.fill(0, ["r", "nz", "e"])
+    per_group = x.join(ranks, [*by, "gene", "value"]).groupBy(*by, "gene", group).agg(F.sum("rank").alias("r"), F.count("*").alias("nz"), F.sum(e).alias("e"))
+    of_gene = per_group.groupBy(*by, "gene").agg(F.sum("nz").alias("nz_all"), F.sum("e").alias("e_all"))
+    full = (of_gene.join(sizes, by) if by else of_gene.join(sizes)).join(per_group, [*by, "gene", group], "left").na.fill(0, ["r", "nz", "e"])
     zeros = F.col("n_all") - F.col("nz_all")
     r = F.col("r") + F.col("nz") * zeros + (F.col("n_g") - F.col("nz")) * (zeros + 1) / 2
     n, m = F.col("n_g").cast("double"), F.col("n_all").cast("double")
     score = F.try_divide(r - n * (m + 1) / 2, F.sqrt(n * (m - n) * (m + 1) / 12))
     mean, rest = F.col("e") / n, F.try_divide(F.col("e_all") - F.col("e"), m - n)
-    return full.select(group, "gene", r.alias("rank_sum"), score.alias("score"), F.log2((mean + 1e-9) / (F.coalesce(rest, F.lit(0.0)) + 1e-9)).alias("logfoldchange"))
+    return full.select(*by, group, "gene", r.alias("rank_sum"), score.alias("score"), F.log2((mean + 1e-9) / (F.coalesce(rest, F.lit(0.0)) + 1e-9)).alias("logfoldchange"))
 
 
 def adjust(df: DataFrame, p: str, by: list[str], name: str = "padj") -> DataFrame:
@@ -60,9 +63,9 @@ def adjust(df: DataFrame, p: str, by: list[str], name: str = "padj") -> DataFram
     return raw.withColumn(name, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.min("__q").over(after)))).drop("__q")
 
 
-def top_markers(scores: DataFrame, group: str, n: int) -> DataFrame:
+def top_markers(scores: DataFrame, group: str, n: int, by: Sequence[str] = ()) -> DataFrame:
     """The ``n`` best genes of each group, with rank."""
-    best = Window.partitionBy(group).orderBy(F.round("score", 9).desc_nulls_last(), "gene")
+    best = Window.partitionBy(*by, group).orderBy(F.round("score", 9).desc_nulls_last(), "gene")
     return scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
 
 
@@ -72,14 +75,15 @@ def first_appearance(top: DataFrame, group: str) -> DataFrame:
     return first.select("gene", F.row_number().over(Window.orderBy("f")).alias("place"))
 
 
-def dot_stats(values: DataFrame, cells: DataFrame, group: Column, name: str = "grp") -> DataFrame:
-    """Per (gene, group): mean over all cells of the group, fraction of cells above 0, and the mean scaled per gene to 0..1."""
-    g = cells.select("sample", "cell_id", group.alias(name))
-    n = g.groupBy(name).agg(F.count("*").alias("n"))
-    x = values.join(g, ["sample", "cell_id"]).groupBy("gene", name).agg(F.sum("value").alias("s"), F.count_if(F.col("value") > 0).alias("k"))
-    full = values.select("gene").distinct().join(F.broadcast(n)).join(x, ["gene", name], "left").na.fill(0, ["s", "k"])
-    out = full.select("gene", name, (F.col("s") / F.col("n")).alias("mean"), (F.col("k") / F.col("n")).alias("fraction"))
-    w = Window.partitionBy("gene")
+def dot_stats(values: DataFrame, cells: DataFrame, group: Column, name: str = "grp", by: Sequence[str] = ()) -> DataFrame:
+    """Per (by..., gene, group): mean over all cells of the group, fraction of cells above 0, and the mean scaled per gene to 0..1."""
+    by = list(by)
+    g = cells.select("sample", "cell_id", *by, group.alias(name))
+    n = g.groupBy(*by, name).agg(F.count("*").alias("n"))
+    x = values.join(g, ["sample", "cell_id"]).groupBy(*by, "gene", name).agg(F.sum("value").alias("s"), F.count_if(F.col("value") > 0).alias("k"))
+    full = values.select("gene").distinct().join(F.broadcast(n)).join(x, [*by, "gene", name], "left").na.fill(0, ["s", "k"])
+    out = full.select(*by, "gene", name, (F.col("s") / F.col("n")).alias("mean"), (F.col("k") / F.col("n")).alias("fraction"))
+    w = Window.partitionBy(*by, "gene")
     lo, hi = F.min("mean").over(w), F.max("mean").over(w)
     return out.withColumn("scaled", F.coalesce(F.try_divide(F.col("mean") - lo, hi - lo), F.lit(0.0)))
 

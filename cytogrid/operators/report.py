@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cytogrid.operators import compose, markers
 
 
-def distribution(rows: DataFrame, group: str, value: str, points: tuple[float, ...] = (0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
-    """(group, point, value): exact percentiles of a metric per group, for violins and boxes."""
-    q = rows.groupBy(group).agg(F.percentile(F.col(value).cast("double"), list(points)).alias("q"))
-    return q.select(group, F.posexplode("q").alias("i", "value")).select(group, F.get(F.array(*[F.lit(p) for p in points]), F.col("i")).alias("point"), "value")
+def distribution(rows: DataFrame, group: str | Sequence[str], value: str, points: tuple[float, ...] = (0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
+    """(group..., point, value): exact percentiles of a metric per group, for violins and boxes."""
+    group = [group] if isinstance(group, str) else list(group)
+    q = rows.groupBy(*group).agg(F.percentile(F.col(value).cast("double"), list(points)).alias("q"))
+    return q.select(*group, F.posexplode("q").alias("i", "value")).select(*group, F.get(F.array(*[F.lit(p) for p in points]), F.col("i")).alias("point"), "value")
 
 
 def map_points(cells: DataFrame, value: str, scale: float = 1.0, low: float | None = None, high: float | None = None) -> DataFrame:

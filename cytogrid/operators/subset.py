@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,10 +76,31 @@ def pcs_of(counts: DataFrame, k: int) -> DataFrame:
 
 
 def integrated(pcs: DataFrame, groups: int = 8) -> DataFrame:
-    """``pcs`` (id, batch, v) with the batches brought together, and status: "corrected", or "one batch" where there is nothing to correct."""
+    """``pcs`` (id, batch, v) with the batches brought together, and status: "corrected", "one batch" where there is nothing to correct,
+    or "uncorrected: ..." with the vectors as they were where the regressions have no solution or the result is not finite."""
     if pcs.select("batch").distinct().limit(2).count() < 2:
         return pcs.withColumn("status", F.lit("one batch"))
-    return embed.harmonise(pcs, groups).withColumn("status", F.lit("corrected"))
+    try:
+        fixed = embed.harmonise(pcs, groups)
+    except np.linalg.LinAlgError as e:
+        return pcs.withColumn("status", F.lit(f"uncorrected: {e}"))
+    if not fixed.where(F.exists("v", lambda x: F.isnan(x) | (F.abs(x) == float("inf")))).isEmpty():
+        return pcs.withColumn("status", F.lit("uncorrected: not finite"))
+    return fixed.withColumn("status", F.lit("corrected"))
+
+
+def sketched(pcs: DataFrame, share: float = 0.1, resolution: float = 0.5, k: int = 15, least: int = 100) -> DataFrame:
+    """(id, cluster, share, drawn): an evenly spread sketch of ``pcs`` (id, v) is clustered, and every other cell takes the most frequent cluster of its
+    k nearest in the sketch, with its share among them.
+
+    The sketch has ``share`` of the cells, at least ``least``; its boxes are the narrowest that it can all meet. Only the sketch meets itself in a graph.
+    """
+    n = max(least, int(pcs.count() * share))
+    drawn = settle(embed.sketch(pcs.select("id", "v"), n, embed.box_size(pcs, n)).where("kept").select("id", "v"))
+    own = settle(clusterings(drawn, [resolution], k).select("id", "cluster"))
+    rest = settle(pcs.select("id", "v").join(drawn.select("id"), "id", "left_anti"))
+    taken = embed.transfer_labels(rest, settle(drawn.join(own, "id")), k, "cluster")
+    return own.select("id", "cluster", F.lit(1.0).alias("share"), F.lit(True).alias("drawn")).unionByName(taken.select("id", F.col("label").alias("cluster"), "share", F.lit(False).alias("drawn")))
 
 
 def reanalyse(counts: DataFrame, cells: DataFrame, label: str, names: Sequence[str], resolutions: Sequence[float], pcs: int = 30, k: int = 15, mito: tuple[str, ...] = ("MT-", "mt-"), least: int = 50) -> dict[str, DataFrame]:

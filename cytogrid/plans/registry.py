@@ -42,7 +42,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from cytogrid.plans import queries_core, queries_numeric, queries_spatial, queries_stats, queries_text  # noqa: F401
+    from cytogrid.plans import queries_branches, queries_core, queries_numeric, queries_spatial, queries_stats, queries_text  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

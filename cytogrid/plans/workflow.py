@@ -1,7 +1,7 @@
 """Configuration and the named targets: which tables a run makes, from a contract folder to its results.
 
 A configuration is a mapping, or a YAML or JSON file of one; unknown keys, wrong values and contradictions stop a run before any job, each named by its key. A target is a list of steps;
-each step reads tables by name and gives one, and per-sample work is a grouping column, not a job. What a configuration has no input for is skipped and
+each step reads tables by name and gives one or several, and per-sample work is a grouping column, not a job. What a configuration has no input for is skipped and
 says why; what reads a step that did not end well is blocked by it, and the rest goes on.
 """
 
@@ -14,11 +14,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cytogrid.operators import annotate, compose, contract, de, embed, markers, nbinom, normalize, pseudobulk, qc, signatures, spatial, subset
+from cytogrid.operators import annotate, branches, compose, contract, de, embed, markers, nbinom, normalize, pseudobulk, qc, signatures, spatial, subset
 from cytogrid.operators.durable import settle
 from cytogrid.plans import schema
 from cytogrid.sources import readers
 
+#: What tells the clusterings of compartments apart.
+BRANCH = ("compartment", "branch", "resolution")
 MODES = ("decoupled", "visium_hd", "xenium", "atera", "merscope")
 
 
@@ -54,6 +56,8 @@ class Config:
     reference_genes: int = 100
     compartments: dict[str, tuple[str, ...]] = field(default_factory=dict)
     compartment_least: int = 50
+    marker_genes: int = 10
+    sketch_share: float = 0.1
     skip: tuple[str, ...] = field(default=())
 
     @classmethod
@@ -77,6 +81,7 @@ def _schema() -> dict:
         "contract": whole, "out": whole, "mode": {"type": "string", "enum": MODES}, "mito_prefixes": names, "cell_type": whole, "condition": whole, "skip": names, "gene_lists": text,
         "min_counts": share, "max_counts": share, "min_genes": share, "min_cells": share, "max_pct_mt": {**share, "maximum": 100}, "external_labels": text, "external_label_column": text,
         "resolutions": {"type": "array", "items": {"type": "number", "above": 0}, "least": 1, "unique": True}, "integrated_resolution": {"type": "number", "above": 0}, "distance_step": {"type": "number", "above": 0},
+        "sketch_share": {"type": "number", "above": 0, "maximum": 1},
         "compartments": {"type": "object", "others": {**names, "least": 1}}, "reference": text, "reference_label": text,
     }
     keys |= {f.name: count for f in fields(Config) if f.name not in keys}
@@ -165,17 +170,63 @@ def _signatures(t: dict[str, DataFrame], c: Config) -> DataFrame:
     return signatures.aucell(t["normalised"], lists.select(F.col("entry").alias("source"), F.col("gene").alias("target")), genes.count())
 
 
-def _subclusters(t: dict[str, DataFrame], c: Config) -> DataFrame:
-    """(compartment, branch, id, resolution, res_idx, cluster) of every compartment, each from its own counts."""
-    out = []
+def _subclusters(t: dict[str, DataFrame], c: Config) -> dict[str, DataFrame]:
+    """Every compartment from its own counts: subclusters (compartment, branch, id, resolution, res_idx, cluster), subcluster_pcs (compartment, branch, id, batch, v)
+    and subcluster_qc (compartment, sample, cell_id, metrics)."""
+    out: dict[str, list[DataFrame]] = {"subclusters": [], "subcluster_pcs": [], "subcluster_qc": []}
     for name, labels in sorted(c.compartments.items()):
         got = subset.reanalyse(t["filtered"], t["cells"], c.cell_type, labels, c.resolutions, c.components, c.graph_neighbours, c.mito_prefixes, c.compartment_least)
-        out.append(got["clusters"].select(F.lit(name).alias("compartment"), "*"))
+        part = t["filtered"].join(subset.compartment(t["cells"], c.cell_type, labels, c.compartment_least).select("sample", "cell_id"), ["sample", "cell_id"], "left_semi")
+        for key, df in zip(out, (got["clusters"], got["pcs"], branches.cell_qc(part, c.mito_prefixes)), strict=True):
+            out[key].append(df.select(F.lit(name).alias("compartment"), "*"))
+    return {key: reduce(DataFrame.unionByName, dfs) for key, dfs in out.items()}
+
+
+def _placed(t: dict[str, DataFrame], *columns: str) -> DataFrame:
+    """subclusters with their cells' sample, cell_id and ``columns``."""
+    return t["subclusters"].join(t["cells"].select(F.concat_ws("|", "sample", "cell_id").alias("id"), "sample", "cell_id", *columns), "id")
+
+
+def _subcluster_silhouettes(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    """(compartment, branch, id, resolution, cluster, silhouette)"""
+    out = []
+    for name, branch in sorted((r[0], r[1]) for r in t["subclusters"].select("compartment", "branch").distinct().collect()):  # names of the configuration
+        own = (F.col("compartment") == name) & (F.col("branch") == branch)
+        out.append(branches.silhouettes(t["subcluster_pcs"].where(own), t["subclusters"].where(own)).select(F.lit(name).alias("compartment"), F.lit(branch).alias("branch"), "*"))
     return reduce(DataFrame.unionByName, out)
 
 
+def _subcluster_tree(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    """(compartment, branch, res_idx, from, to, n, share)"""
+    return compose.cluster_tree(t["subclusters"], "id", ("compartment", "branch"))
+
+
+def _subcluster_metrics(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    rows = _placed(t).join(t["subcluster_qc"], ["compartment", "sample", "cell_id"])
+    return branches.metric_distribution(rows, BRANCH, "cluster")
+
+
+def _subcluster_markers(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    """(compartment, branch, resolution, cluster, gene, rank, score, ..., mean, fraction, scaled): best genes of each cluster, of clusterings that have several."""
+    rows = settle(_placed(t))
+    several = rows.groupBy(*BRANCH).agg(F.count_distinct("cluster").alias("k")).where("k > 1").select(*BRANCH)
+    rows = rows.join(F.broadcast(several), list(BRANCH), "left_semi")
+    top = settle(markers.top_markers(markers.rank_sum(t["normalised"], rows, "cluster", BRANCH), "cluster", c.marker_genes, BRANCH))
+    values = t["normalised"].join(F.broadcast(top.select("gene").distinct()), "gene", "left_semi")
+    dots = markers.dot_stats(values, rows, F.col("cluster"), "cluster", BRANCH)
+    return top.join(dots, [*BRANCH, "cluster", "gene"])
+
+
+def _subcluster_composition(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    return branches.compositions(_placed(t, c.condition, c.cell_type), BRANCH, "cluster", ("sample", c.condition, c.cell_type))
+
+
+def _subcluster_counts(t: dict[str, DataFrame], c: Config) -> DataFrame:
+    return branches.middle_counts(_placed(t, c.condition, c.cell_type), ("compartment", "branch"), "cluster", ("sample", c.condition, c.cell_type))
+
+
 #: name -> step(tables so far, config); in an order in which each finds what it reads.
-STEPS: dict[str, Callable[[dict[str, DataFrame], Config], DataFrame]] = {
+STEPS: dict[str, Callable[[dict[str, DataFrame], Config], DataFrame | dict[str, DataFrame]]] = {
     "validation": _gate,
     "qc_metrics": lambda t, c: qc.cell_metrics(t["counts"], c.mito_prefixes),
     "qc_report": lambda t, c: qc.report(t["qc_metrics"], ("total_counts", "n_genes_by_counts", "pct_counts_mt")),
@@ -187,6 +238,7 @@ STEPS: dict[str, Callable[[dict[str, DataFrame], Config], DataFrame]] = {
     "cluster_tree": lambda t, c: compose.cluster_tree(t["clusters"], "id"),
     "integrated": lambda t, c: subset.integrated(t["pcs"], c.batch_groups),
     "integrated_clusters": lambda t, c: subset.clusterings(t["integrated"].select("id", "v"), [c.integrated_resolution], c.graph_neighbours),
+    "sketch_clusters": lambda t, c: subset.sketched(t["pcs"], c.sketch_share, c.integrated_resolution, c.graph_neighbours),
     "neighbours": lambda t, c: spatial.knn(t["cells"], c.neighbours),
     "enrichment": _enrichment,
     "region_enrichment": _region_enrichment,
@@ -205,6 +257,12 @@ STEPS: dict[str, Callable[[dict[str, DataFrame], Config], DataFrame]] = {
     "de_summary": lambda t, c: de.summary(t["de"], "contrast"),
     "pattern_groups": _pattern_groups,
     "subclusters": _subclusters,
+    "subcluster_silhouettes": _subcluster_silhouettes,
+    "subcluster_tree": _subcluster_tree,
+    "subcluster_metrics": _subcluster_metrics,
+    "subcluster_markers": _subcluster_markers,
+    "subcluster_composition": _subcluster_composition,
+    "subcluster_counts": _subcluster_counts,
 }
 #: What a step reads of other steps.
 READS = {
@@ -228,6 +286,13 @@ READS = {
     "de_summary": ("de",),
     "pattern_groups": ("pseudobulk", "de"),
     "subclusters": ("filtered",),
+    "sketch_clusters": ("pcs",),
+    "subcluster_silhouettes": ("subclusters",),
+    "subcluster_tree": ("subclusters",),
+    "subcluster_metrics": ("subclusters",),
+    "subcluster_markers": ("subclusters", "normalised"),
+    "subcluster_composition": ("subclusters",),
+    "subcluster_counts": ("subclusters",),
 }
 #: Steps that need something of the configuration.
 NEEDS: dict[str, tuple[str, Callable[[Config], bool]]] = {
@@ -235,14 +300,15 @@ NEEDS: dict[str, tuple[str, Callable[[Config], bool]]] = {
     "transferred": ("no reference", lambda c: c.reference is not None),
     "subclusters": ("no compartments", lambda c: bool(c.compartments)),
     "cluster_tree": ("one resolution", lambda c: len(c.resolutions) > 1),
+    "subcluster_tree": ("one resolution", lambda c: len(c.resolutions) > 1),
 }
 TARGETS = {
     "run_preprocessing": ("validation", "qc_metrics", "qc_report", "filtered", "normalised", "variable_genes", "pcs", "clusters", "cluster_tree"),
-    "run_postprocessing": ("integrated", "integrated_clusters", "enrichment", "region_enrichment", "co_occurrence", "region_co_occurrence", "niches", "composition", "markers", "majority", "de", "de_summary", "pattern_groups"),
+    "run_postprocessing": ("integrated", "integrated_clusters", "sketch_clusters", "enrichment", "region_enrichment", "co_occurrence", "region_co_occurrence", "niches", "composition", "markers", "majority", "de", "de_summary", "pattern_groups"),
     "run_exploration": ("dotplot",),
     "explore_genes": ("dotplot", "signatures"),
     "label_transfer": ("transferred",),
-    "subcluster_all": ("subclusters",),
+    "subcluster_all": ("subclusters", "subcluster_silhouettes", "subcluster_tree", "subcluster_metrics", "subcluster_markers", "subcluster_composition", "subcluster_counts"),
     "qc_sweep_all": ("qc_metrics", "qc_report"),
 }
 TARGETS["all"] = tuple(STEPS)
@@ -276,9 +342,10 @@ def run(spark: SparkSession, config: Config, target: str = "all") -> dict[str, s
             status[name] = ("blocked", lacking)
         else:
             try:
-                df = STEPS[name](t, config)
-                df.write.mode("overwrite").parquet(f"{config.out}/{name}")
-                t[name] = spark.read.parquet(f"{config.out}/{name}")
+                made = STEPS[name](t, config)
+                for key, df in (made if isinstance(made, dict) else {name: made}).items():
+                    df.write.mode("overwrite").parquet(f"{config.out}/{key}")
+                    t[key] = spark.read.parquet(f"{config.out}/{key}")
                 status[name] = ("done", "")
             except Exception as e:  # one step's failure is its own; those that read it are blocked
                 status[name] = ("failed", f"{type(e).__name__}: {str(e)[:200]}")

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cytogrid.functions import text
-from cytogrid.operators import annotate, contract, de, embed, graph, markers, nbinom, normalize, pseudobulk, qc, signatures, spatial, subset
+from cytogrid.operators import annotate, branches, contract, de, embed, graph, markers, nbinom, normalize, pseudobulk, qc, signatures, spatial, subset
 from cytogrid.plans import schema, workflow
 from cytogrid.sources import images, readers
 
@@ -354,6 +354,7 @@ def test_workflow_of_a_study(spark, tmp_path):
     odd = {k: v for k, v in got.items() if v != "done"}
     skipped = "skipped: by configuration"
     assert odd.pop("subclusters").startswith("failed: ValueError: 0 cells of t9")
+    assert {odd.pop(f"subcluster_{x}") for x in ("silhouettes", "metrics", "markers", "composition", "counts")} == {"blocked: subclusters"} and odd.pop("subcluster_tree") == "skipped: one resolution"
     assert odd == {**dict.fromkeys(raw["skip"], skipped), "niches": "blocked: niche_pcs", "integrated_clusters": "blocked: integrated", "cluster_tree": "skipped: one resolution", "transferred": "skipped: no reference"}
     read = lambda t: spark.read.parquet(str(tmp_path / "out" / t))
     assert read("status").count() == len(got)
@@ -386,6 +387,87 @@ def test_reanalysis_and_niches(spark, tmp_path):
     assert got["clusters"].groupBy("branch").count().where("count = 60").count() == 2 and got["qc"].count() == 60
 
 
+def test_compartment_tables(spark, tmp_path):
+    """Two kinds of cells in one compartment, both branches: the tables tell the kinds apart at the lower resolution."""
+    rng = np.random.default_rng(14)
+    kind = np.arange(60) // 2 % 2
+    x = rng.poisson(1 + 12 * (np.arange(30)[None, :] % 2 == kind[:, None]))
+    name = [(f"s{i % 2}", f"c{i:02d}") for i in range(60)]
+    cols = "sample string, cell_id string, gene string, count long"
+    spark.createDataFrame([(*name[i], f"g{j:02d}", int(x[i, j])) for i in range(60) for j in range(30) if x[i, j]], cols).write.parquet(str(tmp_path / "in/counts"))
+    cells = [(*name[i], float(i), 0.0, "r", "t" if i % 3 else "u") for i in range(60)]
+    spark.createDataFrame(cells, "sample string, cell_id string, x double, y double, region_annotation string, cell_type string").write.parquet(str(tmp_path / "in/cells"))
+    spark.createDataFrame([(f"g{j:02d}",) for j in range(30)], "gene string").write.parquet(str(tmp_path / "in/genes"))
+    raw = {"contract": str(tmp_path / "in"), "out": str(tmp_path / "out"), "components": 3, "graph_neighbours": 6, "resolutions": [0.2, 0.4], "marker_genes": 5, "compartments": {"both": ["t", "u"]}}
+    got = workflow.run(spark, workflow.Config.of(raw), "subcluster_all")
+    assert set(got.values()) == {"done"}
+    read = lambda t: spark.read.parquet(str(tmp_path / "out" / t)).where("branch IN ('plain', 'corrected')")
+    of = {f"{s}|{c}": int(k) for (s, c), k in zip(name, kind, strict=True)}
+    kinds = {(r["branch"], r["resolution"], r["cluster"]): of[r["id"]] for r in read("subclusters").collect()}
+    sils = read("subcluster_silhouettes").where("resolution = 0.2").collect()
+    assert len(sils) == 120 and min(r["silhouette"] for r in sils) > 0
+    pcs = {(r["branch"], r["id"]): r["v"] for r in read("subcluster_pcs").collect()}
+    one = sils[0]
+    v = np.array([pcs[one["branch"], r["id"]] for r in sils if r["branch"] == one["branch"]])
+    v = (v - v.mean(0)) / v.std(0)
+    lab = np.array([r["cluster"] for r in sils if r["branch"] == one["branch"]])
+    d = np.linalg.norm(v - v[0], axis=1)
+    a, b = d[lab == lab[0]].sum() / ((lab == lab[0]).sum() - 1), min(d[lab == c].mean() for c in set(lab) - {lab[0]})
+    assert one["silhouette"] == pytest.approx((b - a) / max(a, b))
+    top = read("subcluster_markers").where("resolution = 0.2").collect()
+    assert len(top) == 5 * len({k for k in kinds if k[1] == 0.2})
+    assert all(int(r["gene"][1:]) % 2 == kinds[r["branch"], 0.2, r["cluster"]] and r["mean"] > 0 for r in top)
+    parts = read("subcluster_composition").where("resolution = 0.2")
+    assert {r["kind"] for r in parts.select("kind").distinct().collect()} == {"sample", "cell_type"}  # one region says nothing
+    assert all(abs(r["p"] - 100) < 1e-9 for r in parts.groupBy("branch", "cluster", "kind").agg(F.sum("pct_of_cluster").alias("p")).collect())
+    assert all(abs(r["p"] - 100) < 1e-9 for r in parts.groupBy("branch", "kind", "value").agg(F.sum("pct_of_value").alias("p")).collect())
+    metric = read("subcluster_metrics").where("resolution = 0.2 AND metric = 'total_counts' AND point IN (0, 1)").collect()
+    for r in metric:
+        mine = [x[i].sum() for i in range(60) if kind[i] == kinds[r["branch"], 0.2, r["cluster"]]]
+        assert min(mine) <= r["value"] <= max(mine)
+    assert read("subcluster_counts").groupBy("branch").agg(F.sum("n_cells").alias("n")).where("n = 60").count() == 2
+    flow = read("subcluster_tree").groupBy("branch").agg(F.sum("n").alias("n")).collect()
+    assert [r["n"] for r in flow] == [60, 60]
+
+
+def test_silhouettes_of_one_cluster(spark):
+    pcs = spark.createDataFrame([(str(i), [float(i), 1.0]) for i in range(4)], "id string, v array<double>")
+    clusters = spark.createDataFrame([(str(i), r, "a" if r < 1 else "ab"[i // 2]) for i in range(4) for r in (0.5, 1.0)], "id string, resolution double, cluster string")
+    got = branches.silhouettes(pcs, clusters).collect()
+    assert {r["resolution"] for r in got} == {1.0} and len(got) == 4 and all(r["silhouette"] > 0 for r in got)
+    assert branches.silhouettes(pcs, clusters.where("resolution = 0.5")).collect() == []
+
+
+def test_sketched_clusters(spark):
+    """Three groups, one of them rare: the sketch meets all, and the rest takes the cluster of its group."""
+    rng = np.random.default_rng(15)
+    group = np.repeat([0, 1, 2], [300, 280, 20])
+    v = rng.normal(0, 0.4, (600, 4)) + 6 * np.eye(4)[group]
+    pcs = spark.createDataFrame([(f"p{i:03d}", [float(a) for a in v[i]]) for i in range(600)], "id string, v array<double>")
+    got = subset.sketched(pcs, 0.1, 0.05, 10).collect()
+    assert len(got) == 600 == len({r["id"] for r in got}) and sum(r["drawn"] for r in got) == 100
+    met = {(r["cluster"], int(group[int(r["id"][1:])])) for r in got}
+    assert {g for _, g in met} == {0, 1, 2} and len({c for c, _ in met}) == len(met)
+    assert all(r["share"] == 1.0 for r in got if r["drawn"]) and all(0 < r["share"] <= 1 for r in got)
+    # all points in one place: one box, whatever its side
+    same = spark.createDataFrame([(str(i), [1.0, 2.0, 3.0]) for i in range(5)], "id string, v array<double>")
+    assert embed.box_size(same, 3) == 1.0
+    assert embed.box_size(pcs.limit(0), 3) == 1.0
+
+
+def test_uncorrected_batches(spark, monkeypatch):
+    pcs = spark.createDataFrame([("a", "x", [1.0]), ("b", "y", [2.0])], "id string, batch string, v array<double>")
+
+    def singular(*_):
+        raise np.linalg.LinAlgError("Singular matrix")
+
+    monkeypatch.setattr(embed, "harmonise", singular)
+    got = subset.integrated(pcs).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [("a", "x", [1.0], "uncorrected: Singular matrix"), ("b", "y", [2.0], "uncorrected: Singular matrix")]
+    monkeypatch.setattr(embed, "harmonise", lambda rows, groups: rows.withColumn("v", F.array(F.lit(float("nan")))))
+    assert {r["status"] for r in subset.integrated(pcs).collect()} == {"uncorrected: not finite"}
+
+
 def test_scale_and_per_sample_files(spark, tmp_path):
     fields = readers.image_scale("s", 2, (100, 50), (400, 200), 0.25)
     assert fields["scale"] == 4 and fields["scaled_pixel_um"] == 1
