@@ -62,7 +62,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_r
 def measures(docs: DataFrame, *keep: str, text_col: str = "text") -> DataFrame:
     """``keep`` columns with MEASURES (long); ``keep`` has none of these names."""
     text = F.col("__text")
-    t = docs.select(*keep, blank_if_null(F.col(text_col)).alias("__text"))
+    t = docs.select(*keep, blank_if_null(col(text_col)).alias("__text"))
     lines = F.filter(F.split(text, "\n", -1), lambda s: s.rlike(WORD))
     t = t.select(*keep, "__text", words_of(text).alias("__words"), lines.alias("__lines"))
     w = F.col("__words")

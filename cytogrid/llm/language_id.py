@@ -103,11 +103,11 @@ def _slices(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
 
 def learn(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", most_docs: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, log probabilities by bucket, candidates by script) from a bounded number of ``train`` rows per language."""
-    counts = {r[0]: r[1] for r in train.where(F.col(lang_col).isNotNull()).groupBy(lang_col).count().collect()}  # one row per language
+    counts = {r[0]: r[1] for r in train.where(col(lang_col).isNotNull()).groupBy(col(lang_col)).count().collect()}  # one row per language
     if not counts:
         return [], np.zeros((BUCKETS, 0), np.float32), np.zeros((N_SCRIPTS, 0), bool)
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, most_docs / n))])
-    drawn = train.where(F.col(lang_col).isNotNull() & (F.pmod(F.xxhash64(F.lit("train"), id_col), F.lit(1 << 20)) < F.element_at(share, F.col(lang_col)) * (1 << 20)))
+    drawn = train.where(col(lang_col).isNotNull() & (F.pmod(F.xxhash64(F.lit("train"), col(id_col)), F.lit(1 << 20)) < F.element_at(share, col(lang_col)) * (1 << 20)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -123,7 +123,7 @@ def learn(train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_c
             at = np.nonzero(total)[0]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=["lang", "bucket", "n"])
 
-    summed = drawn.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string")).mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    summed = drawn.select(col(lang_col).alias("lang"), col(text_col).cast("string").alias("text")).mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = summed.toArrow()  # languages x (buckets + scripts) rows at most
     names = sorted(set(got.column("lang").to_pylist()))
     number = {x: i for i, x in enumerate(names)}
@@ -258,5 +258,5 @@ def identify(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
             lang, score, n = label_texts(batch.column(1).to_pylist(), names, logp, allowed)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64())], names=[id_col, "lang_pred", "score", "n_spans"])
 
-    out = docs.select(id_col).schema.add("lang_pred", "string").add("score", "double").add("n_spans", "long")
-    return docs.select(col(id_col), col(text_col).cast("string").alias("text")).mapInArrow(run, out)
+    out = docs.select(col(id_col)).schema.add("lang_pred", "string").add("score", "double").add("n_spans", "long")
+    return docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")).mapInArrow(run, out)

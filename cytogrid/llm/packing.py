@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cytogrid.llm.common import materialize
+from cytogrid.llm.common import col, materialize
 
 SEQUENCE_TOKENS = 1024
 END_TOKEN = 2
@@ -86,7 +86,7 @@ def cut(n: int, most: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE_TOKENS) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32."""
     end = array("I", [END_TOKEN]).tobytes()
-    out = docs.select(id_col).schema
+    out = docs.select(col(id_col)).schema
     for name, kind in (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids_crc32", "long")):
         out = out.add(name, kind)
 
@@ -107,7 +107,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                 names=[id_col, "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, out)
+    return docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")).mapInArrow(run, out)
 
 
 class CapacityTree:
@@ -212,7 +212,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             made = [pa.array(r[:, 3] + k // r[:, 4]), pa.array(r[:, 5] + k % r[:, 4] * length)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=out.names)
 
-    return ranked.mapInArrow(run, out)
+    return ranked.toDF("id", *ranked.columns[1:]).mapInArrow(run, out)
 
 
 def _groups(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -228,4 +228,4 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
 
     added = StructType.fromDDL("runs array<struct<start:long,length:long,period:long>>, collapsed string")
     schema = StructType([*docs.select(col(id_col)).schema, *added])
-    return docs.select(col(id_col), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, schema)
+    return docs.select(col(id_col).alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, schema)

@@ -195,4 +195,4 @@ def classify(docs: DataFrame, labels: DataFrame, learn_from: Column, id_col: str
             score = np.full(len(texts), model) if net is None else net.score(texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], names=[id_col, "score"])
 
-    return docs.select(col(id_col), col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(run, docs.select(col(id_col)).schema.add("score", "double"))
+    return docs.select(col(id_col).alias("id"), col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(run, docs.select(col(id_col)).schema.add("score", "double"))

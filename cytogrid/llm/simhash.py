@@ -127,7 +127,7 @@ def fingerprint_of(text: bytes | None, shingle: int, seed: int = SEED) -> int:
 
 def _mapped(docs: DataFrame, id_col: str, text_col: str, names: list[str], of_text) -> DataFrame:
     """Per row its id and the ``names`` columns (long), the unsigned numbers that ``of_text`` gives for the text's bytes."""
-    out = docs.select(id_col).schema
+    out = docs.select(col(id_col)).schema
     for name in names:
         out = out.add(name, "long")
 
@@ -136,7 +136,7 @@ def _mapped(docs: DataFrame, id_col: str, text_col: str, names: list[str], of_te
             made = np.array([of_text(t.as_py()) for t in batch.column(1)], np.uint64).reshape(-1, len(names)).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(c)) for c in made.T)], names=[id_col, *names])
 
-    return docs.select(id_col, F.col(text_col).cast("string").cast("binary").alias(text_col)).mapInArrow(run, out)
+    return docs.select(col(id_col).alias("id"), col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(run, out)
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,15 +144,10 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col
     return _mapped(docs, id_col, text_col, ["fp"], lambda text: [fingerprint_of(text, shingle)])
 
 
-#: Pairs set aside for a later level at most; beyond it they are joined at once.
-ASIDE_PAIRS = 2_000_000
-
-
-def _forest(ids: np.ndarray, fp: np.ndarray, checks: list[np.ndarray], group: np.ndarray, home: np.ndarray, bits: int, check_bits: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+def _forest(ids: np.ndarray, fp: np.ndarray, checks: list[np.ndarray], group: np.ndarray, home: np.ndarray, bits: int, check_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest, over ids, of the links among rows of which one is at home; fingerprints are uint64.
 
-    Rows are sorted by group, those at home first, so that only these need to look at the rows behind them. Links within the first of
-    ``check_bits`` join before those that are only within the last.
+    Rows are sorted by group, those at home first, so that only these need to look at the rows behind them.
     """
     nodes, node = np.unique(ids, return_inverse=True)
     label = np.arange(len(nodes))
@@ -175,8 +170,6 @@ def _forest(ids: np.ndarray, fp: np.ndarray, checks: list[np.ndarray], group: np
 
     stop = np.cumsum(np.bincount(group))[group] if len(group) else np.zeros(0, np.int64)
     at, k = np.nonzero(home)[0], 1
-    aside: list[np.ndarray] = []
-    held = 0
     while True:
         at = at[at + k < stop[at]]
         if not len(at):
@@ -186,26 +179,18 @@ def _forest(ids: np.ndarray, fp: np.ndarray, checks: list[np.ndarray], group: np
         u, v = node[at[near]], node[b[near]]
         if checks and len(near):
             apart = sum(np.bitwise_count(c[at[near]] ^ c[b[near]]).astype(np.int32) for c in checks)
-            later = (apart > check_bits[0]) & (apart <= check_bits[-1]) & (label[u] != label[v])
-            aside.append(np.stack((u[later], v[later])))
-            held += int(later.sum())
-            u, v = u[apart <= check_bits[0]], v[apart <= check_bits[0]]
+            u, v = u[apart <= check_bits], v[apart <= check_bits]
         join(u, v)
-        if held > ASIDE_PAIRS:
-            join(*np.concatenate(aside, axis=1))
-            aside, held = [], 0
         k += 1
-    if aside:
-        join(*np.concatenate(aside, axis=1))
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def links(distinct: DataFrame, bits: int = BITS, checks: tuple[str, ...] = (), check_bits: tuple[int, ...] = (), kind: str | None = None, blocks: tuple[Block, ...] = BLOCKS_4, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
+def links(distinct: DataFrame, bits: int = BITS, checks: tuple[str, ...] = (), check_bits: int = 0, kind: str | None = None, blocks: tuple[Block, ...] = BLOCKS_4, anchor_rows: int = ANCHOR_ROWS) -> DataFrame:
     """Edges (u, v) between nodes that join the same nodes as all links do.
 
     ``distinct`` has node (long), fp and the ``checks`` columns. A link has ``bits`` or fewer differing bits between fp, and
-    the last of ``check_bits`` (rising) or fewer between all check columns together. A node may have several rows; only
+    ``check_bits`` or fewer between all check columns together. A node may have several rows; only
     those of the same ``kind`` (an integer column) meet.
     """
     if sum(b.tolerance + 1 for b in blocks) <= bits:
@@ -286,7 +271,7 @@ COPY_SHINGLE, COPY_SIMILARITY = 5, 0.8
 #: Independent fingerprints of a text's words; a link is missed only where all of them differ in more bits than allowed.
 COPY_PRINTS = 3
 #: Longs of a minwise sketch (one bit of each of 64 minima), and the differing bits at which a link is tried: a similarity of 0.8 has about 26.
-SKETCH_LONGS, SKETCH_BITS = 4, (24, 36)
+SKETCH_LONGS, SKETCH_BITS = 4, 36
 _SKETCH = [f"sketch{i}" for i in range(SKETCH_LONGS)]
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 31, 64 * SKETCH_LONGS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 

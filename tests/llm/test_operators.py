@@ -342,7 +342,7 @@ def test_large_group_of_near_copies(spark, monkeypatch, few):
     kept = {r["doc_id"] for r in simhash.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     marks = np.array([simhash.copy_marks(t.encode()) for _, t in rows], np.uint64)
     apart = np.bitwise_count(marks ^ marks[0])
-    meets = (apart[:, : simhash.COPY_PRINTS].min(1) <= 4) & (apart[:, simhash.COPY_PRINTS :].sum(1) <= simhash.SKETCH_BITS[-1])
+    meets = (apart[:, : simhash.COPY_PRINTS].min(1) <= 4) & (apart[:, simhash.COPY_PRINTS :].sum(1) <= simhash.SKETCH_BITS)
     assert 0 in kept and meets.sum() > 290 and not {i for i in range(1, len(rows)) if meets[i]} & kept
 
 
@@ -713,3 +713,43 @@ def test_edge_tables(spark, name):
     per_row = name in ("line_dedup", "quality", "secrets", "urls", "language", "mixing", "rules", "simhash")
     assert not per_row or len(plain) == len(EDGES)
     assert EVERY[name](spark, edge_documents(spark, True).limit(0)).count() == 0
+
+
+def test_names_with_dots(spark):
+    """Columns named with dots give what the same rows give under plain names; ids are texts here."""
+    rows = [(f"d{i % 11:02d}", words(40 + 8 * (i % 5), 100 + i % 9), ("en", "de")[i % 2], f"s{i % 2}", 7) for i in range(24)]
+    plain = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string, n_chars int")
+    dotted = plain.toDF("doc.id", "my.text", "l.ang", "so.urce", "n.chars")
+    names = {"id_col": "doc.id", "text_col": "my.text"}
+    sources = {**names, "source_col": "so.urce"}
+    labels = spark.createDataFrame([("d01", 1), ("d02", 0)], "doc_id string, quality int")
+    every = {
+        "pack": (lambda d, **k: packing.pack(d, queries.tokenizer_path(), **k).drop("sequence_id", "offset"), names),
+        "simhash": (lambda d, **k: simhash.near_duplicates(d, 4, **k), names),
+        "distinct": (simhash.distinct_documents, names),
+        "lines": (line_dedup.dedup_lines, names),
+        "language": (lambda d, **k: language_id.identify(d, F.lit(True), **k), {**names, "lang_col": "l.ang"}),
+        "mix": (mixing.mix, sources),
+        "mixed": (mixing.mixed_documents, sources),
+        "rules": (host_rules.passing_documents, {**names, "host_col": "so.urce"}),
+        "secrets": (secret_scan.spans, names),
+        "quality": (lambda d, **k: quality_cnn.classify(d, labels.toDF(k.get("id_col", "doc_id"), "quality"), F.lit(True), **k), names),
+    }
+    for name, (run, args) in every.items():
+        want = sorted(repr(tuple(r)) for r in run(plain).collect())
+        assert want and sorted(repr(tuple(r)) for r in run(dotted, **args).collect()) == want, name
+
+
+def test_text_ids(spark):
+    """With ids that are texts the mix keeps to its limits and links are those of brute force."""
+    rows = [(f"k{i:02d}", words(20 + i, 300 + i // 3), f"s{i % 3}") for i in range(30)]
+    d = spark.createDataFrame(rows, "doc_id string, text string, source string").repartition(3)
+    mixed = mixing.mix(d).collect()
+    assert {r["doc_id"] for r in mixed} == {r[0] for r in rows} and all(0 <= r["copies"] <= 3 for r in mixed)
+    assert sorted(map(repr, mixed)) == sorted(map(repr, mixing.mix(d.repartition(5)).collect()))
+    got = {r["doc_id"]: (int(r["fingerprint"], 16), r["component_id"]) for r in simhash.near_duplicates(d, 4).collect()}
+    root = {i: i for i in got}
+    for _ in got:
+        for a in got:
+            root[a] = min(root[b] for b in got if (got[a][0] ^ got[b][0]).bit_count() <= 4)
+    assert {i: c for i, (_, c) in got.items()} == root

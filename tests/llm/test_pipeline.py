@@ -60,3 +60,10 @@ def test_chain_gives_the_same(spark, made):
     _, folder = made
     a, b = (sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in corpus_pipeline.run(spark, folder).collect()) for _ in range(2))
     assert a == b and a
+
+
+def test_chain_on_an_empty_table(spark, made, tmp_path):
+    _, folder = made
+    spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
