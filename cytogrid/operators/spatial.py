@@ -6,6 +6,8 @@ quadtree that counts split.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,19 +86,22 @@ def cover(polygons: DataFrame) -> DataFrame:
     counts = lambda s: (F.least(s["y1"], s["y2"]) <= y1) & (F.greatest(s["y1"], s["y2"]) >= y0) & (F.greatest(s["x1"], s["x2"]) >= x0)
     border = F.exists("edges", touched)
     p = p.withColumn("border", border).where(F.col("border") | _odd(F.col("edges"), x0 + size / 2, y0 + size / 2))
-    return p.select("sample", "level", "gx", "gy", "ord", "region", F.when(F.col("border"), F.filter("edges", counts)).alias("edges"))
+    shape = [c for c in polygons.columns if c == "shape"]
+    return p.select("sample", "level", "gx", "gy", "ord", "region", *shape, F.when(F.col("border"), F.filter("edges", counts)).alias("edges"))
 
 
-def regions_of(cells: DataFrame, polygons: DataFrame, last: bool = False, default: str = "Unlabeled") -> DataFrame:
+def regions_of(cells: DataFrame, polygons: DataFrame, last: bool = False, default: str = "Unlabeled", strict: bool = True, inside: Callable[[Column, Column, Column], Column] | None = None) -> DataFrame:
     """``cells`` with region: the first (or last) polygon, in order of ord, that a point lies strictly within.
 
     ``polygons``: ord, region, ring (array of struct x, y), and sample where each belongs to one; without it they hold for every cell. Points meet polygons by
     equal (sample, grid cell) of the polygons' ``cover``, and edges are looked at, by crossing parity, boundary points excluded, in border cells only. Points at one place
-    are looked up once; cells without coordinates get the default.
+    are looked up once; cells without coordinates get the default. Without ``strict`` the parity alone decides, so a point on a border belongs to the polygon on its
+    right: of polygons that tile the plane, to one. With ``inside`` the polygons have a column shape, the rings need only hold the shapes, and
+    inside(x, y, shape) says whether a point is in one.
     """
     keyed = "sample" in polygons.columns
     key = F.col("sample") if keyed else F.lit("")
-    found = settle(cover(polygons.select(key.alias("sample"), "ord", "region", "ring")))
+    found = settle(cover(polygons.select(key.alias("sample"), "ord", "region", "ring", *(["shape"] if inside else []))))
     # a list of a few sizes per sample
     levels = found.groupBy("sample").agg(F.collect_set("level").alias("levels"))
     spots = cells.select(key.alias("sample"), "x", "y").where("x IS NOT NULL AND y IS NOT NULL").distinct()
@@ -108,7 +113,8 @@ def regions_of(cells: DataFrame, polygons: DataFrame, last: bool = False, defaul
         cross = (s["x2"] - s["x1"]) * (y - s["y1"]) - (s["y2"] - s["y1"]) * (x - s["x1"])
         return (cross == 0) & x.between(F.least(s["x1"], s["x2"]), F.greatest(s["x1"], s["x2"])) & y.between(F.least(s["y1"], s["y2"]), F.greatest(s["y1"], s["y2"]))
 
-    within = F.col("edges").isNull() | (_odd(F.col("edges"), x, y) & ~F.exists("edges", touches))
+    odd = _odd(F.col("edges"), x, y)
+    within = inside(x, y, F.col("shape")) if inside else F.col("edges").isNull() | (odd & ~F.exists("edges", touches) if strict else odd)
     pick = F.max_by if last else F.min_by
     hits = at.join(found, ["sample", "level", "gx", "gy"]).where(within).groupBy("sample", "x", "y").agg(pick("region", "ord").alias("__region"))
     if not keyed:
