@@ -332,16 +332,20 @@ def neighbour_features(values: DataFrame, edges: DataFrame, lam: float = 0.8) ->
     """Per (cell, gene): own value, neighbour mean and gradient magnitude, weighted by sqrt of 1 - lam, 2 lam / 3 and lam / 3.
 
     Weights fall as exp(-(d / sigma)^2) with sigma the sample's median neighbour distance, and sum to 1 over a cell's neighbours; the
-    gradient is the modulus of the sum weighted by e^(i angle). Sparse: entries with neither own nor neighbour value are absent.
+    gradient is the modulus of the sum weighted by e^(i angle). Sparse: entries with neither own nor neighbour value are absent. A cell so far
+    from all others that its weights vanish has no mean: NaN, as 0 / 0 is.
     """
     sigma = edges.groupBy("sample").agg(F.percentile("d", 0.5).alias("sigma"))
     w = edges.join(F.broadcast(sigma), "sample").withColumn("w", F.exp(-F.pow(F.try_divide("d", "sigma"), 2)))
-    w = w.withColumn("w", F.col("w") / F.sum("w").over(Window.partitionBy("sample", "src"))).withColumn("a", F.atan2("dy", "dx"))
+    all_of = F.sum("w").over(Window.partitionBy("sample", "src"))
+    w = w.withColumn("w", F.when(all_of == 0, float("nan")).otherwise(F.try_divide(F.col("w"), all_of))).withColumn("a", F.atan2("dy", "dx"))
     x = values.select("sample", F.col("cell_id").alias("dst"), "gene", "value")
     field = w.join(x, ["sample", "dst"]).groupBy("sample", F.col("src").alias("cell_id"), "gene").agg(
         F.sum(F.col("w") * F.col("value")).alias("mean"), F.sum(F.col("w") * F.col("value") * F.cos("a")).alias("re"), F.sum(F.col("w") * F.col("value") * F.sin("a")).alias("im")
     )
-    out = values.select("sample", "cell_id", "gene", "value").join(field, ["sample", "cell_id", "gene"], "full").na.fill(0.0)
+    out = values.select("sample", "cell_id", "gene", "value").join(field, ["sample", "cell_id", "gene"], "full")
+    # fill() would take NaN for null
+    out = out.select("sample", "cell_id", "gene", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("value", "mean", "re", "im")])
     part = lambda c, s: (F.lit(s**0.5) * c)
     return out.select("sample", "cell_id", "gene", part(F.col("value"), 1 - lam).alias("own"), part(F.col("mean"), lam * 2 / 3).alias("neighbour_mean"), part(F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")), lam / 3).alias("gradient"))
 

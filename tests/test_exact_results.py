@@ -50,3 +50,12 @@ def test_diamonds_by_their_distance(spark, tmp_path):
     rows = [(1, (-0.03501017764210701, -0.020754314959049225), 3), (4, (-0.04084469750523567, -0.015589104034006596), 7), (7, (-0.0400, -0.0160), 8)]
     folder = vectors(spark, tmp_path, rows)
     assert by_spark(spark, folder, "region_by_many_polygons") == by_sql(folder, "region_by_many_polygons") == [("v1", "c3"), ("v4", "c7"), ("v7", "c3")]
+
+
+def test_features_of_a_cell_far_from_all_others(spark, tmp_path):
+    rows = [(3 * i, (0.01 * (i % 4), 0.013 * (i // 4), 0.2 + 0.01 * i), i % 2) for i in range(12)] + [(36, (90.0, 90.0, 0.3), 1)]
+    folder = vectors(spark, tmp_path, rows)
+    by_name = lambda rows: [tuple(None if x != x else x for x in r) for r in rows]
+    got, want = by_name(by_spark(spark, folder, "neighbour_mean_expr")), by_name(by_sql(folder, "neighbour_mean_expr"))
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert any(r[3] is None for r in got)
