@@ -152,8 +152,8 @@ def modularity(edges: DataFrame, labels: DataFrame, gamma: float = 1.0) -> DataF
     return t.agg(F.sum(F.col("l") / F.col("m") - gamma * F.pow(F.col("k") / (2 * F.col("m")), 2)).alias("q"))
 
 
-def _local_moves(g: float, nodes: pd.DataFrame, links: pd.DataFrame, stamp: str) -> tuple[list[str], bool]:
-    """Communities of a block's nodes after moves one at a time, each to where modularity gains most, until none gains; and whether any would move at first.
+def _local_moves(g: float, nodes: pd.DataFrame, links: pd.DataFrame, stamp: str) -> tuple[list[str], list[bool]]:
+    """Communities of a block's nodes after moves one at a time, each to where modularity gains most, until none gains; and which would move at first.
 
     ``g`` is the resolution over twice the weight of all edges. Only nodes with ``turn`` move; those of other blocks stay as they are. ``stamp`` makes new names.
     """
@@ -179,9 +179,9 @@ def _local_moves(g: float, nodes: pd.DataFrame, links: pd.DataFrame, stamp: str)
                 best, most = to, gain
         return None if best == own and left > 1e-9 * ki and most < 0 else best
 
-    would, moves = any(best_of(i) != c[i] for i in range(len(names))), 0
+    would, moves = [best_of(i) != c[i] for i in range(len(names))], 0
     waiting, queued = deque(i for i, t in enumerate(turn) if t), list(turn)
-    while would and waiting:
+    while any(would) and waiting:
         i = waiting.popleft()
         queued[i] = False
         best = best_of(i) or f"{names[i]}+{stamp}.{moves}"
@@ -237,7 +237,7 @@ def ladder(edges: DataFrame, gammas: Sequence[float], passes: int = 2, rounds: i
     Each of ``passes`` over all levels starts from the communities that the last one found.
 
     Nodes are dealt by hash to blocks of about ``block`` edges. A block moves its nodes one at a time against the last known communities of the others; from two
-    blocks on a half to a sixteenth of the nodes have their turn in a round, since nodes that move at once can swap for ever. Parts are made within blocks of whole
+    blocks on a half to a sixteenth of the nodes have their turn in a round, since nodes that move at once can swap for ever, and the last ones meet in one block. Parts are made within blocks of whole
     communities; one with more edges than a block is dealt over several, anew in each level. ``rounds`` without rest are an error.
     """
     level = settle(edges.select("u", "v", F.col("w").cast("double").alias("w")))
@@ -266,7 +266,7 @@ def _levels(nodes: DataFrame, links: DataFrame, g: list[float], rounds: int, see
     maps: list[DataFrame] = []
     for depth in range(rounds):
         blocks = max(1, links.count() // len(g) // block)
-        nodes = _moved(nodes, links, g, blocks, rounds, seed + depth)
+        nodes = _moved(nodes, links, g, blocks, rounds, seed + depth, block)
         parts = settle(_parts(nodes, links, g, blocks, block, seed + depth))
         n = parts.groupBy("res").agg(F.count("*").alias("nodes"), F.count_distinct("c").alias("communities")).collect()
         maps.append(parts.select("res", "node", "part"))
@@ -288,8 +288,15 @@ def _renamed(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(c) for c in df.columns])
 
 
-def _moved(nodes: DataFrame, links: DataFrame, g: list[float], blocks: int, rounds: int, seed: int) -> DataFrame:
-    """``nodes`` (res, node, k, c) with the communities that moves of nodes come to rest in."""
+def _moved(nodes: DataFrame, links: DataFrame, g: list[float], blocks: int, rounds: int, seed: int, block: int) -> DataFrame:
+    """``nodes`` (res, node, k, c) with the communities that moves of nodes come to rest in.
+
+    Blocks that move side by side bring most nodes to rest but would take very many rounds for the last ones. Once the nodes that would move have few enough edges for one
+    block, these (and where it holds them, their neighbours) move there one at a time, so modularity only rises, until no node of all would move.
+    """
+    of = lambda x: F.pmod(F.xxhash64(x, F.lit(seed)), F.lit(blocks)).cast("int")
+    degree = settle(links.groupBy("res", F.col("u").alias("node")).agg(F.count("*").alias("n"))) if blocks > 1 else None
+    few, look = None, False
     for r in range(rounds):
         stamp = f"{seed}.{r}"
 
@@ -299,17 +306,33 @@ def _moved(nodes: DataFrame, links: DataFrame, g: list[float], blocks: int, roun
             return pd.DataFrame({"res": own["res"], "node": own["node"], "k": own["k"], "c": c, "would": would})
 
         now = nodes.join(nodes.groupBy("res", "c").agg(F.sum("k").alias("total")), ["res", "c"])
-        of = lambda x: F.pmod(F.xxhash64(x, F.lit(seed)), F.lit(blocks)).cast("int").alias("block")
         met = links.join(now.select("res", F.col("node").alias("v"), F.col("c").alias("cv"), "total"), ["res", "v"])
         share = 1 if blocks == 1 else 2 << r % 4
-        own = now.select("res", of("node"), "node", "k", "c", "total", (F.pmod(F.xxhash64("node", F.lit(seed + 1 + r)), F.lit(share)) == 0).alias("turn"))
-        near = _renamed(met.select("res", of("u"), "u", "v", "w", "cv", "total"))
-        step = own.groupBy("res", "block").cogroup(near.groupBy("res", "block")).applyInPandas(run, "res int, node string, k double, c string, would boolean")
-        step = settle(step)
+        turn = F.lit(not look) if look or few is not None else F.pmod(F.xxhash64("node", F.lit(seed + 1 + r)), F.lit(share)) == 0
+        if few is not None:
+            now, met, at = now.join(few, ["res", "node"]), met.join(few.withColumnRenamed("node", "u"), ["res", "u"]), lambda x: F.lit(0)
+        else:
+            at = of
+        own = now.select("res", at("node").alias("block"), "node", "k", "c", "total", turn.alias("turn"))
+        near = _renamed(met.select("res", at("u").alias("block"), "u", "v", "w", "cv", "total"))
+        step = settle(own.groupBy("res", "block").cogroup(near.groupBy("res", "block")).applyInPandas(run, "res int, node string, k double, c string, would boolean"))
+        if few is not None:
+            new = step.select("res", "node", F.col("c").alias("new"))
+            nodes, few, look = settle(nodes.join(new, ["res", "node"], "left").select("res", "node", "k", F.coalesce("new", "c").alias("c"))), None, True
+            continue
         nodes = step.drop("would")
         # a single block has come to rest by itself
-        if blocks == 1 or step.where("would").isEmpty():
+        if blocks == 1:
+            return nodes
+        would = step.where("would").select("res", "node")
+        of_res = would.join(degree, ["res", "node"]).groupBy("res").agg(F.sum("n").alias("n"), F.count("*").alias("nodes"))
+        most = of_res.agg(F.max("n").alias("n"), F.max(F.col("n") * F.col("n") / F.col("nodes")).alias("around")).first()
+        if not most["n"]:
             return nodes
+        looked, look = look, most["n"] <= block
+        if looked and look:
+            about = links.join(would.withColumnRenamed("node", "u"), ["res", "u"]).select("res", F.col("v").alias("node"))
+            few, look = settle((would.unionByName(about) if most["around"] <= block else would).distinct()), False
     raise RuntimeError(f"nodes still move after {rounds} rounds")
 
 
