@@ -350,10 +350,10 @@ def neighbour_features(values: DataFrame, edges: DataFrame, lam: float = 0.8) ->
     return out.select("sample", "cell_id", "gene", part(F.col("value"), 1 - lam).alias("own"), part(F.col("mean"), lam * 2 / 3).alias("neighbour_mean"), part(F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")), lam / 3).alias("gradient"))
 
 
-def voronoi_neighbours(box: tuple[float, float, float, float], dx: list[float], dy: list[float]) -> tuple[list[int], float]:
-    """Which of the points at (dx, dy) share an edge of the Voronoi cell of (0, 0) within a box, and the cell's radius.
+def voronoi_cell(box: tuple[float, float, float, float], dx: list[float], dy: list[float]) -> list[tuple[float, float, int]]:
+    """Corners (x, y, m) of the Voronoi cell of (0, 0) within a box, among the points at (dx, dy); the side that begins at a corner was made by point m (-1: the box).
 
-    The cell is the box cut by the bisector of each point in turn; each side remembers the point that made it (-1: the box).
+    The cell is the box cut by the bisector of each point in turn.
     """
     lx, ly, hx, hy = box
     cell = [(lx, ly, -1), (hx, ly, -1), (hx, hy, -1), (lx, hy, -1)]
@@ -376,50 +376,92 @@ def voronoi_neighbours(box: tuple[float, float, float, float], dx: list[float],
                 cut.append((x + f * (u - x), y + f * (v - y), n if s <= 0 else m))
         cell = cut
         if not cell:
-            return [], 0.0
-    return sorted({m for _, _, m in cell if m >= 0}), max((x * x + y * y) ** 0.5 for x, y, _ in cell)
+            break
+    return cell
 
 
-def delaunay(points: DataFrame, k: int = 16, margin: float = 1.0) -> DataFrame:
-    """Delaunay edges (sample, u, v) within each sample's bounding box, widened by ``margin`` mean spacings.
+def voronoi_neighbours(box: tuple[float, float, float, float], dx: list[float], dy: list[float]) -> tuple[list[int], float]:
+    """Which of the points at (dx, dy) share an edge of the Voronoi cell of (0, 0) within a box, and the cell's radius."""
+    cell = voronoi_cell(box, dx, dy)
+    return sorted({m for _, _, m in cell if m >= 0}), max(((x * x + y * y) ** 0.5 for x, y, _ in cell), default=0.0)
 
-    Two points are joined if their Voronoi cells share a side within the box. A cell that its k nearest neighbours settle (none farther
-    could cut it) is done; the others are cut again with twice as many. Long edges along the hull whose side lies outside the box are left out.
+
+_NEAR = "array<struct<d:double,dst:string,dx:double,dy:double>>"
+_CELL = f"sample string, src string, x double, y double, lx double, ly double, hx double, hy double, seen double, sides {_NEAR}, discs array<struct<wx:double,wy:double,r:double>>"
+
+
+def _cut(batches):
+    """Rows of a cell with ``near``, points that may cut it: the row with the points that do as ``sides``, and its ``discs``.
+
+    A point cuts a cell only within the circle around one of its corners through its middle. Points nearer than ``seen`` are all known, so circles that lie within that are left out.
     """
     import pyarrow as pa
 
-    points = points.select("sample", "cell_id", "x", "y")
+    for b in batches:
+        c = {name: b.column(i).to_pylist() for i, name in enumerate(b.schema.names)}
+        out: dict[str, list] = {"sides": [], "discs": []}
+        for x, y, lx, ly, hx, hy, seen, near in zip(*(c[n] for n in ("x", "y", "lx", "ly", "hx", "hy", "seen", "near")), strict=True):
+            near = sorted(near, key=lambda p: (p["d"], p["dst"]))
+            cell = voronoi_cell((lx - x, ly - y, hx - x, hy - y), [p["dx"] for p in near], [p["dy"] for p in near])
+            out["sides"].append([near[m] for m in sorted({m for _, _, m in cell if m >= 0})])
+            reach = [(u, v, (u * u + v * v) ** 0.5) for u, v, _ in cell]
+            out["discs"].append([{"wx": x + u, "wy": y + v, "r": r * (1 + 1e-9)} for u, v, r in reach if seen is not None and 2 * r > seen])
+        kept = [b.column(b.schema.names.index(n)) for n in ("sample", "src", "x", "y", "lx", "ly", "hx", "hy", "seen")]
+        near_type = pa.list_(pa.struct([("d", pa.float64()), ("dst", pa.string()), ("dx", pa.float64()), ("dy", pa.float64())]))
+        disc_type = pa.list_(pa.struct([("wx", pa.float64()), ("wy", pa.float64()), ("r", pa.float64())]))
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(out["sides"], near_type), pa.array(out["discs"], disc_type)], names=["sample", "src", "x", "y", "lx", "ly", "hx", "hy", "seen", "sides", "discs"])
+
+
+def _cut_by(cells: DataFrame, places: DataFrame, most: int = 32) -> DataFrame:
+    """``cells`` (see ``_CELL``) cut by the points of ``places`` (sample, cell_id, x, y) too.
+
+    A cell meets the leaves of a quadtree that its discs touch. What cuts it among its own points and a leaf's stays a candidate, since a neighbour among all is one among fewer.
+    """
+    leaf = ["sample", "depth", "cx", "cy"]
+    tree = settle(quadtree(places.select("sample", "x", "y", F.col("cell_id").alias("dst")), most))
+    held = F.collect_list(F.struct("dst", "x", "y")).alias("points")
+    leaves = settle(tree.groupBy(*leaf, "x0", "y0", "side").agg(F.count("*").alias("held"), F.min("x").alias("lx"), F.min("y").alias("ly"), F.max("x").alias("hx"), F.max("y").alias("hy"), held))
+    root = F.broadcast(leaves.select("sample", "x0", "y0", "side").distinct())  # a row per sample
+    discs = cells.select("sample", "src", F.explode("discs").alias("o")).select("sample", "src", "o.*").join(root, "sample")
+    discs = discs.select("*", *[(F.col(f"w{c[0]}") + sign * F.col("r")).alias(c) for c, sign in (("x1", -1), ("y1", -1), ("x2", 1), ("y2", 1))])
+    gap = lambda c: F.greatest(F.col(f"l{c}") - F.col(f"w{c}"), F.col(f"w{c}") - F.col(f"h{c}"), F.lit(0.0))
+    met = _reached(discs, leaves).where(F.pow(gap("x"), 2) + F.pow(gap("y"), 2) <= F.pow("r", 2)).select("sample", "src", F.col("bdepth").alias("depth"), F.col("bx").alias("cx"), F.col("by").alias("cy")).distinct()
+    known = cells.select("sample", "src", "x", "y", "lx", "ly", "hx", "hy", "seen", "sides")
+    dx, dy = (lambda p: p["x"] - F.col("x")), (lambda p: p["y"] - F.col("y"))
+    near = F.transform("points", lambda p: F.struct(F.sqrt(F.pow(dx(p), 2) + F.pow(dy(p), 2)).alias("d"), p["dst"].alias("dst"), dx(p).alias("dx"), dy(p).alias("dy")))
+    other = F.filter(F.concat("sides", F.filter(near, lambda p: F.exists("discs", lambda o: F.pow(F.col("x") + p["dx"] - o["wx"], 2) + F.pow(F.col("y") + p["dy"] - o["wy"], 2) <= F.pow(o["r"], 2)))), lambda p: p["d"] > 0)
+    each = met.join(known.join(cells.select("sample", "src", "discs"), ["sample", "src"]), ["sample", "src"]).join(leaves.select(*leaf, "points"), leaf)
+    each = each.select("sample", "src", "x", "y", "lx", "ly", "hx", "hy", "seen", other.alias("near")).mapInArrow(_cut, _CELL)
+    more = each.groupBy("sample", "src").agg(F.array_distinct(F.flatten(F.collect_list("sides"))).alias("more"))
+    return known.join(more, ["sample", "src"], "left").select(*known.columns[:-1], F.coalesce("more", "sides").alias("near")).mapInArrow(_cut, _CELL)
+
+
+def delaunay(points: DataFrame, k: int = 16, margin: float = 1.0, share: int = 64) -> DataFrame:
+    """Delaunay edges (sample, u, v) within each sample's bounding box, widened by ``margin`` mean spacings.
+
+    Two points are joined if their Voronoi cells share a side within the box. A cell that its k nearest neighbours settle (none farther
+    could cut it) is done. The others, as those along the hull, look for what cuts them in the circles around their corners: first among one point in ``share``, or in its
+    powers, so that few of all points are left in the circles. Points at one place are one, by the least name, to others; each of them has that one's edges. Points without
+    coordinates have none. Long edges along the hull whose side lies outside the box are left out.
+    """
     n = F.count("*")
     step = margin * F.sqrt((F.max("x") - F.min("x")) * (F.max("y") - F.min("y")) / n)
-    box = points.groupBy("sample").agg((F.min("x") - step).alias("lx"), (F.min("y") - step).alias("ly"), (F.max("x") + step).alias("hx"), (F.max("y") + step).alias("hy"), n.alias("n"))
-
-    def run(batches):
-        for b in batches:
-            c = {name: b.column(i).to_pylist() for i, name in enumerate(b.schema.names)}
-            src, dst, done = [], [], []
-            for i in range(b.num_rows):
-                near = c["near"][i]
-                here = (c["lx"][i] - c["x"][i], c["ly"][i] - c["y"][i], c["hx"][i] - c["x"][i], c["hy"][i] - c["y"][i])
-                hit, radius = voronoi_neighbours(here, [p["dx"] for p in near], [p["dy"] for p in near])
-                src.append(i)
-                dst.append([near[m]["dst"] for m in hit])
-                done.append(len(near) >= c["n"][i] - 1 or 2 * radius <= near[-1]["d"])
-            at = pa.array(src, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(dst, pa.list_(pa.string())), pa.array(done, pa.bool_())], names=["sample", "src", "dst", "done"])
-
-    most = box.agg(F.max("n")).first()[0] or 0
-    left, out = points, None
-    while True:
-        near = knn(points, min(k, max(most - 1, 1)))
-        near = near.groupBy("sample", F.col("src").alias("cell_id")).agg(F.array_sort(F.collect_list(F.struct("d", "dst", "dx", "dy"))).alias("near"))
-        cells = left.join(near, ["sample", "cell_id"]).join(F.broadcast(box), "sample").select("sample", "cell_id", "x", "y", "lx", "ly", "hx", "hy", "n", "near")
-        cut = settle(cells.mapInArrow(run, "sample string, src string, dst array<string>, done boolean"))
-        found = cut.where("done").select("sample", "src", F.explode("dst").alias("dst"))
-        out = found if out is None else out.unionByName(found)
-        left = left.join(cut.where("not done").select("sample", F.col("src").alias("cell_id")), ["sample", "cell_id"], "left_semi")
-        if k >= most - 1 or left.isEmpty():
-            return undirected(out)
-        left, k = settle(left), 2 * k
+    box = points.groupBy("sample").agg((F.min("x") - step).alias("lx"), (F.min("y") - step).alias("ly"), (F.max("x") + step).alias("hx"), (F.max("y") + step).alias("hy"))
+    points = points.select("sample", "cell_id", "x", "y").where("x IS NOT NULL AND y IS NOT NULL")
+    places = settle(points.groupBy("sample", "x", "y").agg(F.min("cell_id").alias("cell_id")))
+    sizes = places.groupBy("sample").agg(F.count("*").alias("places"))
+    near = knn(places, k).groupBy("sample", F.col("src").alias("cell_id")).agg(F.collect_list(F.struct("d", "dst", "dx", "dy")).alias("near"))
+    # where all are known, none is left to look for
+    seen = F.when(F.size("near") < F.col("places") - 1, F.array_max(F.transform("near", lambda p: p["d"]))).alias("seen")
+    cells = places.join(near, ["sample", "cell_id"]).join(F.broadcast(box), "sample").join(F.broadcast(sizes), "sample")
+    cells = settle(cells.select("sample", F.col("cell_id").alias("src"), "x", "y", "lx", "ly", "hx", "hy", seen, "near").mapInArrow(_cut, _CELL))
+    left, all_of, depth = settle(cells.where("size(discs) > 0")), places.count(), 0
+    while all_of // share ** (depth + 1) >= share:
+        depth += 1
+    for some in range(depth, -1, -1):
+        left = settle(_cut_by(left, places.where(F.pmod(F.xxhash64("cell_id"), F.lit(share**some)) == 0)))
+    sides = cells.where("size(discs) = 0").unionByName(left).select("sample", "x", "y", F.explode("sides.dst").alias("dst"))
+    return undirected(points.join(sides, ["sample", "x", "y"]).select("sample", F.col("cell_id").alias("src"), "dst"))
 
 
 def keypoint_residuals(keypoints: DataFrame, m: list[list[float]], pixel_size: float) -> DataFrame:

@@ -500,6 +500,27 @@ def test_delaunay(spark):
     assert len(got) <= 3 * len(p) - 6
 
 
+def test_delaunay_searches_all_points_once(spark, monkeypatch):
+    """Cells along the hull look in the circles around their corners; all points are not searched anew for them. Copies at a place and points without coordinates do no harm."""
+    rng = np.random.default_rng(18)
+    p = np.vstack([rng.normal(0, 1, (120, 2)), rng.normal(9, 0.5, (40, 2)), [[30.0, -5.0]]])
+    names = [f"p{i:03d}" for i in range(len(p))]
+    rows = [("s", n, float(a), float(b)) for n, (a, b) in zip(names, p, strict=True)]
+    rows += [("s", f"q{i:02d}", float(p[7][0]), float(p[7][1])) for i in range(30)] + [("s", "none", None, None), ("t", "alone", 1.0, 1.0)]
+    searched, knn = [], spatial.knn
+    monkeypatch.setattr(spatial, "knn", lambda *a, **b: searched.append(a) or knn(*a, **b))
+    got = {(r["u"], r["v"]) for r in spatial.delaunay(spark.createDataFrame(rows, "sample string, cell_id string, x double, y double"), k=6, share=5).collect()}
+    assert len(searched) == 1
+    step = np.sqrt(np.prod(p.max(0) - p.min(0)) / (len(rows) - 1))
+    want = set()
+    for i in range(len(p)):
+        rest = sorted((j for j in range(len(p)) if j != i), key=lambda j: ((p[j] - p[i]) ** 2).sum())  # noqa: B023
+        lo, hi = p.min(0) - step - p[i], p.max(0) + step - p[i]
+        hit, _ = spatial.voronoi_neighbours((lo[0], lo[1], hi[0], hi[1]), (p[rest] - p[i])[:, 0].tolist(), (p[rest] - p[i])[:, 1].tolist())
+        want |= {tuple(sorted((n, names[rest[m]]))) for m in hit for n in ([names[i]] if i != 7 else ["p007", *[f"q{c:02d}" for c in range(30)]])}
+    assert got == want
+
+
 def test_chi_squared_tail():
     # from tables of the distribution
     for x, df, p in ((3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (9.487729, 4, 0.05), (11.070498, 5, 0.05), (16.811894, 6, 0.01)):
