@@ -152,52 +152,76 @@ def modularity(edges: DataFrame, labels: DataFrame, gamma: float = 1.0) -> DataF
     return t.agg(F.sum(F.col("l") / F.col("m") - gamma * F.pow(F.col("k") / (2 * F.col("m")), 2)).alias("q"))
 
 
-def _local_moves(g: float, nodes: pd.DataFrame, links: pd.DataFrame, stamp: str) -> tuple[list[str], list[bool]]:
+def _local_moves(g: float, nodes: pd.DataFrame, links: pd.DataFrame, fresh: int) -> tuple[np.ndarray, np.ndarray]:
     """Communities of a block's nodes after moves one at a time, each to where modularity gains most, until none gains; and which would move at first.
 
-    ``g`` is the resolution over twice the weight of all edges. Only nodes with ``turn`` move; those of other blocks stay as they are. ``stamp`` makes new names.
+    ``g`` is the resolution over twice the weight of all edges. Only nodes with ``turn`` move; those of other blocks stay as they are. New communities are numbered down from
+    ``fresh``. All nodes are looked at once, in numpy; from then on only those that would move, and the neighbours of those that did.
     """
-    names, k, c, turn = (nodes[x].tolist() for x in ("node", "k", "c", "turn"))
-    place = {n: i for i, n in enumerate(names)}
-    total = dict(zip(nodes["c"], nodes["total"], strict=True)) | dict(zip(links["cv"], links["total"], strict=True))
-    near: list[list] = [[] for _ in names]
-    for u, v, w, cv in zip(links["u"], links["v"], links["w"], links["cv"], strict=True):
-        near[place[u]].append((place.get(v, -1), w, cv))
-
-    def best_of(i: int) -> str | None:
-        """The community that node ``i`` would rather be in; None: one of its own, under a name that no community has."""
-        weight: dict[str, float] = {}
-        for j, w, cv in near[i]:
-            to = c[j] if j >= 0 else cv
-            weight[to] = weight.get(to, 0.0) + w
-        own, ki = c[i], k[i]
-        left = total[own] - ki
-        best, most = own, weight.get(own, 0.0) - g * ki * left + 1e-9 * ki
-        for to, w in sorted(weight.items()):
-            gain = w - g * ki * total[to]
-            if to != own and gain > most:
-                best, most = to, gain
-        return None if best == own and left > 1e-9 * ki and most < 0 else best
-
-    would, moves = [best_of(i) != c[i] for i in range(len(names))], 0
-    waiting, queued = deque(i for i, t in enumerate(turn) if t), list(turn)
-    while any(would) and waiting:
+    names, strength = nodes["node"].to_numpy(), nodes["k"].to_numpy()
+    u, v = np.searchsorted(names, links["u"].to_numpy()), np.minimum(np.searchsorted(names, links["v"].to_numpy()), len(names) - 1)
+    inside = names[v] == links["v"].to_numpy() if len(links) else np.zeros(0, bool)
+    ids, codes = np.unique(np.concatenate([nodes["c"].to_numpy(), links["cv"].to_numpy()]), return_inverse=True)
+    own, to = codes[: len(names)], codes[len(names) :]
+    whole = np.zeros(len(ids))
+    whole[codes] = np.concatenate([nodes["total"].to_numpy(), links["total"].to_numpy()])
+    weights = links["w"].to_numpy()
+    pairs, of = np.unique(u * len(ids) + to, return_inverse=True)
+    met, pu, pc = np.bincount(of, weights, len(pairs)), pairs // len(ids), pairs % len(ids)
+    mine = own[pu] == pc
+    at_home, best = np.zeros(len(names)), np.full(len(names), -np.inf)
+    at_home[pu[mine]] = met[mine]
+    np.maximum.at(best, pu[~mine], (met - g * strength[pu] * whole[pc])[~mine])
+    others = whole[own] - strength
+    stay = at_home - g * strength * others + 1e-9 * strength
+    would = (best > stay) | ((others > 1e-9 * strength) & (stay < 0))
+
+    ends = np.searchsorted(u, np.arange(len(names) + 1)).tolist()
+    near, w, far, k = np.where(inside, v, -1).tolist(), weights.tolist(), to.tolist(), strength.tolist()
+    c, total, turn, known = own.tolist(), whole.tolist(), nodes["turn"].tolist(), ids.tolist()
+
+    def best_of(i: int) -> int:
+        """The community that node ``i`` would rather be in; -1: one of its own, as no community has."""
+        weight: dict[int, float] = {}
+        for e in range(ends[i], ends[i + 1]):
+            j = near[e]
+            at = c[j] if j >= 0 else far[e]
+            weight[at] = weight.get(at, 0.0) + w[e]
+        ki = k[i]
+        left = total[c[i]] - ki
+        best, most = c[i], weight.get(c[i], 0.0) - g * ki * left + 1e-9 * ki
+        for at, x in sorted(weight.items()):
+            gain = x - g * ki * total[at]
+            if at != c[i] and gain > most:
+                best, most = at, gain
+        return -1 if best == c[i] and left > 1e-9 * ki and most < 0 else best
+
+    # sums in another order may differ in their last bits
+    for i in np.flatnonzero(would).tolist():
+        would[i] = best_of(i) != c[i]
+    queued = (would & nodes["turn"].to_numpy()).tolist()
+    waiting = deque(i for i, x in enumerate(queued) if x)
+    while waiting:
         i = waiting.popleft()
         queued[i] = False
-        best = best_of(i) or f"{names[i]}+{stamp}.{moves}"
+        best = best_of(i)
+        if best < 0:
+            best = len(total)
+            total.append(0.0)
+            known.append(fresh - best)
         if best != c[i]:
-            moves += 1
             total[c[i]] -= k[i]
-            total[best] = total.get(best, 0.0) + k[i]
+            total[best] += k[i]
             c[i] = best
-            for j, _, _ in near[i]:
+            for e in range(ends[i], ends[i + 1]):
+                j = near[e]
                 if j >= 0 and turn[j] and not queued[j] and c[j] != best:
                     queued[j] = True
                     waiting.append(j)
-    return c, would
+    return np.array(known)[c], would
 
 
-def _refined(g: float, nodes: pd.DataFrame, links: pd.DataFrame) -> list[str]:
+def _refined(g: float, nodes: pd.DataFrame, links: pd.DataFrame) -> list[int]:
     """For nodes of some communities, the part of its community that each is in, named by one of its nodes.
 
     Parts start as single nodes. A node that is still alone and well connected to the rest of its community joins the part where modularity
@@ -236,14 +260,17 @@ def ladder(edges: DataFrame, gammas: Sequence[float], passes: int = 2, rounds: i
 
     Each of ``passes`` over all levels starts from the communities that the last one found.
 
-    Nodes are dealt by hash to blocks of about ``block`` edges. A block moves its nodes one at a time against the last known communities of the others; from two
-    blocks on a half to a sixteenth of the nodes have their turn in a round, since nodes that move at once can swap for ever, and the last ones meet in one block. Parts are made within blocks of whole
-    communities; one with more edges than a block is dealt over several, anew in each level. ``rounds`` without rest are an error.
+    Nodes are dealt by the community they start a level in to blocks of about ``block`` edges. A block moves its nodes one at a time against the last known communities of the others;
+    from two blocks on a half to a sixteenth of the nodes have their turn in a round, since nodes that move at once can swap for ever, and the last ones meet in one block. Parts are made
+    within blocks of whole communities; one with more edges than a block is dealt over several, anew in each level. A pass that another follows leaves a level of several blocks
+    after ``BRIEF`` rounds, at rest or not: the last pass starts from its communities, which are near rest then, and brings every level to rest. ``rounds`` without rest are an error.
     """
-    level = settle(edges.select("u", "v", F.col("w").cast("double").alias("w")))
-    m2 = 2 * (level.agg(F.sum("w")).first()[0] or 0.0)
+    named = settle(edges.select("u", "v", F.col("w").cast("double").alias("w")))
+    m2 = 2 * (named.agg(F.sum("w")).first()[0] or 0.0)
     if not m2:
-        return level.select(F.lit(0).alias("res"), F.col("u").alias("node"), F.lit("0").alias("cluster")).where("false")
+        return named.select(F.lit(0).alias("res"), F.col("u").alias("node"), F.lit("0").alias("cluster")).where("false")
+    ids = _numbered(named)
+    level = settle(named.join(ids.select(F.col("node").alias("u"), F.col("id").alias("iu")), "u").join(ids.select(F.col("node").alias("v"), F.col("id").alias("iv")), "v").select(F.col("iu").alias("u"), F.col("iv").alias("v"), "w"))
     each = F.explode(F.array(*[F.lit(i) for i in range(len(gammas))])).alias("res")
     sym = _both_ways(level)
     # a loop counts twice in a node's strength
@@ -252,21 +279,37 @@ def ladder(edges: DataFrame, gammas: Sequence[float], passes: int = 2, rounds: i
     nodes = settle(strength.select(each, "node", "k", F.col("node").alias("c")))
     g = [x / m2 for x in gammas]
     for turn in range(passes):
-        of = settle(_levels(nodes, links, g, rounds, seed + turn * rounds, block))
+        of = settle(_levels(nodes, links, g, rounds, seed + turn * rounds, block, turn + 1 < passes))
         if turn + 1 < passes:
             nodes = settle(nodes.drop("c").join(of, ["res", "node"]))
+    of = of.join(ids.withColumnRenamed("node", "name"), F.col("node") == F.col("id")).select("res", F.col("name").alias("node"), "c")
     # a row per cluster
     number = of.groupBy("res", "c").agg(F.count("*").alias("n"), F.min("node").alias("least"))
     number = number.withColumn("cluster", (F.row_number().over(Window.partitionBy("res").orderBy(F.desc("n"), "least")) - 1).cast("string"))
     return of.join(number.select("res", "c", "cluster"), ["res", "c"]).select("res", "node", "cluster")
 
 
-def _levels(nodes: DataFrame, links: DataFrame, g: list[float], rounds: int, seed: int, block: int) -> DataFrame:
+def _numbered(edges: DataFrame) -> DataFrame:
+    """(node, id): numbers from 0 for the ends of edges, by a hash without collisions among them."""
+    ends = settle(edges.select(F.col("u").alias("node")).unionByName(edges.select(F.col("v").alias("node"))).distinct())
+    n = ends.count()
+    for s in range(100):
+        ids = settle(ends.select("node", F.shiftrightunsigned(F.xxhash64("node", F.lit(s)), 2).alias("id")))
+        if ids.select("id").distinct().count() == n:
+            return ids
+    raise RuntimeError("no hash tells the nodes apart")
+
+
+#: Rounds of a level of several blocks in a pass that another follows.
+BRIEF = 4
+
+
+def _levels(nodes: DataFrame, links: DataFrame, g: list[float], rounds: int, seed: int, block: int, brief: bool = False) -> DataFrame:
     """(res, node, c): one pass of Leiden over (res, node, k, c), from level to level."""
     maps: list[DataFrame] = []
     for depth in range(rounds):
         blocks = max(1, links.count() // len(g) // block)
-        nodes = _moved(nodes, links, g, blocks, rounds, seed + depth, block)
+        nodes = _moved(nodes, links, g, blocks, rounds, seed + depth, block, brief)
         parts = settle(_parts(nodes, links, g, blocks, block, seed + depth))
         n = parts.groupBy("res").agg(F.count("*").alias("nodes"), F.count_distinct("c").alias("communities")).collect()
         maps.append(parts.select("res", "node", "part"))
@@ -288,47 +331,54 @@ def _renamed(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(c) for c in df.columns])
 
 
-def _moved(nodes: DataFrame, links: DataFrame, g: list[float], blocks: int, rounds: int, seed: int, block: int) -> DataFrame:
+def _moved(nodes: DataFrame, links: DataFrame, g: list[float], blocks: int, rounds: int, seed: int, block: int, brief: bool = False) -> DataFrame:
     """``nodes`` (res, node, k, c) with the communities that moves of nodes come to rest in.
 
     Blocks that move side by side bring most nodes to rest but would take very many rounds for the last ones. Once the nodes that would move have few enough edges for one
     block, these (and where it holds them, their neighbours) move there one at a time, so modularity only rises, until no node of all would move.
     """
-    of = lambda x: F.pmod(F.xxhash64(x, F.lit(seed)), F.lit(blocks)).cast("int")
-    degree = settle(links.groupBy("res", F.col("u").alias("node")).agg(F.count("*").alias("n"))) if blocks > 1 else None
+    nodes, degree = nodes.withColumn("home", F.lit(0)), None
+    if blocks > 1:
+        # a node's block is that of its community
+        degree = settle(links.groupBy("res", F.col("u").alias("node")).agg(F.count("*").alias("n")))
+        size = nodes.join(degree, ["res", "node"], "left").groupBy("res", "c").agg(F.expr(f"coalesce(sum(n), 0) div {block} + 1").alias("pieces"))
+        home = F.pmod(F.xxhash64("c", F.pmod(F.xxhash64("node", F.lit(seed)), "pieces")), F.lit(blocks)).cast("int")
+        nodes = settle(nodes.drop("home").join(size, ["res", "c"]).select("res", "node", "k", "c", home.alias("home")))
+        links = settle(links.join(nodes.select("res", F.col("node").alias("u"), "home"), ["res", "u"]))
+    else:
+        links = links.withColumn("home", F.lit(0))
     few, look = None, False
     for r in range(rounds):
-        stamp = f"{seed}.{r}"
+        first = -1 - ((seed * rounds + r) << 44)
 
         def run(key: tuple, own: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
             own = own.sort_values("node", ignore_index=True)
-            c, would = _local_moves(g[int(key[0])], own, near.sort_values(["u", "v"]), f"{stamp}.{key[1]}")  # noqa: B023
-            return pd.DataFrame({"res": own["res"], "node": own["node"], "k": own["k"], "c": c, "would": would})
+            c, would = _local_moves(g[int(key[0])], own, near.sort_values(["u", "v"]), first - (int(key[1]) << 28))  # noqa: B023
+            return pd.DataFrame({"res": own["res"], "node": own["node"], "k": own["k"], "c": c, "home": own["home"], "would": would})
 
         now = nodes.join(nodes.groupBy("res", "c").agg(F.sum("k").alias("total")), ["res", "c"])
         met = links.join(now.select("res", F.col("node").alias("v"), F.col("c").alias("cv"), "total"), ["res", "v"])
-        share = 1 if blocks == 1 else 2 << r % 4
+        share = 1 if blocks == 1 else 2 if brief else 2 << r % 4
         turn = F.lit(not look) if look or few is not None else F.pmod(F.xxhash64("node", F.lit(seed + 1 + r)), F.lit(share)) == 0
+        at = F.col("home")
         if few is not None:
-            now, met, at = now.join(few, ["res", "node"]), met.join(few.withColumnRenamed("node", "u"), ["res", "u"]), lambda x: F.lit(0)
-        else:
-            at = of
-        own = now.select("res", at("node").alias("block"), "node", "k", "c", "total", turn.alias("turn"))
-        near = _renamed(met.select("res", at("u").alias("block"), "u", "v", "w", "cv", "total"))
-        step = settle(own.groupBy("res", "block").cogroup(near.groupBy("res", "block")).applyInPandas(run, "res int, node string, k double, c string, would boolean"))
+            now, met, at = now.join(few, ["res", "node"]), met.join(few.withColumnRenamed("node", "u"), ["res", "u"]), F.lit(0)
+        own = now.select("res", at.alias("block"), "node", "k", "c", "home", "total", turn.alias("turn"))
+        near = _renamed(met.select("res", at.alias("block"), "u", "v", "w", "cv", "total"))
+        step = settle(own.groupBy("res", "block").cogroup(near.groupBy("res", "block")).applyInPandas(run, "res int, node long, k double, c long, home int, would boolean"))
         if few is not None:
             new = step.select("res", "node", F.col("c").alias("new"))
-            nodes, few, look = settle(nodes.join(new, ["res", "node"], "left").select("res", "node", "k", F.coalesce("new", "c").alias("c"))), None, True
+            nodes, few, look = settle(nodes.join(new, ["res", "node"], "left").select("res", "node", "k", F.coalesce("new", "c").alias("c"), "home")), None, True
             continue
         nodes = step.drop("would")
         # a single block has come to rest by itself
-        if blocks == 1:
-            return nodes
+        if blocks == 1 or brief and r + 1 == BRIEF:
+            return nodes.drop("home")
         would = step.where("would").select("res", "node")
         of_res = would.join(degree, ["res", "node"]).groupBy("res").agg(F.sum("n").alias("n"), F.count("*").alias("nodes"))
         most = of_res.agg(F.max("n").alias("n"), F.max(F.col("n") * F.col("n") / F.col("nodes")).alias("around")).first()
         if not most["n"]:
-            return nodes
+            return nodes.drop("home")
         looked, look = look, most["n"] <= block
         if looked and look:
             about = links.join(would.withColumnRenamed("node", "u"), ["res", "u"]).select("res", F.col("v").alias("node"))
@@ -353,7 +403,7 @@ def _parts(nodes: DataFrame, links: DataFrame, g: list[float], blocks: int, bloc
         return pd.DataFrame({"res": own["res"], "node": own["node"], "k": own["k"], "c": own["c"], "part": _refined(g[int(key[0])], own, near)})
 
     left = now.select("res", "block", "node", "k", "c", "tied", "total").groupBy("res", "block")
-    return left.cogroup(_renamed(met.select("res", "block", "u", "v", "w")).groupBy("res", "block")).applyInPandas(run, "res int, node string, k double, c string, part string")
+    return left.cogroup(_renamed(met.select("res", "block", "u", "v", "w")).groupBy("res", "block")).applyInPandas(run, "res int, node long, k double, c long, part long")
 
 
 def communities(edges: DataFrame, gamma: float = 1.0, rounds: int = 200, seed: int = 0) -> DataFrame:

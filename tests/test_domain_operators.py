@@ -260,6 +260,18 @@ def test_leiden_ladder(spark, block):
     assert sizes == sorted(sizes)
 
 
+def test_leiden_rounds_of_several_blocks(spark, monkeypatch):
+    """A pass that another follows does not bring levels of several blocks to rest; the last one starts blocks from its communities and does. Few rounds in all."""
+    rng = np.random.default_rng(28)
+    near = {(i, int(j)) for i in range(300) for j in (i + rng.integers(1, 40, 6)) % 300 if i != j}
+    e = spark.createDataFrame([(f"{min(p):03d}", f"{max(p):03d}", 1.0) for p in {tuple(sorted(p)) for p in near}], "u string, v string, w double")
+    steps, settled = [], graph.settle
+    monkeypatch.setattr(graph, "settle", lambda df: steps.append("would" in df.columns) or settled(df))
+    found = graph.ladder(e, [1.0], block=400)
+    assert graph.modularity(e, found.select("node", F.col("cluster").alias("c"))).first()[0] > 0.5
+    assert sum(steps) <= 40
+
+
 def test_badly_connected_community_is_split(spark):
     """A node that held two groups together and moved away leaves no community in two pieces."""
     rng = np.random.default_rng(3)
