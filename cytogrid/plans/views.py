@@ -14,13 +14,27 @@ def _cell() -> F.Column:
     return F.concat(F.lit("cell_"), F.col("o_orderkey").cast("string"))
 
 
+#: Lines in a partition of ``counts``, so that what a task holds does not grow with the table.
+LINES = 500_000
+
+
 def counts(spark: SparkSession, d: str) -> DataFrame:
-    """sample, cell_id, gene, count: an order is a cell, a part's name a gene, a quantity a count."""
+    """sample, cell_id, gene, count: an order is a cell, a part's name a gene, a quantity a count.
+
+    Tables of more lines than the session's partitions hold at ``LINES`` each are dealt to more, by order and then by cell; what follows by cell stays in these.
+    """
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey").join(table(spark, d, "customer").select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
     parts = table(spark, d, "part").select("p_partkey", F.replace("p_name", F.lit(" "), F.lit("-")).alias("gene"))
-    met = lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-    return met.groupBy(F.col("c_mktsegment").alias("sample"), _cell().alias("cell_id"), "gene").agg(F.sum("l_quantity").cast("long").alias("count"))
+    n = -(-lines.count() // LINES)
+    wide = n > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select("l_orderkey", "gene", "l_quantity")
+    if wide:
+        lines, orders = lines.repartition(n, "l_orderkey"), orders.repartition(n, "o_orderkey")
+    met = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(F.col("c_mktsegment").alias("sample"), _cell().alias("cell_id"), "gene", "l_quantity")
+    if wide:
+        met = met.repartition(n, "sample", "cell_id")
+    return met.groupBy("sample", "cell_id", "gene").agg(F.sum("l_quantity").cast("long").alias("count"))
 
 
 def cells(spark: SparkSession, d: str) -> DataFrame:

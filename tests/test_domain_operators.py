@@ -533,6 +533,34 @@ def test_delaunay_searches_all_points_once(spark, monkeypatch):
     assert got == want
 
 
+def test_counts_are_dealt_by_their_number(spark, monkeypatch):
+    """Lines beyond what the session's partitions hold get more partitions, and a cell's stay together: no further exchange by cell."""
+    from cytogrid.plans import views
+
+    d = "/root/testdata/sf0.001"
+    few = views.counts(spark, d)
+    monkeypatch.setattr(views, "LINES", 100, raising=False)
+    many = views.counts(spark, d)
+    assert many.rdd.getNumPartitions() == -(-views.table(spark, d, "lineitem").count() // 100)
+    assert many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty()
+    assert normalize.log_normalise(many, 1e6).rdd.getNumPartitions() == many.rdd.getNumPartitions()
+
+
+def test_rank_sums_read_entries_once(spark):
+    """Ranks go by how often each group holds a value, so the entries are not joined with their ranks."""
+    entry = F.udf(lambda v: seen_by.add(1) or v, "double")
+    seen_by = spark.sparkContext.accumulator(0)
+    rows = [("s", f"c{i:02d}", "g", float(1 + i % 7)) for i in range(40)]
+    values = spark.createDataFrame(rows, "sample string, cell_id string, gene string, value double").withColumn("value", entry.asNondeterministic()("value"))
+    cells = spark.createDataFrame([("s", f"c{i:02d}", "ab"[i % 3 == 0]) for i in range(50)], "sample string, cell_id string, grp string")
+    got = {r["grp"]: r["rank_sum"] for r in markers.rank_sum(values, cells, "grp").collect()}
+    assert seen_by.value == 40
+    v = np.array([1 + i % 7 if i < 40 else 0 for i in range(50)])
+    rank = np.array([(v < x).sum() + ((v == x).sum() + 1) / 2 for x in v])
+    b = np.arange(50) % 3 == 0
+    assert got == {"a": rank[~b].sum(), "b": rank[b].sum()}
+
+
 def test_chi_squared_tail():
     # from tables of the distribution
     for x, df, p in ((3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (9.487729, 4, 0.05), (11.070498, 5, 0.05), (16.811894, 6, 0.01)):
