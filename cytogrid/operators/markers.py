@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from cytogrid.operators.durable import settle
+
 
 @F.pandas_udf(DoubleType())
 def normal_two_sided(z: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -38,12 +40,13 @@ def rank_sum(values: DataFrame, cells: DataFrame, group: str, by: Sequence[str]
     by = list(by)
     sizes = F.broadcast(_group_sizes(cells, group, by))  # a row per label
     x = values.where("value > 0").join(cells.select("sample", "cell_id", *by, group), ["sample", "cell_id"])
-    # ties by counting equal values, so a frequent value is one row
-    per_value = x.groupBy(*by, "gene", "value").agg(F.count("*").alias("same"))
+    # ties by counting equal values, so a frequent value is one row, which knows its groups; the entries are read once and not joined with their ranks
+    counted = x.groupBy(*by, "gene", "value", F.col(group).alias("__g")).agg(F.count("*").alias("n"))
+    per_value = counted.groupBy(*by, "gene", "value").agg(F.sum("n").alias("same"), F.collect_list(F.struct("__g", "n")).alias("groups"))
     below = Window.partitionBy(*by, "gene").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = per_value.withColumn("rank", F.coalesce(F.sum("same").over(below), F.lit(0)) + (F.col("same") + 1) / 2).select(*by, "gene", "value", "rank")
-    e = F.expm1("value")
-    per_group = x.join(ranks, [*by, "gene", "value"]).groupBy(*by, "gene", group).agg(F.sum("rank").alias("r"), F.count("*").alias("nz"), F.sum(e).alias("e"))
+    ranks = per_value.withColumn("rank", F.coalesce(F.sum("same").over(below), F.lit(0)) + (F.col("same") + 1) / 2).select(*by, "gene", "value", "rank", F.explode("groups").alias("o"))
+    of = ranks.select(*by, "gene", "value", "rank", F.col("o.__g").alias(group), F.col("o.n").alias("n"))
+    per_group = settle(of.groupBy(*by, "gene", group).agg(F.sum(F.col("rank") * F.col("n")).alias("r"), F.sum("n").alias("nz"), F.sum(F.expm1("value") * F.col("n")).alias("e")))
     of_gene = per_group.groupBy(*by, "gene").agg(F.sum("nz").alias("nz_all"), F.sum("e").alias("e_all"))
     full = (of_gene.join(sizes, by) if by else of_gene.join(sizes)).join(per_group, [*by, "gene", group], "left").na.fill(0, ["r", "nz", "e"])
     zeros = F.col("n_all") - F.col("nz_all")
