@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cytogrid.llm.common import SPACE, WORD, bind, col, materialize
+from cytogrid.llm.common import SPACE, WORD, bind, col, stored
 
 #: Lines in the rolling window, and one boundary per so many lines on average.
 ROLLING_LINES = 2
@@ -90,11 +90,11 @@ def line_chunks(notes: Column, met: Column, rolling: int = ROLLING_LINES, per_ch
 
 def noted_documents(docs: DataFrame) -> DataFrame:
     """``docs`` (id, text) as id, th (the text's hash), n (its lines' notes) and met (see ``line_chunks``)."""
-    noted = materialize(docs.where("text is not null").select("id", F.xxhash64("text").alias("th"), line_notes(F.col("text")).alias("n")))
+    noted = stored(docs.where("text is not null").select("id", F.xxhash64("text").alias("th"), line_notes(F.col("text")).alias("n")))
     pair = F.transform(F.slice("n", 2, F.greatest(F.size("n") - 1, F.lit(0))), lambda x, i: F.xxhash64(F.get(F.col("n"), i)["a"], x["a"]))
     pairs = noted.select("id", "th", F.posexplode(pair).alias("at", "pair"))
     # a table of its own, so that both sides of the join are plain shuffles, of which a very common pair's can be split
-    often = materialize(pairs.groupBy("pair").count().where("count > 1"))
+    often = stored(pairs.groupBy("pair").count().where("count > 1"))
     one = F.struct("at", F.coalesce("count", F.lit(1).cast("long")).alias("count"))
     found = pairs.join(often, "pair", "left").groupBy(F.col("id").alias("fid"), F.col("th").alias("fth")).agg(F.array_sort(F.collect_set(one)).alias("m"))
     joined = noted.join(found, noted["id"].eqNullSafe(found["fid"]) & (noted["th"] == found["fth"]), "left")
@@ -104,11 +104,11 @@ def noted_documents(docs: DataFrame) -> DataFrame:
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """Per (id, th), the list ``r`` of its chunks whose key repeats: struct(start, stop, first, last, h1, h2, len, leads); from id, text."""
     chunks = noted_documents(docs).select("id", "th", F.explode(line_chunks(F.col("n"), F.col("met"))).alias("c"))
-    c = materialize(chunks.select("id", "th", "c.*"))
+    c = stored(chunks.select("id", "th", "c.*"))
     # of a pair the place is where the pair stands, whichever of its lines it stands for
     place = F.struct("id", "first", "th")
     # rows repeated whole are one document
-    groups = materialize(c.groupBy(*_KEY).agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select(*_KEY, "least"))
+    groups = stored(c.groupBy(*_KEY).agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select(*_KEY, "least"))
     met = c.join(groups, _KEY)
     one = F.struct("start", "stop", "first", "last", *_KEY, (place == F.col("least")).alias("leads"))
     return met.groupBy("id", "th").agg(F.array_sort(F.collect_set(one)).alias("r"))
@@ -116,7 +116,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 def _deduped(rows: DataFrame) -> DataFrame:
     """``rows`` (row, id, text) with text replaced, n_lines and n_removed."""
-    known = materialize(repeated_chunks(rows.select("id", "text")))
+    known = stored(repeated_chunks(rows.select("id", "text")))
     named = known.withColumnsRenamed({"id": "kid", "th": "kth"})
     d = rows.withColumn("h", F.xxhash64("text"))
     same = d["id"].eqNullSafe(named["kid"]) & (d["h"] == named["kth"])
@@ -124,7 +124,7 @@ def _deduped(rows: DataFrame) -> DataFrame:
     body = F.array_join(F.slice(lines, F.col("c.first") + 1, F.col("c.last") - F.col("c.first")), "\n")
     texts = d.join(named, same).select("text", F.explode("r").alias("c")).select("c.h1", "c.h2", "c.len", body.alias("body"))
     differing = texts.groupBy(*_KEY).agg(F.min("body").alias("a"), F.max("body").alias("b")).where("a <> b").select(*_KEY)
-    differing = materialize(differing)
+    differing = stored(differing)
     out = d.join(named, same, "left").drop("kid", "kth").withColumn("spared", F.lit(None).cast("array<int>"))
     if not differing.isEmpty():
         # texts that share a key but differ, by all odds none, are spared
