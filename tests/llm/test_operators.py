@@ -753,3 +753,17 @@ def test_text_ids(spark):
         for a in got:
             root[a] = min(root[b] for b in got if (got[a][0] ^ got[b][0]).bit_count() <= 4)
     assert {i: c for i, (_, c) in got.items()} == root
+
+
+def test_line_dedup_stores_less_than_the_texts(spark):
+    """What is kept of the lines on the way takes less room than twice the texts, however short the lines."""
+    from pathlib import Path
+
+    from cytogrid.llm import line_dedup
+    from cytogrid.llm.common import shared_folder
+
+    used = lambda: sum(p.stat().st_size for p in Path(shared_folder(spark).removeprefix("file:")).rglob("*") if p.is_file())
+    texts = [(i, "\n".join(f"line {i * 1000 + j} of {j} words" for j in range(1000))) for i in range(30)]
+    before = used()
+    assert line_dedup.removed_lines(spark.createDataFrame(texts, "doc_id long, text string")).count() == 30
+    assert used() - before < 2 * sum(len(t) for _, t in texts)
