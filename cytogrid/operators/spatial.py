@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cytogrid.operators.durable import settle
 
@@ -281,12 +282,187 @@ def enrichment(edges: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     return out.withColumn("z", F.try_divide(F.col("observed") - F.col("expected"), F.col("sd")))
 
 
+#: Places in a block of points that meet another block, points in a tile within a block, tiles' pairs looked at together, and cells of a dense table of label pairs.
+BLOCK, TILE, TOGETHER, DENSE = 16384, 16, 256, 1 << 22
+
+
+def _tiles(row):
+    """A block (array of label, x, y, w) as its labels and tiles of ``TILE`` near points: coordinates, label numbers, weights and boxes.
+
+    The last tile is filled up with points at infinity of weight 0, which no box counts.
+    """
+    import numpy as np
+
+    labels, x, y, w = row.values.flatten()
+    code = np.repeat(np.arange(len(labels)), x.value_lengths().to_numpy(zero_copy_only=False))
+    x, y, w = (c.flatten().to_numpy(zero_copy_only=False) for c in (x, y, w))
+    m = -(-len(x) // TILE)
+    strip = -(-m // int(np.ceil(np.sqrt(m)))) * TILE
+    order = np.argsort(x, kind="stable")
+    order = order[np.lexsort((y[order], np.arange(len(x)) // strip))]
+    order = np.concatenate([order, np.full(m * TILE - len(x), order[-1])])
+    code, x, y, w = (c[order].reshape(m, TILE) for c in (code, x, y, w))
+    boxes = x.min(1), x.max(1), y.min(1), y.max(1)
+    fill = np.arange(m * TILE).reshape(m, TILE) >= row.values.field(1).value_lengths().to_numpy(zero_copy_only=False).sum()
+    x[fill], y[fill], w[fill] = np.inf, np.inf, 0
+    return labels, code, x, y, w, boxes
+
+
+def _pairs_by_bin(a, b, step: float, bins: int):
+    """Ordered pairs of points of tiles ``a`` and tiles ``b`` (None: of ``a`` itself) by (bin, label in a, label in b), as numbers of such triples and sums of weights.
+
+    Tiles all of whose pairs fall into one bin are counted by their labels; only pairs of tiles on a border between bins are looked at point by point.
+    """
+    import numpy as np
+
+    own, b = b is None, a if b is None else b
+    (la, ca, xa, ya, wa, box_a), (lb, cb, xb, yb, wb, box_b) = a, b
+    size = bins * len(la) * len(lb)
+    dense = size <= DENSE
+    plain = max(wa.max(), wb.max()) == 1
+    total, found = np.zeros(size if dense else 0, np.int64), []
+    held = [np.bincount((np.arange(len(c))[:, None] * len(n) + c).ravel(), w.ravel(), len(c) * len(n)).reshape(len(c), len(n)) for c, w, n in ((ca, wa, la), (cb, wb, lb))] if dense else None
+
+    def look(r, c):
+        dx, dy = xa[r][:, :, None] - xb[c][:, None, :], ya[r][:, :, None] - yb[c][:, None, :]
+        d = np.sqrt(dx * dx + dy * dy)
+        at = d / step
+        ok = (at < bins) & (d <= step * bins)
+        triple = (at[ok].astype(np.int64) * len(la) + np.broadcast_to(ca[r][:, :, None], ok.shape)[ok]) * len(lb) + np.broadcast_to(cb[c][:, None, :], ok.shape)[ok]
+        weight = None if plain else (wa[r][:, :, None] * wb[c][:, None, :])[ok]
+        if dense:
+            return np.bincount(triple, weight, size).astype(np.int64)
+        names, where = np.unique(triple, return_inverse=True)
+        return names, np.bincount(where, weight, len(names)).astype(np.int64)
+
+    def add(got):
+        if dense:
+            np.add(total, got, out=total)
+            return
+        found.append(got)
+        if len(found) == TOGETHER:
+            names, where = np.unique(np.concatenate([n for n, _ in found]), return_inverse=True)
+            found[:] = [(names, np.bincount(where, np.concatenate([v for _, v in found]), len(names)).astype(np.int64))]
+
+    with np.errstate(over="ignore", invalid="ignore"):
+        rows = max(1, (1 << 18) // len(xb))
+        for top in range(0, len(xa), rows):
+            gap, far = [], []
+            for lo, hi in ((0, 1), (2, 3)):
+                p, q = box_a[lo][top : top + rows, None] - box_b[hi], box_b[lo] - box_a[hi][top : top + rows, None]
+                gap.append(np.maximum(np.maximum(p, q), 0))
+                far.append(np.maximum(-p, -q))
+            near, last = (np.floor(np.sqrt(u * u + v * v) * e / step) for (u, v), e in ((gap, 1 - 1e-9), (far, 1 + 1e-9)))
+            met = near < bins
+            if dense:
+                whole = met & (near == last)
+                for k in np.unique(near[whole]):
+                    n = held[0][top : top + rows].T @ ((whole & (near == k)) @ held[1])
+                    total.reshape(bins, len(la), len(lb))[int(k)] += np.rint(n).astype(np.int64)
+                met &= ~whole
+            r, c = np.nonzero(met)
+            r += top
+            if own:  # both ways at once; a tile and itself once
+                r, c = r[r <= c], c[r <= c]
+            for i in range(0, len(r), TOGETHER):
+                u, v = r[i : i + TOGETHER], c[i : i + TOGETHER]
+                if not own:
+                    add(look(u, v))
+                    continue
+                same = u == v
+                if same.any():
+                    add(look(u[same], v[same]))
+                if not same.all():
+                    got = look(u[~same], v[~same])
+                    add(got)
+                    if dense:
+                        add(got.reshape(bins, len(la), len(la)).transpose(0, 2, 1).ravel())
+                    else:
+                        k, ij = np.divmod(got[0], len(la) ** 2)
+                        add((k * len(la) ** 2 + ij % len(la) * len(la) + ij // len(la), got[1]))
+    if dense:
+        names = np.nonzero(total)[0]
+        return names, total[names]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([n for n, _ in found]), np.concatenate([v for _, v in found])
+
+
+def _meet(step: float, bins: int, schema: StructType):
+    """Rows (sample, side, points) as label pairs by bin: a block of side 0 meets the next row, of side 1, and one of side 2 meets itself."""
+
+    def of(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def told(sample, a, b):
+            names, n = _pairs_by_bin(a, b, step, bins)
+            other = a if b is None else b
+            k, ij = np.divmod(names, len(a[0]) * len(other[0]))
+            i, j = np.divmod(ij, len(other[0]))
+            named = sample.take(pa.array(np.zeros(len(n), np.int64)))
+            left, right = a[0].take(pa.array(i)), other[0].take(pa.array(j))
+            for u, v in [(left, right)] if b is None else [(left, right), (right, left)]:
+                yield pa.RecordBatch.from_arrays([named, pa.array(k), u, v, pa.array(n)], names=schema.fieldNames())
+
+        first = None
+        for batch in batches:
+            sample, side, points = (batch.column(batch.schema.names.index(c)) for c in ("sample", "side", "points"))
+            for row in range(batch.num_rows):
+                block = _tiles(points[row])
+                if side[row].as_py() == 2:
+                    yield from told(sample.slice(row, 1), block, None)
+                elif side[row].as_py() == 0:
+                    first = block
+                else:
+                    yield from told(sample.slice(row, 1), first, block)
+
+    return of
+
+
+def label_pairs(points: DataFrame, label: str, step: float, bins: int) -> DataFrame:
+    """(sample, bin, i, j, n): ordered pairs of a sample's cells by their labels and ``step`` of distance, below ``bins`` steps.
+
+    Cells of one label at one place are one row with a weight. Places are dealt to the leaves of a quadtree, and leaves in reach of each other meet as two rows of
+    points (see ``_pairs_by_bin``), dealt to partitions by the points they hold, so a task's work stays the same on larger samples. A cell does not meet itself.
+    Cells without finite coordinates meet none.
+    """
+    kind = {f.name: f.dataType for f in points.schema}
+    finite = lambda c: f"abs({c}) < double('infinity')"
+    cells = points.select("sample", "cell_id", F.col(label).alias("l"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where(f"{finite('x')} AND {finite('y')} AND sample IS NOT NULL")
+    places = cells.groupBy("sample", "x", "y", "l").agg(F.count("*").alias("w"))
+    leaf = ["sample", "depth", "cx", "cy"]
+    tree = settle(quadtree(places, BLOCK))
+    of_label = tree.groupBy(*leaf, "x0", "y0", "side", "l").agg(F.collect_list(F.struct("x", "y", "w")).alias("p"), F.count("*").alias("n"), *[f(c).alias(f"{a}{c}") for a, f in (("l", F.min), ("h", F.max)) for c in "xy"])
+    held = [F.sum("n").alias("held"), *[f(c).alias(c) for c, f in (("lx", F.min), ("ly", F.min), ("hx", F.max), ("hy", F.max))]]
+    blocks = settle(of_label.groupBy(*leaf, "x0", "y0", "side").agg(*held, F.collect_list(F.struct("l", F.col("p.x").alias("x"), F.col("p.y").alias("y"), F.col("p.w").alias("w"))).alias("points")))
+    reach = step * bins * (1 + 1e-9)
+    near = blocks.select(*leaf, "x0", "y0", "side", F.col("held").alias("own"), (F.col("lx") - reach).alias("x1"), (F.col("ly") - reach).alias("y1"), (F.col("hx") + reach).alias("x2"), (F.col("hy") + reach).alias("y2"))
+    pairs = _reached(near, blocks.drop("points")).where("(depth, cx, cy) <= (bdepth, bx, by)")
+    # what a pair costs: its pairs of points, and each point's unpacking
+    cost = F.col("own") * F.col("held") + 1000 * (F.col("own") + F.col("held"))
+    pairs = settle(pairs.select(*leaf, "bdepth", "bx", "by", cost.cast("double").alias("cost"), F.monotonically_increasing_id().alias("job")))
+    n, cost = pairs.agg(F.count("*"), F.sum("cost")).first()
+    parts = max(1, min(n, max(pairs.sparkSession.sparkContext.defaultParallelism, int((cost or 0) / (BLOCK * BLOCK / 2)))))
+    # dearest first, dealt in turn: a row per pair of blocks
+    dealt = pairs.withColumn("part", (F.row_number().over(Window.orderBy(F.desc("cost"), "job")) - 1) % parts)
+    itself = F.expr("depth = bdepth AND cx = bx AND cy = by")
+    second = F.struct(F.lit(1).alias("side"), F.col("bdepth").alias("depth"), F.col("bx").alias("cx"), F.col("by").alias("cy"))
+    sides = F.when(itself, F.array(F.struct(F.lit(2).alias("side"), "depth", "cx", "cy"))).otherwise(F.array(F.struct(F.lit(0).alias("side"), "depth", "cx", "cy"), second))
+    asked = dealt.select("sample", "job", "part", F.explode(sides).alias("o")).select("sample", "job", "part", "o.*")
+    out = StructType([StructField("sample", kind["sample"]), StructField("bin", LongType()), StructField("i", kind[label]), StructField("j", kind[label]), StructField("n", LongType())])
+    rows = asked.join(blocks.select(*leaf, "points"), leaf).repartitionById(parts, "part").sortWithinPartitions("job", "side").select("sample", "side", "points")
+    met = rows.mapInArrow(_meet(step, bins, out), out)
+    # a cell and itself, whatever its rows
+    d = F.sqrt(F.pow(F.col("a.x") - F.col("b.x"), 2) + F.pow(F.col("a.y") - F.col("b.y"), 2))
+    alike = cells.groupBy("sample", "cell_id", "l").agg(F.collect_list(F.struct("x", "y")).alias("p")).select("sample", "l", "p", F.explode("p").alias("a")).select("sample", "l", "a", F.explode("p").alias("b"))
+    alike = alike.select("sample", F.floor(d / step).alias("bin"), F.col("l").alias("i"), F.col("l").alias("j"), F.lit(-1).cast("long").alias("n")).where((F.col("bin") < bins) & (d <= step * bins))
+    return met.unionByName(alike).groupBy("sample", "bin", "i", "j").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 def co_occurrence(points: DataFrame, label: str, step: float, bins: int) -> DataFrame:
     """(sample, bin, i, j, ratio): share of j among i's neighbours at a distance, over j's share at that distance."""
-    # the label goes along as part of the name
-    named = points.select("sample", F.struct("cell_id", F.col(label).alias("l")).alias("cell_id"), "x", "y")
-    met = pairs_within(named, step * bins).select("sample", F.floor(F.col("d") / step).alias("bin"), F.col("src.l").alias("i"), F.col("dst.l").alias("j")).where(F.col("bin") < bins)
-    n = met.groupBy("sample", "bin", "i", "j").agg(F.count("*").alias("n"))
+    n = label_pairs(points, label, step, bins)
     w = lambda *c: F.sum("n").over(Window.partitionBy("sample", "bin", *c))
     return n.select("sample", "bin", "i", "j", ((F.col("n") / w("i")) / (w("j") / w())).alias("ratio"))
 

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import os
+import random
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cytogrid.operators import spatial
 from cytogrid.plans.registry import oracle_sql, queries
@@ -70,3 +74,64 @@ def test_queries_travel_once_for_each_bin(spark):
     rows = spark.createDataFrame([(f"r{i}", v.tolist()) for i, v in enumerate(x)], "id string, v array<double>")
     _, visits, _ = embed.indexed(rows, rows, 5, 64, binned=True)
     assert visits.count() <= len(x)
+
+
+def brute(points, step, bins):
+    """Ordered pairs of (sample, cell_id, x, y, label) by (sample, bin, label, label)."""
+    n = {}
+    for s, c, x, y, i in points:
+        for t, o, u, v, j in points:
+            d = ((u - x) * (u - x) + (v - y) * (v - y)) ** 0.5
+            if s == t and c != o and d <= step * bins and d // step < bins:
+                n[s, int(d // step), i, j] = n.get((s, int(d // step), i, j), 0) + 1
+    return n
+
+
+def test_label_pairs_of_blocks_equal_all_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    # steps of 4, so that many distances lie on a bin's border; crowded on the left, one cell far off and one without coordinates
+    points = [("s", f"c{i}", 4.0 * int(rng.gauss(0, 9) if i % 3 else rng.gauss(60, 30)), 4.0 * int(rng.gauss(0, 9)), rng.choice(["a", "b", "c", None])) for i in range(420)]
+    points += [("s", "far", 1e6, -1e6, "a"), ("t", "u1", 0.0, 0.0, "b"), ("t", "u2", 12.0, 16.0, "a"), ("t", "alone", 1e3, 0.0, "a")]
+    odd = [("s", "none", None, 1.0, "a"), ("s", "nan", float("nan"), 1.0, "a"), ("s", "endless", float("inf"), 1.0, "a")]
+    df = spark.createDataFrame(points + odd, "sample string, cell_id string, x double, y double, label string")
+    want = brute(points, 20.0, 5)
+    for block in (16384, 40):
+        monkeypatch.setattr(spatial, "BLOCK", block)
+        got = {(r["sample"], r["bin"], r["i"], r["j"]): r["n"] for r in spatial.label_pairs(df, "label", 20.0, 5).collect()}
+        assert got == want
+    assert want["t", 1, "a", "b"] == 1  # 20 apart belongs to the second bin
+
+
+def test_pairs_of_as_many_labels_as_points():
+    rng = random.Random(6)
+    kind = pa.list_(pa.struct([("l", pa.string()), ("x", pa.list_(pa.float64())), ("y", pa.list_(pa.float64())), ("w", pa.list_(pa.int64()))]))
+    at = [(f"l{i}", rng.uniform(0, 90), rng.uniform(0, 90), 1 + i % 3) for i in range(1000)]
+    block = lambda rows: spatial._tiles(pa.array([[{"l": n, "x": [x], "y": [y], "w": [w]} for n, x, y, w in rows]], kind)[0])
+    x, y, w = (np.array([p[c] for p in at]) for c in (1, 2, 3))
+    bins = np.floor(np.sqrt((x[:, None] - x) ** 2 + (y[:, None] - y) ** 2) / 20).astype(int)
+    for b in (None, at[:900]):
+        assert 5 * 1000 * (900 if b else 1000) > spatial.DENSE
+        names, n = spatial._pairs_by_bin(block(at), block(b) if b else None, 20.0, 5)
+        m = len(b or at)
+        got = np.bincount(names, n, 5 * 1000 * m).reshape(5, 1000, m)
+        want = [(w[:, None] * w[:m]) * (bins[:, :m] == k) for k in range(5)]
+        assert (got == np.array(want)).all()
+
+
+def test_co_occurrence_of_crowded_places_makes_no_pairs(spark):
+    # 4 * 10^10 pairs as rows would not end
+    n = 100_000
+    i = spark.range(2 * n)
+    x, label = F.when(F.col("id") < n, 0.0).otherwise(30.0), F.when(F.col("id") < n, "a").otherwise("b")
+    points = i.select(F.lit("s").alias("sample"), F.col("id").cast("string").alias("cell_id"), x.alias("x"), F.lit(0.0).alias("y"), label.alias("label"))
+    got = {(r["bin"], r["i"], r["j"]): r["n"] for r in spatial.label_pairs(points, "label", 20.0, 5).collect()}
+    assert got == {(0, "a", "a"): n * (n - 1), (0, "b", "b"): n * (n - 1), (1, "a", "b"): n * n, (1, "b", "a"): n * n}
+    assert {(r["bin"], r["i"], r["j"]): r["ratio"] for r in spatial.co_occurrence(points, "label", 20.0, 5).collect()} == {(0, "a", "a"): 2.0, (0, "b", "b"): 2.0, (1, "a", "b"): 2.0, (1, "b", "a"): 2.0}
+
+
+def test_co_occurrence_equals_its_sql_where_places_repeat(spark, tmp_path):
+    rows = [(i, (0.004 * (i * 7 % 23), 0.003 * (i * 5 % 31), 0.1), i % 4) for i in range(400)]
+    folder = vectors(spark, tmp_path, rows)
+    for name in ("cooccurrence_ratio", "region_cooccurrence"):
+        got = by_spark(spark, folder, name)
+        assert got == by_sql(folder, name) and len(got) > 50
