@@ -83,8 +83,10 @@ def dot_stats(values: DataFrame, cells: DataFrame, group: Column, name: str = "g
     by = list(by)
     g = cells.select("sample", "cell_id", *by, group.alias(name))
     n = g.groupBy(*by, name).agg(F.count("*").alias("n"))
-    x = values.join(g, ["sample", "cell_id"]).groupBy(*by, "gene", name).agg(F.sum("value").alias("s"), F.count_if(F.col("value") > 0).alias("k"))
-    full = values.select("gene").distinct().join(F.broadcast(n)).join(x, [*by, "gene", name], "left").na.fill(0, ["s", "k"])
+    # sums are few and stored, so the genes come from them and the values are computed once; a gene of no labelled cell is known by the rows that met none
+    sums = [F.sum("value").alias("s"), F.count_if(F.col("value") > 0).alias("k")]
+    x = settle(values.join(g.withColumn("__met", F.lit(True)), ["sample", "cell_id"], "left").groupBy(*by, "gene", name, "__met").agg(*sums))
+    full = x.select("gene").distinct().join(F.broadcast(n)).join(x.where("__met").drop("__met"), [*by, "gene", name], "left").na.fill(0, ["s", "k"])
     out = full.select(*by, "gene", name, (F.col("s") / F.col("n")).alias("mean"), (F.col("k") / F.col("n")).alias("fraction"))
     w = Window.partitionBy(*by, "gene")
     lo, hi = F.min("mean").over(w), F.max("mean").over(w)

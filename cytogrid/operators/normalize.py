@@ -10,13 +10,16 @@ CELL = ("sample", "cell_id")
 
 def log_normalise(counts: DataFrame, target: float | None = None) -> DataFrame:
     """``counts`` with value = ln(1 + count * target / cell total); without a target, the median total of the sample's cells."""
-    totals = counts.groupBy(*CELL).agg(F.sum("count").alias("total")).where("total > 0")
+    # a cell's total goes along with its rows, so they are not joined with their own sums; rows without a cell have none
+    total = F.when(F.col("sample").isNotNull() & F.col("cell_id").isNotNull(), F.sum("count").over(Window.partitionBy(*CELL)))
+    of_cell = counts.withColumn("__total", total).where("__total > 0")
     if target is None:
-        median = totals.groupBy("sample").agg(F.percentile("total", 0.5).alias("target"))
-        totals = totals.join(median, "sample")
+        totals = counts.groupBy(*CELL).agg(F.sum("count").alias("total")).where("total > 0")
+        median = totals.groupBy("sample").agg(F.percentile("total", 0.5).alias("__target"))
+        of_cell = of_cell.join(F.broadcast(median), "sample")  # a row per sample
     else:
-        totals = totals.withColumn("target", F.lit(float(target)))
-    return counts.join(totals, [*CELL]).withColumn("value", F.log1p(F.col("count") * F.col("target") / F.col("total"))).drop("total", "target")
+        of_cell = of_cell.withColumn("__target", F.lit(float(target)))
+    return of_cell.select(*counts.columns, F.log1p(F.col("count") * F.col("__target") / F.col("__total")).alias("value"))
 
 
 def highly_variable(values: DataFrame, n_cells: DataFrame, bins: int = 20, top: int = 2000) -> DataFrame:

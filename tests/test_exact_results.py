@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import random
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cytogrid.operators import spatial
+from cytogrid.operators import markers, normalize, spatial
 from cytogrid.plans.registry import oracle_sql, queries
 
 RINGS = "ord int, region string, ring array<struct<x:double,y:double>>"
@@ -135,3 +136,33 @@ def test_co_occurrence_equals_its_sql_where_places_repeat(spark, tmp_path):
     for name in ("cooccurrence_ratio", "region_cooccurrence"):
         got = by_spark(spark, folder, name)
         assert got == by_sql(folder, name) and len(got) > 50
+
+
+def test_values_are_computed_once_for_dots(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = [("s", f"c{i % 7}", f"g{i % 3}", i) for i in range(42) if i % 7 != 2] + [("s", "unlabelled", "lone", 5), ("s", "empty", "g0", 0), ("s", None, "g0", 3)]
+    counts = spark.createDataFrame(rows, "sample string, cell_id string, gene string, count long")
+    cells = spark.createDataFrame([("s", f"c{i}", r, f"k{i % (r + 2)}") for i in range(7) for r in (0, 1)], "sample string, cell_id string, res int, cluster string")
+    per_million = normalize.log_normalise(counts.mapInPandas(told, counts.schema), 1e6)
+    got = sorted((r["cell_id"], r["gene"], r["count"], r["value"]) for r in per_million.collect())
+    assert seen.value == len(rows)
+    totals = {c: sum(r[3] for r in rows if r[1] == c) for c in {r[1] for r in rows}}
+    want = sorted((c, g, n, math.log1p(n * 1e6 / totals[c])) for _, c, g, n in rows if c and totals[c])
+    assert [r[:3] for r in got] == [r[:3] for r in want] and [r[3] for r in got] == pytest.approx([r[3] for r in want], rel=1e-12)
+
+    values = [("s", c, g, v) for c, g, _, v in want]
+    df = spark.createDataFrame(values, "sample string, cell_id string, gene string, value double")
+    seen.value = 0
+    dots = {(r["res"], r["gene"], r["cluster"]): (r["mean"], r["fraction"]) for r in markers.dot_stats(df.mapInPandas(told, df.schema), cells, F.col("cluster"), "cluster", ["res"]).collect()}
+    assert seen.value == len(values)
+    of = {(res, k): [f"c{i}" for i in range(7) if f"k{i % (res + 2)}" == k] for res in (0, 1) for k in [f"k{j}" for j in range(res + 2)]}
+    assert set(dots) == {(res, g, k) for res, k in of for g in ("g0", "g1", "g2", "lone")}
+    for (res, g, k), (mean, fraction) in dots.items():
+        met = [v for _, c, h, v in values if h == g and c in of[res, k]]
+        assert mean == pytest.approx(sum(met) / len(of[res, k])) and fraction == pytest.approx(sum(v > 0 for v in met) / len(of[res, k]))
