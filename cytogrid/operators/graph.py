@@ -15,8 +15,9 @@ from cytogrid.operators.durable import settle
 
 def fuzzy_union(knn: DataFrame) -> DataFrame:
     """Weights of a neighbour graph (src, dst, d): exp(-d / mean d of the source), joined both ways as a + b - ab."""
-    scale = knn.groupBy("src").agg(F.avg("d").alias("s"))
-    w = knn.join(scale, "src").withColumn("w", F.exp(-F.coalesce(F.try_divide("d", "s"), F.lit(0.0))))
+    # a window over the graph's own order by source, not a join with itself, so that neighbours are searched once
+    scale = F.avg("d").over(Window.partitionBy("src"))
+    w = knn.withColumn("w", F.exp(-F.coalesce(F.try_divide(F.col("d"), scale), F.lit(0.0))))
     both = w.groupBy(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).agg(F.sum("w").alias("s"), F.product("w").alias("p"), F.count("*").alias("n"))
     return both.select("u", "v", F.when(F.col("n") == 1, F.col("s")).otherwise(F.col("s") - F.col("p")).alias("w"))
 
@@ -416,6 +417,7 @@ def layout(edges: DataFrame, rounds: int = 12, repel: int = 4, seed: int = 0) ->
 
     The step shrinks to nothing over ``rounds``. In each, nodes are dealt anew to buckets of about 64 and each meets the ``repel`` nearest in hash order there.
     """
+    edges = settle(edges)
     nodes = edges.select(F.col("u").alias("node")).unionByName(edges.select(F.col("v").alias("node"))).distinct()
     unit = lambda s: F.pmod(F.xxhash64("node", F.lit(s)), F.lit(1 << 20)) / float(1 << 20) * 20 - 10
     now = settle(nodes.select("node", unit(seed + 1).alias("x"), unit(seed + 2).alias("y")))

@@ -166,3 +166,46 @@ def test_values_are_computed_once_for_dots(spark):
     for (res, g, k), (mean, fraction) in dots.items():
         met = [v for _, c, h, v in values if h == g and c in of[res, k]]
         assert mean == pytest.approx(sum(met) / len(of[res, k])) and fraction == pytest.approx(sum(v > 0 for v in met) / len(of[res, k]))
+
+
+def test_layout_reads_neighbours_once(spark):
+    """What finds the neighbours runs once for all rounds, not once for each end of an edge and each use of a distance."""
+    from cytogrid.operators import graph
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    near = [(f"n{i:02d}", f"n{(i + j) % 40:02d}", float(j)) for i in range(40) for j in (1, 2, 3)]
+    knn = spark.createDataFrame(near, "src string, dst string, d double").mapInArrow(counted, "src string, dst string, d double")
+    assert graph.layout(graph.fuzzy_union(knn), rounds=2).count() == 40
+    assert seen.value == len(near)
+
+
+@pytest.mark.parametrize("far", [0.0, 1e6])
+def test_nearest_by_single_precision_candidates(far):
+    """Distances, ties and copies as by brute force, whatever the tiles, a bound, an offset of all vectors, and rows that are not finite."""
+    from cytogrid.operators import embed
+
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.integers(0, 3, (300, 3)).astype(float), rng.normal(size=(300, 3)), np.zeros((80, 3)), [[np.nan, 0, 0], [np.inf, 0, 0]]]) + far
+    ids = np.array([f"r{i:03d}" for i in rng.permutation(len(x))])
+    table = pa.table({"id": pa.array(ids), "v": pa.array(x.tolist())})
+    want, kth = [], {}
+    for i in range(len(x)):
+        with np.errstate(invalid="ignore"):
+            d = np.round(np.sqrt(((x[i] - x) ** 2).sum(1)), 9)
+        best = sorted((d[j], ids[j]) for j in range(len(x)) if j != i and np.isfinite(d[j]))[:7]
+        want += [(ids[i], n, dist) for dist, n in best]
+        kth[ids[i]] = best[-1][0] if best else 1.0
+    for rows, columns, pairs in ((256, 2048, 1 << 16), (7, 50, 11)):
+        embed.ROWS, embed.COLUMNS, embed.PAIRS, kept = rows, columns, pairs, (embed.ROWS, embed.COLUMNS, embed.PAIRS)
+        try:
+            for q in (table, table.append_column("kth", pa.array([kth[i] for i in ids]))):
+                got = embed._near(7)(q, table)
+                assert sorted(zip(*(got.column(c).to_pylist() for c in ("src", "d", "dst")), strict=True)) == sorted((s, d, t) for s, t, d in want)
+        finally:
+            embed.ROWS, embed.COLUMNS, embed.PAIRS = kept
