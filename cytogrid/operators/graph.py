@@ -175,7 +175,9 @@ def _local_moves(g: float, nodes: pd.DataFrame, links: pd.DataFrame, fresh: int)
     np.maximum.at(best, pu[~mine], (met - g * strength[pu] * whole[pc])[~mine])
     others = whole[own] - strength
     stay = at_home - g * strength * others + 1e-9 * strength
-    would = (best > stay) | ((others > 1e-9 * strength) & (stay < 0))
+    alone = np.where(others > 1e-9 * strength, 0.0, -np.inf)
+    gain = np.maximum(best, alone) - stay
+    would = gain > 0
 
     ends = np.searchsorted(u, np.arange(len(names) + 1)).tolist()
     near, w, far, k = np.where(inside, v, -1).tolist(), weights.tolist(), to.tolist(), strength.tolist()
@@ -198,7 +200,7 @@ def _local_moves(g: float, nodes: pd.DataFrame, links: pd.DataFrame, fresh: int)
         return -1 if best == c[i] and left > 1e-9 * ki and most < 0 else best
 
     # sums in another order may differ in their last bits
-    for i in np.flatnonzero(would).tolist():
+    for i in np.flatnonzero(would & (gain < 1e-6 * strength)).tolist():
         would[i] = best_of(i) != c[i]
     queued = (would & nodes["turn"].to_numpy()).tolist()
     waiting = deque(i for i, x in enumerate(queued) if x)
@@ -253,7 +255,7 @@ def _refined(g: float, nodes: pd.DataFrame, links: pd.DataFrame) -> list[int]:
     return [names[p] for p in part]
 
 
-def ladder(edges: DataFrame, gammas: Sequence[float], passes: int = 2, rounds: int = 200, seed: int = 0, block: int = 200_000) -> DataFrame:
+def ladder(edges: DataFrame, gammas: Sequence[float], passes: int = 2, rounds: int = 200, seed: int = 0, block: int = 1_000_000) -> DataFrame:
     """(res, node, cluster) for each resolution ``gammas[res]``: Leiden communities of the same graph, all resolutions in one set of rounds.
 
     A level moves nodes to their best neighbouring community until none would move; splits each community into well-connected parts; and makes the
@@ -264,7 +266,7 @@ def ladder(edges: DataFrame, gammas: Sequence[float], passes: int = 2, rounds: i
     Nodes are dealt by the community they start a level in to blocks of about ``block`` edges. A block moves its nodes one at a time against the last known communities of the others;
     from two blocks on a half to a sixteenth of the nodes have their turn in a round, since nodes that move at once can swap for ever, and the last ones meet in one block. Parts are made
     within blocks of whole communities; one with more edges than a block is dealt over several, anew in each level. A pass that another follows leaves a level of several blocks
-    after ``BRIEF`` rounds, at rest or not: the last pass starts from its communities, which are near rest then, and brings every level to rest. ``rounds`` without rest are an error.
+    after ``BRIEF`` or ``BRIEFER`` rounds, at rest or not: the last pass starts from its communities, which are near rest then, and brings every level to rest. ``rounds`` without rest are an error.
     """
     named = settle(edges.select("u", "v", F.col("w").cast("double").alias("w")))
     m2 = 2 * (named.agg(F.sum("w")).first()[0] or 0.0)
@@ -301,17 +303,22 @@ def _numbered(edges: DataFrame) -> DataFrame:
     raise RuntimeError("no hash tells the nodes apart")
 
 
-#: Rounds of a level of several blocks in a pass that another follows.
-BRIEF = 4
+#: Rounds of the first level and of a later one, of several blocks in a pass that another follows; rounds from which a level is only looked at between those of the last few nodes.
+BRIEF, BRIEFER, CALM = 4, 2, 16
 
 
 def _levels(nodes: DataFrame, links: DataFrame, g: list[float], rounds: int, seed: int, block: int, brief: bool = False) -> DataFrame:
-    """(res, node, c): one pass of Leiden over (res, node, k, c), from level to level."""
+    """(res, node, c): one pass of Leiden over (res, node, k, c), from level to level.
+
+    A pass that another follows, on a graph of several blocks, makes whole communities the nodes of the next level: the last pass parts them where they are not well connected.
+    """
     maps: list[DataFrame] = []
+    coarse = False
     for depth in range(rounds):
         blocks = max(1, links.count() // len(g) // block)
-        nodes = _moved(nodes, links, g, blocks, rounds, seed + depth, block, brief)
-        parts = settle(_parts(nodes, links, g, blocks, block, seed + depth))
+        nodes = _moved(nodes, links, g, blocks, rounds, seed + depth, block, (BRIEFER if depth else BRIEF) if brief else 0)
+        coarse = coarse or brief and blocks > 1
+        parts = settle(nodes.withColumn("part", F.col("c")) if coarse else _parts(nodes, links, g, blocks, block, seed + depth))
         n = parts.groupBy("res").agg(F.count("*").alias("nodes"), F.count_distinct("c").alias("communities")).collect()
         maps.append(parts.select("res", "node", "part"))
         if all(r["nodes"] == r["communities"] for r in n):
@@ -332,13 +339,27 @@ def _renamed(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(c) for c in df.columns])
 
 
-def _moved(nodes: DataFrame, links: DataFrame, g: list[float], blocks: int, rounds: int, seed: int, block: int, brief: bool = False) -> DataFrame:
-    """``nodes`` (res, node, k, c) with the communities that moves of nodes come to rest in.
+#: Links in a row of a block's lists.
+PACKED = 65_536
+
+
+def _packed(links: DataFrame, block: int) -> DataFrame:
+    """``links`` (res, u, v, w, home) in lists (res, home, u, v, w) of about PACKED, so that a round moves a few long rows and not one for each link."""
+    slot = F.pmod(F.xxhash64("u"), F.lit(-(-block // PACKED))).alias("slot")
+    return links.groupBy("res", "home", slot).agg(F.collect_list(F.struct("u", "v", "w")).alias("e")).select("res", "home", *[F.col(f"e.{c}").alias(c) for c in "uvw"])
+
+
+def _moved(nodes: DataFrame, links: DataFrame, g: list[float], blocks: int, rounds: int, seed: int, block: int, brief: int = 0) -> DataFrame:
+    """``nodes`` (res, node, k, c) with the communities that moves of nodes come to rest in; those after ``brief`` rounds, if that is not 0.
 
     Blocks that move side by side bring most nodes to rest but would take very many rounds for the last ones. Once the nodes that would move have few enough edges for one
-    block, these (and where it holds them, their neighbours) move there one at a time, so modularity only rises, until no node of all would move.
+    block, these (and where it holds them, their neighbours) move there one at a time, so modularity only rises, until no node of all would move. In between all nodes
+    move in their blocks, which shows too whether any would; should that not end by round CALM, they are only looked at from then on.
+
+    A block's links and the names of the nodes it meets stay the same in all rounds; only where these nodes are is told anew, once for each block that meets them.
     """
     nodes, degree = nodes.withColumn("home", F.lit(0)), None
+    mine = nodes.select("res", "node", F.col("home").alias("block"), F.lit(True).alias("own"))
     if blocks > 1:
         # a node's block is that of its community
         degree = settle(links.groupBy("res", F.col("u").alias("node")).agg(F.count("*").alias("n")))
@@ -346,41 +367,55 @@ def _moved(nodes: DataFrame, links: DataFrame, g: list[float], blocks: int, roun
         home = F.pmod(F.xxhash64("c", F.pmod(F.xxhash64("node", F.lit(seed)), "pieces")), F.lit(blocks)).cast("int")
         nodes = settle(nodes.drop("home").join(size, ["res", "c"]).select("res", "node", "k", "c", home.alias("home")))
         links = settle(links.join(nodes.select("res", F.col("node").alias("u"), "home"), ["res", "u"]))
+        packed = settle(_packed(links, block))
+        mine = nodes.select("res", "node", F.col("home").alias("block"), F.lit(True).alias("own"))
+        met = links.select("res", F.col("v").alias("node"), F.col("home").alias("block")).distinct()
+        met = met.join(nodes.select("res", "node", "home"), ["res", "node"]).where("home <> block").select("res", "node", "block", F.lit(False).alias("own"))
+        mine = settle(mine.unionByName(met))
     else:
         links = links.withColumn("home", F.lit(0))
-    few, look = None, False
+        packed = _packed(links, block)
+    few, look, settling = None, False, False
     for r in range(rounds):
         first = -1 - ((seed * rounds + r) << 44)
 
-        def run(key: tuple, own: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
-            own = own.sort_values("node", ignore_index=True)
-            c, would = _local_moves(g[int(key[0])], own, near.sort_values(["u", "v"]), first - (int(key[1]) << 28))  # noqa: B023
+        def run(key: tuple, met: pd.DataFrame, lists: pd.DataFrame) -> pd.DataFrame:
+            met = met.sort_values("node", ignore_index=True)
+            own = met[met["own"]].reset_index(drop=True)
+            u, v, w = (np.concatenate(lists[x].tolist()) if len(lists) else np.array([], t) for x, t in (("u", np.int64), ("v", np.int64), ("w", float)))
+            order = np.lexsort((v, u))
+            at = np.searchsorted(met["node"].to_numpy(), v[order])
+            near = pd.DataFrame({"u": u[order], "v": v[order], "w": w[order], "cv": met["c"].to_numpy()[at], "total": met["total"].to_numpy()[at]})
+            c, would = _local_moves(g[int(key[0])], own, near, first - (int(key[1]) << 28))  # noqa: B023
             return pd.DataFrame({"res": own["res"], "node": own["node"], "k": own["k"], "c": c, "home": own["home"], "would": would})
 
         now = nodes.join(nodes.groupBy("res", "c").agg(F.sum("k").alias("total")), ["res", "c"])
-        met = links.join(now.select("res", F.col("node").alias("v"), F.col("c").alias("cv"), "total"), ["res", "v"])
-        share = 1 if blocks == 1 else 2 if brief else 2 << r % 4
+        share = 1 if blocks == 1 or settling else 2 if brief else 2 << r % 4
         turn = F.lit(not look) if look or few is not None else F.pmod(F.xxhash64("node", F.lit(seed + 1 + r)), F.lit(share)) == 0
-        at = F.col("home")
+        meets, lists = mine, packed
         if few is not None:
-            now, met, at = now.join(few, ["res", "node"]), met.join(few.withColumnRenamed("node", "u"), ["res", "u"]), F.lit(0)
-        own = now.select("res", at.alias("block"), "node", "k", "c", "home", "total", turn.alias("turn"))
-        near = _renamed(met.select("res", at.alias("block"), "u", "v", "w", "cv", "total"))
-        step = settle(own.groupBy("res", "block").cogroup(near.groupBy("res", "block")).applyInPandas(run, "res int, node long, k double, c long, home int, would boolean"))
+            some = links.join(few.withColumnRenamed("node", "u"), ["res", "u"]).withColumn("home", F.lit(0))
+            around = some.select("res", F.col("v").alias("node")).distinct().join(few, ["res", "node"], "left_anti")
+            meets = few.withColumn("own", F.lit(True)).unionByName(around.withColumn("own", F.lit(False))).withColumn("block", F.lit(0))
+            lists = _packed(some, block)
+        known = now.join(_renamed(meets), ["res", "node"]).select("res", "block", "node", "k", "c", "home", "total", turn.alias("turn"), "own")
+        lists = _renamed(lists).withColumnRenamed("home", "block")
+        step = settle(known.groupBy("res", "block").cogroup(lists.groupBy("res", "block")).applyInPandas(run, "res int, node long, k double, c long, home int, would boolean"))
         if few is not None:
             new = step.select("res", "node", F.col("c").alias("new"))
-            nodes, few, look = settle(nodes.join(new, ["res", "node"], "left").select("res", "node", "k", F.coalesce("new", "c").alias("c"), "home")), None, True
+            nodes, few, look = settle(nodes.join(new, ["res", "node"], "left").select("res", "node", "k", F.coalesce("new", "c").alias("c"), "home")), None, r >= CALM
             continue
         nodes = step.drop("would")
         # a single block has come to rest by itself
-        if blocks == 1 or brief and r + 1 == BRIEF:
+        if blocks == 1 or r + 1 == brief:
             return nodes.drop("home")
         would = step.where("would").select("res", "node")
         of_res = would.join(degree, ["res", "node"]).groupBy("res").agg(F.sum("n").alias("n"), F.count("*").alias("nodes"))
         most = of_res.agg(F.max("n").alias("n"), F.max(F.col("n") * F.col("n") / F.col("nodes")).alias("around")).first()
         if not most["n"]:
             return nodes.drop("home")
-        looked, look = look, most["n"] <= block
+        looked, look = look or r < CALM, most["n"] <= block
+        settling |= look
         if looked and look:
             about = links.join(would.withColumnRenamed("node", "u"), ["res", "u"]).select("res", F.col("v").alias("node"))
             few, look = settle((would.unionByName(about) if most["around"] <= block else would).distinct()), False

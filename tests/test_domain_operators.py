@@ -272,6 +272,20 @@ def test_leiden_rounds_of_several_blocks(spark, monkeypatch):
     assert sum(steps) <= 40
 
 
+def test_first_pass_of_several_blocks_makes_no_parts(spark, monkeypatch):
+    """Communities are the next level's nodes in a pass that another follows; the last pass parts them, so each is connected in the end."""
+    rng = np.random.default_rng(29)
+    e = {tuple(sorted((i, int(j)))): 1.0 for i in range(120) for j in (i + rng.integers(1, 12, 5)) % 120 if i != j}
+    log, levels, parts = [], graph._levels, graph._parts
+    monkeypatch.setattr(graph, "_levels", lambda *a: log.append("pass") or levels(*a))
+    monkeypatch.setattr(graph, "_parts", lambda *a: log.append("parts") or parts(*a))
+    monkeypatch.setattr(graph, "PACKED", 50)
+    found = graph.ladder(spark.createDataFrame([(*k, w) for k, w in e.items()], "u int, v int, w double"), [1.0], block=300).collect()
+    assert log[:3] == ["pass", "pass", "parts"]
+    c = {r["node"]: r["cluster"] for r in found}
+    assert len(c) == 120 and all(connected([n for n in c if c[n] == a], e) for a in set(c.values()))
+
+
 def test_badly_connected_community_is_split(spark):
     """A node that held two groups together and moved away leaves no community in two pieces."""
     rng = np.random.default_rng(3)
